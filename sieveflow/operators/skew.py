@@ -1,0 +1,78 @@
+"""Skew handling for joins against a side that has one row per key.
+
+Every membership test in this library has that shape: a large, possibly skewed
+side (messages; one content hash or one channel may hold a third of all rows)
+against a side that is unique per key (state keys, winners, marks). A shuffled
+join sends all rows of a key to one task, so hot keys are salted:
+
+* hot keys are the keys whose row count is at least ``min_rows``, at most the
+  ``max_keys`` largest of them (a bounded top-k, so broadcasting the list is
+  safe whatever the data size); the remaining keys are joined unsalted, which
+  is exact, only less balanced;
+* rows of a hot key on the large side get a salt ``pmod(xxhash64(row id), B)``
+  (deterministic, so a retried task sends every row to the same place);
+* the unique side is replicated ``B`` times for hot keys only.
+
+AQE's skew-join split stays on as a second line of defence.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MIN_HOT_ROWS = 2_000_000   # rows of one key that still fit one task well
+DEFAULT_MAX_HOT_KEYS = 2_000       # bound on the broadcast list of hot keys
+DEFAULT_SALT_BUCKETS = 64
+
+_HOT = "_sf_hot"
+_SALT = "_sf_salt"
+
+
+@dataclass(frozen=True)
+class SkewConfig:
+    min_rows: int = DEFAULT_MIN_HOT_ROWS
+    max_keys: int = DEFAULT_MAX_HOT_KEYS
+    buckets: int = DEFAULT_SALT_BUCKETS
+    enabled: bool = True
+
+
+def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
+             cfg: SkewConfig) -> DataFrame | None:
+    """Keys with at least ``cfg.min_rows`` rows, the ``cfg.max_keys`` largest.
+
+    ``counts`` is an aggregate (one row per key). The result is bounded by
+    ``max_keys`` rows by construction.
+    """
+    if not cfg.enabled:
+        return None
+    return (counts.where(F.col(count_col) >= F.lit(cfg.min_rows))
+            .orderBy(F.col(count_col).desc())
+            .limit(cfg.max_keys)
+            .select(*keys))
+
+
+def count_keys(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
+    """Row count per key (partial aggregation before the shuffle)."""
+    agg = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.groupBy(*keys).agg(agg.alias("_sf_n"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
+                hot: DataFrame | None, salt_source: list[str] | list[Column],
+                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """``left.join(right, on, how)`` with hot keys of ``left`` spread over
+    ``buckets`` tasks. ``right`` must hold at most one row per key; ``how`` is
+    one of inner, left, left_semi, left_anti."""
+    if hot is None or buckets <= 1:
+        return left.join(right, on, how)
+    marker = F.broadcast(hot.select(*on).withColumn(_HOT, F.lit(True)))
+    salt = F.when(F.col(_HOT), F.pmod(F.xxhash64(*salt_source), F.lit(buckets))
+                  ).otherwise(F.lit(0))
+    l = left.join(marker, on, "left").withColumn(_SALT, salt).drop(_HOT)
+    fan = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(buckets - 1))
+                 ).otherwise(F.array(F.lit(0)))
+    r = right.join(marker, on, "left").withColumn(_SALT, F.explode(fan)).drop(_HOT)
+    return l.join(r, [*on, _SALT], how).drop(_SALT)
