@@ -109,8 +109,3 @@ def percent_text(num, den) -> Column:
 def seconds_text(x) -> Column:
     """Seconds with two decimals, display only."""
     return F.format_string("%.2fs", col_(x).cast("double"))
-
-
-def epoch_seconds(ts) -> Column:
-    """Seconds since the epoch as a double, for timestamp or timestamp_ntz."""
-    return F.unix_micros(col_(ts).cast("timestamp")) / F.lit(1_000_000.0)

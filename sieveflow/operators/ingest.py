@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from .skew import SkewConfig, count_keys, hot_keys, salted_join
 
 ID_KEY = ["channel_id", "message_id"]
@@ -89,8 +89,7 @@ class IngestResult:
 def _write(df: DataFrame, path: str) -> DataFrame:
     """Cut lineage: write to the shared folder, read back (survives the loss
     of any executor, unlike a local checkpoint)."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return materialize(df, "", path)
 
 
 def ingest(messages: DataFrame, state: IngestState | None = None, *,

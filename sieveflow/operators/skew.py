@@ -44,12 +44,13 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
     """Keys with at least ``cfg.min_rows`` rows, the ``cfg.max_keys`` largest.
 
     ``counts`` is an aggregate (one row per key). The result is bounded by
-    ``max_keys`` rows by construction.
+    ``max_keys`` rows by construction. Ties are broken by the key, so every
+    evaluation picks the same keys (both join sides must agree on them).
     """
     if not cfg.enabled:
         return None
     return (counts.where(F.col(count_col) >= F.lit(cfg.min_rows))
-            .orderBy(F.col(count_col).desc())
+            .orderBy(F.col(count_col).desc(), *[F.col(k).asc() for k in keys])
             .limit(cfg.max_keys)
             .select(*keys))
 

@@ -1,0 +1,387 @@
+"""Equivalent SQL (DuckDB dialect) of every catalogue query that SQL can
+express, over the driver's pre-registered tables. Written independently of the
+Spark code: the ordered ingest is replayed by a sequential ``list_reduce``
+fold, everything else by plain SQL.
+"""
+
+from __future__ import annotations
+
+from . import catalog as C
+
+_TEXT_D = "coalesce(nullif(text, ''), '')"
+_TEXT_E = "coalesce(nullif(event_type || props, ''), '')"
+
+D = f"""d as (
+  select coalesce(source, '') as channel_id,
+         coalesce(cast(doc_id as varchar), '') as message_id,
+         coalesce(nullif(source, ''), '') as channel_name,
+         {_TEXT_D} as text,
+         timestamp '{C.FIXTURE_INGEST_TIME}' as date,
+         doc_id as seq,
+         sha256(trim(lower({_TEXT_D}))) as content_hash
+  from documents)"""
+
+E = f"""e as (
+  select coalesce(event_type, '') as channel_id,
+         coalesce(cast(user_id as varchar), '') as message_id,
+         coalesce(nullif(event_type, ''), '') as channel_name,
+         {_TEXT_E} as text,
+         ts as date,
+         event_id as seq,
+         sha256(trim(lower({_TEXT_E}))) as content_hash
+  from events)"""
+
+CONV = """c as (
+  select coalesce(role, '') as channel_id,
+         concat_ws('/', conv_id, turn) as message_id,
+         sha256(trim(lower(coalesce(nullif(text, ''), '')))) as content_hash
+  from conversations)"""
+
+# Sequential fold over E in event_id order: keep a row iff neither its ID key
+# nor its hash was kept before.
+E_FOLD = """ek as (
+  select list({'o': [seq], 'a': [channel_id || chr(31) || message_id], 'b': [content_hash]}
+              order by seq) as l
+  from e),
+kept_o as (
+  select unnest(list_reduce(l, lambda acc, x:
+           case when list_contains(acc.a, x.a[1]) or list_contains(acc.b, x.b[1]) then acc
+                else {'o': acc.o || x.o, 'a': acc.a || x.a, 'b': acc.b || x.b} end).o) as o
+  from ek),
+kept as (select e.* from e join kept_o on e.seq = kept_o.o),
+es as (
+  select e.*,
+         case when e.seq in (select o from kept_o) then 'new'
+              when exists (select 1 from kept k where k.channel_id = e.channel_id
+                             and k.message_id = e.message_id and k.seq < e.seq) then 'dup_id'
+              else 'dup_content' end as status
+  from e)"""
+
+# Documents: IDs are unique, so only the first row per hash is new.
+D_FIRST = """ds as (
+  select d.*, case when row_number() over (partition by content_hash order by seq) = 1
+                   then 'new' else 'dup_content' end as status
+  from d)"""
+
+LABELLED = "st as (select * from d where seq in (select doc_id from labels))"
+
+
+def _reason(status: str = "status") -> str:
+    return (f"case {status} when 'dup_id' then 'Message ID ' || message_id || "
+            f"' already processed for channel ' || channel_id "
+            f"when 'dup_content' then 'Identical content already processed (hash: ' || "
+            f"left(content_hash, 8) || '...)' else 'No duplicate detected' end")
+
+
+def _rate(dup: str, total: str) -> str:
+    return (f"round(case when {total} > 0 then cast({dup} as double) / {total} * 100.0 "
+            f"else 0.0 end, 6)")
+
+
+def _rate_text(dup: str, total: str) -> str:
+    return (f"case when {total} > 0 then cast(round_even(cast({dup} as double) / {total} "
+            f"* 100.0, 1) as varchar) || '%' else '0%' end")
+
+
+def _values(rows: list[tuple]) -> str:
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    return "values " + ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+
+
+def _event_channels() -> str:
+    rows = [(i, c) for i, c in enumerate(C.EVENT_CHANNELS.split(","))]
+    return f"chl(channel_ordinal, channel) as ({_values(rows)})"
+
+
+def _stats_select(src: str) -> str:
+    return f"""select channel_id, count(*) as total_messages,
+         count(*) filter (where status = 'new') as new_messages,
+         count(*) filter (where status <> 'new') as duplicates
+  from {src} group by channel_id"""
+
+
+def _with_rates(src: str, extra: str = "") -> str:
+    return f"""select {extra}channel_id, total_messages, new_messages, duplicates,
+       {_rate('duplicates', 'total_messages')} as duplicate_rate,
+       {_rate_text('duplicates', 'total_messages')} as duplicate_rate_text
+  from {src}"""
+
+
+def _ts(text: str) -> str:
+    return f"timestamp '{text}'"
+
+
+def _gap(later: str, earlier: str) -> str:
+    return f"(epoch_us({later}) - epoch_us({earlier})) / 1000000.0"
+
+
+_AS_OF_MINUS = {
+    "recent": f"({_ts(C.AS_OF)} - interval {C.RECENT_DAYS} day)",
+    "retention": f"({_ts(C.AS_OF)} - interval {C.RETENTION_DAYS} day)",
+}
+
+_ISO = ("case when epoch_us({c}) % 1000000 = 0 then strftime({c}, '%Y-%m-%dT%H:%M:%S') "
+        "else strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') end")
+
+_MODEL_SQL = (
+    f"tr(task, mkey) as ({_values(list(C.routing.TASK_ROUTING.items()))}), "
+    f"lm(mkey, model) as ({_values(list(C.routing.LOCAL_MODELS.items()))})")
+
+
+ORACLE_SQL: dict[str, str] = {
+    "normalize_messages": f"""with {D}
+select channel_id, message_id, channel_name, text, date, seq from d""",
+
+    "content_fingerprint": f"""with {D}, {CONV}
+select 'documents' as feed, channel_id, message_id, content_hash,
+       left(content_hash, 8) as hash_prefix from d
+union all
+select 'conversations' as feed, channel_id, message_id, content_hash,
+       left(content_hash, 8) as hash_prefix from c""",
+
+    "tracking_rows": f"""with {E}
+select message_id, channel_id, channel_name, {_ISO.format(c='date')} as date, content_hash,
+       '{C.PROCESSED_AT.replace(' ', 'T')}' as processed_at, 'completed' as processing_status,
+       0 as ai_processed, cast(null as varchar) as storage_path
+from e""",
+
+    "distinct_ids": f"""with {E} select distinct channel_id, message_id from e""",
+
+    "distinct_hashes": f"""with {D}
+select distinct content_hash from d where content_hash is not null and content_hash <> ''""",
+
+    "id_members": f"""with {D}, {LABELLED}
+select seq as doc_id, channel_id, message_id from d
+where exists (select 1 from st where st.channel_id = d.channel_id
+              and st.message_id = d.message_id)""",
+
+    "content_members": f"""with {D}, {LABELLED}
+select seq as doc_id, channel_id, message_id from d
+where exists (select 1 from st where st.content_hash = d.content_hash)""",
+
+    "classify_against_state": f"""with {D}, {LABELLED},
+cl as (
+  select d.*, case when exists (select 1 from st where st.channel_id = d.channel_id
+                                  and st.message_id = d.message_id) then 'dup_id'
+                   when exists (select 1 from st where st.content_hash = d.content_hash)
+                        then 'dup_content'
+                   else 'new' end as status
+  from d)
+select seq as doc_id, status, status <> 'new' as is_duplicate, {_reason()} as reason from cl""",
+
+    "filter_against_state": f"""with {D}, {LABELLED}
+select seq as doc_id, channel_id, message_id from d
+where not exists (select 1 from st where st.channel_id = d.channel_id
+                  and st.message_id = d.message_id)
+  and not exists (select 1 from st where st.content_hash = d.content_hash)""",
+
+    "check_counters": f"""with {D}, {LABELLED},
+cl as (
+  select exists (select 1 from st where st.channel_id = d.channel_id
+                   and st.message_id = d.message_id)
+      or exists (select 1 from st where st.content_hash = d.content_hash) as dup
+  from d)
+select count(*) as messages_checked, count(*) filter (where dup) as duplicates_detected,
+       count(*) filter (where dup) as cache_hits
+from cl""",
+
+    "ingest_status": f"""with {E}, {E_FOLD}
+select seq as event_id, channel_id, message_id, status, {_reason()} as reason from es""",
+
+    "ingest_documents": f"""with {D}, {D_FIRST}
+select seq as doc_id, status, {_reason()} as reason from ds""",
+
+    "ingest_by_channel": f"""with {D},
+o as (
+  select d.*, cast(list_position(string_split('{C.DOC_CHANNELS}', ','), channel_id) - 1
+                   as integer) as channel_ordinal
+  from d)
+select channel_ordinal, seq as doc_id,
+       case when row_number() over (partition by content_hash
+                                    order by channel_ordinal, seq) = 1
+            then 'new' else 'dup_content' end as status
+from o where channel_ordinal >= 0""",
+
+    "ingest_with_state": f"""with {E}, {E_FOLD}
+select seq as event_id, status from es where date >= {_ts(C.SPLIT_TS)}""",
+
+    "id_only_dedup": f"""with {E}
+select seq as event_id,
+       case when row_number() over (partition by channel_id, message_id order by seq) = 1
+            then 'new' else 'dup_id' end as status
+from e""",
+
+    "content_only_dedup": f"""with {E}
+select seq as event_id,
+       case when row_number() over (partition by content_hash order by seq) = 1
+            then 'new' else 'dup_content' end as status
+from e""",
+
+    "channel_stats": f"""with {E}, {E_FOLD}, {D}, {D_FIRST}, {_event_channels()},
+ge as ({_stats_select('es')}),
+je as (
+  select chl.channel_ordinal, chl.channel as channel_id,
+         cast(coalesce(ge.total_messages, 0) as bigint) as total_messages,
+         cast(coalesce(ge.new_messages, 0) as bigint) as new_messages,
+         cast(coalesce(ge.duplicates, 0) as bigint) as duplicates
+  from chl left join ge on chl.channel = ge.channel_id),
+gd as ({_stats_select('ds')})
+select *, 'events' as feed from ({_with_rates('je', 'channel_ordinal, ')})
+union all
+select *, 'documents' as feed from ({_with_rates('gd', 'cast(null as integer) as channel_ordinal, ')})""",
+
+    "run_totals": f"""with {E}, {E_FOLD},
+g as ({_stats_select('es')}),
+t as (
+  select count(*) as channels_processed,
+         cast(coalesce(sum(total_messages), 0) as bigint) as total_messages,
+         cast(coalesce(sum(new_messages), 0) as bigint) as new_messages,
+         cast(coalesce(sum(duplicates), 0) as bigint) as duplicates
+  from g)
+select channels_processed, total_messages, new_messages, duplicates,
+       {_rate('duplicates', 'total_messages')} as duplicate_rate,
+       {_rate_text('duplicates', 'total_messages')} as duplicate_rate_text
+from t""",
+
+    "duplicates_by_reason": f"""with {E}, {E_FOLD}
+select channel_id, status, count(*) as messages from es group by rollup (channel_id, status)""",
+
+    "tracker_statistics": f"""with {E}, {E_FOLD}
+select count(distinct channel_id) as channels_tracked,
+       count(distinct [channel_id, message_id]) as total_messages_tracked,
+       count(distinct nullif(content_hash, '')) as content_hashes,
+       count(distinct [channel_id, message_id]) as total_in_db,
+       '2.0.0' as version
+from kept""",
+
+    "ids_per_channel": f"""with {E}, {E_FOLD}
+select channel_id, count(distinct message_id) as n_ids, min(message_id) as first_id,
+       max(message_id) as last_id
+from kept group by channel_id""",
+
+    "channel_throughput": f"""with {E}, {E_FOLD},
+g as (
+  select channel_id, count(*) filter (where status = 'new') as new_messages,
+         {_gap('max(date)', 'min(date)')} as elapsed
+  from es group by channel_id)
+select channel_id, new_messages, round(elapsed, 2) as elapsed_seconds,
+       round(case when elapsed > 0 then cast(new_messages as double) / elapsed else 0.0 end, 6)
+         as messages_per_second
+from g""",
+
+    "cumulative_daily": f"""with {E}, {E_FOLD},
+g as (
+  select channel_id, cast(date as date) as day, count(*) as messages,
+         count(*) filter (where status = 'new') as new_messages,
+         count(*) filter (where status <> 'new') as duplicates
+  from es group by channel_id, cast(date as date))
+select channel_id, day, messages, new_messages, duplicates,
+       cast(sum(messages) over w as bigint) as cum_messages,
+       cast(sum(new_messages) over w as bigint) as cum_new_messages,
+       cast(sum(duplicates) over w as bigint) as cum_duplicates
+from g
+window w as (partition by channel_id order by day rows between unbounded preceding
+             and current row)""",
+
+    "latest_per_key": f"""with {E}
+select channel_id, message_id, seq as event_id, content_hash from (
+  select e.*, row_number() over (partition by channel_id, message_id
+                                 order by date desc, seq desc) as rn
+  from e) where rn = 1""",
+
+    "latest_n_per_channel": f"""with {E}
+select channel_id, event_id, position from (
+  select channel_id, seq as event_id,
+         row_number() over (partition by channel_id order by date desc, seq desc) as position
+  from e) where position <= {C.LIMIT_PER_CHANNEL}""",
+
+    "recent_messages": f"""with {E}
+select seq as event_id, channel_id, message_id from e
+where date is null or date >= {_AS_OF_MINUS['recent']}""",
+
+    "message_batches": f"""with {E},
+r as (select seq, channel_id,
+             row_number() over (partition by channel_id order by seq) as position from e)
+select seq as event_id, channel_id, position,
+       cast((position - 1) // {C.BATCH_SIZE} as bigint) as batch_number
+from r""",
+
+    "high_water_mark": f"""with {E}
+select channel_id, message_id as last_message_id, seq as mark_event_id from (
+  select e.*, row_number() over (partition by channel_id order by date desc, seq desc) as rn
+  from e) where rn = 1""",
+
+    "after_mark": f"""with {E},
+m as (
+  select channel_id, date as mdate, seq as mseq from (
+    select e.*, row_number() over (partition by channel_id order by date desc, seq desc) rn
+    from e where date < {_ts(C.SPLIT_TS)}) where rn = 1)
+select e.seq as event_id, e.channel_id from e left join m on e.channel_id = m.channel_id
+where m.mseq is null or e.date > m.mdate or (e.date = m.mdate and e.seq > m.mseq)""",
+
+    "retained_rows": f"""with {E}
+select count(*) filter (where date >= {_AS_OF_MINUS['retention']}) as kept_rows,
+       count(*) filter (where not (date >= {_AS_OF_MINUS['retention']})) as removed_rows
+from e""",
+
+    "rapid_reposts": f"""with {E},
+l as (select e.*, lag(date) over (partition by channel_id, content_hash
+                                  order by date, seq) as prev_date from e)
+select seq as event_id, channel_id, round({_gap('date', 'prev_date')}, 6) as gap_seconds
+from l where prev_date is not null and {_gap('date', 'prev_date')} <= {C.REPOST_SECONDS}""",
+
+    "burst_ids": f"""with {E},
+l as (select e.*, lag(date) over (partition by channel_id order by date, seq) as prev_date
+      from e),
+s as (select l.*, case when prev_date is null
+                         or {_gap('date', 'prev_date')} > {C.BURST_GAP_SECONDS}
+                       then 1 else 0 end as st from l)
+select seq as event_id, channel_id,
+       cast(sum(st) over (partition by channel_id order by date, seq
+                          rows between unbounded preceding and current row) as bigint)
+         as burst_id
+from s""",
+
+    "burst_summary": f"""with {E},
+l as (select e.*, lag(date) over (partition by channel_id order by date, seq) as prev_date
+      from e),
+s as (select l.*, case when prev_date is null
+                         or {_gap('date', 'prev_date')} > {C.BURST_GAP_SECONDS}
+                       then 1 else 0 end as st from l),
+b as (select s.*, cast(sum(st) over (partition by channel_id order by date, seq
+                                     rows between unbounded preceding and current row)
+                       as bigint) as burst_id from s)
+select channel_id, burst_id, min(date) as burst_start, max(date) as burst_end,
+       count(*) as messages, count(distinct content_hash) as distinct_texts
+from b group by channel_id, burst_id""",
+
+    "model_for_task": f"""with {_MODEL_SQL},
+t as (select distinct task from (
+        select event_type as task from events
+        union all select * from ({_values([(t,) for t in C.TASK_NAMES])}) v(task)))
+select t.task, coalesce(lm.model, '{C.routing.LOCAL_MODELS['general']}') as model
+from t left join tr on t.task = tr.task
+       left join lm on coalesce(tr.mkey, 'default') = lm.mkey""",
+
+    "route_messages": f"""with {D},
+r as (select seq, cast(ceil(length(text) / 4) as bigint) as tokens from d)
+select seq as doc_id, '{C.ROUTE_TASK}' as task, tokens,
+       case when tokens > {C.routing.FALLBACK_THRESHOLD_TOKENS} then 'remote' else 'local' end
+         as provider,
+       case when tokens > {C.routing.FALLBACK_THRESHOLD_TOKENS}
+            then '{C.routing.REMOTE_MODEL}'
+            else '{C.routing.LOCAL_MODELS[C.routing.TASK_ROUTING[C.ROUTE_TASK]]}' end as model
+from r""",
+
+    "sql_over_dataset": C.DATASET_SQL.format(name="documents").replace("?", str(C.SQL_MIN_CHARS)),
+
+    "json_roundtrip": f"""with {D} select channel_id, message_id, text, content_hash from d""",
+
+    "csv_roundtrip": f"""with {D} select channel_id, message_id, text, content_hash from d""",
+
+    "snapshot_roundtrip": f"""with {D}, {D_FIRST}
+select channel_id, message_id from ds where status = 'new'""",
+
+    "stream_ingest": f"""with {E}, {E_FOLD} select seq as event_id, status from es""",
+}

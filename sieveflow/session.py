@@ -70,3 +70,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/sieveflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str, path: str | None = None):
+    """Write ``df`` to the shared folder and read it back: cuts lineage,
+    fixes nondeterministic columns (partition ids, sampled range bounds) for
+    every later consumer, and survives the loss of any executor."""
+    spark = df.sparkSession
+    target = path or scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(target)
+    return spark.read.parquet(target)
