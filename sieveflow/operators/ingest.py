@@ -122,7 +122,9 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                    .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias("_n")),
                    f"{work}/pairs")
     hot1 = hot2 = None
-    if skew.enabled:
+    # No key can reach min_rows when all rows together do not: skip the scans.
+    total = (pairs.agg(F.sum("_n")).first()[0] or 0) if skew.enabled else 0
+    if skew.enabled and total >= skew.min_rows:
         hot1 = _write(hot_keys(count_keys(pairs, ID_KEY, "_n"), ID_KEY, "_sf_n", skew),
                       f"{work}/hot_ids")
         hot2 = _write(hot_keys(count_keys(pairs, HASH_KEY, "_n"), HASH_KEY, "_sf_n", skew),

@@ -1,0 +1,60 @@
+import hashlib
+
+from pyspark.sql import functions as F
+
+from sieveflow.functions.text import (content_hash, iso_datetime, normalized_text,
+                                      percent_text, reason_text)
+
+# Every code point Python's str.isspace() accepts.
+PY_SPACES = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+
+
+def py_hash(text):
+    return hashlib.sha256(text.lower().strip().encode("utf-8")).hexdigest()
+
+
+def test_whitespace_set_has_29_members():
+    assert len(PY_SPACES) == 29
+
+
+def test_strip_matches_python_for_every_space(spark):
+    texts = [f"{ch}Hello {ch}World{ch}" for ch in PY_SPACES] + ["  a  b  ", " x　"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(normalized_text("text")).collect()]
+    assert got == [t.lower().strip() for t in texts]
+
+
+def test_hash_equals_python_sha256(spark):
+    texts = ["Hello World", "hello world", "Different content", "", "  Ünïcödé İ ẞ Σ  ",
+             "line\nbreak\n", "\x1ctab\t"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(content_hash("text")).collect()]
+    assert got == [py_hash(t) for t in texts]
+    assert got[0] == got[1] and got[0] != got[2]
+
+
+def test_reason_texts(spark):
+    df = spark.createDataFrame([("dup_id", "7", "c1", "abcdef0123"),
+                                ("dup_content", "7", "c1", "abcdef0123"),
+                                ("new", "7", "c1", "abcdef0123")],
+                               "status string, message_id string, channel_id string, "
+                               "content_hash string")
+    got = [r[0] for r in df.select(reason_text("status")).collect()]
+    assert got == ["Message ID 7 already processed for channel c1",
+                   "Identical content already processed (hash: abcdef01...)",
+                   "No duplicate detected"]
+
+
+def test_rate_text_matches_python(spark):
+    pairs = [(d, t) for t in range(0, 60) for d in range(0, t + 1)]
+    df = spark.createDataFrame(pairs, "d long, t long")
+    got = [r[0] for r in df.select(percent_text("d", "t")).collect()]
+    want = [f"{(d / t * 100):.1f}%" if t else "0%" for d, t in pairs]
+    assert got == want
+
+
+def test_iso_datetime_like_python(spark):
+    df = spark.createDataFrame([("2024-01-01 00:00:07.179575",), ("2024-01-02 10:11:12",)],
+                               "s string")
+    got = [r[0] for r in df.select(iso_datetime(F.col("s").cast("timestamp_ntz"))).collect()]
+    assert got == ["2024-01-01T00:00:07.179575", "2024-01-02T10:11:12"]
