@@ -220,7 +220,8 @@ def q_latest_n_per_channel(spark, sf):
 
 
 def q_recent_messages(spark, sf):
-    r = selection.recent_messages(events_feed(spark, sf), AS_OF, RECENT_DAYS)
+    feed = events_feed(spark, sf, since=(AS_OF, RECENT_DAYS))
+    r = selection.recent_messages(feed, AS_OF, RECENT_DAYS)
     return r.select(F.col("seq").alias("event_id"), "channel_id", "message_id")
 
 

@@ -83,10 +83,22 @@ def documents_feed(spark: SparkSession, sf_dir: str,
     return with_fingerprint(normalize_messages(raw, ingest_time=ingest_time))
 
 
-def events_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def since_filter(raw: DataFrame, date_col: str, as_of, days: int) -> DataFrame:
+    """D1 on a stored date column, before normalisation, so that the parquet
+    scan receives it (``PushedFilters``) and skips row groups; rows without a
+    date are kept (they get the ingest time)."""
+    cutoff = F.lit(str(as_of)).cast("timestamp_ntz") - F.make_interval(days=F.lit(int(days)))
+    c = F.col(date_col)
+    return raw.where(c.isNull() | (c >= cutoff))
+
+
+def events_feed(spark: SparkSession, sf_dir: str, since: tuple | None = None) -> DataFrame:
     """E: channel = event_type, id = user_id, text = event_type || props,
-    date = ts, arrival order = event_id."""
+    date = ts, arrival order = event_id. ``since=(as_of, days)`` applies D1
+    at the scan."""
     e = _table(spark, sf_dir, "events")
+    if since is not None:
+        e = since_filter(e, "ts", *since)
     raw = e.select(F.col("user_id").alias("id"), F.col("event_type").alias("channel_id"),
                    F.col("event_type").alias("channel"),
                    F.concat("event_type", "props").alias("text"),
