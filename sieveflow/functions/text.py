@@ -5,6 +5,9 @@ Fingerprint, key normalisation, reason texts, ISO dates, rates.
 
 from __future__ import annotations
 
+import re
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,10 +27,10 @@ NEW = "new"
 DUP_ID = "dup_id"
 DUP_CONTENT = "dup_content"
 
-# Python's str.strip() removes every code point whose isspace() is true: the
-# Unicode White_Space set plus the four separators U+001C..U+001F. Java's
-# \s under (?U) is the White_Space set, so the separators are added.
-_STRIP_ENDS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Python's str.strip() removes every code point whose isspace() is true (29
+# of them: the Unicode White_Space set plus U+001C..U+001F). The set is taken
+# from that rule and handed to Spark's character-set trim (no regex per row).
+PY_WHITESPACE = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
 
 def col_(c) -> Column:
@@ -51,7 +54,7 @@ def key_text(c) -> Column:
 
 def normalized_text(c) -> Column:
     """Lower-case, then strip whitespace at both ends (inner blanks count)."""
-    return F.regexp_replace(F.lower(col_(c)), _STRIP_ENDS, "")
+    return F.btrim(F.lower(col_(c)), F.lit(PY_WHITESPACE))
 
 
 def content_hash(c) -> Column:
@@ -63,14 +66,18 @@ def hash_prefix(h, n: int = 8) -> Column:
     return F.substring(col_(h), 1, n)
 
 
+def _fill(template: str, **cols: Column) -> Column:
+    """``template`` with ``{name}`` placeholders as a ``concat`` of columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[cols[p] if i % 2 else F.lit(p) for i, p in enumerate(parts) if p])
+
+
 def reason_text(status, message_id="message_id", channel_id="channel_id",
                 content_hash_col="content_hash") -> Column:
     """Reason text of a classification, as the reference words it."""
     s = col_(status)
-    by_id = F.concat(F.lit("Message ID "), col_(message_id),
-                     F.lit(" already processed for channel "), col_(channel_id))
-    by_content = F.concat(F.lit("Identical content already processed (hash: "),
-                          hash_prefix(content_hash_col), F.lit("...)"))
+    by_id = _fill(REASON_ID, message_id=col_(message_id), channel_id=col_(channel_id))
+    by_content = _fill(REASON_CONTENT, prefix=hash_prefix(content_hash_col))
     return (F.when(s == DUP_ID, by_id)
             .when(s == DUP_CONTENT, by_content)
             .otherwise(F.lit(REASON_NEW)))

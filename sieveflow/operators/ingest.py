@@ -118,13 +118,13 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         return _single_layer(messages, st, key, dup, seq, skew, work)
 
     # -- 1. collapse equal (ID, hash) pairs; per-key counts for hot keys ------
-    pairs = _write(messages.groupBy(*ID_KEY, *HASH_KEY)
-                   .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias("_n")),
-                   f"{work}/pairs")
+    pairs = (messages.groupBy(*ID_KEY, *HASH_KEY)
+             .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias("_n")))
     hot1 = hot2 = None
-    # No key can reach min_rows when all rows together do not: skip the scans.
-    total = (pairs.agg(F.sum("_n")).first()[0] or 0) if skew.enabled else 0
-    if skew.enabled and total >= skew.min_rows:
+    # No key can reach min_rows when all rows together do not: then the pairs
+    # are not needed twice and the hot-key scans are skipped.
+    if skew.enabled and messages.count() >= skew.min_rows:
+        pairs = _write(pairs, f"{work}/pairs")
         hot1 = _write(hot_keys(count_keys(pairs, ID_KEY, "_n"), ID_KEY, "_sf_n", skew),
                       f"{work}/hot_ids")
         hot2 = _write(hot_keys(count_keys(pairs, HASH_KEY, "_n"), HASH_KEY, "_sf_n", skew),
@@ -181,9 +181,9 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
 def _single_layer(messages: DataFrame, state_keys: DataFrame, key: list[str], dup: str,
                   seq: str, skew: SkewConfig, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""
-    counts = _write(count_keys(messages, key), f"{work}/counts")
-    hot = (_write(hot_keys(counts, key, "_sf_n", skew), f"{work}/hot")
-           if skew.enabled else None)
+    hot = None
+    if skew.enabled and messages.count() >= skew.min_rows:
+        hot = _write(hot_keys(count_keys(messages, key), key, "_sf_n", skew), f"{work}/hot")
     first = messages.groupBy(*key).agg(F.min(seq).alias("_kseq"))
     first = salted_join(first, state_keys, key, "left_anti", None, [], 1)
     right = (first.withColumn("_in_state", F.lit(False))
