@@ -17,9 +17,14 @@ from .ordered import SLICE, ordered_scan
 from .skew import SkewConfig, count_keys, hot_keys, salted_join
 
 
-def latest_n_per_channel(messages: DataFrame, n: int, *, seq: str = "seq") -> DataFrame:
-    """L1: at most ``n`` messages per channel, newest first by (date, seq)."""
-    w = Window.partitionBy("channel_id").orderBy(F.col("date").desc(), F.col(seq).desc())
+def latest_n_per_channel(messages: DataFrame, n: int, *, seq: str = "seq",
+                         group: str | None = None) -> DataFrame:
+    """L1: at most ``n`` messages per channel, newest first by (date, seq).
+    ``group`` defaults to ``channel_ordinal`` when present (a channel listed
+    twice is taken twice), else ``channel_id``."""
+    group = group or ("channel_ordinal" if "channel_ordinal" in messages.columns
+                      else "channel_id")
+    w = Window.partitionBy(group).orderBy(F.col("date").desc(), F.col(seq).desc())
     return (messages.withColumn("position", F.row_number().over(w).cast("long"))
             .where(F.col("position") <= F.lit(int(n))))
 

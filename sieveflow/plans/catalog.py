@@ -26,6 +26,7 @@ from ..sources import datasets, export, state_store
 from ..sources.messages import (FIXTURE_INGEST_TIME, conversations_feed, documents_feed,
                                 events_feed)
 from ..session import scratch_path
+from .run import process_channels
 from ..streaming import ingest_stream
 
 # Parameters of the catalogue queries.
@@ -43,6 +44,7 @@ BATCH_SIZE = 50
 ROUTE_TASK = "summary"
 TASK_NAMES = ["summary", "analysis", "quick", "code", "complex", "default", "translate"]
 STREAM_BATCHES = 4
+REFERENCE_LIMIT = 1000                     # message_limit_per_channel default
 SQL_MIN_CHARS = 1000
 DATASET_SQL = ("SELECT source, lang, COUNT(*) AS docs, SUM(n_chars) AS chars "
                "FROM {name} WHERE n_chars > ? GROUP BY source, lang")
@@ -153,6 +155,45 @@ def q_ingest_with_state(spark, sf):
     return second.messages.select(F.col("seq").alias("event_id"), "status")
 
 
+def q_accepted_messages(spark, sf):
+    res = _events_ingest(spark, sf)
+    return res.accepted().select(F.col("seq").alias("event_id"), "channel_id", "message_id")
+
+
+def q_duplicate_messages(spark, sf):
+    res = _events_ingest(spark, sf)
+    return res.duplicates().select(F.col("seq").alias("event_id"), "message_id", "reason")
+
+
+def q_ingest_conversations(spark, sf):
+    res = ingest(conversations_feed(spark, sf))
+    return res.messages.select("message_id", "channel_id", "status")
+
+
+def q_dry_run_report(spark, sf):
+    report = process_channels(documents_feed(spark, sf), channels=DOC_CHANNELS,
+                              limit_per_channel=REFERENCE_LIMIT, dry_run=True)
+    return report.channel_stats
+
+
+def q_state_union(spark, sf):
+    """The state of a tracking log (first half of the events, ingested as
+    batch 0) merged with a JSON state document (second half, ingested on its
+    own); set semantics."""
+    e = events_feed(spark, sf)
+    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    root = scratch_path(spark, "state-union")
+    first = ingest(e.where(F.col("date") < cut))
+    state_store.append_batch(state_store.tracking_rows(first.accepted(), PROCESSED_AT),
+                             f"{root}/state", 0)
+    second = ingest(e.where(F.col("date") >= cut)).accepted()
+    snap = state_store.write_snapshot(
+        IngestState(second.select("channel_id", "message_id"), second.select("content_hash")),
+        f"{root}/snapshot", saved_at=PROCESSED_AT)
+    merged = state_store.load_state(spark, f"{root}/state", snapshot_path=snap)
+    return merged.distinct_ids()
+
+
 def q_id_only_dedup(spark, sf):
     res = ingest(events_feed(spark, sf), content_layer=False)
     return res.messages.select(F.col("seq").alias("event_id"), "status")
@@ -369,6 +410,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_documents": q_ingest_documents,
     "ingest_by_channel": q_ingest_by_channel,
     "ingest_with_state": q_ingest_with_state,
+    "accepted_messages": q_accepted_messages,
+    "duplicate_messages": q_duplicate_messages,
+    "ingest_conversations": q_ingest_conversations,
+    "dry_run_report": q_dry_run_report,
+    "state_union": q_state_union,
     "id_only_dedup": q_id_only_dedup,
     "content_only_dedup": q_content_only_dedup,
     "channel_stats": q_channel_stats,

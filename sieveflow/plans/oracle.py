@@ -31,6 +31,13 @@ E = f"""e as (
          sha256(trim(lower({_TEXT_E}))) as content_hash
   from events)"""
 
+CONV_FULL = """c as (
+  select coalesce(role, '') as channel_id,
+         concat_ws('/', conv_id, turn) as message_id,
+         conv_id, turn,
+         sha256(trim(lower(coalesce(nullif(text, ''), '')))) as content_hash
+  from conversations)"""
+
 CONV = """c as (
   select coalesce(role, '') as channel_id,
          concat_ws('/', conv_id, turn) as message_id,
@@ -39,16 +46,21 @@ CONV = """c as (
 
 # Sequential fold over E in event_id order: keep a row iff neither its ID key
 # nor its hash was kept before.
-E_FOLD = """ek as (
-  select list({'o': [seq], 'a': [channel_id || chr(31) || message_id], 'b': [content_hash]}
+def fold(src: str, p: str = "") -> str:
+    """CTEs ``{p}kept_o`` / ``{p}kept``: the kept rows of the fold over ``src``."""
+    return f"""{p}ek as (
+  select list({{'o': [seq], 'a': [channel_id || chr(31) || message_id], 'b': [content_hash]}}
               order by seq) as l
-  from e),
-kept_o as (
+  from {src}),
+{p}kept_o as (
   select unnest(list_reduce(l, lambda acc, x:
            case when list_contains(acc.a, x.a[1]) or list_contains(acc.b, x.b[1]) then acc
-                else {'o': acc.o || x.o, 'a': acc.a || x.a, 'b': acc.b || x.b} end).o) as o
-  from ek),
-kept as (select e.* from e join kept_o on e.seq = kept_o.o),
+                else {{'o': acc.o || x.o, 'a': acc.a || x.a, 'b': acc.b || x.b}} end).o) as o
+  from {p}ek),
+{p}kept as (select {src}.* from {src} join {p}kept_o on {src}.seq = {p}kept_o.o)"""
+
+
+E_FOLD = fold("e") + """,
 es as (
   select e.*,
          case when e.seq in (select o from kept_o) then 'new'
@@ -384,4 +396,57 @@ from r""",
 select channel_id, message_id from ds where status = 'new'""",
 
     "stream_ingest": f"""with {E}, {E_FOLD} select seq as event_id, status from es""",
+
+    "accepted_messages": f"""with {E}, {E_FOLD}
+select seq as event_id, channel_id, message_id from es where status = 'new'""",
+
+    "duplicate_messages": f"""with {E}, {E_FOLD}
+select seq as event_id, message_id, {_reason()} as reason from es where status <> 'new'""",
+
+    "ingest_conversations": f"""with {CONV_FULL}
+select message_id, channel_id,
+       case when row_number() over (partition by content_hash order by conv_id, turn) = 1
+            then 'new' else 'dup_content' end as status
+from c""",
+
+    "dry_run_report": f"""with {D},
+o as (
+  select d.*, cast(list_position(string_split('{C.DOC_CHANNELS}', ','), channel_id) - 1
+                   as integer) as channel_ordinal
+  from d),
+lim as (
+  select * from (
+    select o.*, row_number() over (partition by channel_ordinal
+                                   order by date desc, seq desc) as pos
+    from o where channel_ordinal >= 0) where pos <= {C.REFERENCE_LIMIT}),
+s as (
+  select lim.*, case when row_number() over (partition by content_hash
+                                             order by channel_ordinal, seq) = 1
+                     then 'new' else 'dup_content' end as status
+  from lim),
+chl as (
+  select cast(i - 1 as integer) as channel_ordinal,
+         string_split('{C.DOC_CHANNELS}', ',')[i] as channel
+  from range(1, len(string_split('{C.DOC_CHANNELS}', ',')) + 1) t(i)),
+g as (
+  select channel_ordinal, count(*) as total_messages,
+         count(*) filter (where status = 'new') as new_messages,
+         count(*) filter (where status <> 'new') as duplicates
+  from s group by channel_ordinal),
+j as (
+  select chl.channel_ordinal, chl.channel as channel_id,
+         cast(coalesce(g.total_messages, 0) as bigint) as total_messages,
+         cast(coalesce(g.new_messages, 0) as bigint) as new_messages,
+         cast(coalesce(g.duplicates, 0) as bigint) as duplicates
+  from chl left join g on chl.channel_ordinal = g.channel_ordinal)
+{_with_rates('j', 'channel_ordinal, ')}""",
+
+    "state_union": f"""with {E},
+e1 as (select * from e where date < {_ts(C.SPLIT_TS)}),
+e2 as (select * from e where date >= {_ts(C.SPLIT_TS)}),
+{fold('e1', 'a_')},
+{fold('e2', 'b_')}
+select channel_id, message_id from a_kept
+union
+select channel_id, message_id from b_kept""",
 }
