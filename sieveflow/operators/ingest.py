@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize, scratch_path
-from .skew import SkewConfig, count_keys, hot_keys, salted_join
+from .skew import SkewConfig, find_hot_keys, salted_join
 
 ID_KEY = ["channel_id", "message_id"]
 HASH_KEY = ["content_hash"]
@@ -69,6 +69,17 @@ class IngestState:
                                other.hashes.select(*HASH_KEY)))
 
 
+def keys_in_state(batch: DataFrame, state_keys: DataFrame, key: list[str]) -> DataFrame:
+    """The batch's distinct keys that the state also holds, one row per key.
+
+    Both sides are made distinct first (partial aggregation, so a key repeated
+    in the state or the batch is combined map-side); the semi join then reuses
+    the aggregations' hash partitioning. The state is shuffled once, and every
+    later join runs against this batch-sized result instead of the state."""
+    return (batch.select(*key).distinct()
+            .join(state_keys.select(*key).distinct(), key, "left_semi"))
+
+
 @dataclass
 class IngestResult:
     """Messages with ``status`` / ``is_duplicate`` / ``reason``, plus the
@@ -125,15 +136,15 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     # are not needed twice and the hot-key scans are skipped.
     if skew.enabled and messages.count() >= skew.min_rows:
         pairs = _write(pairs, f"{work}/pairs")
-        hot1 = _write(hot_keys(count_keys(pairs, ID_KEY, "_n"), ID_KEY, "_sf_n", skew),
-                      f"{work}/hot_ids")
-        hot2 = _write(hot_keys(count_keys(pairs, HASH_KEY, "_n"), HASH_KEY, "_sf_n", skew),
-                      f"{work}/hot_hashes")
+        hot1 = find_hot_keys(pairs, ID_KEY, skew, "_n", f"{work}/hot_ids")
+        hot2 = find_hot_keys(pairs, HASH_KEY, skew, "_n", f"{work}/hot_hashes")
     b = skew.buckets
-    state_ids = state.distinct_ids()
-    live = salted_join(pairs.select(*ID_KEY, *HASH_KEY, seq), state_ids, ID_KEY,
+    # state keys this batch touches (batch-sized, one row per key)
+    ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
+    hashes_hit = keys_in_state(pairs, state.distinct_hashes(), HASH_KEY)
+    live = salted_join(pairs.select(*ID_KEY, *HASH_KEY, seq), ids_hit, ID_KEY,
                        "left_anti", hot1, [seq], b)
-    live = salted_join(live, state.distinct_hashes(), HASH_KEY, "left_anti", hot2, [seq], b)
+    live = salted_join(live, hashes_hit, HASH_KEY, "left_anti", hot2, [seq], b)
     live = _write(live, f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
@@ -167,8 +178,8 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
 
     # -- 4. statuses: one join on the ID key ------------------------------------
     right = (kept.select(*ID_KEY, F.col(seq).alias("_kseq"), F.lit(False).alias("_in_state"))
-             .unionByName(state_ids.select(*ID_KEY, F.lit(None).cast(kept_schema[seq].dataType)
-                                           .alias("_kseq"), F.lit(True).alias("_in_state"))))
+             .unionByName(ids_hit.select(*ID_KEY, F.lit(None).cast(kept_schema[seq].dataType)
+                                         .alias("_kseq"), F.lit(True).alias("_in_state"))))
     j = salted_join(messages, right, ID_KEY, "left", hot1, [seq], b)
     status = (F.when(F.col("_kseq") == F.col(seq), F.lit(NEW))
               .when(F.coalesce(F.col("_in_state"), F.lit(False)) | (F.col("_kseq") < F.col(seq)),
@@ -183,11 +194,11 @@ def _single_layer(messages: DataFrame, state_keys: DataFrame, key: list[str], du
     """D2 with one layer: the first message per key not in the state wins."""
     hot = None
     if skew.enabled and messages.count() >= skew.min_rows:
-        hot = _write(hot_keys(count_keys(messages, key), key, "_sf_n", skew), f"{work}/hot")
+        hot = find_hot_keys(messages, key, skew, path=f"{work}/hot")
     first = messages.groupBy(*key).agg(F.min(seq).alias("_kseq"))
-    first = salted_join(first, state_keys, key, "left_anti", None, [], 1)
-    right = (first.withColumn("_in_state", F.lit(False))
-             .unionByName(state_keys.select(*key, F.lit(None).cast(
+    hit = keys_in_state(first, state_keys, key)
+    right = (first.join(hit, key, "left_anti").withColumn("_in_state", F.lit(False))
+             .unionByName(hit.select(*key, F.lit(None).cast(
                  messages.schema[seq].dataType).alias("_kseq"), F.lit(True).alias("_in_state"))))
     j = salted_join(messages, right, key, "left", hot, [seq], skew.buckets)
     status = F.when(F.col("_kseq") == F.col(seq), F.lit(NEW)).otherwise(F.lit(dup))

@@ -1,9 +1,11 @@
 """Membership of a batch of messages in the decision state.
 
 These check without marking (Q9): repeats inside the batch survive when the
-state does not know them. The state sides are distinct per key, the batch side
-may be skewed (one hash or one ID key can hold a large share of the rows), so
-every join goes through :func:`salted_join`.
+state does not know them. The state is touched once per key type: the batch's
+distinct keys are semi-joined with the distinct state keys
+(:func:`keys_in_state`); the batch rows, which may be skewed (one hash or one
+ID key can hold a large share of them), then join that batch-sized, one-row-
+per-key result through :func:`salted_join`.
 """
 
 from __future__ import annotations
@@ -12,12 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
-from .ingest import HASH_KEY, ID_KEY, IngestState
-from .skew import SkewConfig, count_keys, hot_keys, salted_join
+from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state
+from .skew import SkewConfig, find_hot_keys, salted_join
 
 
-def _hot(batch: DataFrame, key: list[str], skew: SkewConfig):
-    return hot_keys(count_keys(batch, key), key, "_sf_n", skew) if skew.enabled else None
+def _hits_and_hot(batch: DataFrame, state_keys: DataFrame, key: list[str], skew: SkewConfig):
+    """Batch keys held by the state (one row per key), and the batch's hot
+    keys (a small table written once, or None)."""
+    return keys_in_state(batch, state_keys, key), find_hot_keys(batch, key, skew)
 
 
 def _salt_source(batch: DataFrame, seq: str):
@@ -28,18 +32,18 @@ def id_members(batch: DataFrame, state: IngestState, *, seq: str = "seq",
                skew: SkewConfig | None = None, negate: bool = False) -> DataFrame:
     """Messages whose (channel_id, message_id) is in the state."""
     skew = skew or SkewConfig()
-    return salted_join(batch, state.distinct_ids(), ID_KEY,
-                       "left_anti" if negate else "left_semi",
-                       _hot(batch, ID_KEY, skew), _salt_source(batch, seq), skew.buckets)
+    hit, hot = _hits_and_hot(batch, state.ids, ID_KEY, skew)
+    return salted_join(batch, hit, ID_KEY, "left_anti" if negate else "left_semi",
+                       hot, _salt_source(batch, seq), skew.buckets)
 
 
 def content_members(batch: DataFrame, state: IngestState, *, seq: str = "seq",
                     skew: SkewConfig | None = None, negate: bool = False) -> DataFrame:
     """Messages whose content hash is in the state (any channel, Q5)."""
     skew = skew or SkewConfig()
-    return salted_join(batch, state.distinct_hashes(), HASH_KEY,
-                       "left_anti" if negate else "left_semi",
-                       _hot(batch, HASH_KEY, skew), _salt_source(batch, seq), skew.buckets)
+    hit, hot = _hits_and_hot(batch, state.distinct_hashes(), HASH_KEY, skew)
+    return salted_join(batch, hit, HASH_KEY, "left_anti" if negate else "left_semi",
+                       hot, _salt_source(batch, seq), skew.buckets)
 
 
 def classify_against_state(batch: DataFrame, state: IngestState, *, seq: str = "seq",
@@ -48,11 +52,12 @@ def classify_against_state(batch: DataFrame, state: IngestState, *, seq: str = "
     first (Q7), nothing marked."""
     skew = skew or SkewConfig()
     src = _salt_source(batch, seq)
-    ids = state.distinct_ids().withColumn("_id_hit", F.lit(True))
-    hashes = state.distinct_hashes().withColumn("_hash_hit", F.lit(True))
-    j = salted_join(batch, ids, ID_KEY, "left", _hot(batch, ID_KEY, skew), src, skew.buckets)
-    j = salted_join(j, hashes, HASH_KEY, "left", _hot(batch, HASH_KEY, skew), src,
-                    skew.buckets)
+    ids, hot_ids = _hits_and_hot(batch, state.ids, ID_KEY, skew)
+    hashes, hot_hashes = _hits_and_hot(batch, state.distinct_hashes(), HASH_KEY, skew)
+    j = salted_join(batch, ids.withColumn("_id_hit", F.lit(True)), ID_KEY, "left", hot_ids,
+                    src, skew.buckets)
+    j = salted_join(j, hashes.withColumn("_hash_hit", F.lit(True)), HASH_KEY, "left",
+                    hot_hashes, src, skew.buckets)
     status = (F.when(F.col("_id_hit").isNotNull(), F.lit(DUP_ID))
               .when(F.col("_hash_hit").isNotNull(), F.lit(DUP_CONTENT))
               .otherwise(F.lit(NEW)))

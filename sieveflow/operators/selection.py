@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import SLICE, ordered_scan
-from .skew import SkewConfig, count_keys, hot_keys, salted_join
+from .skew import SkewConfig, find_hot_keys, salted_join
 
 
 def latest_n_per_channel(messages: DataFrame, n: int, *, seq: str = "seq",
@@ -68,8 +68,7 @@ def after_mark(messages: DataFrame, marks: DataFrame, *, seq: str = "seq",
     """Messages that come after their channel's mark; channels without a
     mark keep all their messages."""
     skew = skew or SkewConfig()
-    hot = hot_keys(count_keys(messages, ["channel_id"]), ["channel_id"], "_sf_n", skew) \
-        if skew.enabled else None
+    hot = find_hot_keys(messages, ["channel_id"], skew)
     m = marks.select("channel_id", "mark_date", "mark_seq")
     j = salted_join(messages, m, ["channel_id"], "left", hot, [seq], skew.buckets)
     pos = F.struct(F.col("date"), F.col(seq))

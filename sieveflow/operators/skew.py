@@ -55,6 +55,20 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
             .select(*keys))
 
 
+def find_hot_keys(df: DataFrame, keys: list[str], cfg: SkewConfig,
+                  weight: str | None = None, path: str | None = None) -> DataFrame | None:
+    """Hot keys of ``df`` computed once (one pass over the key columns, partial
+    aggregation) and written to the shared folder, so both sides of a salted
+    join read the same small table. ``None`` when no key is hot: the join
+    then stays a plain join."""
+    if not cfg.enabled:
+        return None
+    from ..session import materialize
+    hot = materialize(hot_keys(count_keys(df, keys, weight), keys, "_sf_n", cfg),
+                      "hot-keys", path)
+    return None if hot.isEmpty() else hot
+
+
 def count_keys(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
     """Row count per key (partial aggregation before the shuffle)."""
     agg = F.sum(weight) if weight else F.count(F.lit(1))
