@@ -63,6 +63,9 @@ def find_hot_keys(df: DataFrame, keys: list[str], cfg: SkewConfig,
     then stays a plain join."""
     if not cfg.enabled:
         return None
+    total = df.agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")).first()["n"]
+    if (total or 0) < cfg.min_rows:      # no key can reach min_rows
+        return None
     from ..session import materialize
     hot = materialize(hot_keys(count_keys(df, keys, weight), keys, "_sf_n", cfg),
                       "hot-keys", path)

@@ -386,6 +386,27 @@ def q_stream_ingest(spark, sf):
     return res.select(F.col("seq").alias("event_id"), "status")
 
 
+def q_stream_bursts(spark, sf):
+    """D5 on a stream: the events file read as a stream, per-channel sessions
+    of messages at most BURST_GAP_SECONDS apart, emitted once the watermark
+    (the latest event time) has passed them."""
+    events = _t(spark, sf, "events")
+    root = scratch_path(spark, "stream-bursts")
+    # the file source watches a folder: the events land there as arriving files
+    events.select("event_type", "ts").write.parquet(f"{root}/in")
+    stream = (spark.readStream.schema("event_type string, ts timestamp_ntz")
+              .parquet(f"{root}/in"))
+    msgs = stream.select(F.col("event_type").alias("channel_id"), F.col("ts").alias("date"))
+    q = (ingest_stream.stream_bursts(msgs, BURST_GAP_SECONDS, "0 seconds")
+         .select("channel_id", F.col("burst_start").cast("timestamp_ntz").alias("burst_start"),
+                 F.col("burst_end").cast("timestamp_ntz").alias("burst_end"), "messages")
+         .writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
 def _events_to_messages(batch: DataFrame) -> DataFrame:
     from ..sources.messages import normalize_messages, with_fingerprint
     raw = batch.select(F.col("user_id").alias("id"), F.col("event_type").alias("channel_id"),
@@ -441,4 +462,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "snapshot_roundtrip": q_snapshot_roundtrip,
     "stream_ingest": q_stream_ingest,
+    "stream_bursts": q_stream_bursts,
 }

@@ -397,6 +397,20 @@ select channel_id, message_id from ds where status = 'new'""",
 
     "stream_ingest": f"""with {E}, {E_FOLD} select seq as event_id, status from es""",
 
+    "stream_bursts": f"""with {E},
+l as (select e.*, lag(date) over (partition by channel_id order by date, seq) as prev_date
+      from e),
+s as (select l.*, case when prev_date is null
+                         or {_gap('date', 'prev_date')} > {C.BURST_GAP_SECONDS}
+                       then 1 else 0 end as st from l),
+b as (select s.*, sum(st) over (partition by channel_id order by date, seq
+                                rows between unbounded preceding and current row) as burst_id
+      from s),
+g as (select channel_id, min(date) as burst_start, max(date) as burst_end,
+             count(*) as messages from b group by channel_id, burst_id)
+select * from g
+where burst_end + interval {C.BURST_GAP_SECONDS} second <= (select max(ts) from events)""",
+
     "accepted_messages": f"""with {E}, {E_FOLD}
 select seq as event_id, channel_id, message_id from es where status = 'new'""",
 
