@@ -48,13 +48,14 @@ class IngestState:
     """
     ids: DataFrame
     hashes: DataFrame
+    known_empty: bool = False   # a first run: the state joins can be skipped
 
     @staticmethod
     def empty(spark: SparkSession) -> "IngestState":
         s = T.StructType([T.StructField("channel_id", T.StringType()),
                           T.StructField("message_id", T.StringType())])
         h = T.StructType([T.StructField("content_hash", T.StringType())])
-        return IngestState(spark.createDataFrame([], s), spark.createDataFrame([], h))
+        return IngestState(spark.createDataFrame([], s), spark.createDataFrame([], h), True)
 
     def distinct_ids(self) -> DataFrame:
         return self.ids.select(*ID_KEY).distinct()
@@ -64,6 +65,10 @@ class IngestState:
                 .where("content_hash is not null and content_hash <> ''").distinct())
 
     def union(self, other: "IngestState") -> "IngestState":
+        if self.known_empty:
+            return other
+        if other.known_empty:
+            return self
         return IngestState(self.ids.select(*ID_KEY).unionByName(other.ids.select(*ID_KEY)),
                            self.hashes.select(*HASH_KEY).unionByName(
                                other.hashes.select(*HASH_KEY)))
@@ -125,7 +130,8 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     if not content_layer or not id_layer:
         key = ID_KEY if id_layer else HASH_KEY
         dup = DUP_ID if id_layer else DUP_CONTENT
-        st = state.distinct_ids() if id_layer else state.distinct_hashes()
+        st = None if state.known_empty else (
+            state.distinct_ids() if id_layer else state.distinct_hashes())
         return _single_layer(messages, st, key, dup, seq, skew, work)
 
     # -- 1. collapse equal (ID, hash) pairs; per-key counts for hot keys ------
@@ -139,12 +145,14 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         hot1 = find_hot_keys(pairs, ID_KEY, skew, "_n", f"{work}/hot_ids")
         hot2 = find_hot_keys(pairs, HASH_KEY, skew, "_n", f"{work}/hot_hashes")
     b = skew.buckets
-    # state keys this batch touches (batch-sized, one row per key)
-    ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
-    hashes_hit = keys_in_state(pairs, state.distinct_hashes(), HASH_KEY)
-    live = salted_join(pairs.select(*ID_KEY, *HASH_KEY, seq), ids_hit, ID_KEY,
-                       "left_anti", hot1, [seq], b)
-    live = salted_join(live, hashes_hit, HASH_KEY, "left_anti", hot2, [seq], b)
+    live = pairs.select(*ID_KEY, *HASH_KEY, seq)
+    ids_hit = None
+    if not state.known_empty:
+        # state keys this batch touches (batch-sized, one row per key)
+        ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
+        hashes_hit = keys_in_state(pairs, state.distinct_hashes(), HASH_KEY)
+        live = salted_join(live, ids_hit, ID_KEY, "left_anti", hot1, [seq], b)
+        live = salted_join(live, hashes_hit, HASH_KEY, "left_anti", hot2, [seq], b)
     live = _write(live, f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
@@ -177,9 +185,11 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
             else spark.createDataFrame([], kept_schema))
 
     # -- 4. statuses: one join on the ID key ------------------------------------
-    right = (kept.select(*ID_KEY, F.col(seq).alias("_kseq"), F.lit(False).alias("_in_state"))
-             .unionByName(ids_hit.select(*ID_KEY, F.lit(None).cast(kept_schema[seq].dataType)
-                                         .alias("_kseq"), F.lit(True).alias("_in_state"))))
+    right = kept.select(*ID_KEY, F.col(seq).alias("_kseq"), F.lit(False).alias("_in_state"))
+    if ids_hit is not None:
+        right = right.unionByName(ids_hit.select(
+            *ID_KEY, F.lit(None).cast(kept_schema[seq].dataType).alias("_kseq"),
+            F.lit(True).alias("_in_state")))
     j = salted_join(messages, right, ID_KEY, "left", hot1, [seq], b)
     status = (F.when(F.col("_kseq") == F.col(seq), F.lit(NEW))
               .when(F.coalesce(F.col("_in_state"), F.lit(False)) | (F.col("_kseq") < F.col(seq)),
@@ -189,17 +199,20 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     return IngestResult(_finish(out), rounds, kept)
 
 
-def _single_layer(messages: DataFrame, state_keys: DataFrame, key: list[str], dup: str,
+def _single_layer(messages: DataFrame, state_keys: DataFrame | None, key: list[str], dup: str,
                   seq: str, skew: SkewConfig, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""
     hot = None
     if skew.enabled and messages.count() >= skew.min_rows:
         hot = find_hot_keys(messages, key, skew, path=f"{work}/hot")
     first = messages.groupBy(*key).agg(F.min(seq).alias("_kseq"))
-    hit = keys_in_state(first, state_keys, key)
-    right = (first.join(hit, key, "left_anti").withColumn("_in_state", F.lit(False))
-             .unionByName(hit.select(*key, F.lit(None).cast(
-                 messages.schema[seq].dataType).alias("_kseq"), F.lit(True).alias("_in_state"))))
+    right = first.withColumn("_in_state", F.lit(False))
+    if state_keys is not None:
+        hit = keys_in_state(first, state_keys, key)
+        right = (first.join(hit, key, "left_anti").withColumn("_in_state", F.lit(False))
+                 .unionByName(hit.select(*key, F.lit(None).cast(
+                     messages.schema[seq].dataType).alias("_kseq"),
+                     F.lit(True).alias("_in_state"))))
     j = salted_join(messages, right, key, "left", hot, [seq], skew.buckets)
     status = F.when(F.col("_kseq") == F.col(seq), F.lit(NEW)).otherwise(F.lit(dup))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")

@@ -150,3 +150,14 @@ def test_split_invariance_and_replay(spark, tmp_state):
     again = {r.seq: r.status for r in spark.read.parquet(out).collect()}
     assert again == want
     assert ss.read_log(spark, tmp_state).count() == sum(1 for v in want.values() if v == "new")
+
+
+def test_layers_with_state(spark):
+    rows = [(1, "c", "1", "a"), (2, "c", "2", "b"), (3, "c", "2", "a"), (4, "c", "3", "d")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    st = IngestState(spark.createDataFrame([("c", "2")], "channel_id string, message_id string"),
+                     spark.createDataFrame([("d",)], "content_hash string"))
+    only_id = {r.seq: r.status for r in ingest(df, st, content_layer=False).messages.collect()}
+    only_hash = {r.seq: r.status for r in ingest(df, st, id_layer=False).messages.collect()}
+    assert only_id == {1: "new", 2: "dup_id", 3: "dup_id", 4: "new"}
+    assert only_hash == {1: "new", 2: "new", 3: "dup_content", 4: "dup_content"}
