@@ -31,6 +31,12 @@ def _lit_ts(value) -> Column:
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
+def _as_ts(c: Column) -> Column:
+    """A date given as text is parsed; unparsable text counts as missing
+    (the reference keeps it as text, a typed column cannot)."""
+    return c.try_cast("timestamp_ntz")
+
+
 def normalize_messages(df: DataFrame, *, ingest_time=None, id: str = "id",
                        channel_id: str = "channel_id", channel: str = "channel",
                        channel_name: str = "channel_name", text: str = "text",
@@ -54,7 +60,7 @@ def normalize_messages(df: DataFrame, *, ingest_time=None, id: str = "id",
                        opt(channel_name).cast("string")).alias("channel_name"),
         first_nonempty(opt(text).cast("string"),
                        opt(message).cast("string")).alias("text"),
-        F.coalesce(opt(date).cast("timestamp_ntz"), _lit_ts(ingest_time)).alias("date"),
+        F.coalesce(_as_ts(opt(date)), _lit_ts(ingest_time)).alias("date"),
         opt(seq).alias("seq"),
         *keep,
     )

@@ -140,3 +140,14 @@ def test_missing_fields_default_to_empty(spark):
     r = df.first()
     assert (r.channel_id, r.message_id, r.text) == ("", "", "")
     assert df.where(F.col("date").isNull()).count() == 0
+
+
+def test_text_dates_parse_or_default(spark):
+    from pyspark.sql import types as T
+    from sieveflow.sources.messages import normalize_messages
+    df = spark.createDataFrame([("1", "2024-03-01 10:00:00"), ("2", "not a date")],
+                               T.StructType([T.StructField("id", T.StringType()),
+                                             T.StructField("date", T.StringType())]))
+    got = {r.message_id: str(r.date) for r in
+           normalize_messages(df, ingest_time="2024-01-01 00:00:00").collect()}
+    assert got == {"1": "2024-03-01 10:00:00", "2": "2024-01-01 00:00:00"}
