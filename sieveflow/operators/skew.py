@@ -9,9 +9,12 @@ join sends all rows of a key to one task, so hot keys are salted:
   ``max_keys`` largest of them (a bounded top-k, so broadcasting the list is
   safe whatever the data size); the remaining keys are joined unsalted, which
   is exact, only less balanced;
-* rows of a hot key on the large side get a salt ``pmod(xxhash64(row id), B)``
+* each hot key gets its own number of buckets, ``ceil(rows / rows_per_bucket)``
+  capped at ``buckets``, so a key holding terabytes is cut into as many tasks
+  as it needs;
+* rows of a hot key on the large side get a salt ``pmod(xxhash64(row id), nb)``
   (deterministic, so a retried task sends every row to the same place);
-* the unique side is replicated ``B`` times for hot keys only.
+* the unique side is replicated ``nb`` times for hot keys only.
 
 AQE's skew-join split stays on as a second line of defence.
 """
@@ -25,9 +28,10 @@ from pyspark.sql import functions as F
 
 DEFAULT_MIN_HOT_ROWS = 2_000_000   # rows of one key that still fit one task well
 DEFAULT_MAX_HOT_KEYS = 2_000       # bound on the broadcast list of hot keys
-DEFAULT_SALT_BUCKETS = 64
+DEFAULT_MAX_BUCKETS = 8_192        # most tasks one key is spread over
 
 _HOT = "_sf_hot"
+_NB = "_sf_nb"
 _SALT = "_sf_salt"
 
 
@@ -35,13 +39,19 @@ _SALT = "_sf_salt"
 class SkewConfig:
     min_rows: int = DEFAULT_MIN_HOT_ROWS
     max_keys: int = DEFAULT_MAX_HOT_KEYS
-    buckets: int = DEFAULT_SALT_BUCKETS
+    buckets: int = DEFAULT_MAX_BUCKETS
+    rows_per_bucket: int | None = None      # default: min_rows // 2
     enabled: bool = True
 
+    @property
+    def bucket_rows(self) -> int:
+        return max(1, self.rows_per_bucket or self.min_rows // 2)
+
 
 def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
              cfg: SkewConfig) -> DataFrame | None:
-    """Keys with at least ``cfg.min_rows`` rows, the ``cfg.max_keys`` largest.
+    """Keys with at least ``cfg.min_rows`` rows, the ``cfg.max_keys`` largest,
+    with their bucket count ``_sf_nb``.
 
     ``counts`` is an aggregate (one row per key). The result is bounded by
     ``max_keys`` rows by construction. Ties are broken by the key, so every
@@ -49,10 +59,12 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
     """
     if not cfg.enabled:
         return None
+    nb = F.least(F.lit(cfg.buckets),
+                 F.ceil(F.col(count_col) / F.lit(cfg.bucket_rows)).cast("int"))
     return (counts.where(F.col(count_col) >= F.lit(cfg.min_rows))
             .orderBy(F.col(count_col).desc(), *[F.col(k).asc() for k in keys])
             .limit(cfg.max_keys)
-            .select(*keys))
+            .select(*keys, nb.alias(_NB)))
 
 
 def find_hot_keys(df: DataFrame, keys: list[str], cfg: SkewConfig,
@@ -80,17 +92,19 @@ def count_keys(df: DataFrame, keys: list[str], weight: str | None = None) -> Dat
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
                 hot: DataFrame | None, salt_source: list[str] | list[Column],
-                buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """``left.join(right, on, how)`` with hot keys of ``left`` spread over
-    ``buckets`` tasks. ``right`` must hold at most one row per key; ``how`` is
-    one of inner, left, left_semi, left_anti."""
-    if hot is None or buckets <= 1:
+                buckets: int | None = None) -> DataFrame:
+    """``left.join(right, on, how)`` with each hot key of ``left`` spread over
+    its ``_sf_nb`` buckets (at most ``buckets`` when given). ``right`` must
+    hold at most one row per key; ``how`` is one of inner, left, left_semi,
+    left_anti."""
+    if hot is None:
         return left.join(right, on, how)
-    marker = F.broadcast(hot.select(*on).withColumn(_HOT, F.lit(True)))
-    salt = F.when(F.col(_HOT), F.pmod(F.xxhash64(*salt_source), F.lit(buckets))
-                  ).otherwise(F.lit(0))
-    l = left.join(marker, on, "left").withColumn(_SALT, salt).drop(_HOT)
-    fan = F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(buckets - 1))
-                 ).otherwise(F.array(F.lit(0)))
-    r = right.join(marker, on, "left").withColumn(_SALT, F.explode(fan)).drop(_HOT)
+    nb = F.col(_NB) if buckets is None else F.least(F.col(_NB), F.lit(int(buckets)))
+    marker = F.broadcast(hot.select(*on, nb.alias(_NB)).withColumn(_HOT, F.lit(True)))
+    salt = F.when(F.col(_HOT), F.pmod(F.xxhash64(*salt_source), F.col(_NB).cast("long"))
+                  ).otherwise(F.lit(0).cast("long"))
+    l = left.join(marker, on, "left").withColumn(_SALT, salt).drop(_HOT, _NB)
+    fan = F.when(F.col(_HOT), F.sequence(F.lit(0).cast("long"), F.col(_NB).cast("long") - 1)
+                 ).otherwise(F.array(F.lit(0).cast("long")))
+    r = right.join(marker, on, "left").withColumn(_SALT, F.explode(fan)).drop(_HOT, _NB)
     return l.join(r, [*on, _SALT], how).drop(_SALT)
