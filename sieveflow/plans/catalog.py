@@ -46,7 +46,7 @@ TASK_NAMES = ["summary", "analysis", "quick", "code", "complex", "default", "tra
 STREAM_BATCHES = 4
 REFERENCE_LIMIT = 1000                     # message_limit_per_channel default
 SQL_MIN_CHARS = 1000
-DATASET_SQL = ("SELECT source, lang, COUNT(*) AS docs, SUM(n_chars) AS chars "
+DATASET_SQL = ("SELECT source, lang, COUNT(*) AS docs, CAST(SUM(n_chars) AS BIGINT) AS chars "
                "FROM {name} WHERE n_chars > ? GROUP BY source, lang")
 
 
