@@ -3,8 +3,6 @@ plan checks: no Python in any plan, filters and column pruning at the scan."""
 
 import contextlib
 import io
-import math
-import os
 
 import duckdb
 import pytest
@@ -91,3 +89,13 @@ def test_latest_n_is_limited_before_the_shuffle(spark):
 def test_partial_aggregation_for_statistics(spark):
     plan = plan_text(entry.queries()["duplicates_by_reason"](spark, SF_SMALL))
     assert "partial_count" in plan
+
+
+GLOBAL_TOTALS = {"run_totals", "tracker_statistics", "check_counters", "retained_rows"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - GLOBAL_TOTALS))
+def test_no_single_partition_exchange(spark, name):
+    """Only global totals may gather into one partition."""
+    plan = plan_text(entry.queries()[name](spark, SF_SMALL))
+    assert "SinglePartition" not in plan, name
