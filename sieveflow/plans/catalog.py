@@ -380,7 +380,8 @@ def q_stream_ingest(spark, sf):
         q = ingest_stream.start_ingest_stream(
             spark, src, events.schema, state_path=state, output_path=out,
             checkpoint_location=f"{root}/checkpoint",
-            to_messages=_events_to_messages, processed_at=PROCESSED_AT)
+            to_messages=_events_to_messages, processed_at=PROCESSED_AT,
+            state_buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
         q.awaitTermination()
     res = ingest_stream.read_stream_output(spark, out)
     return res.select(F.col("seq").alias("event_id"), "status")

@@ -4,11 +4,13 @@
 against the state recorded by the *earlier* batches and then writes
 
 * its classified messages to ``output/batch_id=N`` and
-* its accepted messages to the tracking log ``state/tracking/batch_id=N``.
+* its accepted messages to the tracking log (``state/tracking/batch_id=N``,
+  or with ``state_buckets`` the bucketed tables of :class:`BucketedState`, so
+  a batch's state lookups shuffle only the batch, not the growing history).
 
-Both writes overwrite the batch's own folder, and the state read is "batch id
-below N", so replaying a batch after a failure reads the same state and writes
-the same rows (exactly-once output). The streaming checkpoint records which
+The output write overwrites the batch's own folder, and the state read is
+"batch id below N", so replaying a batch after a failure reads the same state
+and writes the same rows (exactly-once output). The streaming checkpoint records which
 files a batch took; a stopped query resumes with the next batch (S2).
 
 Arrival order is (micro-batch, seq): messages of a later micro-batch are later
@@ -30,7 +32,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import ingest
 from ..operators.skew import SkewConfig
-from ..sources.state_store import append_batch, load_state, tracking_rows
+from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
 
 CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date", "seq",
                       "content_hash", "status", "is_duplicate", "reason"]
@@ -38,17 +40,26 @@ CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date"
 
 def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_path: str,
                  to_messages: Callable[[DataFrame], DataFrame], processed_at=None,
-                 skew: SkewConfig | None = None) -> int:
+                 skew: SkewConfig | None = None, state_buckets: int | None = None) -> int:
     """One micro-batch (also usable from a plain batch job). Returns the
-    number of rounds the matching took."""
+    number of rounds the matching took. ``state_buckets`` selects the bucketed
+    state layout (:class:`BucketedState`), whose lookups shuffle only the
+    batch."""
     messages = to_messages(batch)
-    state = load_state(batch.sparkSession, state_path, before_batch=batch_id)
+    spark = batch.sparkSession
+    tables = BucketedState(spark, state_path, state_buckets) if state_buckets else None
+    state = (tables.state(before_batch=batch_id) if tables
+             else load_state(spark, state_path, before_batch=batch_id))
     res = ingest(messages, state, skew=skew,
                  work_dir=f"{state_path}/_work/batch_id={int(batch_id)}")
     (res.messages.select(*CLASSIFIED_COLUMNS).withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").parquet(f"{output_path}/batch_id={int(batch_id)}"))
     ts = processed_at if processed_at is not None else F.col("date")
-    append_batch(tracking_rows(res.accepted(), processed_at=ts), state_path, batch_id)
+    rows = tracking_rows(res.accepted(), processed_at=ts)
+    if tables:
+        tables.append(rows, batch_id)
+    else:
+        append_batch(rows, state_path, batch_id)
     return res.rounds
 
 
@@ -56,7 +67,8 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
                         *, state_path: str, output_path: str, checkpoint_location: str,
                         to_messages: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        processed_at=None, skew: SkewConfig | None = None) -> StreamingQuery:
+                        processed_at=None, skew: SkewConfig | None = None,
+                        state_buckets: int | None = None) -> StreamingQuery:
     """Start the streaming ingest over files arriving in ``source_path``."""
     reader = spark.readStream.schema(source_schema).format(fmt)
     if max_files_per_trigger:
@@ -65,7 +77,8 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, batch_id, state_path=state_path, output_path=output_path,
-                     to_messages=to_messages, processed_at=processed_at, skew=skew)
+                     to_messages=to_messages, processed_at=processed_at, skew=skew,
+                     state_buckets=state_buckets)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation",
                                                          checkpoint_location)
