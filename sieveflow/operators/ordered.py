@@ -17,7 +17,9 @@ Here a group is cut into *slices* first:
 The range cut samples with a seed that differs per exchange, so two
 consumers of the same sliced rows could disagree on the slice bounds; the
 sliced rows are therefore written once to the shared checkpoint folder
-(``materialize``) and every later step reads that table.
+(``materialize``) and every later step reads that table. Callers should
+select the columns they need first: the optimizer cannot prune through that
+write.
 """
 
 from __future__ import annotations

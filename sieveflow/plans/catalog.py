@@ -267,7 +267,9 @@ def q_recent_messages(spark, sf):
 
 
 def q_message_batches(spark, sf):
-    b = selection.message_batches(events_feed(spark, sf), BATCH_SIZE)
+    # project first: the sliced rows are written once, so carry only what is used
+    e = events_feed(spark, sf).select("channel_id", "seq")
+    b = selection.message_batches(e, BATCH_SIZE)
     return b.select(F.col("seq").alias("event_id"), "channel_id", "position", "batch_number")
 
 
@@ -295,18 +297,21 @@ def q_retained_rows(spark, sf):
 # -- time operators --------------------------------------------------------------------------
 
 def q_rapid_reposts(spark, sf):
-    r = temporal.rapid_reposts(events_feed(spark, sf), REPOST_SECONDS)
+    e = events_feed(spark, sf).select("channel_id", "content_hash", "date", "seq")
+    r = temporal.rapid_reposts(e, REPOST_SECONDS)
     return r.where("is_repost").select(F.col("seq").alias("event_id"), "channel_id",
                                        F.round("gap_seconds", 6).alias("gap_seconds"))
 
 
 def q_burst_ids(spark, sf):
-    b = temporal.burst_ids(events_feed(spark, sf), BURST_GAP_SECONDS)
+    b = temporal.burst_ids(events_feed(spark, sf).select("channel_id", "date", "seq"),
+                           BURST_GAP_SECONDS)
     return b.select(F.col("seq").alias("event_id"), "channel_id", "burst_id")
 
 
 def q_burst_summary(spark, sf):
-    return temporal.burst_summary(events_feed(spark, sf), BURST_GAP_SECONDS)
+    e = events_feed(spark, sf).select("channel_id", "content_hash", "date", "seq")
+    return temporal.burst_summary(e, BURST_GAP_SECONDS)
 
 
 # -- routing, SQL ------------------------------------------------------------------------------

@@ -40,14 +40,16 @@ CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date"
 
 def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_path: str,
                  to_messages: Callable[[DataFrame], DataFrame], processed_at=None,
-                 skew: SkewConfig | None = None, state_buckets: int | None = None) -> int:
+                 skew: SkewConfig | None = None, state_buckets: int | None = None,
+                 tables: BucketedState | None = None) -> int:
     """One micro-batch (also usable from a plain batch job). Returns the
-    number of rounds the matching took. ``state_buckets`` selects the bucketed
-    state layout (:class:`BucketedState`), whose lookups shuffle only the
-    batch."""
+    number of rounds the matching took. ``state_buckets`` (or ready ``tables``)
+    selects the bucketed state layout (:class:`BucketedState`), whose lookups
+    shuffle only the batch."""
     messages = to_messages(batch)
     spark = batch.sparkSession
-    tables = BucketedState(spark, state_path, state_buckets) if state_buckets else None
+    if tables is None and state_buckets:
+        tables = BucketedState(spark, state_path, state_buckets)
     state = (tables.state(before_batch=batch_id) if tables
              else load_state(spark, state_path, before_batch=batch_id))
     res = ingest(messages, state, skew=skew,
@@ -74,11 +76,12 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(source_path)
+    tables = BucketedState(spark, state_path, state_buckets) if state_buckets else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, batch_id, state_path=state_path, output_path=output_path,
                      to_messages=to_messages, processed_at=processed_at, skew=skew,
-                     state_buckets=state_buckets)
+                     tables=tables)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation",
                                                          checkpoint_location)
