@@ -286,12 +286,13 @@ def q_after_mark(spark, sf):
 
 
 def q_retained_rows(spark, sf):
+    """Every event recorded (processed at its own time) as batch 0 of a
+    state folder, then the retention rewrite into a new folder."""
+    root = scratch_path(spark, "retention")
     log = state_store.tracking_rows(events_feed(spark, sf), processed_at=F.col("date"))
-    kept, removed = state_store.retention_split(log, AS_OF, RETENTION_DAYS)
-    return (kept.select(F.lit(1).alias("k"), F.lit(0).alias("r"))
-            .unionByName(removed.select(F.lit(0).alias("k"), F.lit(1).alias("r")))
-            .agg(F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("kept_rows"),
-                 F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("removed_rows")))
+    state_store.append_batch(log, f"{root}/state", 0)
+    return state_store.apply_retention(spark, f"{root}/state", f"{root}/retained", AS_OF,
+                                       RETENTION_DAYS)
 
 
 # -- time operators --------------------------------------------------------------------------

@@ -222,6 +222,12 @@ def write_snapshot(state: IngestState, path: str, saved_at: str, *, version: int
     return out
 
 
+def read_marks(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """D12 from state documents: ``(channel_id, last_message_id)``."""
+    docs = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path)
+    return docs.select(F.explode("last_message_ids").alias("channel_id", "last_message_id"))
+
+
 def read_snapshot(spark: SparkSession, path: str, multi_line: bool = False) -> IngestState:
     """K3: read state documents (our JSON lines, or the reference's single
     indented document with ``multi_line=True``) and flatten them."""
@@ -242,6 +248,22 @@ def retention_split(log: DataFrame, as_of, days: int) -> tuple[DataFrame, DataFr
     return log.where(keep), log.where(~keep)
 
 
+def apply_retention(spark: SparkSession, state_path: str, new_state_path: str, as_of,
+                    days: int) -> DataFrame:
+    """Write the retained tracking rows as a new state folder (same batch
+    folders, old rows dropped) and return one row ``(kept_rows,
+    removed_rows)``. The old folder is left as it is: readers switch to the
+    new one, so a failure half-way never damages the live state."""
+    log = read_log(spark, state_path)
+    kept, _ = retention_split(log, as_of, days)
+    (kept.write.mode("overwrite").partitionBy("batch_id")
+     .parquet(f"{new_state_path}/tracking"))
+    cutoff = _ts(as_of) - F.make_interval(days=F.lit(int(days)))
+    is_kept = (F.col("processed_at") >= cutoff).cast("int")
+    return log.agg(F.coalesce(F.sum(is_kept), F.lit(0)).cast("long").alias("kept_rows"),
+                   F.coalesce(F.sum(1 - is_kept), F.lit(0)).cast("long").alias("removed_rows"))
+
+
 # -- bucketed layout for long-running ingest (S1) ------------------------------------
 
 class BucketedState:

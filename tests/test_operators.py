@@ -173,3 +173,29 @@ def test_value_and_user_mappings(spark):
     assert v.accepted().count() == 750
     u = ingest(events_by_user_feed(spark, SF_CHECK))
     assert u.accepted().count() == 150 and u.rounds == 6
+
+
+def test_apply_retention_rewrites_state(spark, tmp_state, tmp_path):
+    m = msgs(spark, [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")])
+    ss.append_batch(ss.tracking_rows(m.where("message_id = '1'"), processed_at="2024-01-01"),
+                    tmp_state, 0)
+    ss.append_batch(ss.tracking_rows(m.where("message_id <> '1'"), processed_at="2024-01-20"),
+                    tmp_state, 1)
+    new = str(tmp_path / "retained")
+    counts = ss.apply_retention(spark, tmp_state, new, "2024-01-25", 10).first()
+    assert (counts.kept_rows, counts.removed_rows) == (2, 1)
+    st = ss.load_state(spark, new)
+    assert sorted(r.message_id for r in st.distinct_ids().collect()) == ["2", "3"]
+    # the dropped message is admitted again
+    again = ingest(m, st)
+    assert {r.message_id: r.status for r in again.messages.collect()}["1"] == "new"
+
+
+def test_snapshot_keeps_marks(spark, tmp_path):
+    from sieveflow.operators.selection import high_water_marks
+    m = msgs(spark, [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")])
+    st = IngestState(m.select("channel_id", "message_id"), m.select("content_hash"))
+    marks = high_water_marks(m).select("channel_id", F.col("last_message_id").alias("message_id"))
+    out = ss.write_snapshot(st, str(tmp_path / "s"), saved_at="x", marks=marks)
+    got = {r.channel_id: r.last_message_id for r in ss.read_marks(spark, out).collect()}
+    assert got == {"a": "2", "b": "3"}

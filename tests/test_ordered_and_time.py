@@ -76,8 +76,8 @@ def test_batches_and_limit(spark):
     assert all(r.messages <= 7 for r in sizes)
     top = selection.latest_n_per_channel(df, 5)
     assert top.groupBy("channel_id").count().where("count > 5").count() == 0
-    plan = top._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+    from tests.test_catalog import plan_text
+    assert "WindowGroupLimit" in plan_text(top)
 
 
 def test_high_water_mark_and_after(spark):
