@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize, scratch_path
-from .skew import SkewConfig, find_hot_keys, salted_join
+from .skew import SkewConfig, find_hot_keys, join_unique, salted_join
 
 ID_KEY = ["channel_id", "message_id"]
 HASH_KEY = ["content_hash"]
@@ -156,8 +156,13 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     live = _write(live, f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
+    # Winners of a round are a subset of its live pairs, and every kept pair
+    # of any round is a live pair of round 0: the live counts bound the sizes
+    # of the one-row-per-key sides, so no extra count is needed to decide
+    # whether they can be broadcast.
     rounds = 0
-    while not live.isEmpty():
+    n_live = live0_rows = live.count()
+    while n_live > 0:
         if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"ingest did not converge in {max_rounds} rounds")
         g1 = (live.groupBy(*ID_KEY)
@@ -171,11 +176,13 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                       F.col("m.i").alias("message_id")))
         winners = _write(g1.join(g2, [seq, *ID_KEY, *HASH_KEY], "inner"),
                          f"{work}/kept/round={rounds}")
-        nxt = salted_join(live, winners.select(*ID_KEY), ID_KEY, "left_anti", hot1, [seq], b)
-        nxt = salted_join(nxt, winners.select(*HASH_KEY), HASH_KEY, "left_anti", hot2,
-                          [seq], b)
+        nxt = join_unique(live, winners.select(*ID_KEY), ID_KEY, "left_anti", hot1, [seq],
+                          skew, n_live)
+        nxt = join_unique(nxt, winners.select(*HASH_KEY), HASH_KEY, "left_anti", hot2,
+                          [seq], skew, n_live)
         rounds += 1
         live = _write(nxt, f"{work}/live/round={rounds}")
+        n_live = live.count()
 
     kept_schema = T.StructType([T.StructField("channel_id", T.StringType()),
                                 T.StructField("message_id", T.StringType()),
@@ -186,11 +193,13 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
 
     # -- 4. statuses: one join on the ID key ------------------------------------
     right = kept.select(*ID_KEY, F.col(seq).alias("_kseq"), F.lit(False).alias("_in_state"))
+    right_rows = live0_rows                      # bounds the kept rows
     if ids_hit is not None:
         right = right.unionByName(ids_hit.select(
             *ID_KEY, F.lit(None).cast(kept_schema[seq].dataType).alias("_kseq"),
             F.lit(True).alias("_in_state")))
-    j = salted_join(messages, right, ID_KEY, "left", hot1, [seq], b)
+        right_rows += ids_hit.count()
+    j = join_unique(messages, right, ID_KEY, "left", hot1, [seq], skew, right_rows)
     status = (F.when(F.col("_kseq") == F.col(seq), F.lit(NEW))
               .when(F.coalesce(F.col("_in_state"), F.lit(False)) | (F.col("_kseq") < F.col(seq)),
                     F.lit(DUP_ID))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 DEFAULT_MIN_HOT_ROWS = 2_000_000   # rows of one key that still fit one task well
 DEFAULT_MAX_HOT_KEYS = 2_000       # bound on the broadcast list of hot keys
 DEFAULT_MAX_BUCKETS = 8_192        # most tasks one key is spread over
+DEFAULT_BROADCAST_ROWS = 2_000_000  # one-row-per-key sides up to this size are broadcast
 
 _HOT = "_sf_hot"
 _NB = "_sf_nb"
@@ -42,6 +43,7 @@ class SkewConfig:
     buckets: int = DEFAULT_MAX_BUCKETS
     rows_per_bucket: int | None = None      # default: min_rows // 2
     enabled: bool = True
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
 
     @property
     def bucket_rows(self) -> int:
@@ -108,3 +110,17 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str,
                  ).otherwise(F.array(F.lit(0).cast("long")))
     r = right.join(marker, on, "left").withColumn(_SALT, F.explode(fan)).drop(_HOT, _NB)
     return l.join(r, [*on, _SALT], how).drop(_SALT)
+
+
+def join_unique(left: DataFrame, right: DataFrame, on: list[str], how: str,
+                hot: DataFrame | None, salt_source: list[str] | list[Column],
+                cfg: SkewConfig, right_rows: int | None = None) -> DataFrame:
+    """Join ``left`` with a one-row-per-key ``right`` of known size: broadcast
+    it when it has at most ``cfg.broadcast_rows`` rows (the large side is
+    then not shuffled at all, and skew cannot hurt), else a salted shuffle
+    join. ``right_rows`` is counted when not given; pass a materialized
+    ``right`` so that the count reads stored data."""
+    n = right.count() if right_rows is None else right_rows
+    if n <= cfg.broadcast_rows:
+        return left.join(F.broadcast(right), on, how)
+    return salted_join(left, right, on, how, hot, salt_source, cfg.buckets)

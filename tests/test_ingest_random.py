@@ -36,13 +36,14 @@ def test_random_against_fold(spark, seed):
     assert rounds >= 1
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_random_with_state_against_fold(spark, seed):
+@pytest.mark.parametrize("seed,broadcast_rows", [(4, 2_000_000), (5, 0)])
+def test_random_with_state_against_fold(spark, seed, broadcast_rows):
+    """Small sides broadcast (the default at this size) and shuffled alike."""
     rng = random.Random(seed)
     rows = random_rows(rng, 250, 2, 30, 30)
     sid = {(f"c{rng.randrange(2)}", str(rng.randrange(30))) for _ in range(15)}
     sh = {f"h{rng.randrange(30)}" for _ in range(10)}
-    got, _ = run(spark, rows, sid, sh)
+    got, _ = run(spark, rows, sid, sh, skew=SkewConfig(broadcast_rows=broadcast_rows))
     assert got == sequential_fold(rows, sid, sh)
 
 
@@ -52,7 +53,7 @@ def test_salted_path_equals_fold(spark):
     # one hot hash (a third of the rows share the empty text)
     rows += [(10_000 + i, "c0", str(500 + i), "h_empty") for i in range(150)]
     got, _ = run(spark, rows, skew=SkewConfig(min_rows=3, max_keys=10, buckets=5,
-                                              rows_per_bucket=20))
+                                              rows_per_bucket=20, broadcast_rows=0))
     assert got == sequential_fold(rows)
 
 
@@ -172,7 +173,8 @@ def test_salted_membership_equals_plain(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     st = IngestState(df.where("seq % 3 = 0").select("channel_id", "message_id"),
                      df.where("seq % 5 = 0").select("content_hash"))
-    salted = SkewConfig(min_rows=2, max_keys=100, rows_per_bucket=2, buckets=7)
+    salted = SkewConfig(min_rows=2, max_keys=100, rows_per_bucket=2, buckets=7,
+                        broadcast_rows=0)
     plain = SkewConfig(enabled=False)
     for fn in (membership.id_members, membership.content_members,
                membership.filter_against_state):
