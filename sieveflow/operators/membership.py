@@ -5,7 +5,8 @@ state does not know them. The state is touched once per key type: the batch's
 distinct keys are semi-joined with the distinct state keys
 (:func:`keys_in_state`); the batch rows, which may be skewed (one hash or one
 ID key can hold a large share of them), then join that batch-sized, one-row-
-per-key result through :func:`salted_join`.
+per-key result: broadcast when its counted size allows, else through
+:func:`salted_join`.
 """
 
 from __future__ import annotations
@@ -15,13 +16,23 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state
-from .skew import SkewConfig, find_hot_keys, salted_join
+from ..session import materialize
+from .skew import SkewConfig, find_hot_keys, join_unique
 
 
-def _hits_and_hot(batch: DataFrame, state_keys: DataFrame, key: list[str], skew: SkewConfig):
-    """Batch keys held by the state (one row per key), and the batch's hot
-    keys (a small table written once, or None)."""
-    return keys_in_state(batch, state_keys, key), find_hot_keys(batch, key, skew)
+def _join_hits(batch: DataFrame, state_keys: DataFrame, key: list[str], how: str,
+               skew: SkewConfig, seq: str, flag: str | None = None) -> DataFrame:
+    """Join the batch with its keys that the state holds.
+
+    Those keys are written once (batch-sized, one row per key) and counted:
+    up to ``skew.broadcast_rows`` they are broadcast and the batch is not
+    shuffled; beyond, the batch's hot keys are found and the join is salted."""
+    hit = materialize(keys_in_state(batch, state_keys, key), "state-hits")
+    if flag:
+        hit = hit.withColumn(flag, F.lit(True))
+    n = hit.count()
+    hot = find_hot_keys(batch, key, skew) if n > skew.broadcast_rows else None
+    return join_unique(batch, hit, key, how, hot, _salt_source(batch, seq), skew, n)
 
 
 def _salt_source(batch: DataFrame, seq: str):
@@ -32,18 +43,16 @@ def id_members(batch: DataFrame, state: IngestState, *, seq: str = "seq",
                skew: SkewConfig | None = None, negate: bool = False) -> DataFrame:
     """Messages whose (channel_id, message_id) is in the state."""
     skew = skew or SkewConfig()
-    hit, hot = _hits_and_hot(batch, state.ids, ID_KEY, skew)
-    return salted_join(batch, hit, ID_KEY, "left_anti" if negate else "left_semi",
-                       hot, _salt_source(batch, seq), skew.buckets)
+    return _join_hits(batch, state.ids, ID_KEY, "left_anti" if negate else "left_semi",
+                      skew, seq)
 
 
 def content_members(batch: DataFrame, state: IngestState, *, seq: str = "seq",
                     skew: SkewConfig | None = None, negate: bool = False) -> DataFrame:
     """Messages whose content hash is in the state (any channel, Q5)."""
     skew = skew or SkewConfig()
-    hit, hot = _hits_and_hot(batch, state.distinct_hashes(), HASH_KEY, skew)
-    return salted_join(batch, hit, HASH_KEY, "left_anti" if negate else "left_semi",
-                       hot, _salt_source(batch, seq), skew.buckets)
+    return _join_hits(batch, state.distinct_hashes(), HASH_KEY,
+                      "left_anti" if negate else "left_semi", skew, seq)
 
 
 def classify_against_state(batch: DataFrame, state: IngestState, *, seq: str = "seq",
@@ -51,13 +60,8 @@ def classify_against_state(batch: DataFrame, state: IngestState, *, seq: str = "
     """``is_duplicate`` and ``reason`` for every message, the ID check
     first (Q7), nothing marked."""
     skew = skew or SkewConfig()
-    src = _salt_source(batch, seq)
-    ids, hot_ids = _hits_and_hot(batch, state.ids, ID_KEY, skew)
-    hashes, hot_hashes = _hits_and_hot(batch, state.distinct_hashes(), HASH_KEY, skew)
-    j = salted_join(batch, ids.withColumn("_id_hit", F.lit(True)), ID_KEY, "left", hot_ids,
-                    src, skew.buckets)
-    j = salted_join(j, hashes.withColumn("_hash_hit", F.lit(True)), HASH_KEY, "left",
-                    hot_hashes, src, skew.buckets)
+    j = _join_hits(batch, state.ids, ID_KEY, "left", skew, seq, "_id_hit")
+    j = _join_hits(j, state.distinct_hashes(), HASH_KEY, "left", skew, seq, "_hash_hit")
     status = (F.when(F.col("_id_hit").isNotNull(), F.lit(DUP_ID))
               .when(F.col("_hash_hit").isNotNull(), F.lit(DUP_CONTENT))
               .otherwise(F.lit(NEW)))
