@@ -297,7 +297,7 @@ class BucketedState:
                   f"LOCATION '{self.root}/hashes'")
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Record a batch of tracking rows."""
+        """Record a batch of tracking rows (in the session of ``rows``)."""
         b = F.lit(int(batch_id)).cast("long").alias("batch_id")
         (rows.select(*[f.name for f in TRACKING_SCHEMA.fields], b)
          .repartition(self.buckets, "channel_id", "message_id")
@@ -306,12 +306,21 @@ class BucketedState:
          .select("content_hash", b).repartition(self.buckets, "content_hash")
          .write.insertInto(self.hash_table))
 
-    def log(self, before_batch: int | None = None) -> DataFrame:
-        t = self.spark.table(self.rows_table)
+    def _read(self, table: str, spark: SparkSession | None) -> DataFrame:
+        # Writes may come from another session (foreachBatch runs in a clone
+        # of the stream's session): drop any cached file listing first.
+        s = spark or self.spark
+        s.catalog.refreshTable(table)
+        return s.table(table)
+
+    def log(self, before_batch: int | None = None,
+            spark: SparkSession | None = None) -> DataFrame:
+        t = self._read(self.rows_table, spark)
         return t if before_batch is None else t.where(F.col("batch_id") < int(before_batch))
 
-    def state(self, before_batch: int | None = None) -> IngestState:
-        h = self.spark.table(self.hash_table)
+    def state(self, before_batch: int | None = None,
+              spark: SparkSession | None = None) -> IngestState:
+        h = self._read(self.hash_table, spark)
         if before_batch is not None:
             h = h.where(F.col("batch_id") < int(before_batch))
-        return IngestState(self.log(before_batch).select(*ID_KEY), h.select(*HASH_KEY))
+        return IngestState(self.log(before_batch, spark).select(*ID_KEY), h.select(*HASH_KEY))

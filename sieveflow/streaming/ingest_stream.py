@@ -50,7 +50,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_pat
     spark = batch.sparkSession
     if tables is None and state_buckets:
         tables = BucketedState(spark, state_path, state_buckets)
-    state = (tables.state(before_batch=batch_id) if tables
+    state = (tables.state(before_batch=batch_id, spark=spark) if tables
              else load_state(spark, state_path, before_batch=batch_id))
     res = ingest(messages, state, skew=skew,
                  work_dir=f"{state_path}/_work/batch_id={int(batch_id)}")
