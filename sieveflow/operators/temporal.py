@@ -7,10 +7,11 @@ text is spread over many tasks instead of one window partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import SLICE, ordered_scan, running_sum
+from ..session import materialize
+from .ordered import SLICE, ordered_scan, slice_groups
 
 
 def _gap_seconds(later: str, earlier: str):
@@ -37,16 +38,40 @@ def burst_ids(messages: DataFrame, gap_seconds: float, *, seq: str = "seq",
               slices: int | None = None) -> DataFrame:
     """Temporal clustering. A new burst starts in a channel when the gap to
     the previous message is more than ``gap_seconds``; ``burst_id`` numbers
-    the bursts of each channel from 1."""
-    scanned = ordered_scan(messages, ["channel_id"], ["date", seq], lag=["date"],
-                           rank=None, slices=slices)
-    starts = scanned.withColumn(
-        "_start", F.when(F.col("prev_date").isNull()
-                         | (_gap_seconds("date", "prev_date") > F.lit(float(gap_seconds))),
-                         F.lit(1)).otherwise(F.lit(0)))
-    out = running_sum(starts, ["channel_id"], ["date", seq], "_start", "burst_id")
-    return out.drop("_start", SLICE, "prev_date").withColumn("burst_id",
-                                                             F.col("burst_id").cast("long"))
+    the bursts of each channel from 1.
+
+    One windowed pass over the range slices: inside a slice every row but the
+    first knows its predecessor, so its start flag and the running count of
+    starts are local. Only the first row of a slice needs the previous slice's
+    last date; that comes from the per-slice summary, which also carries the
+    number of starts before the slice."""
+    group, order = ["channel_id"], ["date", seq]
+    gap = F.lit(float(gap_seconds))
+    w = Window.partitionBy(*group, SLICE).orderBy(*order)
+    local = (slice_groups(messages, group, order, slices)
+             .withColumn("_lprev", F.lag("date").over(w))
+             .withColumn("_lstart", F.when(F.col("_lprev").isNotNull()
+                                           & (_gap_seconds("date", "_lprev") > gap), 1)
+                         .otherwise(0))
+             .withColumn("_lcum", F.sum("_lstart").over(
+                 w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
+    local = materialize(local, "bursts")
+    summary = local.groupBy(*group, SLICE).agg(
+        F.min("date").alias("_first"), F.max("date").alias("_last"),
+        F.sum("_lstart").alias("_inner"))
+    ws = Window.partitionBy(*group).orderBy(SLICE)
+    prev_last = F.lag("_last").over(ws)
+    first_start = F.when(prev_last.isNull() | (_gap_seconds("_first", "_prev_last") > gap), 1
+                         ).otherwise(0)
+    summary = (summary.withColumn("_prev_last", prev_last)
+               .withColumn("_fstart", first_start)
+               .withColumn("_before", F.coalesce(F.sum(F.col("_fstart") + F.col("_inner")).over(
+                   ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .select(*group, SLICE, "_fstart", "_before"))
+    out = local.join(summary, [*group, SLICE], "inner")
+    burst = F.col("_before") + F.col("_fstart") + F.col("_lcum")
+    return (out.withColumn("burst_id", burst.cast("long"))
+            .drop("_lprev", "_lstart", "_lcum", "_fstart", "_before", SLICE))
 
 
 def burst_summary(messages: DataFrame, gap_seconds: float, *, seq: str = "seq",
