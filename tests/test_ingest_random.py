@@ -186,3 +186,14 @@ def test_salted_membership_equals_plain(spark):
     b = sorted((r.seq, r.status) for r in
                membership.classify_against_state(df, st, skew=plain).collect())
     assert a == b
+
+
+def test_hot_key_list_is_bounded(spark):
+    from sieveflow.operators.skew import count_keys, find_hot_keys, hot_keys
+    df = spark.range(0, 3000).selectExpr("cast(id % 50 as string) as k")
+    cfg = SkewConfig(min_rows=10, max_keys=7, rows_per_bucket=25, buckets=3)
+    hot = hot_keys(count_keys(df, ["k"]), ["k"], "_sf_n", cfg)
+    rows = hot.collect()
+    assert len(rows) == 7                       # 50 keys qualify, the list is capped
+    assert {r._sf_nb for r in rows} == {3}      # 60 rows / 25 per bucket -> 3 (cap 3)
+    assert find_hot_keys(df, ["k"], SkewConfig(min_rows=10_000)) is None
