@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.text import NEW
 from ..operators.ingest import ingest
 from ..operators.skew import SkewConfig
 from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
@@ -54,10 +55,14 @@ def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_pat
              else load_state(spark, state_path, before_batch=batch_id))
     res = ingest(messages, state, skew=skew,
                  work_dir=f"{state_path}/_work/batch_id={int(batch_id)}")
+    out_dir = f"{output_path}/batch_id={int(batch_id)}"
     (res.messages.select(*CLASSIFIED_COLUMNS).withColumn("batch_id", F.lit(int(batch_id)))
-     .write.mode("overwrite").parquet(f"{output_path}/batch_id={int(batch_id)}"))
+     .write.mode("overwrite").parquet(out_dir))
+    # the accepted rows come from the written output: the status join is not
+    # computed again for the state writes
+    accepted = spark.read.parquet(out_dir).where(F.col("status") == F.lit(NEW))
     ts = processed_at if processed_at is not None else F.col("date")
-    rows = tracking_rows(res.accepted(), processed_at=ts)
+    rows = tracking_rows(accepted, processed_at=ts)
     if tables:
         tables.append(rows, batch_id)
     else:
