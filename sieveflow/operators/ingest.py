@@ -144,15 +144,17 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         pairs = _write(pairs, f"{work}/pairs")
         hot1 = find_hot_keys(pairs, ID_KEY, skew, "_n", f"{work}/hot_ids")
         hot2 = find_hot_keys(pairs, HASH_KEY, skew, "_n", f"{work}/hot_hashes")
-    b = skew.buckets
     live = pairs.select(*ID_KEY, *HASH_KEY, seq)
-    ids_hit = None
+    ids_hit, n_ids_hit = None, 0
     if not state.known_empty:
-        # state keys this batch touches (batch-sized, one row per key)
+        # state keys this batch touches (batch-sized, one row per key, counted)
         ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
-        hashes_hit = keys_in_state(pairs, state.distinct_hashes(), HASH_KEY)
-        live = salted_join(live, ids_hit, ID_KEY, "left_anti", hot1, [seq], b)
-        live = salted_join(live, hashes_hit, HASH_KEY, "left_anti", hot2, [seq], b)
+        hashes_hit = _write(keys_in_state(pairs, state.distinct_hashes(), HASH_KEY),
+                            f"{work}/hashes_in_state")
+        n_ids_hit = ids_hit.count()
+        live = join_unique(live, ids_hit, ID_KEY, "left_anti", hot1, [seq], skew, n_ids_hit)
+        live = join_unique(live, hashes_hit, HASH_KEY, "left_anti", hot2, [seq], skew,
+                           hashes_hit.count())
     live = _write(live, f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
@@ -198,7 +200,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         right = right.unionByName(ids_hit.select(
             *ID_KEY, F.lit(None).cast(kept_schema[seq].dataType).alias("_kseq"),
             F.lit(True).alias("_in_state")))
-        right_rows += ids_hit.count()
+        right_rows += n_ids_hit
     j = join_unique(messages, right, ID_KEY, "left", hot1, [seq], skew, right_rows)
     status = (F.when(F.col("_kseq") == F.col(seq), F.lit(NEW))
               .when(F.coalesce(F.col("_in_state"), F.lit(False)) | (F.col("_kseq") < F.col(seq)),
