@@ -11,7 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.text import NEW
+from ..session import materialize, scratch_path
 from ..operators.ingest import IngestState, ingest
 from ..operators.selection import latest_n_per_channel
 from ..operators.skew import SkewConfig
@@ -44,10 +47,14 @@ def process_channels(messages: DataFrame, *, channels: str | None = None,
         messages = latest_n_per_channel(messages, limit_per_channel).drop("position")
     if state is None and state_path is not None:
         state = load_state(spark, state_path, before_batch=batch_id)
+    work = work_dir or scratch_path(spark, "run")
     res = ingest(messages, state, id_layer=id_layer, content_layer=content_layer,
-                 skew=skew, work_dir=work_dir)
+                 skew=skew, work_dir=f"{work}/ingest")
+    classified = res.messages
     if state_path is not None and not dry_run:
-        append_batch(tracking_rows(res.accepted(), processed_at=processed_at),
-                     state_path, batch_id)
-    stats = channel_stats(res.messages, ch)
-    return RunReport(res.messages, stats, run_totals(stats), res.rounds)
+        # two consumers (the record and the report): classify once
+        classified = materialize(classified, "", f"{work}/classified")
+        accepted = classified.where(F.col("status") == F.lit(NEW))
+        append_batch(tracking_rows(accepted, processed_at=processed_at), state_path, batch_id)
+    stats = channel_stats(classified, ch)
+    return RunReport(classified, stats, run_totals(stats), res.rounds)
