@@ -184,7 +184,11 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                           [seq], skew, n_live)
         rounds += 1
         live = _write(nxt, f"{work}/live/round={rounds}")
-        n_live = live.count()
+        before, n_live = n_live, live.count()
+        if n_live >= before:
+            # the first live pair always wins unless a key is null
+            raise ValueError("ingest made no progress: channel_id, message_id and "
+                             "content_hash must not be null")
 
     kept_schema = T.StructType([T.StructField("channel_id", T.StringType()),
                                 T.StructField("message_id", T.StringType()),

@@ -197,3 +197,9 @@ def test_hot_key_list_is_bounded(spark):
     assert len(rows) == 7                       # 50 keys qualify, the list is capped
     assert {r._sf_nb for r in rows} == {3}      # 60 rows / 25 per bucket -> 3 (cap 3)
     assert find_hot_keys(df, ["k"], SkewConfig(min_rows=10_000)) is None
+
+
+def test_null_keys_fail_fast(spark):
+    df = spark.createDataFrame([(1, "c", "1", None), (2, "c", "2", None)], SCHEMA)
+    with pytest.raises(ValueError):
+        ingest(df)
