@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize, scratch_path
-from .skew import SkewConfig, find_hot_keys, join_unique, salted_join
+from .skew import SkewConfig, find_hot_keys, join_unique
 
 ID_KEY = ["channel_id", "message_id"]
 HASH_KEY = ["content_hash"]
@@ -217,9 +217,6 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
 def _single_layer(messages: DataFrame, state_keys: DataFrame | None, key: list[str], dup: str,
                   seq: str, skew: SkewConfig, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""
-    hot = None
-    if skew.enabled and messages.count() >= skew.min_rows:
-        hot = find_hot_keys(messages, key, skew, path=f"{work}/hot")
     first = messages.groupBy(*key).agg(F.min(seq).alias("_kseq"))
     right = first.withColumn("_in_state", F.lit(False))
     if state_keys is not None:
@@ -228,7 +225,14 @@ def _single_layer(messages: DataFrame, state_keys: DataFrame | None, key: list[s
                  .unionByName(hit.select(*key, F.lit(None).cast(
                      messages.schema[seq].dataType).alias("_kseq"),
                      F.lit(True).alias("_in_state"))))
-    j = salted_join(messages, right, key, "left", hot, [seq], skew.buckets)
+    # one row per key, written once and counted: broadcast when small,
+    # else a salted shuffle join (hot keys found only then)
+    right = _write(right, f"{work}/first")
+    n = right.count()
+    hot = None
+    if n > skew.broadcast_rows and skew.enabled and messages.count() >= skew.min_rows:
+        hot = find_hot_keys(messages, key, skew, path=f"{work}/hot")
+    j = join_unique(messages, right, key, "left", hot, [seq], skew, n)
     status = F.when(F.col("_kseq") == F.col(seq), F.lit(NEW)).otherwise(F.lit(dup))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")
     return IngestResult(_finish(out), 1)
