@@ -140,10 +140,11 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     hot1 = hot2 = None
     # No key can reach min_rows when all rows together do not: then the pairs
     # are not needed twice and the hot-key scans are skipped.
-    if skew.enabled and messages.count() >= skew.min_rows:
+    n_messages = messages.count() if skew.enabled else 0
+    if n_messages >= skew.min_rows and skew.enabled:
         pairs = _write(pairs, f"{work}/pairs")
-        hot1 = find_hot_keys(pairs, ID_KEY, skew, "_n", f"{work}/hot_ids")
-        hot2 = find_hot_keys(pairs, HASH_KEY, skew, "_n", f"{work}/hot_hashes")
+        hot1 = find_hot_keys(pairs, ID_KEY, skew, "_n", f"{work}/hot_ids", n_messages)
+        hot2 = find_hot_keys(pairs, HASH_KEY, skew, "_n", f"{work}/hot_hashes", n_messages)
     live = pairs.select(*ID_KEY, *HASH_KEY, seq)
     ids_hit, n_ids_hit = None, 0
     if not state.known_empty:

@@ -70,14 +70,16 @@ def hot_keys(counts: DataFrame, keys: list[str], count_col: str,
 
 
 def find_hot_keys(df: DataFrame, keys: list[str], cfg: SkewConfig,
-                  weight: str | None = None, path: str | None = None) -> DataFrame | None:
+                  weight: str | None = None, path: str | None = None,
+                  total: int | None = None) -> DataFrame | None:
     """Hot keys of ``df`` computed once (one pass over the key columns, partial
     aggregation) and written to the shared folder, so both sides of a salted
     join read the same small table. ``None`` when no key is hot: the join
     then stays a plain join."""
     if not cfg.enabled:
         return None
-    total = df.agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")).first()["n"]
+    if total is None:
+        total = df.agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n")).first()["n"]
     if (total or 0) < cfg.min_rows:      # no key can reach min_rows
         return None
     from ..session import materialize
