@@ -203,3 +203,15 @@ def test_null_keys_fail_fast(spark):
     df = spark.createDataFrame([(1, "c", "1", None), (2, "c", "2", None)], SCHEMA)
     with pytest.raises(ValueError):
         ingest(df)
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], SCHEMA)
+    res = ingest(df)
+    assert res.rounds == 0 and res.messages.count() == 0
+    from sieveflow.operators.stats import channel_stats, run_totals
+    from sieveflow.sources.channels import channel_list
+    stats = channel_stats(res.messages, channel_list(spark, "a,b"))
+    assert [(r.channel_id, r.total_messages, r.duplicate_rate_text) for r in
+            stats.orderBy("channel_ordinal").collect()] == [("a", 0, "0%"), ("b", 0, "0%")]
+    assert run_totals(stats).first().duplicate_rate_text == "0%"
