@@ -5,7 +5,8 @@
   channel leave each map task.
 * D9 numbers fixed-size batches with the sliced ordered scan.
 * D12 marks are ``max_by`` aggregates; the "after the mark" filter joins the
-  (one row per channel) marks with salting for busy channels.
+  (one row per channel) marks: broadcast when their count allows, salted for
+  busy channels otherwise.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ordered import SLICE, ordered_scan
-from .skew import SkewConfig, find_hot_keys, salted_join
+from ..session import materialize
+from .skew import SkewConfig, find_hot_keys, join_unique
 
 
 def latest_n_per_channel(messages: DataFrame, n: int, *, seq: str = "seq",
@@ -68,9 +70,12 @@ def after_mark(messages: DataFrame, marks: DataFrame, *, seq: str = "seq",
     """Messages that come after their channel's mark; channels without a
     mark keep all their messages."""
     skew = skew or SkewConfig()
-    hot = find_hot_keys(messages, ["channel_id"], skew)
-    m = marks.select("channel_id", "mark_date", "mark_seq")
-    j = salted_join(messages, m, ["channel_id"], "left", hot, [seq], skew.buckets)
+    # one row per channel: written once and counted, broadcast when small,
+    # else salted for busy channels
+    m = materialize(marks.select("channel_id", "mark_date", "mark_seq"), "marks")
+    n = m.count()
+    hot = find_hot_keys(messages, ["channel_id"], skew) if n > skew.broadcast_rows else None
+    j = join_unique(messages, m, ["channel_id"], "left", hot, [seq], skew, n)
     pos = F.struct(F.col("date"), F.col(seq))
     mark = F.struct(F.col("mark_date"), F.col("mark_seq"))
     return j.where(F.col("mark_seq").isNull() | (pos > mark)).drop("mark_date", "mark_seq")
