@@ -8,19 +8,24 @@ graph whose edges are the messages, and it is computed in rounds of
 "locally first" edges (Blelloch, Fineman, Shun, SPAA 2012):
 
 1. collapse messages with equal (ID, hash) to their first ``seq`` (only that
-   one can win) and drop those whose ID or hash is already in the state;
+   one can win) and drop those whose ID or hash is already in the state (the
+   state is read once per key type: the batch's keys it holds are written as
+   a batch-sized table);
 2. a live edge wins when it holds the smallest ``seq`` of its ID *and* of its
    hash -- two ``min(struct)`` aggregations (combined map-side, so hot keys
    are no problem) and an inner join of their results on ``seq``;
 3. remove every live edge that shares an ID or a hash with a winner (two anti
-   joins, hot keys salted), write the rest to the shared checkpoint folder,
-   repeat until nothing is live. The smallest live ``seq`` always wins, so
-   every round makes progress; with unique IDs one round suffices.
+   joins: the winners are broadcast when the live count bounds them small
+   enough, else hot keys are salted), write the rest to the shared
+   checkpoint folder, repeat until nothing is live. The smallest live ``seq``
+   always wins, so every round makes progress; with unique IDs one round
+   suffices.
 
 Reasons follow from the kept set alone: a dropped message is ``dup_id`` when
 the state has its ID or a kept message with the same ID came earlier,
 otherwise ``dup_content``. Kept messages are unique per ID, so this is one
-join on the ID key.
+join on the ID key (broadcast when the round-0 live count allows, so the full
+message rows are not shuffled).
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ join sends all rows of a key to one task, so hot keys are salted:
   (deterministic, so a retried task sends every row to the same place);
 * the unique side is replicated ``nb`` times for hot keys only.
 
-AQE's skew-join split stays on as a second line of defence.
+Before any of that, :func:`join_unique` broadcasts the unique side when its
+row count (counted from a written table, or bounded, e.g. winners <= live
+pairs) is at most ``broadcast_rows``: the large side then is not shuffled at
+all. AQE's skew-join split stays on as a further line of defence.
 """
 
 from __future__ import annotations

@@ -11,6 +11,10 @@ Layout below a state folder (a shared path on the cluster):
 
 The tracking log is append-only: the hash memory therefore keeps the hashes of
 replaced rows (Q11), and "INSERT OR REPLACE" is a read view (W1).
+
+For long-running streams :class:`BucketedState` keeps the same log in two
+bucketed tables (by ID key and by hash), so that a batch's state lookups do
+not shuffle the history.
 """
 
 from __future__ import annotations
