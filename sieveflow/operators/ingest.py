@@ -107,6 +107,24 @@ class IngestResult:
         return self.messages.where(F.col("status") != NEW)
 
 
+def _compact_hash(c: str = "content_hash"):
+    """Injective, shorter form of a hash key for the rounds: a 64-character
+    lower-case hex digest travels as a tag byte plus its 32 raw bytes, any
+    other text as another tag byte plus its UTF-8 bytes."""
+    h = F.col(c)
+    return F.when(h.rlike("^[0-9a-f]{64}$"),
+                  F.concat(F.lit(bytearray(b"\x00")), F.unhex(h))).otherwise(
+        F.concat(F.lit(bytearray(b"\x01")), F.encode(h, "UTF-8")))
+
+
+def _expand_hash(c: str = "content_hash"):
+    """Inverse of :func:`_compact_hash`."""
+    b = F.col(c)
+    body = F.expr(f"substring({c}, 2)")
+    return F.when(F.substring(b, 1, 1) == F.lit(bytearray(b"\x00")), F.lower(F.hex(body))
+                  ).otherwise(F.decode(body, "UTF-8"))
+
+
 def _write(df: DataFrame, path: str) -> DataFrame:
     """Cut lineage: write to the shared folder, read back (survives the loss
     of any executor, unlike a local checkpoint)."""
@@ -140,7 +158,10 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         return _single_layer(messages, st, key, dup, seq, skew, work)
 
     # -- 1. collapse equal (ID, hash) pairs; per-key counts for hot keys ------
-    pairs = (messages.groupBy(*ID_KEY, *HASH_KEY)
+    # Inside the rounds the hash travels compacted (33 instead of 64 bytes for
+    # a hex digest): every round shuffles and writes the live pairs.
+    pairs = (messages.select(*ID_KEY, _compact_hash().alias("content_hash"), seq)
+             .groupBy(*ID_KEY, *HASH_KEY)
              .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias("_n")))
     hot1 = hot2 = None
     # No key can reach min_rows when all rows together do not: then the pairs
@@ -155,7 +176,8 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     if not state.known_empty:
         # state keys this batch touches (batch-sized, one row per key, counted)
         ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
-        hashes_hit = _write(keys_in_state(pairs, state.distinct_hashes(), HASH_KEY),
+        state_hashes = state.distinct_hashes().select(_compact_hash().alias("content_hash"))
+        hashes_hit = _write(keys_in_state(pairs, state_hashes, HASH_KEY),
                             f"{work}/hashes_in_state")
         n_ids_hit = ids_hit.count()
         live = join_unique(live, ids_hit, ID_KEY, "left_anti", hot1, [seq], skew, n_ids_hit)
@@ -198,7 +220,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
 
     kept_schema = T.StructType([T.StructField("channel_id", T.StringType()),
                                 T.StructField("message_id", T.StringType()),
-                                T.StructField("content_hash", T.StringType()),
+                                T.StructField("content_hash", T.BinaryType()),
                                 T.StructField(seq, messages.schema[seq].dataType)])
     kept = (spark.read.schema(kept_schema).parquet(f"{work}/kept") if rounds
             else spark.createDataFrame([], kept_schema))
@@ -217,6 +239,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                     F.lit(DUP_ID))
               .otherwise(F.lit(DUP_CONTENT)))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")
+    kept = kept.withColumn("content_hash", _expand_hash())
     return IngestResult(_finish(out), rounds, kept)
 
 

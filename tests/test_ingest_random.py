@@ -215,3 +215,16 @@ def test_empty_input(spark):
     assert [(r.channel_id, r.total_messages, r.duplicate_rate_text) for r in
             stats.orderBy("channel_ordinal").collect()] == [("a", 0, "0%"), ("b", 0, "0%")]
     assert run_totals(stats).first().duplicate_rate_text == "0%"
+
+
+def test_compact_hash_roundtrip(spark):
+    import hashlib
+    from sieveflow.operators.ingest import _compact_hash, _expand_hash
+    vals = [hashlib.sha256(b"x").hexdigest(), "h1", "a", "\n", "", "41", "A",
+            hashlib.sha256(b"x").hexdigest().upper()]
+    df = spark.createDataFrame([(v,) for v in vals], "content_hash string")
+    c = df.select(_compact_hash().alias("content_hash"))
+    assert c.distinct().count() == len(set(vals))          # injective
+    back = [r[0] for r in c.select(_expand_hash()).collect()]
+    assert back == vals
+    assert len(c.first()[0]) == 33
