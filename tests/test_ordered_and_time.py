@@ -91,3 +91,15 @@ def test_high_water_mark_and_after(spark):
     n_after = sum(1 for r in df.collect()
                   if r.channel_id not in m or (r.date, r.seq) > m[r.channel_id])
     assert after.count() == n_after
+
+
+def test_scan_with_struct_order(spark):
+    rows = [(f"c{i % 2}", i // 7, i % 7) for i in range(70)]
+    df = (spark.createDataFrame(rows, "channel_id string, a long, b long")
+          .withColumn("seq", F.struct("a", "b")))
+    got = ordered.ordered_scan(df, ["channel_id"], ["seq"], slices=5)
+    w = Window.partitionBy("channel_id").orderBy("seq")
+    want = df.withColumn("rank", F.row_number().over(w))
+    key = lambda r: (r.channel_id, r.a, r.b)
+    assert ({key(r): r["rank"] for r in got.collect()}
+            == {key(r): r["rank"] for r in want.collect()})
