@@ -20,7 +20,7 @@ from ..operators.selection import latest_n_per_channel
 from ..operators.skew import SkewConfig
 from ..operators.stats import channel_stats, run_totals
 from ..sources.channels import channel_list, in_channel_order
-from ..sources.state_store import append_batch, load_state, tracking_rows
+from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
 
 
 @dataclass
@@ -36,8 +36,12 @@ def process_channels(messages: DataFrame, *, channels: str | None = None,
                      batch_id: int = 0, limit_per_channel: int | None = None,
                      processed_at=None, dry_run: bool = False, id_layer: bool = True,
                      content_layer: bool = True, skew: SkewConfig | None = None,
-                     work_dir: str | None = None) -> RunReport:
-    """Run one ingest batch over ``messages`` (normalised, fingerprinted)."""
+                     work_dir: str | None = None,
+                     state_buckets: int | None = None) -> RunReport:
+    """Run one ingest batch over ``messages`` (normalised, fingerprinted).
+
+    ``state_buckets`` keeps the state in :class:`BucketedState` tables, whose
+    lookups do not shuffle the recorded history."""
     spark = messages.sparkSession
     ch = None
     if channels is not None:
@@ -45,7 +49,11 @@ def process_channels(messages: DataFrame, *, channels: str | None = None,
         messages = in_channel_order(messages, ch)
     if limit_per_channel is not None:
         messages = latest_n_per_channel(messages, limit_per_channel).drop("position")
-    if state is None and state_path is not None:
+    tables = (BucketedState(spark, state_path, state_buckets)
+              if state_path is not None and state_buckets else None)
+    if state is None and tables is not None:
+        state = tables.state(before_batch=batch_id)
+    elif state is None and state_path is not None:
         state = load_state(spark, state_path, before_batch=batch_id)
     work = work_dir or scratch_path(spark, "run")
     res = ingest(messages, state, id_layer=id_layer, content_layer=content_layer,
@@ -55,6 +63,10 @@ def process_channels(messages: DataFrame, *, channels: str | None = None,
         # two consumers (the record and the report): classify once
         classified = materialize(classified, "", f"{work}/classified")
         accepted = classified.where(F.col("status") == F.lit(NEW))
-        append_batch(tracking_rows(accepted, processed_at=processed_at), state_path, batch_id)
+        rows = tracking_rows(accepted, processed_at=processed_at)
+        if tables is not None:
+            tables.append(rows, batch_id)
+        else:
+            append_batch(rows, state_path, batch_id)
     stats = channel_stats(classified, ch)
     return RunReport(classified, stats, run_totals(stats), res.rounds)

@@ -199,3 +199,15 @@ def test_snapshot_keeps_marks(spark, tmp_path):
     out = ss.write_snapshot(st, str(tmp_path / "s"), saved_at="x", marks=marks)
     got = {r.channel_id: r.last_message_id for r in ss.read_marks(spark, out).collect()}
     assert got == {"a": "2", "b": "3"}
+
+
+def test_process_channels_with_bucketed_state(spark, tmp_state):
+    m = msgs(spark, [("1", "a", "x"), ("2", "a", "x"), ("3", "b", "y")])
+    first = process_channels(m, channels="a,b", state_path=tmp_state, batch_id=0,
+                             processed_at="2024-01-01", state_buckets=4)
+    assert first.totals.first().new_messages == 2
+    m2 = msgs(spark, [("1", "a", "z"), ("9", "b", "y"), ("7", "c", "q")])
+    second = process_channels(m2, channels="a,b,c", state_path=tmp_state, batch_id=1,
+                              processed_at="2024-01-02", state_buckets=4)
+    got = {r.message_id: r.status for r in second.classified.collect()}
+    assert got == {"1": "dup_id", "9": "dup_content", "7": "new"}
