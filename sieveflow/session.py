@@ -79,4 +79,4 @@ def materialize(df, name: str, path: str | None = None):
     spark = df.sparkSession
     target = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    return spark.read.schema(df.schema).parquet(target)
