@@ -30,7 +30,7 @@ WITH doc AS (
          ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(md5(text), '')), 1, 15))::BIGINT AS h
   FROM documents),
 src AS (SELECT source, sum(size)::BIGINT AS s FROM doc GROUP BY source),
-weighed AS (SELECT *, [5.0, 2.0, 1.0]::DOUBLE[][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS w,
+weighed AS (SELECT *, ([5.0, 2.0, 1.0]::DOUBLE[])[(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS w,
                    s * 2.0::DOUBLE AS cap FROM src),
 lev AS (SELECT *, (sum(s) OVER () * 1.5::DOUBLE
                    - (sum(cap) OVER (ORDER BY cap / w, source IS NULL, source
@@ -94,11 +94,11 @@ hist AS MATERIALIZED (SELECT length AS len, row_number() OVER (ORDER BY length)
 bound AS (SELECT row_number() OVER (ORDER BY hist.len) - 1 AS bucket, hist.len AS bucket_len
           FROM ({every}) x JOIN hist USING (i)),
 placed AS (SELECT seq.*, (SELECT min(bucket) FROM bound WHERE bucket_len >= length) AS bucket FROM seq),
-at AS (SELECT placed.*, bound.bucket_len, row_number() OVER (PARTITION BY bucket ORDER BY h, doc_id, piece) - 1 AS pos
+spot AS (SELECT placed.*, bound.bucket_len, row_number() OVER (PARTITION BY bucket ORDER BY h, doc_id, piece) - 1 AS pos
        FROM placed JOIN bound USING (bucket))
 SELECT doc_id, piece, start, length, bucket::INTEGER AS bucket, bucket_len,
        pos // ({budget} // greatest(bucket_len, 1)) AS batch, pos % ({budget} // greatest(bucket_len, 1)) AS slot
-FROM at
+FROM spot
 """
 
 

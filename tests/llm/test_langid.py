@@ -1,0 +1,81 @@
+import numpy as np
+import pytest
+from llm_helpers import crc, docs_of
+from pyspark.sql import functions as F
+
+from sieveflow.llm import langid
+
+SF = "/root/testdata/sf0.01/documents.parquet"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(SF)
+
+
+@pytest.fixture(scope="module")
+def model(docs):
+    return langid.fit(langid.learnable(docs))
+
+
+def test_held_out_accuracy(docs, model):
+    rows = langid.predict_language(docs, model).withColumn("held", langid.held_out()).collect()
+    held = [r for r in rows if r["held"]]
+    assert all(r["held"] == (crc(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert len(held) > 200
+    assert np.mean([r["lang"] == r["lang_pred"] for r in held]) > 0.97
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_nothing_is_learned_from_held_out_rows(docs, model):
+    changed = docs.withColumn("lang", F.when(langid.held_out(), F.lit("xx")).otherwise(F.col("lang")))
+    again = langid.fit(langid.learnable(changed))
+    assert again.langs == model.langs and np.array_equal(again.conv, model.conv)
+
+
+def test_training_is_the_same_for_any_partitioning(docs, model):
+    again = langid.fit(langid.learnable(docs.repartition(7)))
+    assert np.array_equal(again.out, model.out)
+
+
+def test_windows_show_every_run_of_the_widest_filter():
+    shape = langid.Shape(window=16)
+    for n in (0, 1, 3, 15, 16, 17, 28, 29, 30, 200):
+        data = bytes((i % 250) + 1 for i in range(n))
+        x = langid.windows_of(data, shape)
+        runs = {bytes(w[i:i + 4]) for w in x for i in range(13)}
+        assert {data[i:i + 4] for i in range(n - 3)} <= runs
+        assert x.shape[1] == 16
+
+
+def test_whole_texts_count(model):
+    start = "the end of the one and that is the thing with it and the other " * 3
+    langs, _ = langid.predict_texts(model, [start, start + "der die und nicht ist ein das von im " * 400])
+    assert langs[0] != langs[1]
+
+
+def test_gradient_of_the_pooled_convolution():
+    texts = ["aab" * 20, "xyz" * 20, "aba" * 20, "zyx" * 20]
+    model = langid.train(texts * 20, ["a", "b", "a", "b"] * 20, langid.Shape(window=32), epochs=15, batch=16)
+    assert langid.predict_texts(model, texts)[0] == ["a", "b", "a", "b"]
+
+
+def test_odd_rows(spark, model):
+    rows = [(1, None, "s"), (2, "", "s"), (3, "12 !? 3", "s"), (None, "the and of the", None), (5, "Ж", "s"),
+            (6, "the and of " * 50_000, "s"), (6, "the and of " * 50_000, "s")]
+    df = docs_of(spark, rows, extra=True)
+    out = langid.predict_language(df, model)
+    assert sorted(out.columns) == sorted(df.columns)
+    got = out.collect()
+    by = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in got}
+    assert len(got) == len(rows) and by[1] == by[2] == by[3] == ("und", 0.0)
+    assert by[None][0] in model.langs and by[5][0] in model.langs and by[6][0] in model.langs
+    assert all(r["component_id"] == "mine" for r in got)
+    assert langid.predict_language(df.limit(0), model).count() == 0
+
+
+def test_nothing_to_learn(spark):
+    df = docs_of(spark, [(2, "words", "s"), (None, "words", "s")]).withColumn("lang", F.lit(None).cast("string"))
+    assert langid.fit(langid.learnable(df)) is None
+    assert {r["lang_pred"] for r in langid.predict_language(df, None).collect()} == {"und"}
+    assert langid.fit(langid.learnable(df.limit(0))) is None

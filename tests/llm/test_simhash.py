@@ -1,0 +1,126 @@
+import random
+
+import numpy as np
+import pytest
+from llm_helpers import docs_of, fingerprint, simhash_components as brute
+from pyspark.sql import functions as F
+
+from sieveflow.llm.components import connected_components
+from sieveflow.llm.simhash import (_forest, fingerprint_links, fingerprint_of, segments, simhash_components,
+                                   simhash_dedup)
+
+
+def texts(n=60, seed=3):
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(300)]
+    out = []
+    for _ in range(n):
+        base = [rng.choice(words) for _ in range(rng.randint(80, 300))]
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):
+            near = list(base)
+            near[rng.randrange(len(near))] = "changed"
+            out.append(" ".join(near))
+    return out
+
+
+ODD = ["", None, "   ", "One", "one", "a b c", "a b c d", "a\tb\x0bc\nd", "A B C D", "É é ſ K", "\x1c \x85 x",
+       "x " * 70_000]
+
+
+def test_fingerprint_equals_the_definition():
+    for t in [*ODD, *texts(10)]:
+        assert fingerprint_of(t, 4) == fingerprint(t), t
+    assert fingerprint_of("a b", 4) == fingerprint("a b", 4)
+
+
+def test_segments_leave_one_with_a_single_difference():
+    assert len(segments(4)) == 3 and sum(w for _, w in segments(4)) == 64
+    for d in range(0, 12):
+        assert d // len(segments(d)) <= 1
+
+
+def test_forest_spans_the_links_of_a_group():
+    rng = np.random.default_rng(1)
+    fps = np.unique(rng.integers(0, 1 << 12, 400, dtype=np.uint64) << np.uint64(3))
+    edges = _forest(fps, 4)
+    seen = {int(x) for e in edges for x in e}
+    linked = {int(a) for a in fps if (np.bitwise_count(fps ^ a) <= 4).sum() > 1}
+    assert seen == linked and len(edges) < len(fps)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 4, 7])
+def test_links_find_every_pair_within_the_distance(spark, distance):
+    rng = random.Random(distance)
+    fps, pairs = [], []
+    for _ in range(150):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), distance):
+            b ^= 1 << bit
+        far = a
+        for bit in rng.sample(range(64), distance + 1):
+            far ^= 1 << bit
+        fps += [a, b, far]
+        pairs.append((a, b))
+    signed = [x - (1 << 64) if x >> 63 else x for x in set(fps)]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    mask = (1 << 64) - 1
+    links = [(r["a"] & mask, r["b"] & mask) for r in fingerprint_links(df, "fp", distance).collect()]
+    assert all((a ^ b).bit_count() <= distance for a, b in links)
+    comp = {r["node"] & mask: r["component"] for r in connected_components(
+        fingerprint_links(df, "fp", distance)).collect()}
+    for a, b in pairs:
+        assert a == b or comp[a] == comp[b]
+
+
+def test_components_of_chains_and_hubs(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (None, 3), (200, 201)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = {r["node"]: r["component"] for r in connected_components(df).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}
+    assert connected_components(df.limit(0)).count() == 0
+
+
+def test_components_equal_brute_force(spark):
+    rows = list(enumerate([*texts(), *ODD[:-1], *ODD[:-1]]))
+    rows += [(None, "lonely words without an id at all"), (None, texts()[0]), (5, rows[5][1]), (5, rows[5][1])]
+    df = docs_of(spark, [(i, t, "s") for i, t in rows], extra=True)
+    got = [tuple(r) for r in simhash_components(df).collect()]
+    assert simhash_components(df).columns == ["doc_id", "fingerprint", "component_id"]
+    assert sorted(got, key=str) == sorted(brute(rows), key=str)
+
+
+def test_large_group_of_copies_and_near_copies(spark):
+    base = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(base[:200] + [f"x{i}"] + base[201:])) for i in range(300)]
+    rows += [(1000 + i, "the same words again and again") for i in range(500)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash_components(
+        docs_of(spark, [(i, t, "s") for i, t in rows])).collect()}
+    assert got == {i: c for i, _, c in brute(rows)}
+
+
+def test_no_rows(spark):
+    empty = docs_of(spark, [(1, "x", "s")]).limit(0)
+    assert simhash_components(empty).count() == 0
+    assert simhash_dedup(empty).count() == 0 and simhash_dedup(empty).columns == empty.columns
+
+
+def test_dedup_keeps_one_of_each_group(spark):
+    rows = [*enumerate([*texts(25), *ODD[:-1]]), (None, "lonely words without an id"), (None, "lonely words without an id"),
+            (3, texts(25)[3]), (3, "something else under the same id three")]
+    df = docs_of(spark, [(i, t, "s") for i, t in rows], extra=True)
+    kept = simhash_dedup(df)
+    assert kept.columns == df.columns
+    got = sorted((str(r["doc_id"]), r["text"]) for r in kept.collect())
+    prints = [fingerprint(t) for _, t in rows]
+    groups = {}
+    comp = __import__("llm_helpers").components(prints, lambda a, b: (a ^ b).bit_count() <= 4)
+    for (i, t), c in zip(rows, comp):
+        groups.setdefault(c, []).append((i, t))
+    assert len(got) == len(groups)
+    for members in groups.values():
+        least = min((i is None, i if i is not None else 0) for i, _ in members)
+        assert any(str(i) == g[0] and t == g[1] for i, t in members for g in got
+                   if (i is None, i if i is not None else 0) == least)
+    assert kept.where(F.col("score") == "mine").count() == len(got)
