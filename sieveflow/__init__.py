@@ -9,7 +9,6 @@ from .operators.ingest import IngestResult, IngestState, ingest  # noqa: F401
 from .operators.membership import (  # noqa: F401
     classify_against_state, content_members, filter_against_state, id_members,
 )
-from .operators.skew import SkewConfig  # noqa: F401
 from .operators.stats import channel_stats, run_totals, tracker_statistics  # noqa: F401
 from .plans.run import RunReport, process_channels  # noqa: F401
 from .sources.channels import channel_list, in_channel_order  # noqa: F401

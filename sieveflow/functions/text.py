@@ -106,13 +106,14 @@ def percent(num, den) -> Column:
 def percent_text(num, den) -> Column:
     """Rate text with one decimal and '%', '0%' for an empty total.
 
-    Half-even rounding of the decimal form, which is what Python's ``%.1f``
-    gives on these ratios (``format_string`` rounds halves up)."""
+    ``format_number`` rounds the exact binary value, half to even, as Python's
+    ``.1f`` does (``round``, ``bround`` and ``format_string`` round the
+    shortest decimal form instead)."""
     d = col_(den)
-    return F.when(d > 0, F.concat(F.bround(percent(num, den), 1).cast("string"),
-                                  F.lit("%"))).otherwise(F.lit(ZERO_RATE_TEXT))
+    text = F.call_function("format_number", percent(num, den), F.lit("0.0"))
+    return F.when(d > 0, F.concat(text, F.lit("%"))).otherwise(F.lit(ZERO_RATE_TEXT))
 
 
 def seconds_text(x) -> Column:
-    """Seconds with two decimals, display only."""
-    return F.format_string("%.2fs", col_(x).cast("double"))
+    """Seconds with two decimals, display only, rounded like Python's ``.2f``."""
+    return F.concat(F.call_function("format_number", col_(x).cast("double"), F.lit("0.00")), F.lit("s"))

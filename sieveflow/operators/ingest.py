@@ -15,21 +15,27 @@ graph whose edges are the messages, and it is computed in rounds of
    hash -- two ``min(struct)`` aggregations (combined map-side, so hot keys
    are no problem) and an inner join of their results on ``seq``;
 3. remove every live edge that shares an ID or a hash with a winner (two anti
-   joins: the winners are broadcast when the live count bounds them small
-   enough, else hot keys are salted), write the rest to the shared
-   checkpoint folder, repeat until nothing is live. The smallest live ``seq``
-   always wins, so every round makes progress; with unique IDs one round
-   suffices.
+   joins), write the rest to the shared checkpoint folder, repeat until nothing
+   is live. The smallest live ``seq`` always wins, so every round makes
+   progress; with unique IDs one round suffices.
 
 Reasons follow from the kept set alone: a dropped message is ``dup_id`` when
 the state has its ID or a kept message with the same ID came earlier,
 otherwise ``dup_content``. Kept messages are unique per ID, so this is one
-join on the ID key (broadcast when the round-0 live count allows, so the full
-message rows are not shuffled).
+join on the ID key.
+
+Joins carry no hints. One side always is a written table with one row per key
+(state hits, winners, kept keys): Spark broadcasts it when its bytes allow it,
+and otherwise AQE splits the partitions of a hot key on the other side, which
+such a join permits. The recorded history is only ever the streamed side of a
+semi join with the batch's keys (:func:`keys_in_state`): a small batch is
+broadcast to it, a large one meets it bucket by bucket in
+:class:`~sieveflow.sources.state_store.BucketedState`.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,7 +44,6 @@ from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize, scratch_path
-from .skew import SkewConfig, find_hot_keys, join_unique
 
 ID_KEY = ["channel_id", "message_id"]
 HASH_KEY = ["content_hash"]
@@ -66,8 +71,7 @@ class IngestState:
         return self.ids.select(*ID_KEY).distinct()
 
     def distinct_hashes(self) -> DataFrame:
-        return (self.hashes.select(*HASH_KEY)
-                .where("content_hash is not null and content_hash <> ''").distinct())
+        return usable_hashes(self.hashes).distinct()
 
     def union(self, other: "IngestState") -> "IngestState":
         if self.known_empty:
@@ -79,15 +83,21 @@ class IngestState:
                                other.hashes.select(*HASH_KEY)))
 
 
-def keys_in_state(batch: DataFrame, state_keys: DataFrame, key: list[str]) -> DataFrame:
-    """The batch's distinct keys that the state also holds, one row per key.
+def usable_hashes(hashes: DataFrame) -> DataFrame:
+    """The hashes that take part in content checks."""
+    return hashes.select(*HASH_KEY).where("content_hash is not null and content_hash <> ''")
 
-    Both sides are made distinct first (partial aggregation, so a key repeated
-    in the state or the batch is combined map-side); the semi join then reuses
-    the aggregations' hash partitioning. The state is shuffled once, and every
-    later join runs against this batch-sized result instead of the state."""
-    return (batch.select(*key).distinct()
-            .join(state_keys.select(*key).distinct(), key, "left_semi"))
+
+def keys_in_state(batch_keys: DataFrame, state_keys: DataFrame, key: list[str]) -> DataFrame:
+    """The keys of ``batch_keys`` (a written table) that the state also holds,
+    one row per key.
+
+    The history is the left side of a semi join and joined on its stored
+    columns as they are: with few batch keys they are broadcast and the history
+    is scanned once without moving; with many, a bucketed history still is not
+    shuffled. Only the few hits are made distinct."""
+    return (state_keys.select(*key)
+            .join(batch_keys.select(*key), key, "left_semi").distinct())
 
 
 @dataclass
@@ -107,24 +117,6 @@ class IngestResult:
         return self.messages.where(F.col("status") != NEW)
 
 
-def _compact_hash(c: str = "content_hash"):
-    """Injective, shorter form of a hash key for the rounds: a 64-character
-    lower-case hex digest travels as a tag byte plus its 32 raw bytes, any
-    other text as another tag byte plus its UTF-8 bytes."""
-    h = F.col(c)
-    return F.when(h.rlike("^[0-9a-f]{64}$"),
-                  F.concat(F.lit(bytearray(b"\x00")), F.unhex(h))).otherwise(
-        F.concat(F.lit(bytearray(b"\x01")), F.encode(h, "UTF-8")))
-
-
-def _expand_hash(c: str = "content_hash"):
-    """Inverse of :func:`_compact_hash`."""
-    b = F.col(c)
-    body = F.expr(f"substring({c}, 2)")
-    return F.when(F.substring(b, 1, 1) == F.lit(bytearray(b"\x00")), F.lower(F.hex(body))
-                  ).otherwise(F.decode(body, "UTF-8"))
-
-
 def _write(df: DataFrame, path: str) -> DataFrame:
     """Cut lineage: write to the shared folder, read back (survives the loss
     of any executor, unlike a local checkpoint)."""
@@ -133,19 +125,19 @@ def _write(df: DataFrame, path: str) -> DataFrame:
 
 def ingest(messages: DataFrame, state: IngestState | None = None, *,
            seq: str = "seq", id_layer: bool = True, content_layer: bool = True,
-           skew: SkewConfig | None = None, work_dir: str | None = None,
-           max_rounds: int | None = None) -> IngestResult:
+           work_dir: str | None = None, max_rounds: int | None = None) -> IngestResult:
     """Classify every message as ``new``, ``dup_id`` or ``dup_content``.
 
     ``messages`` needs ``channel_id, message_id, content_hash`` and a unique,
     orderable ``seq``. ``state`` holds what earlier runs recorded.
     ``id_layer`` / ``content_layer`` switch the two checks (D2); with one
-    layer the answer is the first message per key, no rounds needed.
+    layer the answer is the first message per key, no rounds needed. The
+    round tables go to a fresh folder below ``work_dir`` (default: the shared
+    checkpoint folder) at every call.
     """
     spark = messages.sparkSession
-    skew = skew or SkewConfig()
     state = state or IngestState.empty(spark)
-    work = work_dir or scratch_path(spark, "ingest")
+    work = f"{work_dir or scratch_path(spark, 'ingest')}/attempt-{uuid.uuid4().hex[:12]}"
 
     if not id_layer and not content_layer:
         out = messages.withColumn("status", F.lit(NEW))
@@ -154,46 +146,26 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         key = ID_KEY if id_layer else HASH_KEY
         dup = DUP_ID if id_layer else DUP_CONTENT
         st = None if state.known_empty else (
-            state.distinct_ids() if id_layer else state.distinct_hashes())
-        return _single_layer(messages, st, key, dup, seq, skew, work)
-
-    # -- 1. collapse equal (ID, hash) pairs; per-key counts for hot keys ------
-    # Inside the rounds the hash travels compacted (33 instead of 64 bytes for
-    # a hex digest): every round shuffles and writes the live pairs.
-    pairs = (messages.select(*ID_KEY, _compact_hash().alias("content_hash"), seq)
-             .groupBy(*ID_KEY, *HASH_KEY)
-             .agg(F.min(seq).alias(seq), F.count(F.lit(1)).alias("_n")))
-    hot1 = hot2 = None
-    # No key can reach min_rows when all rows together do not: then the pairs
-    # are not needed twice and the hot-key scans are skipped.
-    n_messages = messages.count() if skew.enabled else 0
-    if n_messages >= skew.min_rows and skew.enabled:
-        pairs = _write(pairs, f"{work}/pairs")
-        hot1 = find_hot_keys(pairs, ID_KEY, skew, "_n", f"{work}/hot_ids", n_messages)
-        hot2 = find_hot_keys(pairs, HASH_KEY, skew, "_n", f"{work}/hot_hashes", n_messages)
-    live = pairs.select(*ID_KEY, *HASH_KEY, seq)
-    ids_hit, n_ids_hit = None, 0
+            state.ids if id_layer else usable_hashes(state.hashes))
+        return _single_layer(messages, st, key, dup, seq, work)
+
+    # -- 1. collapse equal (ID, hash) pairs: the only pass over the texts ------
+    pairs = _write(messages.groupBy(*ID_KEY, *HASH_KEY).agg(F.min(seq).alias(seq)),
+                   f"{work}/pairs")
+    live, ids_hit = pairs, None
     if not state.known_empty:
-        # state keys this batch touches (batch-sized, one row per key, counted)
+        # state keys this batch touches (batch-sized, one row per key)
         ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
-        state_hashes = state.distinct_hashes().select(_compact_hash().alias("content_hash"))
-        hashes_hit = _write(keys_in_state(pairs, state_hashes, HASH_KEY),
+        hashes_hit = _write(keys_in_state(pairs, usable_hashes(state.hashes), HASH_KEY),
                             f"{work}/hashes_in_state")
-        n_ids_hit = ids_hit.count()
-        live = join_unique(live, ids_hit, ID_KEY, "left_anti", hot1, [seq], skew, n_ids_hit)
-        live = join_unique(live, hashes_hit, HASH_KEY, "left_anti", hot2, [seq], skew,
-                           hashes_hit.count())
-    live = _write(live, f"{work}/live/round=0")
+        live = _write(live.join(ids_hit, ID_KEY, "left_anti")
+                      .join(hashes_hit, HASH_KEY, "left_anti"), f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
-    # Winners of a round are a subset of its live pairs, and every kept pair
-    # of any round is a live pair of round 0: the live counts bound the sizes
-    # of the one-row-per-key sides, so no extra count is needed to decide
-    # whether they can be broadcast.
-    rounds = 0
-    n_live = live0_rows = live.count()
+    kept_rounds: list[str] = []
+    n_live = live.count()
     while n_live > 0:
-        if max_rounds is not None and rounds >= max_rounds:
+        if max_rounds is not None and len(kept_rounds) >= max_rounds:
             raise RuntimeError(f"ingest did not converge in {max_rounds} rounds")
         g1 = (live.groupBy(*ID_KEY)
               .agg(F.min(F.struct(F.col(seq).alias("s"), F.col("content_hash").alias("h")))
@@ -204,14 +176,12 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                                   F.col("message_id").alias("i"))).alias("m"))
               .select(*HASH_KEY, F.col("m.s").alias(seq), F.col("m.c").alias("channel_id"),
                       F.col("m.i").alias("message_id")))
-        winners = _write(g1.join(g2, [seq, *ID_KEY, *HASH_KEY], "inner"),
-                         f"{work}/kept/round={rounds}")
-        nxt = join_unique(live, winners.select(*ID_KEY), ID_KEY, "left_anti", hot1, [seq],
-                          skew, n_live)
-        nxt = join_unique(nxt, winners.select(*HASH_KEY), HASH_KEY, "left_anti", hot2,
-                          [seq], skew, n_live)
-        rounds += 1
-        live = _write(nxt, f"{work}/live/round={rounds}")
+        path = f"{work}/kept/round={len(kept_rounds)}"
+        winners = _write(g1.join(g2, [seq, *ID_KEY, *HASH_KEY], "inner"), path)
+        kept_rounds.append(path)
+        live = _write(live.join(winners.select(*ID_KEY), ID_KEY, "left_anti")
+                      .join(winners.select(*HASH_KEY), HASH_KEY, "left_anti"),
+                      f"{work}/live/round={len(kept_rounds)}")
         before, n_live = n_live, live.count()
         if n_live >= before:
             # the first live pair always wins unless a key is null
@@ -220,49 +190,39 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
 
     kept_schema = T.StructType([T.StructField("channel_id", T.StringType()),
                                 T.StructField("message_id", T.StringType()),
-                                T.StructField("content_hash", T.BinaryType()),
+                                T.StructField("content_hash", T.StringType()),
                                 T.StructField(seq, messages.schema[seq].dataType)])
-    kept = (spark.read.schema(kept_schema).parquet(f"{work}/kept") if rounds
+    # exactly the rounds written by this call
+    kept = (spark.read.schema(kept_schema).parquet(*kept_rounds) if kept_rounds
             else spark.createDataFrame([], kept_schema))
 
     # -- 4. statuses: one join on the ID key ------------------------------------
     right = kept.select(*ID_KEY, F.col(seq).alias("_kseq"), F.lit(False).alias("_in_state"))
-    right_rows = live0_rows                      # bounds the kept rows
     if ids_hit is not None:
         right = right.unionByName(ids_hit.select(
             *ID_KEY, F.lit(None).cast(kept_schema[seq].dataType).alias("_kseq"),
             F.lit(True).alias("_in_state")))
-        right_rows += n_ids_hit
-    j = join_unique(messages, right, ID_KEY, "left", hot1, [seq], skew, right_rows)
+    j = messages.join(right, ID_KEY, "left")
     status = (F.when(F.col("_kseq") == F.col(seq), F.lit(NEW))
               .when(F.coalesce(F.col("_in_state"), F.lit(False)) | (F.col("_kseq") < F.col(seq)),
                     F.lit(DUP_ID))
               .otherwise(F.lit(DUP_CONTENT)))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")
-    kept = kept.withColumn("content_hash", _expand_hash())
-    return IngestResult(_finish(out), rounds, kept)
+    return IngestResult(_finish(out), len(kept_rounds), kept)
 
 
 def _single_layer(messages: DataFrame, state_keys: DataFrame | None, key: list[str], dup: str,
-                  seq: str, skew: SkewConfig, work: str) -> IngestResult:
+                  seq: str, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""
-    first = messages.groupBy(*key).agg(F.min(seq).alias("_kseq"))
-    right = first.withColumn("_in_state", F.lit(False))
+    right = _write(messages.groupBy(*key).agg(F.min(seq).alias("_kseq")), f"{work}/first")
     if state_keys is not None:
-        hit = keys_in_state(first, state_keys, key)
-        right = (first.join(hit, key, "left_anti").withColumn("_in_state", F.lit(False))
-                 .unionByName(hit.select(*key, F.lit(None).cast(
-                     messages.schema[seq].dataType).alias("_kseq"),
-                     F.lit(True).alias("_in_state"))))
-    # one row per key, written once and counted: broadcast when small,
-    # else a salted shuffle join (hot keys found only then)
-    right = _write(right, f"{work}/first")
-    n = right.count()
-    hot = None
-    if n > skew.broadcast_rows and skew.enabled and messages.count() >= skew.min_rows:
-        hot = find_hot_keys(messages, key, skew, path=f"{work}/hot")
-    j = join_unique(messages, right, key, "left", hot, [seq], skew, n)
-    status = F.when(F.col("_kseq") == F.col(seq), F.lit(NEW)).otherwise(F.lit(dup))
+        hit = keys_in_state(right, state_keys, key).withColumn("_in_state", F.lit(True))
+        right = _write(right.join(hit, key, "left"), f"{work}/first_and_state")
+    else:
+        right = right.withColumn("_in_state", F.lit(None).cast("boolean"))
+    j = messages.join(right, key, "left")
+    status = (F.when(F.col("_in_state").isNull() & (F.col("_kseq") == F.col(seq)), F.lit(NEW))
+              .otherwise(F.lit(dup)))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")
     return IngestResult(_finish(out), 1)
 

@@ -1,12 +1,10 @@
 """Membership of a batch of messages in the decision state.
 
 These check without marking (Q9): repeats inside the batch survive when the
-state does not know them. The state is touched once per key type: the batch's
-distinct keys are semi-joined with the distinct state keys
-(:func:`keys_in_state`); the batch rows, which may be skewed (one hash or one
-ID key can hold a large share of them), then join that batch-sized, one-row-
-per-key result: broadcast when its counted size allows, else through
-:func:`salted_join`.
+state does not know them. The batch's distinct keys are written once, as a
+narrow table; the state is semi-joined with them once per key type
+(:func:`~sieveflow.operators.ingest.keys_in_state`: the history does not move),
+and the wide batch rows join the written hits, one row per key, last.
 """
 
 from __future__ import annotations
@@ -15,53 +13,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
-from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state
 from ..session import materialize
-from .skew import SkewConfig, find_hot_keys, join_unique
+from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state, usable_hashes
 
 
-def _join_hits(batch: DataFrame, state_keys: DataFrame, key: list[str], how: str,
-               skew: SkewConfig, seq: str, flag: str | None = None) -> DataFrame:
-    """Join the batch with its keys that the state holds.
+def _hits(batch: DataFrame, state: IngestState, keys: list[list[str]]) -> list[DataFrame]:
+    """For each key type the batch's keys that the state holds, written."""
+    cols = [c for k in keys for c in k]
+    mine = materialize(batch.select(*cols).distinct(), "batch-keys")
+    return [materialize(keys_in_state(
+        mine, state.ids if k is ID_KEY else usable_hashes(state.hashes), k), "state-hits")
+        for k in keys]
 
-    Those keys are written once (batch-sized, one row per key) and counted:
-    up to ``skew.broadcast_rows`` they are broadcast and the batch is not
-    shuffled; beyond, the batch's hot keys are found and the join is salted."""
-    hit = materialize(keys_in_state(batch, state_keys, key), "state-hits")
-    if flag:
-        hit = hit.withColumn(flag, F.lit(True))
-    n = hit.count()
-    hot = find_hot_keys(batch, key, skew) if n > skew.broadcast_rows else None
-    return join_unique(batch, hit, key, how, hot, _salt_source(batch, seq), skew, n)
 
-
-def _salt_source(batch: DataFrame, seq: str):
-    return [seq] if seq in batch.columns else ["message_id", "content_hash"]
-
-
-def id_members(batch: DataFrame, state: IngestState, *, seq: str = "seq",
-               skew: SkewConfig | None = None, negate: bool = False) -> DataFrame:
+def id_members(batch: DataFrame, state: IngestState, *, negate: bool = False) -> DataFrame:
     """Messages whose (channel_id, message_id) is in the state."""
-    skew = skew or SkewConfig()
-    return _join_hits(batch, state.ids, ID_KEY, "left_anti" if negate else "left_semi",
-                      skew, seq)
+    ids, = _hits(batch, state, [ID_KEY])
+    return batch.join(ids, ID_KEY, "left_anti" if negate else "left_semi")
 
 
-def content_members(batch: DataFrame, state: IngestState, *, seq: str = "seq",
-                    skew: SkewConfig | None = None, negate: bool = False) -> DataFrame:
+def content_members(batch: DataFrame, state: IngestState, *, negate: bool = False) -> DataFrame:
     """Messages whose content hash is in the state (any channel, Q5)."""
-    skew = skew or SkewConfig()
-    return _join_hits(batch, state.distinct_hashes(), HASH_KEY,
-                      "left_anti" if negate else "left_semi", skew, seq)
+    hashes, = _hits(batch, state, [HASH_KEY])
+    return batch.join(hashes, HASH_KEY, "left_anti" if negate else "left_semi")
 
 
-def classify_against_state(batch: DataFrame, state: IngestState, *, seq: str = "seq",
-                           skew: SkewConfig | None = None) -> DataFrame:
+def classify_against_state(batch: DataFrame, state: IngestState) -> DataFrame:
     """``is_duplicate`` and ``reason`` for every message, the ID check
     first (Q7), nothing marked."""
-    skew = skew or SkewConfig()
-    j = _join_hits(batch, state.ids, ID_KEY, "left", skew, seq, "_id_hit")
-    j = _join_hits(j, state.distinct_hashes(), HASH_KEY, "left", skew, seq, "_hash_hit")
+    ids, hashes = _hits(batch, state, [ID_KEY, HASH_KEY])
+    j = (batch.join(ids.withColumn("_id_hit", F.lit(True)), ID_KEY, "left")
+         .join(hashes.withColumn("_hash_hit", F.lit(True)), HASH_KEY, "left"))
     status = (F.when(F.col("_id_hit").isNotNull(), F.lit(DUP_ID))
               .when(F.col("_hash_hit").isNotNull(), F.lit(DUP_CONTENT))
               .otherwise(F.lit(NEW)))
@@ -70,9 +52,7 @@ def classify_against_state(batch: DataFrame, state: IngestState, *, seq: str = "
             .withColumn("reason", reason_text("status")))
 
 
-def filter_against_state(batch: DataFrame, state: IngestState, *, seq: str = "seq",
-                         skew: SkewConfig | None = None) -> DataFrame:
+def filter_against_state(batch: DataFrame, state: IngestState) -> DataFrame:
     """Messages whose ID key and hash are both unknown to the state."""
-    skew = skew or SkewConfig()
-    kept = id_members(batch, state, seq=seq, skew=skew, negate=True)
-    return content_members(kept, state, seq=seq, skew=skew, negate=True)
+    ids, hashes = _hits(batch, state, [ID_KEY, HASH_KEY])
+    return batch.join(ids, ID_KEY, "left_anti").join(hashes, HASH_KEY, "left_anti")

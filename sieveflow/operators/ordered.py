@@ -8,11 +8,11 @@ Here a group is cut into *slices* first:
    order into P contiguous ranges, so a hot group spans many slices and no
    slice is larger than about N/P rows;
 2. window functions run per ``(group, slice)`` (bounded sizes);
-3. a summary per ``(group, slice)`` (count, last values; an aggregate, at most
-   ``groups + P`` rows) gets running offsets by a window over slices, which
-   holds at most P rows per group;
-4. the summary is joined back on ``(group, slice)`` and fixes the first row
-   of every slice.
+3. only the first group of a slice can go on from an earlier slice, so the
+   carries are computed from the first and the last group of each slice: at
+   most 2P summary rows, however many groups there are;
+4. these rows are joined back on ``(group, slice)``: Spark broadcasts them, and
+   the data itself is not shuffled again.
 
 The range cut samples with a seed that differs per exchange, so two
 consumers of the same sliced rows could disagree on the slice bounds; the
@@ -61,16 +61,17 @@ def ordered_scan(df: DataFrame, group: list[str], order: list[str], *,
     local = materialize(local, "ordered-scan")
     summ_aggs = [F.count(F.lit(1)).alias("_n")]
     summ_aggs += [F.max_by(c, "_lrank").alias(f"_last_{c}") for c in lag]
-    summary = local.groupBy(*group, SLICE).agg(*summ_aggs)
+    summary = _edge_groups(local, group).groupBy(*group, SLICE).agg(*summ_aggs)
     ws = Window.partitionBy(*group).orderBy(SLICE)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
         *group, SLICE,
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
         *[F.lag(f"_last_{c}").over(ws).alias(f"_carry_{c}") for c in lag])
-    out = local.join(summary, [*group, SLICE], "inner")
+    # at most two rows for each slice
+    out = local.join(materialize(summary, "ordered-scan"), [*group, SLICE], "left")
     if rank:
-        out = out.withColumn(rank, F.col("_lrank") + F.col("_offset"))
+        out = out.withColumn(rank, F.col("_lrank") + F.coalesce("_offset", F.lit(0)))
     for c in lag:
         out = out.withColumn(f"prev_{c}", F.when(F.col("_lrank") == 1, F.col(f"_carry_{c}"))
                              .otherwise(F.col(f"_lprev_{c}")))
@@ -78,6 +79,16 @@ def ordered_scan(df: DataFrame, group: list[str], order: list[str], *,
     return out.drop(*drop)
 
 
+def _edge_groups(local: DataFrame, group: list[str]) -> DataFrame:
+    """The rows of the first and the last group of each slice."""
+    g = F.struct(*group)
+    edges = materialize(local.groupBy(SLICE).agg(F.min(g).alias("_low"), F.max(g).alias("_high")),
+                        "slice-edges")
+    return (local.join(edges, [SLICE], "inner")
+            .where(g.eqNullSafe(F.col("_low")) | g.eqNullSafe(F.col("_high")))
+            .drop("_low", "_high"))
+
+
 def running_sum(df: DataFrame, group: list[str], order: list[str], value: str,
                 out: str, slices: int | None = None) -> DataFrame:
     """``out`` = sum of ``value`` over the group's rows up to and including

@@ -1,12 +1,13 @@
 """Which messages to take.
 
-* L1 keeps the newest N per channel: ``row_number() <= N`` is planned as a
-  partial ``WindowGroupLimit`` before the shuffle, so at most N rows per
-  channel leave each map task.
+* L1 keeps the newest N per channel in two steps: per (channel, hash part) and
+  then per channel. Both are planned with a partial ``WindowGroupLimit`` before
+  the shuffle, so a first-step task gets at most N rows of a map task and a
+  final one N rows of each part, however many map tasks there are.
 * D9 numbers fixed-size batches with the sliced ordered scan.
 * D12 marks are ``max_by`` aggregates; the "after the mark" filter joins the
-  (one row per channel) marks: broadcast when their count allows, salted for
-  busy channels otherwise.
+  written marks (one row per channel): Spark broadcasts them by their bytes or
+  lets AQE split busy channels.
 """
 
 from __future__ import annotations
@@ -16,7 +17,10 @@ from pyspark.sql import functions as F
 
 from .ordered import SLICE, ordered_scan
 from ..session import materialize
-from .skew import SkewConfig, find_hot_keys, join_unique
+
+
+#: first-step groups per channel
+LIMIT_PARTS = 32
 
 
 def latest_n_per_channel(messages: DataFrame, n: int, *, seq: str = "seq",
@@ -26,8 +30,13 @@ def latest_n_per_channel(messages: DataFrame, n: int, *, seq: str = "seq",
     twice is taken twice), else ``channel_id``."""
     group = group or ("channel_ordinal" if "channel_ordinal" in messages.columns
                       else "channel_id")
-    w = Window.partitionBy(group).orderBy(F.col("date").desc(), F.col(seq).desc())
-    return (messages.withColumn("position", F.row_number().over(w).cast("long"))
+    order = [F.col("date").desc(), F.col(seq).desc()]
+    part = Window.partitionBy(group, "_part").orderBy(*order)
+    whole = Window.partitionBy(group).orderBy(*order)
+    return (messages.withColumn("_part", F.pmod(F.xxhash64(seq), F.lit(LIMIT_PARTS)))
+            .withColumn("position", F.row_number().over(part).cast("long"))
+            .where(F.col("position") <= F.lit(int(n))).drop("_part")
+            .withColumn("position", F.row_number().over(whole).cast("long"))
             .where(F.col("position") <= F.lit(int(n))))
 
 
@@ -65,17 +74,11 @@ def high_water_marks(messages: DataFrame, *, seq: str = "seq") -> DataFrame:
                     F.col("_mark.seq").alias("mark_seq"), "_n"))
 
 
-def after_mark(messages: DataFrame, marks: DataFrame, *, seq: str = "seq",
-               skew: SkewConfig | None = None) -> DataFrame:
+def after_mark(messages: DataFrame, marks: DataFrame, *, seq: str = "seq") -> DataFrame:
     """Messages that come after their channel's mark; channels without a
     mark keep all their messages."""
-    skew = skew or SkewConfig()
-    # one row per channel: written once and counted, broadcast when small,
-    # else salted for busy channels
     m = materialize(marks.select("channel_id", "mark_date", "mark_seq"), "marks")
-    n = m.count()
-    hot = find_hot_keys(messages, ["channel_id"], skew) if n > skew.broadcast_rows else None
-    j = join_unique(messages, m, ["channel_id"], "left", hot, [seq], skew, n)
+    j = messages.join(m, ["channel_id"], "left")
     pos = F.struct(F.col("date"), F.col(seq))
     mark = F.struct(F.col("mark_date"), F.col("mark_seq"))
     return j.where(F.col("mark_seq").isNull() | (pos > mark)).drop("mark_date", "mark_seq")
