@@ -17,7 +17,6 @@ from ..functions.text import NEW
 from ..session import materialize, scratch_path
 from ..operators.ingest import IngestState, ingest
 from ..operators.selection import latest_n_per_channel
-from ..operators.skew import SkewConfig
 from ..operators.stats import channel_stats, run_totals
 from ..sources.channels import channel_list, in_channel_order
 from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
@@ -35,7 +34,7 @@ def process_channels(messages: DataFrame, *, channels: str | None = None,
                      state_path: str | None = None, state: IngestState | None = None,
                      batch_id: int = 0, limit_per_channel: int | None = None,
                      processed_at=None, dry_run: bool = False, id_layer: bool = True,
-                     content_layer: bool = True, skew: SkewConfig | None = None,
+                     content_layer: bool = True,
                      work_dir: str | None = None,
                      state_buckets: int | None = None) -> RunReport:
     """Run one ingest batch over ``messages`` (normalised, fingerprinted).
@@ -57,7 +56,7 @@ def process_channels(messages: DataFrame, *, channels: str | None = None,
         state = load_state(spark, state_path, before_batch=batch_id)
     work = work_dir or scratch_path(spark, "run")
     res = ingest(messages, state, id_layer=id_layer, content_layer=content_layer,
-                 skew=skew, work_dir=f"{work}/ingest")
+                 work_dir=f"{work}/ingest")
     classified = res.messages
     if state_path is not None and not dry_run:
         # two consumers (the record and the report): classify once

@@ -32,7 +32,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import NEW
 from ..operators.ingest import ingest
-from ..operators.skew import SkewConfig
 from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
 
 CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date", "seq",
@@ -41,7 +40,7 @@ CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date"
 
 def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_path: str,
                  to_messages: Callable[[DataFrame], DataFrame], processed_at=None,
-                 skew: SkewConfig | None = None, state_buckets: int | None = None,
+                 state_buckets: int | None = None,
                  tables: BucketedState | None = None) -> int:
     """One micro-batch (also usable from a plain batch job). Returns the
     number of rounds the matching took. ``state_buckets`` (or ready ``tables``)
@@ -53,8 +52,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_pat
         tables = BucketedState(spark, state_path, state_buckets)
     state = (tables.state(before_batch=batch_id, spark=spark) if tables
              else load_state(spark, state_path, before_batch=batch_id))
-    res = ingest(messages, state, skew=skew,
-                 work_dir=f"{state_path}/_work/batch_id={int(batch_id)}")
+    res = ingest(messages, state)
     out_dir = f"{output_path}/batch_id={int(batch_id)}"
     (res.messages.select(*CLASSIFIED_COLUMNS).withColumn("batch_id", F.lit(int(batch_id)))
      .write.mode("overwrite").parquet(out_dir))
@@ -74,7 +72,7 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
                         *, state_path: str, output_path: str, checkpoint_location: str,
                         to_messages: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        processed_at=None, skew: SkewConfig | None = None,
+                        processed_at=None,
                         state_buckets: int | None = None) -> StreamingQuery:
     """Start the streaming ingest over files arriving in ``source_path``."""
     reader = spark.readStream.schema(source_schema).format(fmt)
@@ -85,7 +83,7 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, batch_id, state_path=state_path, output_path=output_path,
-                     to_messages=to_messages, processed_at=processed_at, skew=skew,
+                     to_messages=to_messages, processed_at=processed_at,
                      tables=tables)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation",
