@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,12 +54,14 @@ HASH_KEY = ["content_hash"]
 class IngestState:
     """Decision state: the recorded ID keys and content hashes.
 
-    ``ids``: (channel_id, message_id); ``hashes``: (content_hash). Both are
-    made distinct here, so joins against them see one row per key.
+    ``ids``: (channel_id, message_id); ``hashes``: (content_hash), repeats
+    allowed. ``others`` are further states it is the union of: they are kept
+    apart so that each is looked up in its own layout.
     """
     ids: DataFrame
     hashes: DataFrame
     known_empty: bool = False   # a first run: the state joins can be skipped
+    others: tuple["IngestState", ...] = ()
 
     @staticmethod
     def empty(spark: SparkSession) -> "IngestState":
@@ -67,20 +70,29 @@ class IngestState:
         h = T.StructType([T.StructField("content_hash", T.StringType())])
         return IngestState(spark.createDataFrame([], s), spark.createDataFrame([], h), True)
 
+    def id_parts(self) -> list[DataFrame]:
+        return [p for s in (self, *self.others) for p in ([s.ids] if s is self else s.id_parts())]
+
+    def hash_parts(self) -> list[DataFrame]:
+        return [p for s in (self, *self.others)
+                for p in ([usable_hashes(s.hashes)] if s is self else s.hash_parts())]
+
     def distinct_ids(self) -> DataFrame:
-        return self.ids.select(*ID_KEY).distinct()
+        return _union([p.select(*ID_KEY) for p in self.id_parts()]).distinct()
 
     def distinct_hashes(self) -> DataFrame:
-        return usable_hashes(self.hashes).distinct()
+        return _union(self.hash_parts()).distinct()
 
     def union(self, other: "IngestState") -> "IngestState":
         if self.known_empty:
             return other
         if other.known_empty:
             return self
-        return IngestState(self.ids.select(*ID_KEY).unionByName(other.ids.select(*ID_KEY)),
-                           self.hashes.select(*HASH_KEY).unionByName(
-                               other.hashes.select(*HASH_KEY)))
+        return IngestState(self.ids, self.hashes, False, (*self.others, other))
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
 
 def usable_hashes(hashes: DataFrame) -> DataFrame:
@@ -88,7 +100,7 @@ def usable_hashes(hashes: DataFrame) -> DataFrame:
     return hashes.select(*HASH_KEY).where("content_hash is not null and content_hash <> ''")
 
 
-def keys_in_state(batch_keys: DataFrame, state_keys: DataFrame, key: list[str]) -> DataFrame:
+def keys_in_state(batch_keys: DataFrame, state_parts: list[DataFrame], key: list[str]) -> DataFrame:
     """The keys of ``batch_keys`` (a written table) that the state also holds,
     one row per key.
 
@@ -96,8 +108,8 @@ def keys_in_state(batch_keys: DataFrame, state_keys: DataFrame, key: list[str])
     columns as they are: with few batch keys they are broadcast and the history
     is scanned once without moving; with many, a bucketed history still is not
     shuffled. Only the few hits are made distinct."""
-    return (state_keys.select(*key)
-            .join(batch_keys.select(*key), key, "left_semi").distinct())
+    return _union([part.select(*key).join(batch_keys.select(*key), key, "left_semi")
+                   for part in state_parts]).distinct()
 
 
 @dataclass
@@ -146,7 +158,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         key = ID_KEY if id_layer else HASH_KEY
         dup = DUP_ID if id_layer else DUP_CONTENT
         st = None if state.known_empty else (
-            state.ids if id_layer else usable_hashes(state.hashes))
+            state.id_parts() if id_layer else state.hash_parts())
         return _single_layer(messages, st, key, dup, seq, work)
 
     # -- 1. collapse equal (ID, hash) pairs: the only pass over the texts ------
@@ -155,8 +167,8 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     live, ids_hit = pairs, None
     if not state.known_empty:
         # state keys this batch touches (batch-sized, one row per key)
-        ids_hit = _write(keys_in_state(pairs, state.ids, ID_KEY), f"{work}/ids_in_state")
-        hashes_hit = _write(keys_in_state(pairs, usable_hashes(state.hashes), HASH_KEY),
+        ids_hit = _write(keys_in_state(pairs, state.id_parts(), ID_KEY), f"{work}/ids_in_state")
+        hashes_hit = _write(keys_in_state(pairs, state.hash_parts(), HASH_KEY),
                             f"{work}/hashes_in_state")
         live = _write(live.join(ids_hit, ID_KEY, "left_anti")
                       .join(hashes_hit, HASH_KEY, "left_anti"), f"{work}/live/round=0")
@@ -211,7 +223,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     return IngestResult(_finish(out), len(kept_rounds), kept)
 
 
-def _single_layer(messages: DataFrame, state_keys: DataFrame | None, key: list[str], dup: str,
+def _single_layer(messages: DataFrame, state_keys: list[DataFrame] | None, key: list[str], dup: str,
                   seq: str, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""
     right = _write(messages.groupBy(*key).agg(F.min(seq).alias("_kseq")), f"{work}/first")

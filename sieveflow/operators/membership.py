@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize
-from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state, usable_hashes
+from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state
 
 
 def _hits(batch: DataFrame, state: IngestState, keys: list[list[str]]) -> list[DataFrame]:
@@ -22,7 +22,7 @@ def _hits(batch: DataFrame, state: IngestState, keys: list[list[str]]) -> list[D
     cols = [c for k in keys for c in k]
     mine = materialize(batch.select(*cols).distinct(), "batch-keys")
     return [materialize(keys_in_state(
-        mine, state.ids if k is ID_KEY else usable_hashes(state.hashes), k), "state-hits")
+        mine, state.id_parts() if k is ID_KEY else state.hash_parts(), k), "state-hits")
         for k in keys]
 
 

@@ -87,23 +87,3 @@ def _edge_groups(local: DataFrame, group: list[str]) -> DataFrame:
     return (local.join(edges, [SLICE], "inner")
             .where(g.eqNullSafe(F.col("_low")) | g.eqNullSafe(F.col("_high")))
             .drop("_low", "_high"))
-
-
-def running_sum(df: DataFrame, group: list[str], order: list[str], value: str,
-                out: str, slices: int | None = None) -> DataFrame:
-    """``out`` = sum of ``value`` over the group's rows up to and including
-    this one, in ``order``. Reuses ``_slice`` when present."""
-    sliced = df if SLICE in df.columns else slice_groups(df, group, order, slices)
-    w = Window.partitionBy(*group, SLICE).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = sliced.withColumn("_lsum", F.sum(value).over(w))
-    if SLICE not in df.columns:
-        local = materialize(local, "running-sum")
-    summary = local.groupBy(*group, SLICE).agg(F.sum(value).alias("_tot"))
-    before = Window.partitionBy(*group).orderBy(SLICE).rowsBetween(
-        Window.unboundedPreceding, -1)
-    summary = summary.select(*group, SLICE,
-                             F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_off"))
-    return (local.join(summary, [*group, SLICE], "inner")
-            .withColumn(out, F.col("_lsum") + F.col("_off"))
-            .drop("_lsum", "_off"))

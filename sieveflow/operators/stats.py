@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import NEW, TRACKER_VERSION, percent, percent_text, safe_ratio
+from ..functions.text import NEW, TRACKER_VERSION, percent, percent_text, safe_ratio, seconds_text
 
 
 def _counts(df: DataFrame, *group) -> DataFrame:
@@ -110,13 +110,14 @@ def check_counters(classified: DataFrame) -> DataFrame:
 
 def channel_throughput(classified: DataFrame) -> DataFrame:
     """A6 over data time: accepted messages per second of the channel's span
-    (0 when the span is 0), span in seconds."""
+    (0 when the span is 0), span in seconds, as a number and as text (F12)."""
     g = classified.groupBy("channel_id").agg(
         F.count_if(F.col("status") == F.lit(NEW)).alias("new_messages"),
         (F.timestamp_diff("MICROSECOND", F.min("date"), F.max("date"))
          / F.lit(1_000_000.0)).alias("elapsed_seconds"))
     return (g.withColumn("messages_per_second",
                          F.round(safe_ratio("new_messages", "elapsed_seconds"), 6))
+            .withColumn("elapsed_text", seconds_text("elapsed_seconds"))
             .withColumn("elapsed_seconds", F.round("elapsed_seconds", 2)))
 
 

@@ -24,7 +24,10 @@ from ..operators.ingest import IngestState, ingest
 from ..sources import channels as ch
 from ..sources import datasets, export, state_store
 from ..sources.messages import FIXTURE_INGEST_TIME  # noqa: F401  (used by the oracle SQL)
-from ..sources.messages import conversations_feed, documents_feed, events_feed
+from ..sources.messages import (
+    conversations_feed, documents_feed, event_messages, events_by_user_feed, events_by_value_feed,
+    events_feed,
+)
 from ..session import scratch_path
 from .run import process_channels
 from ..streaming import ingest_stream
@@ -35,16 +38,14 @@ AS_OF = "2024-01-31 00:00:00"
 RECENT_DAYS = 7
 RETENTION_DAYS = 10
 SPLIT_TS = "2024-01-16 00:00:00"          # "first half" of the events
-EVENT_CHANNELS = "view,click,purchase,signup,error,refund"
-DOC_CHANNELS = ",".join(f"src{i}" for i in range(19, -1, -1))
+EVENT_CHANNELS = "view,click,purchase,signup,error,refund"   # a channel setting (K4)
 LIMIT_PER_CHANNEL = 100
 REPOST_SECONDS = 300
 BURST_GAP_SECONDS = 60
 BATCH_SIZE = 50
 ROUTE_TASK = "summary"
-TASK_NAMES = ["summary", "analysis", "quick", "code", "complex", "default", "translate"]
+TASK_NAMES = [*routing.TASK_ROUTING, "translate"]
 STREAM_BATCHES = 4
-REFERENCE_LIMIT = 1000                     # message_limit_per_channel default
 SQL_MIN_CHARS = 1000
 DATASET_SQL = ("SELECT source, lang, COUNT(*) AS docs, CAST(SUM(n_chars) AS BIGINT) AS chars "
                "FROM {name} WHERE n_chars > ? GROUP BY source, lang")
@@ -140,12 +141,21 @@ def q_ingest_documents(spark, sf):
 
 
 def q_ingest_by_channel(spark, sf):
-    chans = ch.channel_list(spark, DOC_CHANNELS)
-    ordered = ch.in_channel_order(documents_feed(spark, sf), chans)
-    res = ingest(ordered)
+    docs = documents_feed(spark, sf)
+    res = ingest(ch.in_channel_order(docs, ch.channels_of(docs)))
     return res.messages.select("channel_ordinal", F.col("seq.seq").alias("doc_id"), "status")
 
 
+def q_ingest_by_value(spark, sf):
+    res = ingest(events_by_value_feed(spark, sf))
+    return res.messages.select(F.col("seq").alias("event_id"), "status")
+
+
+def q_ingest_by_user(spark, sf):
+    res = ingest(events_by_user_feed(spark, sf))
+    return res.messages.select(F.col("seq").alias("event_id"), "status")
+
+
 def q_ingest_with_state(spark, sf):
     e = events_feed(spark, sf)
     first = ingest(e.where(F.col("date") < F.lit(SPLIT_TS).cast("timestamp_ntz")))
@@ -171,27 +181,66 @@ def q_ingest_conversations(spark, sf):
 
 
 def q_dry_run_report(spark, sf):
-    report = process_channels(documents_feed(spark, sf), channels=DOC_CHANNELS,
-                              limit_per_channel=REFERENCE_LIMIT, dry_run=True)
-    return report.channel_stats
+    docs = documents_feed(spark, sf)
+    return process_channels(docs, channels=ch.channels_of(docs), dry_run=True).channel_stats
+
+
+def _halves(spark, sf):
+    e = events_feed(spark, sf)
+    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    return e.where(F.col("date") < cut), e.where(F.col("date") >= cut)
+
+
+def _two_runs(spark, sf, root: str, **kwargs):
+    """The application run over the first and then the second half of
+    the events, on one state folder that carries on by itself."""
+    return [process_channels(half, state_path=f"{root}/state", processed_at=PROCESSED_AT, **kwargs)
+            for half in _halves(spark, sf)]
+
+
+def q_continued_runs(spark, sf):
+    first, second = _two_runs(spark, sf, scratch_path(spark, "continued-runs"))
+    return (first.classified.select(F.col("seq").alias("event_id"), "status")
+            .unionByName(second.classified.select(F.col("seq").alias("event_id"), "status")))
+
+
+def q_recorded_log(spark, sf):
+    """K9: the tracking table after two runs, in the bucketed layout."""
+    root = scratch_path(spark, "recorded-log")
+    _two_runs(spark, sf, root, state_buckets=8)
+    log = state_store.read_log(spark, f"{root}/state")
+    return state_store.tracking_rows_as_text(log).select(
+        "channel_id", "message_id", "content_hash", "processed_at", "processing_status", "ai_processed")
+
+
+def q_state_metadata(spark, sf):
+    """The metadata that two runs leave behind."""
+    root = scratch_path(spark, "state-metadata")
+    _two_runs(spark, sf, root)
+    return state_store.read_metadata(spark, f"{root}/state").select("key", "value")
+
+
+def _keys(state: IngestState) -> DataFrame:
+    """ID keys and hashes of a state in one table."""
+    none = F.lit(None).cast("string")
+    return (state.distinct_ids().withColumn("content_hash", none)
+            .unionByName(state.distinct_hashes().select(
+                none.alias("channel_id"), none.alias("message_id"), "content_hash")))
 
 
 def q_state_union(spark, sf):
     """The state of a tracking log (first half of the events, ingested as
     batch 0) merged with a JSON state document (second half, ingested on its
     own); set semantics."""
-    e = events_feed(spark, sf)
-    cut = F.lit(SPLIT_TS).cast("timestamp_ntz")
     root = scratch_path(spark, "state-union")
-    first = ingest(e.where(F.col("date") < cut))
-    state_store.append_batch(state_store.tracking_rows(first.accepted(), PROCESSED_AT),
-                             f"{root}/state", 0)
-    second = ingest(e.where(F.col("date") >= cut)).accepted()
-    snap = state_store.write_snapshot(
-        IngestState(second.select("channel_id", "message_id"), second.select("content_hash")),
-        f"{root}/snapshot", saved_at=PROCESSED_AT)
-    merged = state_store.load_state(spark, f"{root}/state", snapshot_path=snap)
-    return merged.distinct_ids()
+    first, second = _halves(spark, sf)
+    state_store.append_batch(state_store.tracking_rows(ingest(first).accepted(), PROCESSED_AT),
+                             f"{root}/state")
+    accepted = ingest(second).accepted()
+    state_store.write_snapshot(
+        IngestState(accepted.select("channel_id", "message_id"), accepted.select("content_hash")),
+        f"{root}/snapshot", saved_at=PROCESSED_AT, version=0)
+    return _keys(state_store.load_state(spark, f"{root}/state", snapshot_path=f"{root}/snapshot"))
 
 
 def q_id_only_dedup(spark, sf):
@@ -207,14 +256,24 @@ def q_content_only_dedup(spark, sf):
 # -- statistics ---------------------------------------------------------------------------
 
 def q_channel_stats(spark, sf):
-    e = stats.channel_stats(_events_ingest(spark, sf).messages,
-                            ch.channel_list(spark, EVENT_CHANNELS))
+    events = _events_ingest(spark, sf).messages
+    e = stats.channel_stats(events, ch.channels_of(events_feed(spark, sf)))
     d = stats.channel_stats(ingest(documents_feed(spark, sf)).messages)
     d = d.withColumn("channel_ordinal", F.lit(None).cast("int"))
     return (e.withColumn("feed", F.lit("events"))
             .unionByName(d.withColumn("feed", F.lit("documents"))))
 
 
+def q_listed_channel_stats(spark, sf):
+    """K4: a channel setting decides which channels are reported, and their order."""
+    return stats.channel_stats(_events_ingest(spark, sf).messages,
+                               ch.channel_list(spark, EVENT_CHANNELS))
+
+
+def q_stats_rollup(spark, sf):
+    return stats.stats_rollup(_events_ingest(spark, sf).messages)
+
+
 def q_run_totals(spark, sf):
     s = stats.channel_stats(_events_ingest(spark, sf).messages)
     return stats.run_totals(s)
@@ -273,6 +332,11 @@ def q_message_batches(spark, sf):
     return b.select(F.col("seq").alias("event_id"), "channel_id", "position", "batch_number")
 
 
+def q_batch_sizes(spark, sf):
+    e = events_feed(spark, sf).select("channel_id", "seq")
+    return selection.batch_sizes(selection.message_batches(e, BATCH_SIZE))
+
+
 def q_high_water_mark(spark, sf):
     m = selection.high_water_marks(events_feed(spark, sf))
     return m.select("channel_id", "last_message_id", F.col("mark_seq").alias("mark_event_id"))
@@ -286,13 +350,14 @@ def q_after_mark(spark, sf):
 
 
 def q_retained_rows(spark, sf):
-    """Every event recorded (processed at its own time) as batch 0 of a
-    state folder, then the retention rewrite into a new folder."""
-    root = scratch_path(spark, "retention")
-    log = state_store.tracking_rows(events_feed(spark, sf), processed_at=F.col("date"))
-    state_store.append_batch(log, f"{root}/state", 0)
-    return state_store.apply_retention(spark, f"{root}/state", f"{root}/retained", AS_OF,
-                                       RETENTION_DAYS)
+    """Every event recorded (processed at its own time), the older half
+    and the newer half as a batch each; then the retention and what is left."""
+    root = f"{scratch_path(spark, 'retention')}/state"
+    for half in _halves(spark, sf):
+        state_store.append_batch(state_store.tracking_rows(half, processed_at=F.col("date")), root)
+    state_store.apply_retention(spark, root, AS_OF, RETENTION_DAYS)
+    return state_store.read_log(spark, root).select(
+        F.col("mark_seq").alias("event_id"), "channel_id", "message_id")
 
 
 # -- time operators --------------------------------------------------------------------------
@@ -300,8 +365,8 @@ def q_retained_rows(spark, sf):
 def q_rapid_reposts(spark, sf):
     e = events_feed(spark, sf).select("channel_id", "content_hash", "date", "seq")
     r = temporal.rapid_reposts(e, REPOST_SECONDS)
-    return r.where("is_repost").select(F.col("seq").alias("event_id"), "channel_id",
-                                       F.round("gap_seconds", 6).alias("gap_seconds"))
+    return r.select(F.col("seq").alias("event_id"), "channel_id", "is_repost",
+                    F.round("gap_seconds", 6).alias("gap_seconds"))
 
 
 def q_burst_ids(spark, sf):
@@ -354,13 +419,23 @@ def q_csv_roundtrip(spark, sf):
 
 
 def q_snapshot_roundtrip(spark, sf):
-    res = ingest(documents_feed(spark, sf))
-    acc = res.accepted()
+    return _keys(state_store.read_snapshot(spark, _documents_snapshot(spark, sf)))
+
+
+def q_snapshot_documents(spark, sf):
+    """What the JSON documents hold, counted on them as they are."""
+    docs = (spark.read.schema(state_store.SNAPSHOT_SCHEMA).json(_documents_snapshot(spark, sf))
+            .select("saved_at", F.aggregate(F.map_values("processed_message_ids"), F.lit(0).cast("long"),
+                                            lambda n, ids: n + F.size(ids)).alias("ids"),
+                    F.size("content_hashes").cast("long").alias("hashes")))
+    return docs.groupBy("saved_at").agg(F.sum("ids").alias("ids"), F.sum("hashes").alias("hashes"))
+
+
+def _documents_snapshot(spark, sf) -> str:
+    acc = ingest(documents_feed(spark, sf)).accepted()
     state = IngestState(acc.select("channel_id", "message_id"), acc.select("content_hash"))
-    path = state_store.write_snapshot(state, scratch_path(spark, "snapshot"),
+    return state_store.write_snapshot(state, scratch_path(spark, "snapshot"),
                                       saved_at=PROCESSED_AT, version=1, chunk_rows=100)
-    back = state_store.read_snapshot(spark, path)
-    return back.ids.select("channel_id", "message_id")
 
 
 # -- streaming ----------------------------------------------------------------------------------------
@@ -385,8 +460,8 @@ def q_stream_ingest(spark, sf):
         part.write.mode("append").parquet(src)
         q = ingest_stream.start_ingest_stream(
             spark, src, events.schema, state_path=state, output_path=out,
-            checkpoint_location=f"{root}/checkpoint",
-            to_messages=_events_to_messages, processed_at=PROCESSED_AT,
+            checkpoint_location=f"{root}/checkpoint", to_messages=event_messages,
+            processed_at=PROCESSED_AT, compact_every=3,
             state_buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
         q.awaitTermination()
     res = ingest_stream.read_stream_output(spark, out)
@@ -394,16 +469,15 @@ def q_stream_ingest(spark, sf):
 
 
 def q_stream_bursts(spark, sf):
-    """D5 on a stream: the events file read as a stream, per-channel sessions
-    of messages at most BURST_GAP_SECONDS apart, emitted once the watermark
-    (the latest event time) has passed them."""
-    events = _t(spark, sf, "events")
+    """D5 on a stream: the events as a feed that ends, per-channel sessions of
+    messages at most BURST_GAP_SECONDS apart."""
+    events = _t(spark, sf, "events").select(F.col("event_type").alias("channel_id"),
+                                            F.col("ts").alias("date"))
     root = scratch_path(spark, "stream-bursts")
     # the file source watches a folder: the events land there as arriving files
-    events.select("event_type", "ts").write.parquet(f"{root}/in")
-    stream = (spark.readStream.schema("event_type string, ts timestamp_ntz")
-              .parquet(f"{root}/in"))
-    msgs = stream.select(F.col("event_type").alias("channel_id"), F.col("ts").alias("date"))
+    events.write.parquet(f"{root}/in")
+    ingest_stream.end_of_feed(events, BURST_GAP_SECONDS).write.mode("append").parquet(f"{root}/in")
+    msgs = spark.readStream.schema(events.schema).parquet(f"{root}/in")
     q = (ingest_stream.stream_bursts(msgs, BURST_GAP_SECONDS, "0 seconds")
          .select("channel_id", F.col("burst_start").cast("timestamp_ntz").alias("burst_start"),
                  F.col("burst_end").cast("timestamp_ntz").alias("burst_end"), "messages")
@@ -414,15 +488,6 @@ def q_stream_bursts(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
-def _events_to_messages(batch: DataFrame) -> DataFrame:
-    from ..sources.messages import normalize_messages, with_fingerprint
-    raw = batch.select(F.col("user_id").alias("id"), F.col("event_type").alias("channel_id"),
-                       F.col("event_type").alias("channel"),
-                       F.concat("event_type", "props").alias("text"),
-                       F.col("ts").alias("date"), F.col("event_id").alias("seq"))
-    return with_fingerprint(normalize_messages(raw))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalize_messages": q_normalize_messages,
     "content_fingerprint": q_content_fingerprint,
@@ -437,15 +502,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_status": q_ingest_status,
     "ingest_documents": q_ingest_documents,
     "ingest_by_channel": q_ingest_by_channel,
+    "ingest_by_value": q_ingest_by_value,
+    "ingest_by_user": q_ingest_by_user,
     "ingest_with_state": q_ingest_with_state,
     "accepted_messages": q_accepted_messages,
     "duplicate_messages": q_duplicate_messages,
     "ingest_conversations": q_ingest_conversations,
     "dry_run_report": q_dry_run_report,
+    "continued_runs": q_continued_runs,
+    "recorded_log": q_recorded_log,
+    "state_metadata": q_state_metadata,
     "state_union": q_state_union,
     "id_only_dedup": q_id_only_dedup,
     "content_only_dedup": q_content_only_dedup,
     "channel_stats": q_channel_stats,
+    "listed_channel_stats": q_listed_channel_stats,
+    "stats_rollup": q_stats_rollup,
     "run_totals": q_run_totals,
     "duplicates_by_reason": q_duplicates_by_reason,
     "tracker_statistics": q_tracker_statistics,
@@ -456,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_n_per_channel": q_latest_n_per_channel,
     "recent_messages": q_recent_messages,
     "message_batches": q_message_batches,
+    "batch_sizes": q_batch_sizes,
     "high_water_mark": q_high_water_mark,
     "after_mark": q_after_mark,
     "retained_rows": q_retained_rows,
@@ -468,6 +541,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_roundtrip": q_json_roundtrip,
     "csv_roundtrip": q_csv_roundtrip,
     "snapshot_roundtrip": q_snapshot_roundtrip,
+    "snapshot_documents": q_snapshot_documents,
     "stream_ingest": q_stream_ingest,
     "stream_bursts": q_stream_bursts,
 }

@@ -91,8 +91,10 @@ def _rate(dup: str, total: str) -> str:
 
 
 def _rate_text(dup: str, total: str) -> str:
-    return (f"case when {total} > 0 then cast(round_even(cast({dup} as double) / {total} "
-            f"* 100.0, 1) as varchar) || '%' else '0%' end")
+    # exact: tenths of a percent in whole numbers would round 3/2000 up, the
+    # nearest double lies below 0.15; printf rounds the double's exact value
+    return (f"case when {total} > 0 then printf('%.1f%%', cast({dup} as double) / {total} "
+            f"* 100.0) else '0%' end")
 
 
 def _values(rows: list[tuple]) -> str:
@@ -136,9 +138,35 @@ _AS_OF_MINUS = {
 _ISO = ("case when epoch_us({c}) % 1000000 = 0 then strftime({c}, '%Y-%m-%dT%H:%M:%S') "
         "else strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') end")
 
-_MODEL_SQL = (
-    f"tr(task, mkey) as ({_values(list(C.routing.TASK_ROUTING.items()))}), "
-    f"lm(mkey, model) as ({_values(list(C.routing.LOCAL_MODELS.items()))})")
+# The fixed values of the routing, written out here a second time so that the
+# oracle does not depend on the code under test.
+_TASKS = [("summary", "llama3.1:8b"), ("analysis", "deepseek-r1:32b"), ("quick", "phi3:mini"),
+          ("code", "codellama:34b"), ("complex", "deepseek-r1:32b"), ("default", "llama3.1:8b")]
+_OTHER_TASK = "llama3.1:8b"
+_REMOTE, _REMOTE_ABOVE = "claude-3-sonnet-20240229", 2000
+
+_D_CHANNELS = """o as (
+  select d.*, cast(dense_rank() over (order by channel_id) - 1 as integer) as channel_ordinal from d)"""
+
+V = """v as (
+  select coalesce(event_type, '') as channel_id, coalesce(cast(user_id as varchar), '') as message_id,
+         event_id as seq, sha256(trim(lower(coalesce(cast(value as varchar), '')))) as content_hash
+  from events)"""
+
+U = """u as (
+  select 'events' as channel_id, coalesce(cast(user_id as varchar), '') as message_id,
+         event_id as seq, sha256(coalesce(cast(cast(trunc(value) as bigint) as varchar), '')) as content_hash
+  from events)"""
+
+
+def _folded(src: str) -> str:
+    """Statuses of ``src`` from its fold."""
+    return f"""select seq as event_id,
+       case when seq in (select o from kept_o) then 'new'
+            when exists (select 1 from kept k where k.channel_id = {src}.channel_id
+                           and k.message_id = {src}.message_id and k.seq < {src}.seq) then 'dup_id'
+            else 'dup_content' end as status
+from {src}"""
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -204,16 +232,12 @@ select seq as event_id, channel_id, message_id, status, {_reason()} as reason fr
     "ingest_documents": f"""with {D}, {D_FIRST}
 select seq as doc_id, status, {_reason()} as reason from ds""",
 
-    "ingest_by_channel": f"""with {D},
-o as (
-  select d.*, cast(list_position(string_split('{C.DOC_CHANNELS}', ','), channel_id) - 1
-                   as integer) as channel_ordinal
-  from d)
+    "ingest_by_channel": f"""with {D}, {_D_CHANNELS}
 select channel_ordinal, seq as doc_id,
        case when row_number() over (partition by content_hash
                                     order by channel_ordinal, seq) = 1
             then 'new' else 'dup_content' end as status
-from o where channel_ordinal >= 0""",
+from o""",
 
     "ingest_with_state": f"""with {E}, {E_FOLD}
 select seq as event_id, status from es where date >= {_ts(C.SPLIT_TS)}""",
@@ -230,14 +254,9 @@ select seq as event_id,
             then 'new' else 'dup_content' end as status
 from e""",
 
-    "channel_stats": f"""with {E}, {E_FOLD}, {D}, {D_FIRST}, {_event_channels()},
+    "channel_stats": f"""with {E}, {E_FOLD}, {D}, {D_FIRST},
 ge as ({_stats_select('es')}),
-je as (
-  select chl.channel_ordinal, chl.channel as channel_id,
-         cast(coalesce(ge.total_messages, 0) as bigint) as total_messages,
-         cast(coalesce(ge.new_messages, 0) as bigint) as new_messages,
-         cast(coalesce(ge.duplicates, 0) as bigint) as duplicates
-  from chl left join ge on chl.channel = ge.channel_id),
+je as (select cast(row_number() over (order by channel_id) - 1 as integer) as channel_ordinal, * from ge),
 gd as ({_stats_select('ds')})
 select *, 'events' as feed from ({_with_rates('je', 'channel_ordinal, ')})
 union all
@@ -278,6 +297,7 @@ g as (
          {_gap('max(date)', 'min(date)')} as elapsed
   from es group by channel_id)
 select channel_id, new_messages, round(elapsed, 2) as elapsed_seconds,
+       printf('%.2fs', elapsed) as elapsed_text,
        round(case when elapsed > 0 then cast(new_messages as double) / elapsed else 0.0 end, 6)
          as messages_per_second
 from g""",
@@ -333,15 +353,14 @@ select e.seq as event_id, e.channel_id from e left join m on e.channel_id = m.ch
 where m.mseq is null or e.date > m.mdate or (e.date = m.mdate and e.seq > m.mseq)""",
 
     "retained_rows": f"""with {E}
-select count(*) filter (where date >= {_AS_OF_MINUS['retention']}) as kept_rows,
-       count(*) filter (where not (date >= {_AS_OF_MINUS['retention']})) as removed_rows
-from e""",
+select seq as event_id, channel_id, message_id from e where date >= {_AS_OF_MINUS['retention']}""",
 
     "rapid_reposts": f"""with {E},
 l as (select e.*, lag(date) over (partition by channel_id, content_hash
                                   order by date, seq) as prev_date from e)
-select seq as event_id, channel_id, round({_gap('date', 'prev_date')}, 6) as gap_seconds
-from l where prev_date is not null and {_gap('date', 'prev_date')} <= {C.REPOST_SECONDS}""",
+select seq as event_id, channel_id, round({_gap('date', 'prev_date')}, 6) as gap_seconds,
+       coalesce({_gap('date', 'prev_date')} <= {C.REPOST_SECONDS}, false) as is_repost
+from l""",
 
     "burst_ids": f"""with {E},
 l as (select e.*, lag(date) over (partition by channel_id order by date, seq) as prev_date
@@ -368,22 +387,18 @@ select channel_id, burst_id, min(date) as burst_start, max(date) as burst_end,
        count(*) as messages, count(distinct content_hash) as distinct_texts
 from b group by channel_id, burst_id""",
 
-    "model_for_task": f"""with {_MODEL_SQL},
+    "model_for_task": f"""with tr(task, model) as ({_values(_TASKS)}),
 t as (select distinct task from (
         select event_type as task from events
-        union all select * from ({_values([(t,) for t in C.TASK_NAMES])}) v(task)))
-select t.task, coalesce(lm.model, '{C.routing.LOCAL_MODELS['general']}') as model
-from t left join tr on t.task = tr.task
-       left join lm on coalesce(tr.mkey, 'default') = lm.mkey""",
+        union all select task from tr union all select 'translate'))
+select t.task, coalesce(tr.model, '{_OTHER_TASK}') as model
+from t left join tr on t.task = tr.task""",
 
     "route_messages": f"""with {D},
 r as (select seq, cast(ceil(length(text) / 4) as bigint) as tokens from d)
-select seq as doc_id, '{C.ROUTE_TASK}' as task, tokens,
-       case when tokens > {C.routing.FALLBACK_THRESHOLD_TOKENS} then 'remote' else 'local' end
-         as provider,
-       case when tokens > {C.routing.FALLBACK_THRESHOLD_TOKENS}
-            then '{C.routing.REMOTE_MODEL}'
-            else '{C.routing.LOCAL_MODELS[C.routing.TASK_ROUTING[C.ROUTE_TASK]]}' end as model
+select seq as doc_id, 'summary' as task, tokens,
+       case when tokens > {_REMOTE_ABOVE} then 'remote' else 'local' end as provider,
+       case when tokens > {_REMOTE_ABOVE} then '{_REMOTE}' else 'llama3.1:8b' end as model
 from r""",
 
     "sql_over_dataset": C.DATASET_SQL.format(name="documents").replace("?", str(C.SQL_MIN_CHARS)),
@@ -393,7 +408,9 @@ from r""",
     "csv_roundtrip": f"""with {D} select channel_id, message_id, text, content_hash from d""",
 
     "snapshot_roundtrip": f"""with {D}, {D_FIRST}
-select channel_id, message_id from ds where status = 'new'""",
+select channel_id, message_id, cast(null as varchar) as content_hash from ds where status = 'new'
+union all
+select distinct cast(null as varchar), cast(null as varchar), content_hash from ds""",
 
     "stream_ingest": f"""with {E}, {E_FOLD} select seq as event_id, status from es""",
 
@@ -408,8 +425,7 @@ b as (select s.*, sum(st) over (partition by channel_id order by date, seq
       from s),
 g as (select channel_id, min(date) as burst_start, max(date) as burst_end,
              count(*) as messages from b group by channel_id, burst_id)
-select * from g
-where burst_end + interval {C.BURST_GAP_SECONDS} second <= (select max(ts) from events)""",
+select * from g""",
 
     "accepted_messages": f"""with {E}, {E_FOLD}
 select seq as event_id, channel_id, message_id from es where status = 'new'""",
@@ -423,44 +439,73 @@ select message_id, channel_id,
             then 'new' else 'dup_content' end as status
 from c""",
 
-    "dry_run_report": f"""with {D},
-o as (
-  select d.*, cast(list_position(string_split('{C.DOC_CHANNELS}', ','), channel_id) - 1
-                   as integer) as channel_ordinal
-  from d),
-lim as (
-  select * from (
-    select o.*, row_number() over (partition by channel_ordinal
-                                   order by date desc, seq desc) as pos
-    from o where channel_ordinal >= 0) where pos <= {C.REFERENCE_LIMIT}),
+    "dry_run_report": f"""with {D}, {_D_CHANNELS},
 s as (
-  select lim.*, case when row_number() over (partition by content_hash
-                                             order by channel_ordinal, seq) = 1
-                     then 'new' else 'dup_content' end as status
-  from lim),
-chl as (
-  select cast(i - 1 as integer) as channel_ordinal,
-         string_split('{C.DOC_CHANNELS}', ',')[i] as channel
-  from range(1, len(string_split('{C.DOC_CHANNELS}', ',')) + 1) t(i)),
-g as (
-  select channel_ordinal, count(*) as total_messages,
+  select o.*, case when row_number() over (partition by content_hash
+                                           order by channel_ordinal, seq) = 1
+                   then 'new' else 'dup_content' end as status
+  from o),
+j as (
+  select channel_ordinal, channel_id, count(*) as total_messages,
          count(*) filter (where status = 'new') as new_messages,
          count(*) filter (where status <> 'new') as duplicates
-  from s group by channel_ordinal),
-j as (
-  select chl.channel_ordinal, chl.channel as channel_id,
-         cast(coalesce(g.total_messages, 0) as bigint) as total_messages,
-         cast(coalesce(g.new_messages, 0) as bigint) as new_messages,
-         cast(coalesce(g.duplicates, 0) as bigint) as duplicates
-  from chl left join g on chl.channel_ordinal = g.channel_ordinal)
+  from s group by channel_ordinal, channel_id)
 {_with_rates('j', 'channel_ordinal, ')}""",
 
     "state_union": f"""with {E},
 e1 as (select * from e where date < {_ts(C.SPLIT_TS)}),
 e2 as (select * from e where date >= {_ts(C.SPLIT_TS)}),
 {fold('e1', 'a_')},
-{fold('e2', 'b_')}
-select channel_id, message_id from a_kept
-union
-select channel_id, message_id from b_kept""",
+{fold('e2', 'b_')},
+k as (select * from a_kept union all select * from b_kept)
+select distinct channel_id, message_id, cast(null as varchar) as content_hash from k
+union all
+select distinct cast(null as varchar), cast(null as varchar), content_hash from k""",
+
+    "ingest_by_value": f"""with {V}, {fold('v')} {_folded('v')}""",
+
+    "ingest_by_user": f"""with {U}, {fold('u')} {_folded('u')}""",
+
+    "listed_channel_stats": f"""with {E}, {E_FOLD}, {_event_channels()},
+ge as ({_stats_select('es')}),
+je as (
+  select chl.channel_ordinal, chl.channel as channel_id,
+         cast(coalesce(ge.total_messages, 0) as bigint) as total_messages,
+         cast(coalesce(ge.new_messages, 0) as bigint) as new_messages,
+         cast(coalesce(ge.duplicates, 0) as bigint) as duplicates
+  from chl left join ge on chl.channel = ge.channel_id)
+{_with_rates('je', 'channel_ordinal, ')}""",
+
+    "stats_rollup": f"""with {E}, {E_FOLD},
+g as (select channel_id, count(*) as total_messages,
+             count(*) filter (where status = 'new') as new_messages,
+             count(*) filter (where status <> 'new') as duplicates
+      from es group by rollup (channel_id))
+{_with_rates('g')}""",
+
+    "batch_sizes": f"""with {E},
+r as (select channel_id, row_number() over (partition by channel_id order by seq) as position from e)
+select channel_id, cast((position - 1) // {C.BATCH_SIZE} as bigint) as batch_number,
+       count(*) as messages
+from r group by all""",
+
+    "snapshot_documents": f"""with {D}, {D_FIRST}
+select '{C.PROCESSED_AT}' as saved_at, count(*) as ids, count(distinct content_hash) as hashes
+from ds where status = 'new'""",
+
+    "continued_runs": f"""with {E},
+x as (select e.* replace (case when date < {_ts(C.SPLIT_TS)} then 0 else 1 end * 1000000000000 + seq as seq) from e),
+{fold('x')}
+select seq % 1000000000000 as event_id, status from ({_folded('x').replace('seq as event_id', 'seq')})""",
+
+    "recorded_log": f"""with {E},
+x as (select e.* replace (case when date < {_ts(C.SPLIT_TS)} then 0 else 1 end * 1000000000000 + seq as seq) from e),
+{fold('x')}
+select channel_id, message_id, content_hash, '{C.PROCESSED_AT.replace(' ', 'T')}' as processed_at,
+       'completed' as processing_status, 0 as ai_processed
+from kept""",
+
+    "state_metadata": """select 'tracker_version' as key, '2.0.0' as value
+union all select 'last_batch_id', cast(count(*) - 1 as varchar) from (
+  select distinct ts < timestamp '2024-01-16 00:00:00' from events)""",
 }

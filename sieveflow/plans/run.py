@@ -8,7 +8,9 @@ recording.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +21,9 @@ from ..operators.ingest import IngestState, ingest
 from ..operators.selection import latest_n_per_channel
 from ..operators.stats import channel_stats, run_totals
 from ..sources.channels import channel_list, in_channel_order
-from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
+from ..sources.state_store import (
+    FolderState, open_state, read_latest_snapshot, tracking_rows, write_snapshot,
+)
 
 
 @dataclass
@@ -28,44 +32,64 @@ class RunReport:
     channel_stats: DataFrame
     totals: DataFrame
     rounds: int
+    batch_id: int | None = None
 
 
-def process_channels(messages: DataFrame, *, channels: str | None = None,
+def record_batch(tables: FolderState, accepted: DataFrame, batch_id: int, *, processed_at=None,
+                 snapshot_path: str | None = None, replay: bool = False,
+                 source: str | None = None, source_batch: int | None = None) -> None:
+    """The end of a run: the accepted rows are recorded (K7) and, when a
+    snapshot folder is named, the state is saved as JSON documents (K11) of
+    version ``batch_id``."""
+    spark = accepted.sparkSession
+    rows = tracking_rows(accepted, processed_at=processed_at)
+    tables.append(rows, batch_id, replay=replay, source=source, source_batch=source_batch)
+    if snapshot_path is not None:
+        state = tables.state(spark=spark).union(read_latest_snapshot(spark, snapshot_path))
+        write_snapshot(state, snapshot_path, saved_at=str(processed_at) if isinstance(processed_at, str)
+                       else datetime.now().isoformat(), version=batch_id)
+
+
+def process_channels(messages: DataFrame, *, channels: str | DataFrame | None = None,
                      state_path: str | None = None, state: IngestState | None = None,
-                     batch_id: int = 0, limit_per_channel: int | None = None,
-                     processed_at=None, dry_run: bool = False, id_layer: bool = True,
-                     content_layer: bool = True,
-                     work_dir: str | None = None,
-                     state_buckets: int | None = None) -> RunReport:
+                     batch_id: int | None = None, replay: bool = False,
+                     limit_per_channel: int | None = None, processed_at=None,
+                     dry_run: bool = False, id_layer: bool = True, content_layer: bool = True,
+                     work_dir: str | None = None, state_buckets: int | None = None,
+                     snapshot_path: str | None = None) -> RunReport:
     """Run one ingest batch over ``messages`` (normalised, fingerprinted).
 
-    ``state_buckets`` keeps the state in :class:`BucketedState` tables, whose
-    lookups do not shuffle the recorded history."""
+    ``channels`` is the channel setting or a ready channel list; other channels
+    are left out. With ``state_path`` the run continues the recorded state: it
+    is created when missing, everything recorded counts as processed, and the
+    accepted messages are recorded as the next batch. ``batch_id`` with
+    ``replay`` repeats a recorded batch against the batches below it.
+    ``state_buckets`` creates the state as
+    :class:`~sieveflow.sources.state_store.BucketedState`. ``snapshot_path``
+    names a folder of JSON state documents, merged at the start and written at
+    the end."""
     spark = messages.sparkSession
     ch = None
     if channels is not None:
-        ch = channel_list(spark, channels)
+        ch = channels if isinstance(channels, DataFrame) else channel_list(spark, channels)
         messages = in_channel_order(messages, ch)
     if limit_per_channel is not None:
         messages = latest_n_per_channel(messages, limit_per_channel).drop("position")
-    tables = (BucketedState(spark, state_path, state_buckets)
-              if state_path is not None and state_buckets else None)
+    tables = open_state(spark, state_path, state_buckets) if state_path is not None else None
+    if tables is not None and batch_id is None:
+        batch_id = tables.next_batch()[0]
     if state is None and tables is not None:
         state = tables.state(before_batch=batch_id)
-    elif state is None and state_path is not None:
-        state = load_state(spark, state_path, before_batch=batch_id)
+    if snapshot_path is not None:
+        saved = read_latest_snapshot(spark, snapshot_path)
+        state = saved if state is None else state.union(saved)
     work = work_dir or scratch_path(spark, "run")
     res = ingest(messages, state, id_layer=id_layer, content_layer=content_layer,
                  work_dir=f"{work}/ingest")
-    classified = res.messages
-    if state_path is not None and not dry_run:
-        # two consumers (the record and the report): classify once
-        classified = materialize(classified, "", f"{work}/classified")
-        accepted = classified.where(F.col("status") == F.lit(NEW))
-        rows = tracking_rows(accepted, processed_at=processed_at)
-        if tables is not None:
-            tables.append(rows, batch_id)
-        else:
-            append_batch(rows, state_path, batch_id)
+    # the record and the report both read it: classify once
+    classified = materialize(res.messages, "classified", f"{work}/classified-{uuid.uuid4().hex[:12]}")
+    if tables is not None and not dry_run:
+        record_batch(tables, classified.where(F.col("status") == F.lit(NEW)), batch_id,
+                     processed_at=processed_at, snapshot_path=snapshot_path, replay=replay)
     stats = channel_stats(classified, ch)
-    return RunReport(classified, stats, run_totals(stats), res.rounds)
+    return RunReport(classified, stats, run_totals(stats), res.rounds, batch_id)

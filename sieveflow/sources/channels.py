@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 CHANNEL_LIST_SCHEMA = T.StructType([
     T.StructField("channel_ordinal", T.IntegerType(), False),
     T.StructField("channel", T.StringType(), True),
@@ -24,16 +26,23 @@ def channel_list(spark: SparkSession, channels: str | None) -> DataFrame:
         F.posexplode(F.split(F.lit(channels), ",", -1)).alias("channel_ordinal", "channel"))
 
 
+def channels_of(messages: DataFrame) -> DataFrame:
+    """The channel list of a whole feed: every channel that occurs, in
+    code-point order. Written, so that Spark knows its size."""
+    names = messages.select("channel_id").distinct().agg(
+        F.array_sort(F.collect_list("channel_id")).alias("names"))
+    return materialize(names.select(
+        F.posexplode("names").alias("channel_ordinal", "channel")), "channels")
+
+
 def in_channel_order(messages: DataFrame, channels: DataFrame,
                      seq_col: str = "seq") -> DataFrame:
     """Messages of the listed channels in processing order (Q13).
 
     Channels run one after another in list order, so the arrival order becomes
-    ``struct(channel_ordinal, seq)``. The channel list is a driver parameter
-    (its size is the setting's length), hence the broadcast.
+    ``struct(channel_ordinal, seq)``. Messages of other channels are left out.
     """
-    return (messages.join(F.broadcast(channels),
-                          messages["channel_id"] == channels["channel"], "inner")
+    return (messages.join(channels, messages["channel_id"] == channels["channel"], "inner")
             .withColumn(seq_col, F.struct(F.col("channel_ordinal").alias("channel_ordinal"),
                                           F.col(seq_col).alias("seq")))
             .drop("channel"))

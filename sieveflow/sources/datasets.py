@@ -26,10 +26,12 @@ def execute_query(spark: SparkSession, sql: str, params: tuple | list = (),
 
     ``fetch='one'`` -> at most the first row, ``'all'`` or ``None`` -> all
     rows. ``dataset`` names a dataset that must be registered (an unknown
-    name is an error, as in the reference)."""
+    name is an error). ``sql`` runs as a subquery, so anything but a query is a
+    syntax error and nothing is changed."""
     if dataset is not None and not spark.catalog.tableExists(dataset):
-        raise ValueError(f"Database {dataset} not registered")
-    df = spark.sql(sql, args=list(params)) if params else spark.sql(sql)
+        raise ValueError(f"no dataset is registered as {dataset!r}")
+    read = f"SELECT * FROM (\n{sql}\n)"
+    df = spark.sql(read, args=list(params)) if params else spark.sql(read)
     if fetch == "one":
         return df.limit(1)
     if fetch not in (None, "all"):

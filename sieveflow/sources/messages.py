@@ -105,10 +105,15 @@ def events_feed(spark: SparkSession, sf_dir: str, since: tuple | None = None) ->
     e = _table(spark, sf_dir, "events")
     if since is not None:
         e = since_filter(e, "ts", *since)
-    raw = e.select(F.col("user_id").alias("id"), F.col("event_type").alias("channel_id"),
-                   F.col("event_type").alias("channel"),
-                   F.concat("event_type", "props").alias("text"),
-                   F.col("ts").alias("date"), F.col("event_id").alias("seq"))
+    return event_messages(e)
+
+
+def event_messages(events: DataFrame) -> DataFrame:
+    """Mapping E on rows of the events table."""
+    raw = events.select(F.col("user_id").alias("id"), F.col("event_type").alias("channel_id"),
+                        F.col("event_type").alias("channel"),
+                        F.concat("event_type", "props").alias("text"),
+                        F.col("ts").alias("date"), F.col("event_id").alias("seq"))
     return with_fingerprint(normalize_messages(raw))
 
 

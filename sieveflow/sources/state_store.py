@@ -2,23 +2,29 @@
 
 Layout below a state folder (a shared path on the cluster):
 
-``tracking/batch_id=N/``  tracking rows (M3) appended by batch N (K7, K8, U2).
-                          A batch writes only its own folder and reads only
-                          lower batch ids, so a replayed batch overwrites its
-                          own output and sees the same state (S1).
-``metadata/``             (key, value, updated_at) rows, latest per key (K10).
+``tracking/segment=S/``   tracking rows (M3) of one write (K7, K8, U2).
+``commits/no=K/``         one row for each finished write: which batch (or, after
+                          a compaction, which batches) a segment holds. Rows count
+                          only once their commit is there, so readers never see
+                          half a batch, and the last commit of a batch wins (S1).
+``metadata/``             (key, value, updated_at) rows, latest per key (K9, K10).
 ``snapshot/version=N/``   JSON state documents (K11, D15), read back by K3.
 
 The tracking log is append-only: the hash memory therefore keeps the hashes of
 replaced rows (Q11), and "INSERT OR REPLACE" is a read view (W1).
-
-For long-running streams :class:`BucketedState` keeps the same log in two
-bucketed tables (by ID key and by hash), so that a batch's state lookups do
-not shuffle the history.
+:class:`FolderState` is this layout. :class:`BucketedState` keeps the rows, and
+the hashes a second time, in tables bucketed by the key that lookups join on,
+so that the history is not shuffled however large a batch is. A state has one
+writer at a time. What the driver reads is the commits since the last
+compaction: one row per batch.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +32,12 @@ from pyspark.sql import types as T
 
 from ..functions.text import DEFAULT_STATUS, TRACKER_VERSION, iso_datetime
 from ..operators.ingest import HASH_KEY, ID_KEY, IngestState
+from ..session import materialize
 
+# ---------------------------------------------------------------------------
+# Columns of the tracking and metadata tables (mark_* are ours) and
+# of the JSON state document.
+# ---------------------------------------------------------------------------
 TRACKING_SCHEMA = T.StructType([
     T.StructField("message_id", T.StringType(), False),
     T.StructField("channel_id", T.StringType(), False),
@@ -37,14 +48,28 @@ TRACKING_SCHEMA = T.StructType([
     T.StructField("processing_status", T.StringType()),
     T.StructField("ai_processed", T.BooleanType()),
     T.StructField("storage_path", T.StringType()),
+    T.StructField("mark_ordinal", T.LongType()),
     T.StructField("mark_seq", T.LongType()),
 ])
 LOG_SCHEMA = T.StructType(TRACKING_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
+_STORED_SCHEMA = T.StructType(LOG_SCHEMA.fields + [T.StructField("segment", T.StringType())])
+
+COMMIT_SCHEMA = T.StructType([
+    T.StructField("kind", T.StringType()),            # 'batch' or 'base'
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("segment", T.StringType()),
+    T.StructField("upto", T.LongType()),              # base: commits it stands for
+    T.StructField("generation", T.StringType()),
+    T.StructField("source", T.StringType()),          # stream that wrote the batch
+    T.StructField("source_batch", T.LongType()),
+    T.StructField("no", T.LongType()),
+])
 
 METADATA_SCHEMA = T.StructType([
     T.StructField("key", T.StringType(), False),
     T.StructField("value", T.StringType()),
     T.StructField("updated_at", T.TimestampNTZType()),
+    T.StructField("written_at", T.TimestampType()),
 ])
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -54,6 +79,7 @@ SNAPSHOT_SCHEMA = T.StructType([
     T.StructField("last_message_ids", T.MapType(T.StringType(), T.StringType())),
     T.StructField("saved_at", T.StringType()),
 ])
+# ---------------------------------------------------------------------------
 
 
 def _ts(value):
@@ -69,10 +95,10 @@ def _ts(value):
 def tracking_rows(messages: DataFrame, processed_at=None, status: str = DEFAULT_STATUS,
                   ai_processed: bool = False, storage_path: str | None = None,
                   seq: str = "seq") -> DataFrame:
-    """P5: project messages onto the tracking record (M3)."""
-    has_int_seq = (seq in messages.columns and isinstance(
-        messages.schema[seq].dataType, (T.LongType, T.IntegerType, T.ShortType)))
-    mark_seq = F.col(seq).cast("long") if has_int_seq else F.lit(None).cast("long")
+    """P5: project messages onto the tracking record (M3). The arrival order is
+    kept as ``(mark_ordinal, mark_seq)``: a whole number is the second of them,
+    a pair of whole numbers (channel order) both."""
+    mark_ordinal, mark_seq = _mark_order(messages, seq)
     return messages.select(
         F.col("message_id"), F.col("channel_id"), F.col("channel_name"),
         F.col("date").cast("timestamp_ntz").alias("date"), F.col("content_hash"),
@@ -80,7 +106,18 @@ def tracking_rows(messages: DataFrame, processed_at=None, status: str = DEFAULT_
         F.lit(status).alias("processing_status"),
         F.lit(bool(ai_processed)).alias("ai_processed"),
         F.lit(storage_path).cast("string").alias("storage_path"),
-        mark_seq.alias("mark_seq"))
+        mark_ordinal.alias("mark_ordinal"), mark_seq.alias("mark_seq"))
+
+
+def _mark_order(messages: DataFrame, seq: str) -> tuple[Column, Column]:
+    none = F.lit(None).cast("long")
+    kind = messages.schema[seq].dataType if seq in messages.columns else None
+    if isinstance(kind, T.IntegralType):
+        return none, F.col(seq).cast("long")
+    if (isinstance(kind, T.StructType) and len(kind) == 2
+            and all(isinstance(f.dataType, T.IntegralType) for f in kind)):
+        return tuple(F.col(f"{seq}.`{f.name}`").cast("long") for f in kind)
+    return none, none
 
 
 def tracking_rows_as_text(rows: DataFrame) -> DataFrame:
@@ -93,32 +130,233 @@ def tracking_rows_as_text(rows: DataFrame) -> DataFrame:
         F.col("ai_processed").cast("int").alias("ai_processed"), "storage_path")
 
 
-def init_state(spark: SparkSession, state_path: str, updated_at=None) -> None:
-    """K9 + K10: create the tracking table (empty, with its schema) and record
-    the tracker version."""
-    empty = spark.createDataFrame([], TRACKING_SCHEMA)
-    empty.write.mode("ignore").parquet(f"{state_path}/tracking/batch_id=-1")
-    put_metadata(spark, state_path, "tracker_version", TRACKER_VERSION, updated_at)
-
-
-def append_batch(rows: DataFrame, state_path: str, batch_id: int) -> None:
-    """Record a batch of tracking rows. Replaying ``batch_id``
-    overwrites exactly its own folder."""
-    rows.select(*[f.name for f in TRACKING_SCHEMA.fields]).write.mode("overwrite").parquet(
-        f"{state_path}/tracking/batch_id={int(batch_id)}")
-
-
-def read_log(spark: SparkSession, state_path: str,
-             before_batch: int | None = None) -> DataFrame:
-    """The append-only tracking log, optionally only batches < ``before_batch``
-    (partition pruning on the folder names)."""
+# -- the log ------------------------------------------------------------------
+
+@dataclass
+class Commits:
+    """The commits of a state: ``base`` (a compaction) and, for each later
+    batch, its last commit."""
+    rows: list
+    base: object | None
+    batches: dict
+
+    @staticmethod
+    def read(spark: SparkSession, root: str) -> "Commits":
+        rows = sorted(_read_or_empty(spark, f"{root}/commits", COMMIT_SCHEMA).collect(),
+                      key=lambda r: r["no"])
+        bases = [r for r in rows if r["kind"] == "base"]
+        base = bases[-1] if bases else None
+        after = base["upto"] if base else -1
+        return Commits(rows, base, {r["batch_id"]: r for r in rows
+                                    if r["kind"] == "batch" and r["no"] > after})
+
+    @property
+    def last_no(self) -> int:
+        return self.rows[-1]["no"] if self.rows else -1
+
+    @property
+    def last_batch(self) -> int:
+        return max([r["batch_id"] for r in self.rows], default=-1)
+
+    def has(self, batch_id: int) -> bool:
+        return any(r["batch_id"] == batch_id for r in self.rows if r["kind"] == "batch")
+
+    def segments(self) -> list[str]:
+        return ([self.base["segment"]] if self.base else []) + [
+            r["segment"] for r in self.batches.values()]
+
+    def live(self, stored: DataFrame) -> DataFrame:
+        """The committed rows of ``stored``, each batch as its last commit has it."""
+        segments = self.segments()
+        rows = stored.where(F.col("segment").isin(segments) if segments else F.lit(False))
+        if self.base is not None and (again := [b for b in self.batches if b <= self.base["batch_id"]]):
+            rows = rows.where((F.col("segment") != self.base["segment"])
+                              | ~F.col("batch_id").isin(again))
+        return rows
+
+
+def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     try:
-        log = spark.read.schema(LOG_SCHEMA).parquet(f"{state_path}/tracking")
-    except AnalysisException:
-        log = spark.createDataFrame([], LOG_SCHEMA)
-    if before_batch is not None:
-        log = log.where(F.col("batch_id") < F.lit(int(before_batch)))
-    return log
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+class FolderState:
+    """The state in plain folders, a segment for each write."""
+
+    FIRST = "g0"
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    # where the rows are
+
+    def _write(self, rows: DataFrame, segment: str, generation: str) -> None:
+        rows.write.mode("errorifexists").parquet(f"{self.root}/tracking/segment={segment}")
+
+    def _stored(self, spark: SparkSession, generation: str) -> DataFrame:
+        return _read_or_empty(spark, f"{self.root}/tracking", _STORED_SCHEMA)
+
+    def _stored_hashes(self, spark: SparkSession, generation: str) -> DataFrame:
+        return self._stored(spark, generation)
+
+    # commits
+
+    def _generation(self, commits: Commits) -> str:
+        return commits.base["generation"] if commits.base else self.FIRST
+
+    def _commit(self, no: int, kind: str, batch_id: int, segment: str, generation: str, upto=None,
+                source=None, source_batch=None) -> None:
+        row = (kind, int(batch_id), segment, upto, generation, source, source_batch)
+        schema = T.StructType(COMMIT_SCHEMA.fields[:-1])
+        (self.spark.createDataFrame([row], schema).coalesce(1)
+         .write.mode("errorifexists").parquet(f"{self.root}/commits/no={no}"))
+
+    def next_batch(self, source: str | None = None, source_batch: int | None = None) -> tuple[int, bool]:
+        """(batch id, whether it was recorded before). A stream's micro-batch
+        keeps the id it was recorded under; anything else gets the next one."""
+        commits = Commits.read(self.spark, self.root)
+        for r in commits.rows:
+            if source is not None and (r["source"], r["source_batch"]) == (source, source_batch):
+                return r["batch_id"], True
+        return commits.last_batch + 1, False
+
+    def append(self, rows: DataFrame, batch_id: int | None = None, *, replay: bool = False,
+               source: str | None = None, source_batch: int | None = None) -> int:
+        """Record a batch of tracking rows; returns its id (the next
+        one by default). A batch that is recorded already is replaced only by
+        a ``replay``."""
+        commits = Commits.read(self.spark, self.root)
+        batch_id = commits.last_batch + 1 if batch_id is None else int(batch_id)
+        if commits.has(batch_id) and not replay:
+            raise ValueError(f"batch {batch_id} is recorded already; replay=True replaces it")
+        segment, generation = _segment(), self._generation(commits)
+        batch = F.lit(batch_id).cast("long").alias("batch_id")
+        self._write(rows.select(*TRACKING_SCHEMA.names, batch), segment, generation)
+        self._commit(commits.last_no + 1, "batch", batch_id, segment, generation,
+                     source=source, source_batch=source_batch)
+        return batch_id
+
+    # reading
+
+    def _rows(self, stored, before_batch: int | None, spark: SparkSession | None) -> DataFrame:
+        spark = spark or self.spark
+        commits = Commits.read(spark, self.root)
+        rows = commits.live(stored(spark, self._generation(commits)))
+        return rows if before_batch is None else rows.where(F.col("batch_id") < int(before_batch))
+
+    def log(self, before_batch: int | None = None, spark: SparkSession | None = None) -> DataFrame:
+        """The tracking log, optionally only batches below ``before_batch``."""
+        return self._rows(self._stored, before_batch, spark).select(*LOG_SCHEMA.names)
+
+    def state(self, before_batch: int | None = None, spark: SparkSession | None = None) -> IngestState:
+        """The recorded keys, as they are stored (not made distinct)."""
+        return IngestState(self.log(before_batch, spark).select(*ID_KEY),
+                           self._rows(self._stored_hashes, before_batch, spark).select(*HASH_KEY))
+
+    # upkeep
+
+    def compact(self) -> None:
+        """Rewrites all live rows as one segment of a new generation. Readers
+        switch to it with its commit; :meth:`vacuum` removes what it replaces."""
+        commits = Commits.read(self.spark, self.root)
+        if not commits.rows:
+            return
+        segment = _segment()
+        self._write(self.log(), segment, segment)
+        self._commit(commits.last_no + 1, "base", commits.last_batch, segment, segment,
+                     upto=commits.last_no)
+
+    def retain(self, as_of, days: int) -> DataFrame:
+        """Drops the rows processed more than ``days`` days before
+        ``as_of``; returns one row ``(kept_rows, removed_rows)``. Only segments
+        that hold such rows are rewritten, one commit each; metadata stays."""
+        commits = Commits.read(self.spark, self.root)
+        generation = self._generation(commits)
+        keep = _is_kept(as_of, days)
+        live = commits.live(self._stored(self.spark, generation))
+        counts = materialize(live.groupBy("segment").agg(
+            F.count_if(keep).alias("kept"), F.count_if(~keep).alias("removed")), "retention")
+        expired = {r["segment"] for r in counts.where("removed > 0").select("segment").collect()}
+        no = commits.last_no
+        for r in [*([commits.base] if commits.base else []), *commits.batches.values()]:
+            if r["segment"] in expired:
+                segment, no = _segment(), no + 1
+                self._write(live.where(keep & (F.col("segment") == r["segment"]))
+                            .select(*LOG_SCHEMA.names), segment, generation)
+                self._commit(no, r["kind"], r["batch_id"], segment, generation, r["upto"],
+                             r["source"], r["source_batch"])
+        return counts.agg(F.coalesce(F.sum("kept"), F.lit(0)).alias("kept_rows"),
+                          F.coalesce(F.sum("removed"), F.lit(0)).alias("removed_rows"))
+
+    def vacuum(self) -> None:
+        """Deletes segments and commits that no reader needs any more. The last
+        commit of each stream stays, for its replay."""
+        commits = Commits.read(self.spark, self.root)
+        last = {r["source"]: r["no"] for r in commits.rows if r["source"] is not None}
+        live = {r["no"] for r in [*([commits.base] if commits.base else []), *commits.batches.values()]}
+        for r in commits.rows:
+            if r["no"] not in live and r["no"] not in last.values():
+                _delete(self.spark, f"{self.root}/commits/no={r['no']}")
+        self._vacuum_rows(commits)
+
+    def _vacuum_rows(self, commits: Commits) -> None:
+        keep = {f"segment={s}" for s in commits.segments()}
+        for name in _folders(self.spark, f"{self.root}/tracking"):
+            if name not in keep:
+                _delete(self.spark, f"{self.root}/tracking/{name}")
+
+
+def _segment() -> str:
+    return "s" + uuid.uuid4().hex[:16]
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _hadoop_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def open_state(spark: SparkSession, root: str, buckets: int | None = None,
+               updated_at=None) -> FolderState:
+    """The state in ``root``, created when there is none: its layout
+    and the tracker version are recorded in the metadata. ``buckets`` asks for
+    :class:`BucketedState`; an existing state keeps its layout, and asking for
+    another number of buckets is an error."""
+    meta = {r["key"]: r["value"] for r in read_metadata(spark, root).collect()}
+    if "tracker_version" not in meta:
+        put_metadata(spark, root, {"tracker_version": TRACKER_VERSION,
+                                   **({"state_buckets": str(int(buckets))} if buckets else {})},
+                     updated_at)
+        meta["state_buckets"] = str(int(buckets)) if buckets else None
+    stored = meta.get("state_buckets")
+    if buckets and stored != str(int(buckets)):
+        raise ValueError(f"the state in {root} has {stored or 'no'} buckets, not {buckets}")
+    return BucketedState(spark, root, int(stored)) if stored else FolderState(spark, root)
+
+
+def append_batch(rows: DataFrame, state_path: str, batch_id: int | None = None, *,
+                 replay: bool = False) -> int:
+    """Record a batch of tracking rows (see :meth:`FolderState.append`)."""
+    return open_state(rows.sparkSession, state_path).append(rows, batch_id, replay=replay)
+
+
+def read_log(spark: SparkSession, state_path: str, before_batch: int | None = None) -> DataFrame:
+    """The committed rows of the tracking log, optionally only batches below
+    ``before_batch``."""
+    return open_state(spark, state_path).log(before_batch)
 
 
 # -- K1 / K2 / U1 ---------------------------------------------------------------
@@ -136,13 +374,10 @@ def hash_state(log: DataFrame) -> DataFrame:
 
 def load_state(spark: SparkSession, state_path: str, before_batch: int | None = None,
                snapshot_path: str | None = None) -> IngestState:
-    """state = tracking log (batches < ``before_batch``) union a JSON
-    snapshot, set semantics."""
-    log = read_log(spark, state_path, before_batch)
-    st = IngestState(log.select(*ID_KEY), log.select(*HASH_KEY))
-    if snapshot_path:
-        st = st.union(read_snapshot(spark, snapshot_path))
-    return st
+    """state = tracking log (batches < ``before_batch``) and the latest JSON
+    snapshot below ``snapshot_path``, set semantics."""
+    st = open_state(spark, state_path).state(before_batch)
+    return st.union(read_latest_snapshot(spark, snapshot_path)) if snapshot_path else st
 
 
 # -- W1 / K10 --------------------------------------------------------------------
@@ -154,27 +389,33 @@ def latest_per_key(log: DataFrame, key: list[str] | None = None,
     ``max_by`` over a struct: a partial aggregation, so a hot key is combined
     before the shuffle instead of being sorted in one task."""
     key = key or ID_KEY
-    order = order or [c for c in ("processed_at", "batch_id", "mark_seq") if c in log.columns]
+    order = order or [c for c in ("processed_at", "batch_id", "mark_ordinal", "mark_seq")
+                      if c in log.columns]
     rest = [c for c in log.columns if c not in key]
     best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
     return log.groupBy(*key).agg(best).select(*key, *[F.col(f"_row.{c}").alias(c)
                                                        for c in rest])
 
 
-def put_metadata(spark: SparkSession, state_path: str, key: str, value: str,
+def put_metadata(spark: SparkSession, state_path: str, values: dict[str, str],
                  updated_at=None) -> None:
-    """Upsert one metadata entry (append; latest per key wins)."""
-    row = spark.range(1).select(F.lit(key).alias("key"), F.lit(value).alias("value"),
-                                _ts(updated_at).alias("updated_at"))
-    row.write.mode("append").parquet(f"{state_path}/metadata")
+    """Upsert metadata entries (append; latest per key wins)."""
+    rows = spark.createDataFrame(list(values.items()), "key string, value string").coalesce(1)
+    (rows.select("key", "value", _ts(updated_at).alias("updated_at"),
+                 F.current_timestamp().alias("written_at"))
+     .write.mode("append").parquet(f"{state_path}/metadata"))
 
 
 def read_metadata(spark: SparkSession, state_path: str) -> DataFrame:
-    try:
-        m = spark.read.schema(METADATA_SCHEMA).parquet(f"{state_path}/metadata")
-    except AnalysisException:
-        m = spark.createDataFrame([], METADATA_SCHEMA)
-    return latest_per_key(m, ["key"], ["updated_at"])
+    """(key, value, updated_at), the last write of each key, and what the
+    commits tell: ``last_batch_id`` (when a batch is recorded)."""
+    m = _read_or_empty(spark, f"{state_path}/metadata", METADATA_SCHEMA)
+    last = (_read_or_empty(spark, f"{state_path}/commits", COMMIT_SCHEMA)
+            .agg(F.max("batch_id").alias("value")).where("value is not null")
+            .select(F.lit("last_batch_id").alias("key"), F.col("value").cast("string").alias("value"),
+                    F.lit(None).cast("timestamp_ntz").alias("updated_at")))
+    return (latest_per_key(m, ["key"], ["written_at"]).drop("written_at")
+            .where("key <> 'last_batch_id'").unionByName(last))
 
 
 # -- K11 / K3 / D15 ----------------------------------------------------------------
@@ -188,8 +429,9 @@ def snapshot_documents(state: IngestState, saved_at: str, marks: DataFrame | Non
     IDs are chunked by ``pmod(xxhash64(id), K)`` with K = ids / chunk_rows, so
     every (channel, chunk) group holds about ``chunk_rows`` IDs or fewer,
     however large the channel."""
-    ids = state.distinct_ids()
-    hashes = state.distinct_hashes()
+    # four readers: two counts and two sets of documents
+    ids = materialize(state.distinct_ids(), "snapshot-ids")
+    hashes = materialize(state.distinct_hashes(), "snapshot-hashes")
     n_ids = total_ids if total_ids is not None else ids.count()
     n_hashes = total_hashes if total_hashes is not None else hashes.count()
     k_ids = max(1, -(-n_ids // chunk_rows))
@@ -242,89 +484,89 @@ def read_snapshot(spark: SparkSession, path: str, multi_line: bool = False) -> I
     return IngestState(ids, hashes)
 
 
+def read_latest_snapshot(spark: SparkSession, path: str) -> IngestState:
+    """The highest version below ``path``; no snapshot: an empty state."""
+    versions = [int(n.split("=")[1]) for n in _folders(spark, path) if n.startswith("version=")]
+    if not versions:
+        return IngestState.empty(spark)
+    return read_snapshot(spark, f"{path}/version={max(versions)}")
+
+
 # -- D11 -----------------------------------------------------------------------------
 
+def _is_kept(as_of, days: int) -> Column:
+    return F.col("processed_at") >= _ts(as_of) - F.make_interval(days=F.lit(int(days)))
+
+
 def retention_split(log: DataFrame, as_of, days: int) -> tuple[DataFrame, DataFrame]:
     """(kept, removed) tracking rows for a retention of ``days`` days
     before ``as_of``. Removing rows re-admits their messages."""
-    cutoff = _ts(as_of) - F.make_interval(days=F.lit(int(days)))
-    keep = F.col("processed_at") >= cutoff
+    keep = _is_kept(as_of, days)
     return log.where(keep), log.where(~keep)
 
 
-def apply_retention(spark: SparkSession, state_path: str, new_state_path: str, as_of,
-                    days: int) -> DataFrame:
-    """Write the retained tracking rows as a new state folder (same batch
-    folders, old rows dropped) and return one row ``(kept_rows,
-    removed_rows)``. The old folder is left as it is: readers switch to the
-    new one, so a failure half-way never damages the live state."""
-    log = read_log(spark, state_path)
-    kept, _ = retention_split(log, as_of, days)
-    (kept.write.mode("overwrite").partitionBy("batch_id")
-     .parquet(f"{new_state_path}/tracking"))
-    cutoff = _ts(as_of) - F.make_interval(days=F.lit(int(days)))
-    is_kept = (F.col("processed_at") >= cutoff).cast("int")
-    return log.agg(F.coalesce(F.sum(is_kept), F.lit(0)).cast("long").alias("kept_rows"),
-                   F.coalesce(F.sum(1 - is_kept), F.lit(0)).cast("long").alias("removed_rows"))
+def apply_retention(spark: SparkSession, state_path: str, as_of, days: int) -> DataFrame:
+    """D11 on a recorded state (see :meth:`FolderState.retain`)."""
+    return open_state(spark, state_path).retain(as_of, days)
 
 
 # -- bucketed layout for long-running ingest (S1) ------------------------------------
 
-class BucketedState:
+class BucketedState(FolderState):
     """The tracking log as two bucketed tables, for streams that run long.
 
-    With the folder layout every batch re-shuffles the whole history of state
-    keys to look up its own keys. Here the rows are stored bucketed by the ID
-    key (``CLUSTERED BY (channel_id, message_id)``) and the hashes in a second
-    table bucketed by ``content_hash``: the state side of a lookup is then a
-    bucketed scan with no exchange, and only the batch's keys are shuffled.
-
-    Each batch appends one file per bucket (rows are repartitioned by the
-    bucket key first). A replayed batch appends its rows again; every reader
-    works on distinct keys (state, W1, statistics), and a batch reads only
-    ``batch_id < its own``, so the duplicates change no result.
+    Rows are stored bucketed by the ID key and, a second time and only their
+    hashes, by ``content_hash``: the state side of a lookup is a bucketed scan
+    with no exchange, so only the batch's keys are shuffled. Each batch appends
+    one file per bucket and table that it has rows for; :meth:`compact` writes
+    a new generation of both tables with one file per bucket. The number of
+    buckets belongs to the data: it is recorded by :func:`open_state`.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64,
-                 name: str | None = None):
-        import hashlib
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), int(buckets)
-        base = name or "sf_state_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
-        self.rows_table, self.hash_table = f"{base}_rows", f"{base}_hashes"
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in LOG_SCHEMA.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.rows_table} ({cols}) USING parquet "
-                  f"CLUSTERED BY (channel_id, message_id) INTO {self.buckets} BUCKETS "
-                  f"LOCATION '{self.root}/rows'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.hash_table} "
-                  f"(content_hash string, batch_id bigint) USING parquet "
-                  f"CLUSTERED BY (content_hash) INTO {self.buckets} BUCKETS "
-                  f"LOCATION '{self.root}/hashes'")
-
-    def append(self, rows: DataFrame, batch_id: int) -> None:
-        """Record a batch of tracking rows (in the session of ``rows``)."""
-        b = F.lit(int(batch_id)).cast("long").alias("batch_id")
-        (rows.select(*[f.name for f in TRACKING_SCHEMA.fields], b)
-         .repartition(self.buckets, "channel_id", "message_id")
-         .write.insertInto(self.rows_table))
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        super().__init__(spark, root)
+        self.buckets = int(buckets)
+        self.name = "sf_state_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
+
+    def _table(self, spark: SparkSession, generation: str, which: str) -> str:
+        name = f"{self.name}_{generation}_{which}"
+        key, fields = {"rows": ("channel_id, message_id", _STORED_SCHEMA),
+                       "hashes": ("content_hash", _HASHES_SCHEMA)}[which]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                  f"CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS "
+                  f"LOCATION '{self.root}/tables/{generation}/{which}'")
+        return name
+
+    def _write(self, rows: DataFrame, segment: str, generation: str) -> None:
+        spark = rows.sparkSession
+        rows = rows.select(*LOG_SCHEMA.names, F.lit(segment).alias("segment"))
+        (rows.repartition(self.buckets, *ID_KEY)
+         .write.insertInto(self._table(spark, generation, "rows")))
         (rows.where("content_hash is not null and content_hash <> ''")
-         .select("content_hash", b).repartition(self.buckets, "content_hash")
-         .write.insertInto(self.hash_table))
-
-    def _read(self, table: str, spark: SparkSession | None) -> DataFrame:
-        # Writes may come from another session (foreachBatch runs in a clone
-        # of the stream's session): drop any cached file listing first.
-        s = spark or self.spark
-        s.catalog.refreshTable(table)
-        return s.table(table)
-
-    def log(self, before_batch: int | None = None,
-            spark: SparkSession | None = None) -> DataFrame:
-        t = self._read(self.rows_table, spark)
-        return t if before_batch is None else t.where(F.col("batch_id") < int(before_batch))
-
-    def state(self, before_batch: int | None = None,
-              spark: SparkSession | None = None) -> IngestState:
-        h = self._read(self.hash_table, spark)
-        if before_batch is not None:
-            h = h.where(F.col("batch_id") < int(before_batch))
-        return IngestState(self.log(before_batch, spark).select(*ID_KEY), h.select(*HASH_KEY))
+         .select(*_HASHES_SCHEMA.names).repartition(self.buckets, *HASH_KEY)
+         .write.insertInto(self._table(spark, generation, "hashes")))
+
+    def _read_table(self, spark: SparkSession, generation: str, which: str) -> DataFrame:
+        # writes may come from another session (foreachBatch runs in a clone of
+        # the stream's session): drop any cached file listing first
+        name = self._table(spark, generation, which)
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
+
+    def _stored(self, spark: SparkSession, generation: str) -> DataFrame:
+        return self._read_table(spark, generation, "rows")
+
+    def _stored_hashes(self, spark: SparkSession, generation: str) -> DataFrame:
+        return self._read_table(spark, generation, "hashes")
+
+    def _vacuum_rows(self, commits: Commits) -> None:
+        """Whole generations go; rows of a replaced batch go with the next compaction."""
+        for generation in _folders(self.spark, f"{self.root}/tables"):
+            if generation != self._generation(commits):
+                for which in ("rows", "hashes"):
+                    self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{generation}_{which}")
+                _delete(self.spark, f"{self.root}/tables/{generation}")
+
+
+_HASHES_SCHEMA = T.StructType([_STORED_SCHEMA[c] for c in ("content_hash", "batch_id", "segment")])

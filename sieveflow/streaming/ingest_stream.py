@@ -4,14 +4,14 @@
 against the state recorded by the *earlier* batches and then writes
 
 * its classified messages to ``output/batch_id=N`` and
-* its accepted messages to the tracking log (``state/tracking/batch_id=N``,
-  or with ``state_buckets`` the bucketed tables of :class:`BucketedState`, so
-  a batch's state lookups shuffle only the batch, not the growing history).
+* its accepted messages to the state, in either layout of ``state_store``.
 
-The output write overwrites the batch's own folder, and the state read is
-"batch id below N", so replaying a batch after a failure reads the same state
-and writes the same rows (exactly-once output). The streaming checkpoint records which
-files a batch took; a stopped query resumes with the next batch (S2).
+N is the state's batch id. The state remembers which stream and micro-batch it
+recorded as N, so a micro-batch that is run again after a failure gets the same
+N, reads the same state ("batch id below N") and replaces exactly its own
+output; a stream started anew on the same state continues behind it. The
+streaming checkpoint records which files a batch took; a stopped query resumes
+with the next batch (S2).
 
 Arrival order is (micro-batch, seq): messages of a later micro-batch are later
 than every message of an earlier one, whatever their ``seq``.
@@ -23,6 +23,7 @@ the two-key fold (chaining them gives the two-pass answer), and
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,59 +33,67 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import NEW
 from ..operators.ingest import ingest
-from ..sources.state_store import BucketedState, append_batch, load_state, tracking_rows
+from ..plans.run import record_batch
+from ..sources.state_store import open_state, read_latest_snapshot
 
 CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date", "seq",
                       "content_hash", "status", "is_duplicate", "reason"]
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, *, state_path: str, output_path: str,
+def ingest_batch(batch: DataFrame, source_batch: int, *, state_path: str, output_path: str,
                  to_messages: Callable[[DataFrame], DataFrame], processed_at=None,
-                 state_buckets: int | None = None,
-                 tables: BucketedState | None = None) -> int:
+                 state_buckets: int | None = None, source: str = "batches",
+                 snapshot_path: str | None = None, compact_every: int | None = None) -> int:
     """One micro-batch (also usable from a plain batch job). Returns the
-    number of rounds the matching took. ``state_buckets`` (or ready ``tables``)
-    selects the bucketed state layout (:class:`BucketedState`), whose lookups
-    shuffle only the batch."""
-    messages = to_messages(batch)
+    number of rounds the matching took. ``source`` and ``source_batch`` name
+    the micro-batch; the same pair again is a replay. ``compact_every`` batches
+    the state is compacted, so that its number of files stays flat."""
     spark = batch.sparkSession
-    if tables is None and state_buckets:
-        tables = BucketedState(spark, state_path, state_buckets)
-    state = (tables.state(before_batch=batch_id, spark=spark) if tables
-             else load_state(spark, state_path, before_batch=batch_id))
-    res = ingest(messages, state)
-    out_dir = f"{output_path}/batch_id={int(batch_id)}"
-    (res.messages.select(*CLASSIFIED_COLUMNS).withColumn("batch_id", F.lit(int(batch_id)))
+    tables = open_state(spark, state_path, state_buckets)
+    batch_id, again = tables.next_batch(source, int(source_batch))
+    state = tables.state(before_batch=batch_id, spark=spark)
+    if snapshot_path is not None:
+        state = state.union(read_latest_snapshot(spark, snapshot_path))
+    res = ingest(to_messages(batch), state)
+    out_dir = f"{output_path}/batch_id={batch_id}"
+    (res.messages.select(*CLASSIFIED_COLUMNS).withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").parquet(out_dir))
     # the accepted rows come from the written output: the status join is not
     # computed again for the state writes
     accepted = spark.read.parquet(out_dir).where(F.col("status") == F.lit(NEW))
-    ts = processed_at if processed_at is not None else F.col("date")
-    rows = tracking_rows(accepted, processed_at=ts)
-    if tables:
-        tables.append(rows, batch_id)
-    else:
-        append_batch(rows, state_path, batch_id)
+    record_batch(tables, accepted, batch_id, replay=again, source=source,
+                 source_batch=int(source_batch), snapshot_path=snapshot_path,
+                 processed_at=processed_at if processed_at is not None else F.col("date"))
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        tables.compact()
+        tables.vacuum()
     return res.rounds
 
 
+def _stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The id that a checkpoint gives its query for life."""
+    text = spark.read.text(f"{checkpoint_location}/metadata", wholetext=True).first()[0]
+    return json.loads(text)["id"]
+
+
 def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.StructType,
                         *, state_path: str, output_path: str, checkpoint_location: str,
                         to_messages: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        processed_at=None,
-                        state_buckets: int | None = None) -> StreamingQuery:
+                        processed_at=None, state_buckets: int | None = None,
+                        snapshot_path: str | None = None,
+                        compact_every: int | None = None) -> StreamingQuery:
     """Start the streaming ingest over files arriving in ``source_path``."""
     reader = spark.readStream.schema(source_schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(source_path)
-    tables = BucketedState(spark, state_path, state_buckets) if state_buckets else None
 
     def run(batch: DataFrame, batch_id: int) -> None:
         ingest_batch(batch, batch_id, state_path=state_path, output_path=output_path,
                      to_messages=to_messages, processed_at=processed_at,
-                     tables=tables)
+                     state_buckets=state_buckets, snapshot_path=snapshot_path,
+                     compact_every=compact_every, source=_stream_id(spark, checkpoint_location))
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation",
                                                          checkpoint_location)
@@ -99,12 +108,23 @@ def read_stream_output(spark: SparkSession, output_path: str) -> DataFrame:
 def stream_bursts(stream: DataFrame, gap_seconds: int, watermark: str,
                   time_col: str = "date") -> DataFrame:
     """D5 on a stream: per channel, sessions of messages no more than
-    ``gap_seconds`` apart (``session_window``), closed by the watermark.
-    Late rows never join a closed burst, so this equals the batch D5 on
-    in-order data."""
+    ``gap_seconds`` apart (``session_window``), closed by the watermark. Rows
+    up to ``watermark`` late join their burst. A row without a channel only
+    moves the watermark: :func:`end_of_feed` closes the last bursts with one."""
     ts = stream.withColumn(time_col, F.col(time_col).cast("timestamp"))
     return (ts.withWatermark(time_col, watermark)
             .groupBy("channel_id", F.session_window(time_col, f"{int(gap_seconds)} seconds")
                      .alias("burst"))
-            .agg(F.count(F.lit(1)).alias("messages"),
-                 F.min(time_col).alias("burst_start"), F.max(time_col).alias("burst_end")))
+            .agg(F.count("channel_id").alias("messages"),
+                 F.min(time_col).alias("burst_start"), F.max(time_col).alias("burst_end"))
+            # on a count: a condition on the channel would be pushed below the watermark
+            .where("messages > 0"))
+
+
+def end_of_feed(messages: DataFrame, gap_seconds: int, lateness_seconds: int = 0,
+                time_col: str = "date") -> DataFrame:
+    """D5 on a stream: one row (null channel, a date past every burst) that a
+    feed that has ended puts behind its messages, so that all bursts come out."""
+    past = F.make_interval(secs=F.lit(int(gap_seconds) + int(lateness_seconds) + 1))
+    return messages.agg((F.max(time_col) + past).alias(time_col)).select(
+        F.lit(None).cast("string").alias("channel_id"), time_col)

@@ -53,6 +53,24 @@ def test_rate_text_matches_python(spark):
     assert got == want
 
 
+def test_rate_text_of_large_totals_matches_python(spark):
+    import random
+    rng = random.Random(3)
+    pairs = [(d, t) for t in (2_000, 4_000, 10_000) for d in range(t + 1)]
+    pairs += [(rng.randrange(t + 1), t) for t in (rng.randrange(1, 10**9) for _ in range(20_000))]
+    pairs += [(d, 200_000) for d in range(0, 200_001, 7)]
+    df = spark.createDataFrame(pairs, "d long, t long")
+    got = [r[0] for r in df.select(percent_text("d", "t")).collect()]
+    assert got == [f"{(d / t * 100):.1f}%" for d, t in pairs]
+
+
+def test_seconds_text_matches_python(spark):
+    from sieveflow.functions.text import seconds_text
+    values = [i / 1000 for i in range(0, 20_000, 3)] + [0.125, 2.675, 1e6 + 0.005, 1234567.891]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(seconds_text("x")).collect()] == [f"{v:.2f}s" for v in values]
+
+
 def test_iso_datetime_like_python(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:07.179575",), ("2024-01-02 10:11:12",)],
                                "s string")

@@ -1,5 +1,5 @@
 """The parallel ingest against the sequential fold on small key domains (many
-collisions), with and without prior state, salted and unsalted."""
+collisions), with and without prior state, with broadcast and shuffled joins."""
 
 import random
 
@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from sieveflow.operators.ingest import IngestState, ingest
-from sieveflow.operators.skew import SkewConfig
 from tests.fold import sequential_fold
 
 SCHEMA = "seq long, channel_id string, message_id string, content_hash string"
@@ -19,11 +18,11 @@ def random_rows(rng, n, n_chan, n_ids, n_hashes):
              f"h{rng.randrange(n_hashes)}") for s in seqs]
 
 
-def run(spark, rows, state_ids=(), state_hashes=(), skew=None):
+def run(spark, rows, state_ids=(), state_hashes=()):
     df = spark.createDataFrame(rows, SCHEMA)
     st = IngestState(spark.createDataFrame(list(state_ids), "channel_id string, message_id string"),
                      spark.createDataFrame([(h,) for h in state_hashes], "content_hash string"))
-    res = ingest(df, st, skew=skew)
+    res = ingest(df, st)
     return {r.seq: r.status for r in res.messages.select("seq", "status").collect()}, res.rounds
 
 
@@ -36,25 +35,26 @@ def test_random_against_fold(spark, seed):
     assert rounds >= 1
 
 
-@pytest.mark.parametrize("seed,broadcast_rows", [(4, 2_000_000), (5, 0)])
-def test_random_with_state_against_fold(spark, seed, broadcast_rows):
-    """Small sides broadcast (the default at this size) and shuffled alike."""
-    rng = random.Random(seed)
-    rows = random_rows(rng, 250, 2, 30, 30)
-    sid = {(f"c{rng.randrange(2)}", str(rng.randrange(30))) for _ in range(15)}
-    sh = {f"h{rng.randrange(30)}" for _ in range(10)}
-    got, _ = run(spark, rows, sid, sh, skew=SkewConfig(broadcast_rows=broadcast_rows))
-    assert got == sequential_fold(rows, sid, sh)
+@pytest.fixture(params=["broadcast", "shuffle"])
+def joins(request, spark):
+    """Small sides broadcast (as Spark does at this size) and shuffled alike."""
+    if request.param == "shuffle":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
-def test_salted_path_equals_fold(spark):
-    rng = random.Random(7)
-    rows = random_rows(rng, 300, 2, 20, 15)
+def test_random_with_state_against_fold(spark, joins):
+    rng = random.Random(4)
+    rows = random_rows(rng, 250, 2, 30, 30)
     # one hot hash (a third of the rows share the empty text)
     rows += [(10_000 + i, "c0", str(500 + i), "h_empty") for i in range(150)]
-    got, _ = run(spark, rows, skew=SkewConfig(min_rows=3, max_keys=10, buckets=5,
-                                              rows_per_bucket=20, broadcast_rows=0))
-    assert got == sequential_fold(rows)
+    sid = {(f"c{rng.randrange(2)}", str(rng.randrange(30))) for _ in range(15)}
+    sh = {f"h{rng.randrange(30)}" for _ in range(10)}
+    got, _ = run(spark, rows, sid, sh)
+    assert got == sequential_fold(rows, sid, sh)
 
 
 def test_two_pass_counterexample(spark):
@@ -165,38 +165,29 @@ def test_layers_with_state(spark):
     assert only_hash == {1: "new", 2: "new", 3: "dup_content", 4: "dup_content"}
 
 
-def test_salted_membership_equals_plain(spark):
-    """J1-J4 with every key hot (one bucket per 2 rows) equal the plain joins."""
+def test_membership_against_sets(spark, joins):
+    """J1-J4 against plain sets, the state being a union of two."""
     from sieveflow.operators import membership
     rng = random.Random(9)
     rows = random_rows(rng, 200, 2, 10, 8)
     df = spark.createDataFrame(rows, SCHEMA)
-    st = IngestState(df.where("seq % 3 = 0").select("channel_id", "message_id"),
-                     df.where("seq % 5 = 0").select("content_hash"))
-    salted = SkewConfig(min_rows=2, max_keys=100, rows_per_bucket=2, buckets=7,
-                        broadcast_rows=0)
-    plain = SkewConfig(enabled=False)
-    for fn in (membership.id_members, membership.content_members,
-               membership.filter_against_state):
-        a = sorted(r.seq for r in fn(df, st, skew=salted).collect())
-        b = sorted(r.seq for r in fn(df, st, skew=plain).collect())
-        assert a == b
-    a = sorted((r.seq, r.status) for r in
-               membership.classify_against_state(df, st, skew=salted).collect())
-    b = sorted((r.seq, r.status) for r in
-               membership.classify_against_state(df, st, skew=plain).collect())
-    assert a == b
-
-
-def test_hot_key_list_is_bounded(spark):
-    from sieveflow.operators.skew import count_keys, find_hot_keys, hot_keys
-    df = spark.range(0, 3000).selectExpr("cast(id % 50 as string) as k")
-    cfg = SkewConfig(min_rows=10, max_keys=7, rows_per_bucket=25, buckets=3)
-    hot = hot_keys(count_keys(df, ["k"]), ["k"], "_sf_n", cfg)
-    rows = hot.collect()
-    assert len(rows) == 7                       # 50 keys qualify, the list is capped
-    assert {r._sf_nb for r in rows} == {3}      # 60 rows / 25 per bucket -> 3 (cap 3)
-    assert find_hot_keys(df, ["k"], SkewConfig(min_rows=10_000)) is None
+
+    def part(which):
+        return IngestState(df.where(f"seq % 3 = 0 and seq % 2 = {which}").select("channel_id", "message_id"),
+                           df.where(f"seq % 25 = {which}").select("content_hash"))
+
+    st = part(0).union(part(1))
+    ids = {(c, m) for s, c, m, _ in rows if s % 3 == 0}
+    hashes = {h for s, _, _, h in rows if s % 25 < 2}
+    by_id = sorted(s for s, c, m, _ in rows if (c, m) in ids)
+    by_hash = sorted(s for s, _, _, h in rows if h in hashes)
+    assert sorted(r.seq for r in membership.id_members(df, st).collect()) == by_id
+    assert sorted(r.seq for r in membership.content_members(df, st).collect()) == by_hash
+    assert (sorted(r.seq for r in membership.filter_against_state(df, st).collect())
+            == sorted({r[0] for r in rows} - set(by_id) - set(by_hash)))
+    got = {r.seq: r.status for r in membership.classify_against_state(df, st).collect()}
+    assert got == {r[0]: "dup_id" if r[0] in by_id else "dup_content" if r[0] in by_hash else "new"
+                   for r in rows}
 
 
 def test_null_keys_fail_fast(spark):
@@ -217,14 +208,9 @@ def test_empty_input(spark):
     assert run_totals(stats).first().duplicate_rate_text == "0%"
 
 
-def test_compact_hash_roundtrip(spark):
-    import hashlib
-    from sieveflow.operators.ingest import _compact_hash, _expand_hash
-    vals = [hashlib.sha256(b"x").hexdigest(), "h1", "a", "\n", "", "41", "A",
-            hashlib.sha256(b"x").hexdigest().upper()]
-    df = spark.createDataFrame([(v,) for v in vals], "content_hash string")
-    c = df.select(_compact_hash().alias("content_hash"))
-    assert c.distinct().count() == len(set(vals))          # injective
-    back = [r[0] for r in c.select(_expand_hash()).collect()]
-    assert back == vals
-    assert len(c.first()[0]) == 33
+def test_round_tables_of_an_earlier_call_are_not_read(spark, tmp_path):
+    chain = [(i, "c", f"id{(i + 1) // 2}", f"h{i // 2}") for i in range(1, 13)]
+    short = [(1, "c", "id9", "h9"), (2, "c", "id9", "h8")]
+    for rows in (chain, short):
+        res = ingest(spark.createDataFrame(rows, SCHEMA), work_dir=str(tmp_path / "work"))
+        assert {r.seq: r.status for r in res.messages.collect()} == sequential_fold(rows)

@@ -149,18 +149,111 @@ def test_sql_over_named_dataset(spark, tmp_path):
 
 def test_process_channels_records_and_dry_run(spark, tmp_state):
     m = msgs(spark, [("1", "a", "x"), ("2", "a", "x"), ("3", "b", "y")])
-    dry = process_channels(m, channels="a,b", state_path=tmp_state, batch_id=0, dry_run=True,
+    dry = process_channels(m, channels="a,b", state_path=tmp_state, dry_run=True,
                            processed_at="2024-01-01")
     assert dry.totals.first().new_messages == 2
     assert ss.read_log(spark, tmp_state).count() == 0
-    run = process_channels(m, channels="a,b", state_path=tmp_state, batch_id=0,
+    run = process_channels(m, channels="a,b", state_path=tmp_state, processed_at="2024-01-01")
+    assert (run.batch_id, run.totals.first().new_messages) == (0, 2)
+    again = process_channels(m, channels="a,b", state_path=tmp_state, processed_at="2024-01-02")
+    assert (again.batch_id, again.totals.first().new_messages) == (1, 0)
+    # another run keeps what is recorded
+    process_channels(msgs(spark, [("9", "a", "z")]), state_path=tmp_state, processed_at="2024-01-03")
+    assert sorted(r.message_id for r in ss.read_log(spark, tmp_state).collect()) == ["1", "3", "9"]
+
+
+def test_recorded_batch_is_replaced_by_a_replay_only(spark, tmp_state):
+    first = msgs(spark, [("1", "a", "x"), ("2", "a", "y")])
+    process_channels(first, state_path=tmp_state, processed_at="2024-01-01")
+    other = msgs(spark, [("1", "a", "x"), ("3", "a", "q")])
+    with pytest.raises(ValueError):
+        process_channels(other, state_path=tmp_state, batch_id=0, processed_at="2024-01-01")
+    run = process_channels(other, state_path=tmp_state, batch_id=0, replay=True,
                            processed_at="2024-01-01")
     assert run.totals.first().new_messages == 2
-    again = process_channels(m, channels="a,b", state_path=tmp_state, batch_id=1,
-                             processed_at="2024-01-02")
+    assert sorted(r.message_id for r in ss.read_log(spark, tmp_state).collect()) == ["1", "3"]
+
+
+def test_channels_of_a_feed_leave_nothing_out(spark):
+    from sieveflow.sources.channels import channels_of
+    m = msgs(spark, [(str(i), "big", f"t{i}") for i in range(1500)] + [("1", "", "x"), ("2", "odd", "y")])
+    assert [tuple(r) for r in channels_of(m).orderBy("channel_ordinal").collect()] == [
+        (0, ""), (1, "big"), (2, "odd")]
+    run = process_channels(m, channels=channels_of(m), dry_run=True)
+    assert {r.channel_id: r.total_messages for r in run.channel_stats.collect()} == {
+        "": 1, "big": 1500, "odd": 1}
+
+
+def test_snapshot_is_merged_and_written(spark, tmp_state, tmp_path):
+    snap = str(tmp_path / "snapshots")
+    process_channels(msgs(spark, [("1", "a", "x")]), state_path=tmp_state, snapshot_path=snap,
+                     processed_at="2024-01-01")
+    # a new state folder starts from the documents alone
+    run = process_channels(msgs(spark, [("1", "a", "q"), ("2", "a", "x"), ("3", "a", "z")]),
+                           state_path=str(tmp_path / "other"), snapshot_path=snap,
+                           processed_at="2024-01-02", batch_id=1)
+    assert {r.message_id: r.status for r in run.classified.collect()} == {
+        "1": "dup_id", "2": "dup_content", "3": "new"}
+    latest = ss.read_latest_snapshot(spark, snap)
+    assert sorted(r.message_id for r in latest.distinct_ids().collect()) == ["1", "3"]
+
+
+def test_uncommitted_rows_do_not_count(spark, tmp_state):
+    for buckets in (None, 4):
+        root = f"{tmp_state}-{buckets}"
+        tables = ss.open_state(spark, root, buckets)
+        rows = ss.tracking_rows(msgs(spark, [("1", "a", "x")]), processed_at="2024-01-01")
+        tables.append(rows)
+        # a write that stops before its commit
+        late = ss.tracking_rows(msgs(spark, [("2", "a", "y")]), processed_at="2024-01-01")
+        tables._write(late.withColumn("batch_id", F.lit(1).cast("long")), "lost", "g0")
+        assert [r.message_id for r in tables.log().collect()] == ["1"]
+        assert tables.state().distinct_hashes().count() == 1
+
+
+def test_bucket_count_belongs_to_the_state(spark, tmp_state):
+    ids = [(str(i), "a", f"t{i}") for i in range(200)]
+    process_channels(msgs(spark, ids), state_path=tmp_state, state_buckets=8, processed_at="2024-01-01")
+    for table in spark.catalog.listTables():
+        if table.name.startswith("sf_state_"):
+            spark.sql(f"DROP TABLE {table.name}")       # a fresh catalogue
+    with pytest.raises(ValueError):
+        ss.open_state(spark, tmp_state, 4)
+    assert ss.load_state(spark, tmp_state).distinct_ids().count() == 200
+    again = process_channels(msgs(spark, [(i, c, t + " edited") for i, c, t in ids]),
+                             state_path=tmp_state, processed_at="2024-01-02")
     assert again.totals.first().new_messages == 0
 
 
+def test_last_write_with_channel_order(spark, tmp_state):
+    from sieveflow.sources.channels import in_channel_order
+    m = msgs(spark, [("1", "a", "first"), ("1", "a", "second")])
+    rows = ss.tracking_rows(in_channel_order(m, channel_list(spark, "b,a")), processed_at="2024-01-01")
+    assert {(r.mark_ordinal, r.mark_seq) for r in rows.collect()} == {(1, 1), (1, 2)}
+    ss.append_batch(rows, tmp_state)
+    latest = ss.latest_per_key(ss.read_log(spark, tmp_state)).first()
+    assert latest.content_hash == m.where("seq = 2").first().content_hash
+
+
+def test_empty_channel_survives_json(spark, tmp_path):
+    m = msgs(spark, [("1", "", "x"), ("2", "a/b", "y"), ("3", None, "z")])
+    export.write_json(m, str(tmp_path / "json"))
+    back = export.read_json(spark, str(tmp_path / "json"), m.select(*export.EXPORT_COLUMNS).schema)
+    assert sorted((r.channel_id, r.message_id) for r in back.collect()) == [
+        ("", "1"), ("", "3"), ("a/b", "2")]
+
+
+def test_sql_changes_nothing(spark):
+    from pyspark.errors import ParseException
+    spark.range(3).createOrReplaceTempView("keep_me")
+    with pytest.raises(ParseException):
+        datasets.execute_query(spark, "DROP VIEW keep_me", dataset="keep_me")
+    with pytest.raises(ParseException):
+        datasets.execute_query(spark, "SELECT 1); DROP VIEW keep_me --")
+    assert datasets.execute_query(spark, "WITH a AS (SELECT * FROM keep_me) SELECT * FROM a -- all",
+                                  fetch="all").count() == 3
+
+
 def test_limit_per_channel_in_run(spark):
     m = msgs(spark, [(str(i), "a", f"t{i}") for i in range(10)])
     run = process_channels(m, limit_per_channel=3)
@@ -175,20 +268,31 @@ def test_value_and_user_mappings(spark):
     assert u.accepted().count() == 150 and u.rounds == 6
 
 
-def test_apply_retention_rewrites_state(spark, tmp_state, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_retention_rewrites_only_what_expired(spark, tmp_state, buckets):
     m = msgs(spark, [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")])
-    ss.append_batch(ss.tracking_rows(m.where("message_id = '1'"), processed_at="2024-01-01"),
-                    tmp_state, 0)
-    ss.append_batch(ss.tracking_rows(m.where("message_id <> '1'"), processed_at="2024-01-20"),
-                    tmp_state, 1)
-    new = str(tmp_path / "retained")
-    counts = ss.apply_retention(spark, tmp_state, new, "2024-01-25", 10).first()
+    tables = ss.open_state(spark, tmp_state, buckets)
+    tables.append(ss.tracking_rows(m.where("message_id = '1'"), processed_at="2024-01-01"))
+    tables.append(ss.tracking_rows(m.where("message_id <> '1'"), processed_at="2024-01-20"))
+    meta = {r.key: r.value for r in ss.read_metadata(spark, tmp_state).collect()}
+    assert ("state_buckets" in meta) == (buckets is not None)
+    before = ss.Commits.read(spark, tmp_state).batches
+    counts = ss.apply_retention(spark, tmp_state, "2024-01-25", 10).first()
     assert (counts.kept_rows, counts.removed_rows) == (2, 1)
-    st = ss.load_state(spark, new)
+    after = ss.Commits.read(spark, tmp_state).batches
+    assert after[1] == before[1] and after[0] != before[0]
+    assert {r.key: r.value for r in ss.read_metadata(spark, tmp_state).collect()} == {
+        **meta, "last_batch_id": "1"} and meta["tracker_version"] == "2.0.0"
+    st = ss.load_state(spark, tmp_state)
     assert sorted(r.message_id for r in st.distinct_ids().collect()) == ["2", "3"]
     # the dropped message is admitted again
     again = ingest(m, st)
     assert {r.message_id: r.status for r in again.messages.collect()}["1"] == "new"
+    # also out of a compacted state
+    tables.compact()
+    tables.append(ss.tracking_rows(msgs(spark, [("4", "b", "w")]), processed_at="2024-02-20"))
+    ss.apply_retention(spark, tmp_state, "2024-02-25", 10)
+    assert [r.message_id for r in tables.log().collect()] == ["4"]
 
 
 def test_snapshot_keeps_marks(spark, tmp_path):
@@ -203,11 +307,11 @@ def test_snapshot_keeps_marks(spark, tmp_path):
 
 def test_process_channels_with_bucketed_state(spark, tmp_state):
     m = msgs(spark, [("1", "a", "x"), ("2", "a", "x"), ("3", "b", "y")])
-    first = process_channels(m, channels="a,b", state_path=tmp_state, batch_id=0,
+    first = process_channels(m, channels="a,b", state_path=tmp_state,
                              processed_at="2024-01-01", state_buckets=4)
     assert first.totals.first().new_messages == 2
     m2 = msgs(spark, [("1", "a", "z"), ("9", "b", "y"), ("7", "c", "q")])
-    second = process_channels(m2, channels="a,b,c", state_path=tmp_state, batch_id=1,
-                              processed_at="2024-01-02", state_buckets=4)
+    second = process_channels(m2, channels="a,b,c", state_path=tmp_state,
+                              processed_at="2024-01-02")
     got = {r.message_id: r.status for r in second.classified.collect()}
     assert got == {"1": "dup_id", "9": "dup_content", "7": "new"}

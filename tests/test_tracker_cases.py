@@ -64,14 +64,16 @@ def test_filter_does_not_mark(spark):
 
 
 def test_statistics(spark, tmp_state):
-    ss.init_state(spark, tmp_state, updated_at="2024-01-01 00:00:00")
+    ss.open_state(spark, tmp_state, updated_at="2024-01-01 00:00:00")
+    ss.put_metadata(spark, tmp_state, {"tracker_version": "1.9"}, "2024-01-01 00:00:00")
+    ss.put_metadata(spark, tmp_state, {"tracker_version": "2.0.0"}, "2024-01-01 00:00:00")
     ss.append_batch(ss.tracking_rows(msgs(spark, SAMPLE), processed_at="2024-01-01"),
                     tmp_state, 0)
     s = tracker_statistics(ss.read_log(spark, tmp_state)).first()
     assert (s.channels_tracked, s.total_messages_tracked, s.content_hashes, s.total_in_db,
             s.version) == (2, 3, 3, 3, "2.0.0")
     meta = {r.key: r.value for r in ss.read_metadata(spark, tmp_state).collect()}
-    assert meta == {"tracker_version": "2.0.0"}
+    assert meta == {"tracker_version": "2.0.0", "last_batch_id": "0"}
 
 
 def test_restart_sees_marks(spark, tmp_state):
