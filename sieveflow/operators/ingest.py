@@ -12,8 +12,8 @@ graph whose edges are the messages, and it is computed in rounds of
    state is read once per key type: the batch's keys it holds are written as
    a batch-sized table);
 2. a live edge wins when it holds the smallest ``seq`` of its ID *and* of its
-   hash -- two ``min(struct)`` aggregations (combined map-side, so hot keys
-   are no problem) and an inner join of their results on ``seq``;
+   hash: one ``min(struct)`` aggregation over both ends of the edges (combined
+   map-side, so hot keys are no problem), then the edges that come out twice;
 3. remove every live edge that shares an ID or a hash with a winner (two anti
    joins), write the rest to the shared checkpoint folder, repeat until nothing
    is live. The smallest live ``seq`` always wins, so every round makes
@@ -179,17 +179,8 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     while n_live > 0:
         if max_rounds is not None and len(kept_rounds) >= max_rounds:
             raise RuntimeError(f"ingest did not converge in {max_rounds} rounds")
-        g1 = (live.groupBy(*ID_KEY)
-              .agg(F.min(F.struct(F.col(seq).alias("s"), F.col("content_hash").alias("h")))
-                   .alias("m"))
-              .select(*ID_KEY, F.col("m.s").alias(seq), F.col("m.h").alias("content_hash")))
-        g2 = (live.groupBy(*HASH_KEY)
-              .agg(F.min(F.struct(F.col(seq).alias("s"), F.col("channel_id").alias("c"),
-                                  F.col("message_id").alias("i"))).alias("m"))
-              .select(*HASH_KEY, F.col("m.s").alias(seq), F.col("m.c").alias("channel_id"),
-                      F.col("m.i").alias("message_id")))
         path = f"{work}/kept/round={len(kept_rounds)}"
-        winners = _write(g1.join(g2, [seq, *ID_KEY, *HASH_KEY], "inner"), path)
+        winners = _write(_locally_first(live, seq), path)
         kept_rounds.append(path)
         live = _write(live.join(winners.select(*ID_KEY), ID_KEY, "left_anti")
                       .join(winners.select(*HASH_KEY), HASH_KEY, "left_anti"),
@@ -223,6 +214,19 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     return IngestResult(_finish(out), len(kept_rounds), kept)
 
 
+def _locally_first(live: DataFrame, seq: str) -> DataFrame:
+    """The edges that come first at both of their ends, the ID and the hash."""
+    edge = F.struct(F.col(seq).alias("s"), *ID_KEY, *HASH_KEY)
+    id_end = F.struct(F.lit(0).alias("end"), F.col("channel_id").alias("a"), F.col("message_id").alias("b"))
+    hash_end = F.struct(F.lit(1).alias("end"), F.col("content_hash").alias("a"), F.lit("").alias("b"))
+    first = (live.select(F.explode(F.array(id_end, hash_end)).alias("end"), edge.alias("edge"))
+             .groupBy("end").agg(F.min("edge").alias("edge")))
+    return (first.groupBy("edge").agg(F.count(F.lit(1)).alias("ends")).where("ends = 2")
+            .select("edge.channel_id", "edge.message_id", "edge.content_hash",
+                    F.col("edge.s").alias(seq))
+            .dropna(subset=[*ID_KEY, *HASH_KEY]))     # an end that is null meets no other
+
+
 def _single_layer(messages: DataFrame, state_keys: list[DataFrame] | None, key: list[str], dup: str,
                   seq: str, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""

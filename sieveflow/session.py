@@ -4,12 +4,13 @@ folder used to cut lineage and hold intermediate tables.
 Library code never invents a machine-local folder on a cluster: it reads
 ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir). Only a
 ``local[...]`` master without that setting gets a temporary folder, which is
-the test / laptop case.
+the test / laptop case. Intermediate tables lie in a folder of the application;
+:func:`clear_scratch` deletes it when its results have been written.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -17,8 +18,10 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
-                  app: str = "sieveflow", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a local session configured like a small cluster."""
+                  app: str = "sieveflow", extra: dict | None = None,
+                  checkpoint_dir: str | None = None) -> SparkSession:
+    """Build (or reuse) a local session configured like a small cluster;
+    ``checkpoint_dir`` names its folder for intermediate tables."""
     parts = shuffle_partitions or (int(cores) if str(cores).isdigit() else 8)
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -34,9 +37,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if not os.environ.get("SIEVEFLOW_NO_LOCAL_CHECKPOINT_DIR"):
-        builder = builder.config(
-            "spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -57,7 +59,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if root:
             sc.setCheckpointDir(root)
     if not root:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a shared folder "
                 "(HDFS/S3/ABFS) that all executors can reach")
@@ -67,9 +69,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_root(spark)}/sieveflow/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/sieveflow/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application. Results read from
+    them lazily: write those first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str, path: str | None = None):

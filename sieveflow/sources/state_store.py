@@ -485,11 +485,13 @@ def read_snapshot(spark: SparkSession, path: str, multi_line: bool = False) -> I
 
 
 def read_latest_snapshot(spark: SparkSession, path: str) -> IngestState:
-    """The highest version below ``path``; no snapshot: an empty state."""
-    versions = [int(n.split("=")[1]) for n in _folders(spark, path) if n.startswith("version=")]
-    if not versions:
+    """The highest version below ``path``, or the documents right in it;
+    no snapshot: an empty state."""
+    names = _folders(spark, path)
+    versions = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
+    if not names:
         return IngestState.empty(spark)
-    return read_snapshot(spark, f"{path}/version={max(versions)}")
+    return read_snapshot(spark, f"{path}/version={max(versions)}" if versions else path)
 
 
 # -- D11 -----------------------------------------------------------------------------
