@@ -38,15 +38,6 @@ def test_scan_rank_and_lag_equal_window(spark):
     assert got.where("channel_id = 'hot'").select("_slice").distinct().count() > 1
 
 
-def test_running_sum_equals_window(spark):
-    df = frame(spark).withColumn("v", (F.col("seq") % 3).cast("long"))
-    got = ordered.running_sum(df, ["channel_id"], ["date", "seq"], "v", "cum", slices=5)
-    w = Window.partitionBy("channel_id").orderBy("date", "seq").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    want = df.select("seq", F.sum("v").over(w).alias("cum"))
-    assert ({r.seq: r.cum for r in got.collect()} == {r.seq: r.cum for r in want.collect()})
-
-
 def test_bursts_equal_plain_windows(spark):
     df = frame(spark)
     got = temporal.burst_ids(df, 30, slices=6)
