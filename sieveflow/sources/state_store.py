@@ -203,6 +203,10 @@ class FolderState:
     def _stored_hashes(self, spark: SparkSession, generation: str) -> DataFrame:
         return self._stored(spark, generation)
 
+    def _files(self, generation: str) -> DataFrame:
+        """The stored rows as plain files, to be written anew."""
+        return self._stored(self.spark, generation)
+
     # commits
 
     def _generation(self, commits: Commits) -> str:
@@ -266,7 +270,8 @@ class FolderState:
         if not commits.rows:
             return
         segment = _segment()
-        self._write(self.log(), segment, segment)
+        live = commits.live(self._files(self._generation(commits)))
+        self._write(live.select(*LOG_SCHEMA.names), segment, segment)
         self._commit(commits.last_no + 1, "base", commits.last_batch, segment, segment,
                      upto=commits.last_no)
 
@@ -277,7 +282,7 @@ class FolderState:
         commits = Commits.read(self.spark, self.root)
         generation = self._generation(commits)
         keep = _is_kept(as_of, days)
-        live = commits.live(self._stored(self.spark, generation))
+        live = commits.live(self._files(generation))
         counts = materialize(live.groupBy("segment").agg(
             F.count_if(keep).alias("kept"), F.count_if(~keep).alias("removed")), "retention")
         expired = {r["segment"] for r in counts.where("removed > 0").select("segment").collect()}
@@ -562,6 +567,11 @@ class BucketedState(FolderState):
     def _stored_hashes(self, spark: SparkSession, generation: str) -> DataFrame:
         return self._read_table(spark, generation, "hashes")
 
+    def _files(self, generation: str) -> DataFrame:
+        # a scan that knows its buckets would let Spark leave out the shuffle
+        # before the write, and then the buckets of the scan as well
+        return _read_or_empty(self.spark, f"{self.root}/tables/{generation}/rows", _STORED_SCHEMA)
+
     def _vacuum_rows(self, commits: Commits) -> None:
         """Whole generations go; rows of a replaced batch go with the next compaction."""
         for generation in _folders(self.spark, f"{self.root}/tables"):

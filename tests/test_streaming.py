@@ -164,7 +164,8 @@ def test_number_of_files_stays_flat(spark, tmp_path):
                                    state_buckets=2, compact_every=3)
         most.append(len(list((tmp_path / "state").rglob("*.parquet"))))
     assert open_state(spark, root).log().count() == 12
-    assert max(most[9:]) <= max(most[6:9]) <= max(most[3:6])
+    # commits, metadata and one file per bucket and table; then three small batches
+    assert most[5] == most[8] == most[11] <= 7 and max(most) <= 7 + 2 * 3
 
 
 def _plan(df) -> str:
@@ -192,10 +193,8 @@ def test_history_is_not_shuffled(spark, tmp_path):
         sides = [(ID_KEY, state.id_parts()), (HASH_KEY, state.hash_parts())]
         for key, parts in sides:
             plan = _plan(keys_in_state(batch, parts, key))
-            assert "BroadcastHashJoin" in plan
-            # one exchange, above the join: the distinct hits
-            assert plan.count("Exchange hashpartitioning") == 1, plan
-            assert plan.index("Exchange hashpartitioning") < plan.index("BroadcastHashJoin")
+            # an exchange, if any, is above the join: the distinct hits
+            assert "Exchange hashpartitioning" not in plan.split("BroadcastHashJoin")[1], plan
         if buckets:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
             try:
