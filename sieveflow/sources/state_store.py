@@ -246,20 +246,24 @@ class FolderState:
 
     # reading
 
-    def _rows(self, stored, before_batch: int | None, spark: SparkSession | None) -> DataFrame:
-        spark = spark or self.spark
-        commits = Commits.read(spark, self.root)
+    def _rows(self, stored, commits: Commits, before_batch: int | None, spark: SparkSession) -> DataFrame:
         rows = commits.live(stored(spark, self._generation(commits)))
         return rows if before_batch is None else rows.where(F.col("batch_id") < int(before_batch))
 
     def log(self, before_batch: int | None = None, spark: SparkSession | None = None) -> DataFrame:
         """The tracking log, optionally only batches below ``before_batch``."""
-        return self._rows(self._stored, before_batch, spark).select(*LOG_SCHEMA.names)
+        spark = spark or self.spark
+        commits = Commits.read(spark, self.root)
+        return self._rows(self._stored, commits, before_batch, spark).select(*LOG_SCHEMA.names)
 
     def state(self, before_batch: int | None = None, spark: SparkSession | None = None) -> IngestState:
         """The recorded keys, as they are stored (not made distinct)."""
-        return IngestState(self.log(before_batch, spark).select(*ID_KEY),
-                           self._rows(self._stored_hashes, before_batch, spark).select(*HASH_KEY))
+        spark = spark or self.spark
+        commits = Commits.read(spark, self.root)
+        if not commits.rows:
+            return IngestState.empty(spark)
+        return IngestState(self._rows(self._stored, commits, before_batch, spark).select(*ID_KEY),
+                           self._rows(self._stored_hashes, commits, before_batch, spark).select(*HASH_KEY))
 
     # upkeep
 
@@ -340,7 +344,9 @@ def open_state(spark: SparkSession, root: str, buckets: int | None = None,
     and the tracker version are recorded in the metadata. ``buckets`` asks for
     :class:`BucketedState`; an existing state keeps its layout, and asking for
     another number of buckets is an error."""
-    meta = {r["key"]: r["value"] for r in read_metadata(spark, root).collect()}
+    # a few rows: entries are written when a state is created
+    entries = _read_or_empty(spark, f"{root}/metadata", METADATA_SCHEMA).collect()
+    meta = {r["key"]: r["value"] for r in sorted(entries, key=lambda r: r["written_at"])}
     if "tracker_version" not in meta:
         put_metadata(spark, root, {"tracker_version": TRACKER_VERSION,
                                    **({"state_buckets": str(int(buckets))} if buckets else {})},
