@@ -421,10 +421,9 @@ def read_metadata(spark: SparkSession, state_path: str) -> DataFrame:
     """(key, value, updated_at), the last write of each key, and what the
     commits tell: ``last_batch_id`` (when a batch is recorded)."""
     m = _read_or_empty(spark, f"{state_path}/metadata", METADATA_SCHEMA)
-    last = (_read_or_empty(spark, f"{state_path}/commits", COMMIT_SCHEMA)
-            .agg(F.max("batch_id").alias("value")).where("value is not null")
-            .select(F.lit("last_batch_id").alias("key"), F.col("value").cast("string").alias("value"),
-                    F.lit(None).cast("timestamp_ntz").alias("updated_at")))
+    batch = Commits.read(spark, state_path).last_batch
+    last = spark.createDataFrame([("last_batch_id", str(batch), None)] if batch >= 0 else [],
+                                 T.StructType(METADATA_SCHEMA.fields[:3]))
     return (latest_per_key(m, ["key"], ["written_at"]).drop("written_at")
             .where("key <> 'last_batch_id'").unionByName(last))
 
