@@ -30,6 +30,11 @@ from sieveflow.session import materialize, scratch_path
 
 STRIPE_BYTES = 32 << 20
 ROW_INDEX = 5_000
+#: rows that go to a Python worker at a time
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: bytes of text encoded at a time; their ids take several times as much
+_ENCODE_BYTES = 2 << 20
 #: about how many bytes of text one written part holds
 PART_BYTES = 64 << 20
 
@@ -41,7 +46,7 @@ def token_ids(text: str | Column, tokenizer: str, end_id: int | None) -> Column:
     def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         enc = encoder(tokenizer, True)
         for batch in batches:
-            parts = [_with_end(*enc.encode(s), end_id) for s in slices(batch)]
+            parts = [_with_end(*enc.encode(s), end_id) for s in slices(batch, _ENCODE_BYTES)]
             yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
 
     return encoded(F.col(text) if isinstance(text, str) else text)
@@ -90,13 +95,20 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k
     out = (ordered.select(F.spark_partition_id().alias("part"), "doc_id", F.col("_tie").alias("tie"),
                           token_ids("_text", tokenizer, end_id).alias("ids"))
            .select("part", "doc_id", "tie", F.size("ids").cast("long").alias("n_tokens"), "ids"))
-    (out.write.mode("errorifexists")
-     .option("compression", "zstd")
-     .option("orc.stripe.size", STRIPE_BYTES)
-     .option("orc.row.index.stride", ROW_INDEX)
-     .option("orc.bloom.filter.columns", "doc_id")
-     .option("orc.bloom.filter.fpp", 0.01)
-     .orc(path))
+    writer = (out.write.mode("errorifexists")
+              .option("compression", "zstd")
+              .option("orc.stripe.size", STRIPE_BYTES)
+              .option("orc.row.index.stride", ROW_INDEX)
+              .option("orc.bloom.filter.columns", "doc_id")
+              .option("orc.bloom.filter.fpp", 0.01))
+    # a batch of texts and one of ids are held on both sides of the Python worker
+    spark = docs.sparkSession
+    before = spark.conf.get(_BATCH_CONF)
+    spark.conf.set(_BATCH_CONF, BATCH_ROWS)
+    try:
+        writer.orc(path)
+    finally:
+        spark.conf.set(_BATCH_CONF, before)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

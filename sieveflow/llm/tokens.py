@@ -318,8 +318,10 @@ def _safe_cuts(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """``texts`` with nulls as empty texts, in slices of about SLICE_BYTES."""
+def slices(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """``texts`` with nulls as empty texts, in slices of about ``size`` bytes
+    (SLICE_BYTES by default)."""
+    size = size or SLICE_BYTES
     texts = pc.fill_null(texts, "")
     if not len(texts):
         return
@@ -327,7 +329,7 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
     at = 0
     while at < len(texts):
         before = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
         yield texts.slice(at, stop - at)
         at = stop
 
