@@ -1,11 +1,14 @@
 """Operator 8: packing by optimal length buckets.
 
-Texts are cut into sequences of at most ``max_len`` words (nothing is lost:
-a long text gives several). The global histogram of their lengths has at most
-``max_len`` + 1 rows; a dynamic program over it chooses the ``buckets`` upper
+Texts are cut into sequences of at most ``max_len`` units (nothing is lost: a
+long text gives several). A unit is a word, or each ``UNIT_CHARS`` characters
+begun of a longer one, so text without white space is cut too and a sequence
+holds at most ``max_len`` * ``UNIT_CHARS`` characters besides white space. These
+are no tokens: with ``tokenizer`` a unit is a token of operator 7. The global
+histogram of the lengths has at most ``max_len`` + 1 rows; a dynamic program over it chooses the ``buckets`` upper
 lengths that pad least in total. Inside a bucket sequences follow each other
 in the order of a hash, and every run of ``budget // bucket length`` of them is
-a batch of at most ``budget`` padded words.
+a batch of at most ``budget`` padded units.
 
 Scale: one partial aggregation for the histogram, which is all that the driver
 sees. The position in a bucket is a two-level running count: within 4,096 hash
@@ -19,10 +22,12 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sieveflow.llm.mixing import word_count
+from sieveflow.llm.tokens import token_count
 from sieveflow.session import materialize
 
 MAX_LEN, BUCKETS, BUDGET = 2_048, 8, 16_384
+#: characters of a word (at most 4 bytes each) that count as one unit
+UNIT_CHARS = 64
 _RANGE_DIGITS = 3
 
 
@@ -35,7 +40,7 @@ def best_buckets(histogram: dict[int, int], buckets: int) -> list[int]:
         return []
     count = np.concatenate(([0], np.cumsum([histogram[int(v)] for v in lens])))
     k, m = min(buckets, len(lens)), len(lens)
-    # padded words when the first i lengths are in b buckets
+    # padded units when the first i lengths are in b buckets
     far = np.iinfo(np.int64).max // 4
     best = np.full(m + 1, far)
     best[0] = 0
@@ -54,10 +59,19 @@ def best_buckets(histogram: dict[int, int], buckets: int) -> list[int]:
     return out[::-1]
 
 
-def sequences(docs: DataFrame, id_col: str, text_col: str, max_len: int) -> DataFrame:
+def unit_count(text: str) -> Column:
+    """Words of a text (null: 0); a word of over ``UNIT_CHARS`` characters
+    counts once for each ``UNIT_CHARS`` begun."""
+    unit = rf"[^\x20\x09-\x0D]{{1,{UNIT_CHARS}}}"
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(unit)), F.lit(0)).cast("long")
+
+
+def sequences(docs: DataFrame, id_col: str, text_col: str, max_len: int,
+              tokenizer: str | None = None) -> DataFrame:
     """(id, piece, start, length, h): the sequences of every row; a text
-    without words gives one of length 0."""
-    words = docs.select(F.col(id_col).alias("id"), word_count(text_col).alias("words"),
+    without units gives one of length 0."""
+    units = unit_count(text_col) if tokenizer is None else token_count(text_col, tokenizer)
+    words = docs.select(F.col(id_col).alias("id"), units.alias("words"),
                         F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit("")).alias("digest"))
     last = F.greatest(F.ceil(F.col("words") / max_len) - 1, F.lit(0))
     cut = words.select("id", "words", "digest", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
@@ -76,19 +90,20 @@ def _bucket(bounds: list[int]) -> Column:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_len: int = MAX_LEN,
-         buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+         buckets: int = BUCKETS, budget: int = BUDGET, tokenizer: str | None = None) -> DataFrame:
     """(``id_col``, piece, start, length, bucket, bucket_len, batch, slot), one
     row per sequence.
 
-    ``start`` and ``length`` are words of the text; ``batch`` counts from 0
-    within the bucket and ``slot`` within the batch. All batches of a bucket
+    ``start`` and ``length`` are units of the text: words, cut every
+    ``UNIT_CHARS`` characters, or with ``tokenizer`` (see ``count_tokens``) the
+    text's token ids; ``batch`` counts from 0 within the bucket and ``slot`` within the batch. All batches of a bucket
     are full but the last. Null and empty texts give one sequence of length 0;
     null ids and repeated rows are rows like any other (wholly equal ones take
     neighbouring places). No rows: an empty result. Other columns are not read.
     """
     if max_len < 1 or buckets < 1 or budget < max_len:
         raise ValueError("max_len and buckets must be positive and a batch must hold max_len")
-    seqs = materialize(sequences(docs, id_col, text_col, max_len), "packing")
+    seqs = materialize(sequences(docs, id_col, text_col, max_len, tokenizer), "packing")
     histogram = {r["length"]: r["n"] for r in seqs.groupBy("length").agg(F.count("*").alias("n")).collect()}
     bounds = best_buckets(histogram, buckets) or [max_len]
     ranged = (seqs.withColumn("bucket", _bucket(bounds))

@@ -12,6 +12,7 @@ from sieveflow.llm.mixing import mix_documents, mix_plan
 from sieveflow.llm.oracle import ORACLE_SQL, _op8
 from sieveflow.llm.packing import best_buckets, pack
 from sieveflow.llm.sharding import assign_shards
+from sieveflow.llm.tokens import tokenizer_path
 
 
 def rows_of(n=900, seed=1):
@@ -199,3 +200,32 @@ def test_pack_of_no_or_empty_rows(spark):
     df = docs_of(spark, [(1, None, "s"), (2, "", "s")])
     assert [r["length"] for r in pack(df).collect()] == [0, 0]
     assert pack(df.limit(0)).count() == 0
+
+
+def test_pack_cuts_text_without_white_space(spark):
+    rows = [(1, "漢" * 20_000, "s"), (2, "a few words", "s"), (3, "x" * 64 + " " + "y" * 65, "s")]
+    got = pack(docs_of(spark, rows), max_len=64, buckets=4, budget=256).collect()
+    pieces = sorted((r["piece"], r["start"], r["length"]) for r in got if r["doc_id"] == 1)
+    assert pieces == [(k, 64 * k, min(64, 313 - 64 * k)) for k in range(5)]
+    assert {r["doc_id"]: r["length"] for r in got if r["doc_id"] > 1} == {2: 3, 3: 3}
+
+
+def test_pack_in_tokens_round_trip(spark):
+    from tokenizers import Tokenizer
+
+    name = "byte_bpe_50k.json"
+    tok = Tokenizer.from_file(tokenizer_path(name))
+    rows = [(1, "漢字かな" * 300, "s"), (2, "a few words of text", "s"), (3, None, "s"), (4, "", "s"),
+            (5, "QUJDREVGR0g" * 200, "s"), (6, "words " * 500, "s")]
+    got = pack(docs_of(spark, rows, extra=True), max_len=64, buckets=4, budget=256, tokenizer=name).collect()
+    batches = Counter()
+    for r in got:
+        assert r["length"] <= r["bucket_len"] <= 64
+        batches[r["bucket"], r["batch"]] += r["bucket_len"]
+    assert max(batches.values()) <= 256
+    for i, text, _ in rows:
+        ids = tok.encode(text or "", add_special_tokens=False).ids
+        cut = sorted((r["start"], r["length"]) for r in got if r["doc_id"] == i)
+        back = [t for s, n in cut for t in ids[s:s + n]]
+        assert back == ids and sum(n for _, n in cut) == len(ids)
+        assert tok.decode(back, skip_special_tokens=False) == (text or "")
