@@ -6,8 +6,8 @@ Training is plain numpy on labelled windows; prediction cuts a *whole* text
 into overlapping windows of fixed length, runs them in batches and averages
 the windows' probabilities, weighted by the letters they hold.
 
-The training sample is bounded by ``SampleSize`` (rows per language by a hash
-threshold from exact counts, windows per row), so the driver holds a few MB
+The training sample is bounded by ``SampleSize`` (distinct texts per language
+by a hash threshold from exact counts, windows per text), so the driver holds a few MB
 whatever the table's size. Prediction is a map without a shuffle; the model
 travels in the function's closure (about 30 KB).
 """
@@ -27,9 +27,10 @@ UNKNOWN = "und"
 
 @dataclass(frozen=True)
 class SampleSize:
-    """Bounds of the training sample: expected rows per language (a hash
-    threshold draws them), windows taken per row, languages at most (the most
-    frequent ones; a label beyond them is not learned)."""
+    """Bounds of the training sample: expected distinct texts per language (a
+    hash threshold draws them; a language with fewer gives all), windows taken
+    per text, languages at most (those with most rows that can be learned from;
+    a label beyond them is not learned)."""
 
     rows_per_lang: int = 1_500
     windows_per_row: int = 4
@@ -164,16 +165,17 @@ def training_rows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     """A bounded sample of (snippet, language) from labelled rows.
 
     A row belongs when the hash of its text is below its language's share
-    (``rows_per_lang`` / rows of the language, counted exactly); snippets start
+    (``rows_per_lang`` / distinct texts of the language, counted exactly by
+    their 64-bit hashes, so copies do not shrink the sample); snippets start
     at hashed places all over the text. Rows without a letter teach nothing.
     The result does not depend on how the table is partitioned.
     """
     rows = (docs.select(F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("l"))
             .where(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}"))
             .withColumn("h", F.xxhash64("t", "l")))
-    counts = {r["l"]: r["n"] for r in docs.select(F.col(lang_col).cast("string").alias("l"),
-                                                   F.col(text_col).alias("t"))
-              .where("l is not null and t is not null").groupBy("l").agg(F.count("*").alias("n"))
+    # copies are combined before the shuffle: one row for each distinct text and language
+    counts = {r["l"]: r["texts"] for r in rows.groupBy("l", "h").agg(F.count("*").alias("n"))
+              .groupBy("l").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
               .orderBy(F.desc("n"), "l").limit(size.langs).collect()}
     if not counts:
         return []

@@ -79,3 +79,16 @@ def test_nothing_to_learn(spark):
     assert langid.fit(langid.learnable(df)) is None
     assert {r["lang_pred"] for r in langid.predict_language(df, None).collect()} == {"und"}
     assert langid.fit(langid.learnable(df.limit(0))) is None
+
+
+def test_copies_do_not_shrink_the_sample(spark):
+    """Every language keeps min(rows_per_lang, distinct) texts whatever its
+    copies and its letterless rows."""
+    size = langid.SampleSize(rows_per_lang=10)
+    copies = [(f"a text number {'abcdefgh'[i % 8]}", "aa") for i in range(2_000)]
+    rest = [("one lone text", "bb")] * 1_000 + [("12 !? 3", "cc")] * 1_000 + [("some letters", "cc")]
+    df = spark.createDataFrame(copies + rest, "text string, lang string")
+    got = langid.training_rows(df, size=size)
+    assert got == sorted({*copies, ("one lone text", "bb"), ("some letters", "cc")})
+    many = spark.range(4_000).select(F.concat(F.lit("text "), F.col("id") % 2_000).alias("text"), F.lit("aa").alias("lang"))
+    assert 60 < len(langid.training_rows(many, size=langid.SampleSize(rows_per_lang=100))) < 140
