@@ -20,9 +20,12 @@ from sieveflow.session import materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: texts whose language cannot be told (null, empty, without a
-    letter, or nothing was learned) go; a missing ``lang`` is filled in."""
+    """Operator 1: texts without a letter (null and empty ones too) go; a
+    missing ``lang`` is filled in, or stays null when there was nothing to
+    learn from."""
     model = fit(learnable(docs))
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     cols = docs.columns
     rows = predict_language(docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_doc"), "text"),
                             model, lang_col="_lang_pred", score_col="_score")

@@ -130,3 +130,13 @@ def test_no_query_uses_a_row_pickling_udf(spark):
     for name in ("op3_shards", "op5_source_mix", "op8_packed_batches"):
         text = entry.queries()[name](spark, SF)._jdf.queryExecution().toString()
         assert "BatchEvalPython" not in text and "CartesianProduct" not in text
+
+
+def test_unlabelled_corpus_keeps_its_documents(spark):
+    from pyspark.sql import functions as F
+
+    docs = stage_rows(spark, ROWS).withColumn("lang", F.lit(None).cast("string"))
+    out = corpus_pipeline.identify_language(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"], r["lang"]) for r in out.collect()) == \
+        Counter((i, t, None) for i, t, _ in ROWS if t and any(map(str.isalpha, t)))
