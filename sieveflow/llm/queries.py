@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveflow.llm import ann, langid, mixing, packing, rangejoin, secrets, sharding, simhash, tokenfile, tokens
+from sieveflow.llm import ann, langid, mixing, packing, rangejoin, secrets, sharding, simhash, spelling, tokenfile, tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,11 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_table(_table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=1)
 
 
+def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over ``documents``."""
+    return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_id,
     "op2_simhash_groups": simhash_groups,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_batches": packed_batches,
     "op9_secret_scan": secret_scan,
     "op10_token_files": token_files,
+    "op13_spelling_groups": spelling_groups,
 }
