@@ -102,9 +102,41 @@ FROM spot
 """
 
 
+def _op12(entries: int = 256, rounds: int = 4) -> str:
+    """Codebooks round by round; whole numbers below 2^53 are exact as doubles."""
+    near = """(SELECT rid, p, min([list_inner_product(t.v, t.v) - 2 * list_inner_product(t.v, c.v)
+               + list_inner_product(c.v, c.v), c.e::DOUBLE]) AS m FROM pt t JOIN {c} c USING (p) GROUP BY rid, p)"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"""
+a{r} AS MATERIALIZED {near.format(c=f"c{r}")},
+s{r} AS (SELECT p, m[2] AS e, pos, floor(sum(x) / count(*)) AS x
+         FROM (SELECT p, m, unnest(v) AS x, unnest(range(len(v))) AS pos FROM a{r} JOIN pt USING (rid, p))
+         GROUP BY p, m[2], pos),
+n{r} AS (SELECT p, e, list(x ORDER BY pos) AS v FROM s{r} GROUP BY p, e),
+c{r + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(n.v, c.v) AS v FROM c{r} c LEFT JOIN n{r} n ON n.p = c.p AND n.e = c.e)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+pt AS MATERIALIZED (SELECT rid, p, v[p * len(v) // 4 + 1 : (p + 1) * len(v) // 4] AS v FROM kept, range(4) AS q(p)),
+c0 AS MATERIALIZED (SELECT p, rid - 1 AS e, v FROM pt WHERE rid <= {entries}), {",".join(steps)},
+fin AS MATERIALIZED {near.format(c=f"c{rounds}")},
+coded AS (SELECT rid, string_agg(printf('%02x', m[2]::BIGINT), '' ORDER BY p) AS code, sum(m[1])::BIGINT AS error
+          FROM fin GROUP BY rid),
+book AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) AS h
+         FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (rid), book
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_embedding_links": _OP4,
     "op5_source_mix": _OP5,
     "op6_nearest_vectors": _OP6,
     "op8_packed_batches": _op8(),
+    "op12_vector_codes": _op12(),
 }
