@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sieveflow.llm import ann, langid, mixing, packing, rangejoin, secrets, sharding, simhash, spelling, tokenfile, tokens
+from sieveflow.llm import (
+    ann, codebooks, langid, mixing, outliers, packing, rangejoin, secrets, sharding, simhash, spelling, tokenfile, tokens,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +69,17 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.token_table(_table(spark, sf_dir, "documents"), "word_bpe_49k.json", end_id=1)
 
 
+def quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over ``documents``."""
+    return outliers.reject_outliers(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", *outliers.BASE, "base_failed", "kept")
+
+
+def vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over ``embeddings``: 4 parts, 256 entries, 4 rounds."""
+    return codebooks.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
 def spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 13 over ``documents``."""
     return spelling.spelling_groups(_table(spark, sf_dir, "documents"))
@@ -83,5 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packed_batches": packed_batches,
     "op9_secret_scan": secret_scan,
     "op10_token_files": token_files,
+    "op11_quality_outliers": quality_outliers,
+    "op12_vector_codes": vector_codes,
     "op13_spelling_groups": spelling_groups,
 }

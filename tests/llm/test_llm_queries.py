@@ -13,7 +13,7 @@ import corpus_pipeline
 from sieveflow.llm.packing import pack
 
 SF = "/root/testdata/sf0.001"
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def test_every_operator_is_registered_once():
@@ -21,7 +21,8 @@ def test_every_operator_is_registered_once():
     assert sorted(n.split("_")[0] + "_" for n in names) == sorted(NAMES) and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", ["op4_embedding_links", "op5_source_mix", "op6_nearest_vectors", "op8_packed_batches"])
+@pytest.mark.parametrize("name", ["op4_embedding_links", "op5_source_mix", "op6_nearest_vectors", "op8_packed_batches",
+                                  "op12_vector_codes"])
 def test_query_equals_its_sql(spark, name):
     df = entry.queries()[name](spark, SF)
     con = duckdb.connect()
