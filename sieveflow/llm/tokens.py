@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -176,11 +177,19 @@ class PieceEncoder:
             else:
                 self._alone(part)
 
+    def _ends_in_letter(self, base: str) -> bool:
+        """Whether stops after ``base`` are a pre-token of their own. A letter
+        that the normalizer turns into one with a mark behind it (dotted I,
+        letters that NFC takes apart) ends in the mark, which joins the stops."""
+        if self.style == "word" and not base[-1:].isascii():
+            base = unicodedata.normalize("NFC", base).lower()
+        return base[-1:].isalpha()
+
     def _base(self, piece: str) -> str:
         """What of a piece is looked up first: without a tail of stops after a
         letter and, where the tokenizer lower-cases, in lower case if that is plain."""
         base = piece.rstrip(_STOPS)
-        if len(base) != len(piece) and not base[-1:].isalpha():
+        if len(base) != len(piece) and not self._ends_in_letter(base):
             base = piece
         if self.style == "word" and _plain(base):
             return base.lower()

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,7 @@ FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 ODD = ["", " ", "  ", " a", "a ", "a  b", "a\n b", "a \nb", "  x  y", "foo<|endoftext|> bar <|endoftext|>x",
        "<|startoftext|>", "x  y", "a\tb c", "I'm  don't 's |pipe| a | b", "ＡＢ １２ ñÑ Σς ΑΣ İ ŉ ǅ", "ªº µ ß ẞ",
        "中文字符 测试 emoji 😀 👍🏽", "a\x1cb \x85c", "é a ́b", "12 345 6", "|", " | ", "\n\n\n", "a" * 5000,
-       "é " * 300 + "  z", "word, word. (word). word?! A.B. 's, it's. ...", "Ġ Ġa Ċ"]
+       "é " * 300 + "  z", "EVET Mİ?", "İ. Mİ,mi İ!?", "क़, ज़. क़", "שׁ, שׁ.", "é́, é. e\u0301, e\u0301.", "ﬁ, ŉ. ΑΣ, Σ.", "word, word. (word). word?! A.B. 's, it's. ...", "Ġ Ġa Ċ"]
 
 
 def fuzz(n=150):
@@ -23,6 +24,26 @@ def fuzz(n=150):
     return ["".join(rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(n)]
 
 
+def letters_before_stops(n=300):
+    """Letters that change under NFC or lower case, before and between stops."""
+    odd = [chr(c) for c in range(0x80, 0x30000) if chr(c).isalpha()
+           and not (u := unicodedata.normalize("NFC", chr(c)).lower())[-1].isalpha() | (len(u) == 1)]
+    rng = random.Random(4)
+    bits = [*odd, "İ", "ẞ", "Σ", "ǅ", "\u0301", "\u093c", "a", "Z", "é", ".", ",", "?", ";", " ", "|", "'s"]
+    return [*(c + "," for c in odd), *("x" + c + "?!" for c in odd),
+            *("".join(rng.choice(bits) for _ in range(rng.randint(1, 25))) for _ in range(n))]
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_letters_that_end_in_a_mark(name):
+    lib, enc = Tokenizer.from_file(tokenizer_path(name)), PieceEncoder(tokenizer_path(name), True)
+    texts = letters_before_stops()
+    assert len(texts) > 350
+    for t in texts:
+        ids, _ = enc.encode(pa.array([t]))
+        assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, ascii(t)
+
+
 @pytest.mark.parametrize("name", FILES)
 def test_ids_equal_the_library(name):
     lib, enc = Tokenizer.from_file(tokenizer_path(name)), PieceEncoder(tokenizer_path(name), True)
