@@ -13,6 +13,6 @@ from .operators.stats import channel_stats, run_totals, tracker_statistics  # no
 from .plans.run import RunReport, process_channels  # noqa: F401
 from .sources.channels import channel_list, in_channel_order  # noqa: F401
 from .sources.messages import normalize_messages, with_fingerprint  # noqa: F401
-from .sources.state_store import BucketedState, FolderState, load_state, open_state, read_log  # noqa: F401
+from .sources.state_store import FolderState, load_state, open_state, read_log  # noqa: F401
 from .session import checkpoint_root, clear_scratch, local_session  # noqa: F401
 from .streaming.ingest_stream import ingest_batch, start_ingest_stream  # noqa: F401

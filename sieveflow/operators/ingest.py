@@ -29,8 +29,12 @@ Joins carry no hints. One side always is a written table with one row per key
 and otherwise AQE splits the partitions of a hot key on the other side, which
 such a join permits. The recorded history is only ever the streamed side of a
 semi join with the batch's keys (:func:`keys_in_state`): a small batch is
-broadcast to it, a large one meets it bucket by bucket in
-:class:`~sieveflow.sources.state_store.BucketedState`.
+broadcast to it, and of a recorded state only the key ranges of the batch are
+read (``key_ranges``).
+
+Long chains (a message that hangs on the one before, and so on) would take a
+round a link. When a round leaves most edges live, the next one follows chains
+by pointer jumping (``chains``): a chain is decided in the logarithm of its length.
 """
 
 from __future__ import annotations
@@ -39,15 +43,20 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize, scratch_path
+from .chains import kept_on_chains
+from .key_ranges import key_ranges
 
 ID_KEY = ["channel_id", "message_id"]
 HASH_KEY = ["content_hash"]
+#: a round that leaves more than this share of the edges live is followed by
+#: one along the chains
+SLOW = 0.75
 
 
 @dataclass
@@ -56,12 +65,14 @@ class IngestState:
 
     ``ids``: (channel_id, message_id); ``hashes``: (content_hash), repeats
     allowed. ``others`` are further states it is the union of: they are kept
-    apart so that each is looked up in its own layout.
+    apart so that each is looked up in its own layout. ``sorted_files``: both
+    are read from files sorted by key, so lookups can skip parts of them.
     """
     ids: DataFrame
     hashes: DataFrame
     known_empty: bool = False   # a first run: the state joins can be skipped
     others: tuple["IngestState", ...] = ()
+    sorted_files: bool = False
 
     @staticmethod
     def empty(spark: SparkSession) -> "IngestState":
@@ -88,7 +99,17 @@ class IngestState:
             return other
         if other.known_empty:
             return self
-        return IngestState(self.ids, self.hashes, False, (*self.others, other))
+        return IngestState(self.ids, self.hashes, False, (*self.others, other), self.sorted_files)
+
+    def hits(self, batch_keys: DataFrame, key: list[str]) -> DataFrame:
+        """The keys of ``batch_keys`` (a written table) that the state also
+        holds, one row per key."""
+        found = [keys_in_state(batch_keys, [s.ids if key is ID_KEY else usable_hashes(s.hashes)], key,
+                               sorted_files=s.sorted_files) for s in self._all()]
+        return found[0] if len(found) == 1 else _union(found).distinct()
+
+    def _all(self) -> list["IngestState"]:
+        return [self, *[s for o in self.others for s in o._all()]]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -100,15 +121,17 @@ def usable_hashes(hashes: DataFrame) -> DataFrame:
     return hashes.select(*HASH_KEY).where("content_hash is not null and content_hash <> ''")
 
 
-def keys_in_state(batch_keys: DataFrame, state_parts: list[DataFrame], key: list[str]) -> DataFrame:
+def keys_in_state(batch_keys: DataFrame, state_parts: list[DataFrame], key: list[str], *,
+                  sorted_files: bool = False) -> DataFrame:
     """The keys of ``batch_keys`` (a written table) that the state also holds,
     one row per key.
 
     The history is the left side of a semi join and joined on its stored
     columns as they are: with few batch keys they are broadcast and the history
-    is scanned once without moving; with many, a bucketed history still is not
-    shuffled. Only the few hits are made distinct."""
-    return _union([part.select(*key).join(batch_keys.select(*key), key, "left_semi")
+    is scanned once without moving. From ``sorted_files`` only the pages are
+    read that the batch's key ranges touch. Only the few hits are made distinct."""
+    near = key_ranges(batch_keys, key) if sorted_files else F.lit(True)
+    return _union([part.select(*key).where(near).join(batch_keys.select(*key), key, "left_semi")
                    for part in state_parts]).distinct()
 
 
@@ -157,9 +180,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     if not content_layer or not id_layer:
         key = ID_KEY if id_layer else HASH_KEY
         dup = DUP_ID if id_layer else DUP_CONTENT
-        st = None if state.known_empty else (
-            state.id_parts() if id_layer else state.hash_parts())
-        return _single_layer(messages, st, key, dup, seq, work)
+        return _single_layer(messages, None if state.known_empty else state, key, dup, seq, work)
 
     # -- 1. collapse equal (ID, hash) pairs: the only pass over the texts ------
     pairs = _write(messages.groupBy(*ID_KEY, *HASH_KEY).agg(F.min(seq).alias(seq)),
@@ -167,25 +188,30 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
     live, ids_hit = pairs, None
     if not state.known_empty:
         # state keys this batch touches (batch-sized, one row per key)
-        ids_hit = _write(keys_in_state(pairs, state.id_parts(), ID_KEY), f"{work}/ids_in_state")
-        hashes_hit = _write(keys_in_state(pairs, state.hash_parts(), HASH_KEY),
-                            f"{work}/hashes_in_state")
+        ids_hit = _write(state.hits(pairs, ID_KEY), f"{work}/ids_in_state")
+        hashes_hit = _write(state.hits(pairs, HASH_KEY), f"{work}/hashes_in_state")
         live = _write(live.join(ids_hit, ID_KEY, "left_anti")
                       .join(hashes_hit, HASH_KEY, "left_anti"), f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
     kept_rounds: list[str] = []
-    n_live = live.count()
+    rounds, slow, n_live = 0, False, live.count()
     while n_live > 0:
-        if max_rounds is not None and len(kept_rounds) >= max_rounds:
+        if max_rounds is not None and rounds >= max_rounds:
             raise RuntimeError(f"ingest did not converge in {max_rounds} rounds")
-        path = f"{work}/kept/round={len(kept_rounds)}"
-        winners = _write(_locally_first(live, seq), path)
+        path, jumps = f"{work}/kept/round={len(kept_rounds)}", 0
+        if slow:
+            winners, jumps = _first_on_chains(live, seq, f"{work}/chains/round={len(kept_rounds)}")
+        else:
+            winners = _locally_first(live, seq)
+        winners = _write(winners, path)
         kept_rounds.append(path)
         live = _write(live.join(winners.select(*ID_KEY), ID_KEY, "left_anti")
                       .join(winners.select(*HASH_KEY), HASH_KEY, "left_anti"),
                       f"{work}/live/round={len(kept_rounds)}")
+        rounds += 1 + jumps
         before, n_live = n_live, live.count()
+        slow = n_live > SLOW * before
         if n_live >= before:
             # the first live pair always wins unless a key is null
             raise ValueError("ingest made no progress: channel_id, message_id and "
@@ -211,15 +237,28 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                     F.lit(DUP_ID))
               .otherwise(F.lit(DUP_CONTENT)))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")
-    return IngestResult(_finish(out), len(kept_rounds), kept)
+    return IngestResult(_finish(out), rounds, kept)
 
 
-def _locally_first(live: DataFrame, seq: str) -> DataFrame:
-    """The edges that come first at both of their ends, the ID and the hash."""
-    edge = F.struct(F.col(seq).alias("s"), *ID_KEY, *HASH_KEY)
+def _ends() -> Column:
+    """The two ends of an edge, the ID and the hash."""
     id_end = F.struct(F.lit(0).alias("end"), F.col("channel_id").alias("a"), F.col("message_id").alias("b"))
     hash_end = F.struct(F.lit(1).alias("end"), F.col("content_hash").alias("a"), F.lit("").alias("b"))
-    first = (live.select(F.explode(F.array(id_end, hash_end)).alias("end"), edge.alias("edge"))
+    return F.explode(F.array(id_end, hash_end)).alias("end")
+
+
+def _first_on_chains(live: DataFrame, seq: str, path: str) -> tuple[DataFrame, int]:
+    """The edges that are kept for certain when chains are followed, and the
+    rounds that took."""
+    rows = live.dropna(subset=[*ID_KEY, *HASH_KEY])
+    kept, jumps = kept_on_chains(rows.select(_ends(), F.col(seq).alias("s")), path)
+    return rows.join(kept.withColumnRenamed("s", seq), seq, "left_semi").select(*ID_KEY, *HASH_KEY, seq), jumps
+
+
+def _locally_first(live: DataFrame, seq: str) -> DataFrame:
+    """The edges that come first at both of their ends."""
+    edge = F.struct(F.col(seq).alias("s"), *ID_KEY, *HASH_KEY)
+    first = (live.select(_ends(), edge.alias("edge"))
              .groupBy("end").agg(F.min("edge").alias("edge")))
     return (first.groupBy("edge").agg(F.count(F.lit(1)).alias("ends")).where("ends = 2")
             .select("edge.channel_id", "edge.message_id", "edge.content_hash",
@@ -227,12 +266,12 @@ def _locally_first(live: DataFrame, seq: str) -> DataFrame:
             .dropna(subset=[*ID_KEY, *HASH_KEY]))     # an end that is null meets no other
 
 
-def _single_layer(messages: DataFrame, state_keys: list[DataFrame] | None, key: list[str], dup: str,
+def _single_layer(messages: DataFrame, state: IngestState | None, key: list[str], dup: str,
                   seq: str, work: str) -> IngestResult:
     """D2 with one layer: the first message per key not in the state wins."""
     right = _write(messages.groupBy(*key).agg(F.min(seq).alias("_kseq")), f"{work}/first")
-    if state_keys is not None:
-        hit = keys_in_state(right, state_keys, key).withColumn("_in_state", F.lit(True))
+    if state is not None:
+        hit = state.hits(right, key).withColumn("_in_state", F.lit(True))
         right = _write(right.join(hit, key, "left"), f"{work}/first_and_state")
     else:
         right = right.withColumn("_in_state", F.lit(None).cast("boolean"))

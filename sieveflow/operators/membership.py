@@ -3,7 +3,8 @@
 These check without marking (Q9): repeats inside the batch survive when the
 state does not know them. The batch's distinct keys are written once, as a
 narrow table; the state is semi-joined with them once per key type
-(:func:`~sieveflow.operators.ingest.keys_in_state`: the history does not move),
+(:func:`~sieveflow.operators.ingest.keys_in_state`: the history does not move, and
+of a recorded state only the key ranges of the batch are read),
 and the wide batch rows join the written hits, one row per key, last.
 """
 
@@ -14,16 +15,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
 from ..session import materialize
-from .ingest import HASH_KEY, ID_KEY, IngestState, keys_in_state
+from .ingest import HASH_KEY, ID_KEY, IngestState
 
 
 def _hits(batch: DataFrame, state: IngestState, keys: list[list[str]]) -> list[DataFrame]:
     """For each key type the batch's keys that the state holds, written."""
     cols = [c for k in keys for c in k]
     mine = materialize(batch.select(*cols).distinct(), "batch-keys")
-    return [materialize(keys_in_state(
-        mine, state.id_parts() if k is ID_KEY else state.hash_parts(), k), "state-hits")
-        for k in keys]
+    return [materialize(state.hits(mine, k), "state-hits") for k in keys]
 
 
 def id_members(batch: DataFrame, state: IngestState, *, negate: bool = False) -> DataFrame:

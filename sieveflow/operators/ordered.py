@@ -61,7 +61,7 @@ def ordered_scan(df: DataFrame, group: list[str], order: list[str], *,
     local = materialize(local, "ordered-scan")
     summ_aggs = [F.count(F.lit(1)).alias("_n")]
     summ_aggs += [F.max_by(c, "_lrank").alias(f"_last_{c}") for c in lag]
-    summary = _edge_groups(local, group).groupBy(*group, SLICE).agg(*summ_aggs)
+    summary = edge_groups(local, group).groupBy(*group, SLICE).agg(*summ_aggs)
     ws = Window.partitionBy(*group).orderBy(SLICE)
     before = ws.rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
@@ -79,7 +79,7 @@ def ordered_scan(df: DataFrame, group: list[str], order: list[str], *,
     return out.drop(*drop)
 
 
-def _edge_groups(local: DataFrame, group: list[str]) -> DataFrame:
+def edge_groups(local: DataFrame, group: list[str]) -> DataFrame:
     """The rows of the first and the last group of each slice."""
     g = F.struct(*group)
     edges = materialize(local.groupBy(SLICE).agg(F.min(g).alias("_low"), F.max(g).alias("_high")),

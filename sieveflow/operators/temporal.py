@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .ordered import SLICE, ordered_scan, slice_groups
+from .ordered import SLICE, edge_groups, ordered_scan, slice_groups
 
 
 def _gap_seconds(later: str, earlier: str):
@@ -43,8 +43,9 @@ def burst_ids(messages: DataFrame, gap_seconds: float, *, seq: str = "seq",
     One windowed pass over the range slices: inside a slice every row but the
     first knows its predecessor, so its start flag and the running count of
     starts are local. Only the first row of a slice needs the previous slice's
-    last date; that comes from the per-slice summary, which also carries the
-    number of starts before the slice."""
+    last date; that comes from a summary of the first and the last channel of
+    each slice, which also carries the number of starts before the slice. Any
+    other channel lies in one slice whole."""
     group, order = ["channel_id"], ["date", seq]
     gap = F.lit(float(gap_seconds))
     w = Window.partitionBy(*group, SLICE).orderBy(*order)
@@ -56,7 +57,7 @@ def burst_ids(messages: DataFrame, gap_seconds: float, *, seq: str = "seq",
              .withColumn("_lcum", F.sum("_lstart").over(
                  w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     local = materialize(local, "bursts")
-    summary = local.groupBy(*group, SLICE).agg(
+    summary = edge_groups(local, group).groupBy(*group, SLICE).agg(
         F.min("date").alias("_first"), F.max("date").alias("_last"),
         F.sum("_lstart").alias("_inner"))
     ws = Window.partitionBy(*group).orderBy(SLICE)
@@ -68,8 +69,9 @@ def burst_ids(messages: DataFrame, gap_seconds: float, *, seq: str = "seq",
                .withColumn("_before", F.coalesce(F.sum(F.col("_fstart") + F.col("_inner")).over(
                    ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                .select(*group, SLICE, "_fstart", "_before"))
-    out = local.join(summary, [*group, SLICE], "inner")
-    burst = F.col("_before") + F.col("_fstart") + F.col("_lcum")
+    # at most two rows for each slice
+    out = local.join(materialize(summary, "burst-edges"), [*group, SLICE], "left")
+    burst = F.coalesce("_before", F.lit(0)) + F.coalesce("_fstart", F.lit(1)) + F.col("_lcum")
     return (out.withColumn("burst_id", burst.cast("long"))
             .drop("_lprev", "_lstart", "_lcum", "_fstart", "_before", SLICE))
 

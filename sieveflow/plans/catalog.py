@@ -19,18 +19,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import hash_prefix
-from ..operators import membership, routing, selection, stats, temporal
+from ..operators import membership, routing, running_stats, selection, stats, temporal
 from ..operators.ingest import IngestState, ingest
 from ..sources import channels as ch
-from ..sources import datasets, export, state_store
+from ..sources import datasets, export, snapshots, state_store
 from ..sources.messages import FIXTURE_INGEST_TIME  # noqa: F401  (used by the oracle SQL)
 from ..sources.messages import (
     conversations_feed, documents_feed, event_messages, events_by_user_feed, events_by_value_feed,
     events_feed,
 )
-from ..session import scratch_path
-from .run import process_channels
-from ..streaming import ingest_stream
+from ..session import materialize, scratch_path
+from .run import process_channels, process_in_groups
+from ..streaming import ingest_stream, keyed, reorder
 
 # Parameters of the catalogue queries.
 PROCESSED_AT = "2024-02-01 12:00:00"
@@ -46,6 +46,8 @@ BATCH_SIZE = 50
 ROUTE_TASK = "summary"
 TASK_NAMES = [*routing.TASK_ROUTING, "translate"]
 STREAM_BATCHES = 4
+LATENESS_SECONDS = 86_400               # how far the shuffled feed is out of order
+CHANNELS_PER_COMMIT = 7
 SQL_MIN_CHARS = 1000
 DATASET_SQL = ("SELECT source, lang, COUNT(*) AS docs, CAST(SUM(n_chars) AS BIGINT) AS chars "
                "FROM {name} WHERE n_chars > ? GROUP BY source, lang")
@@ -122,6 +124,16 @@ def q_filter_against_state(spark, sf):
     return _membership_out(membership.filter_against_state(d, _label_state(spark, sf, d)))
 
 
+def q_classify_against_recorded(spark, sf):
+    """J1/J2 against a recorded state: only the key ranges of the batch are read."""
+    d = documents_feed(spark, sf)
+    labelled = d.join(_t(spark, sf, "labels").select(F.col("doc_id").alias("seq")), ["seq"], "left_semi")
+    root = f"{scratch_path(spark, 'recorded-labels')}/state"
+    state_store.append_batch(state_store.tracking_rows(labelled, processed_at=PROCESSED_AT), root)
+    c = membership.classify_against_state(d, state_store.load_state(spark, root))
+    return c.select(F.col("seq").alias("doc_id"), "status")
+
+
 def q_check_counters(spark, sf):
     d = documents_feed(spark, sf)
     return stats.check_counters(membership.classify_against_state(d, _label_state(spark, sf, d)))
@@ -204,10 +216,21 @@ def q_continued_runs(spark, sf):
             .unionByName(second.classified.select(F.col("seq").alias("event_id"), "status")))
 
 
+def q_resumed_run(spark, sf):
+    """A run over all channels that ends after one group of channels and
+    is started again."""
+    root = scratch_path(spark, "resumed-run")
+    for groups in (1, None):
+        report = process_in_groups(documents_feed(spark, sf), state_path=f"{root}/state", output_path=f"{root}/out",
+                                   run_id="documents", channels_per_commit=CHANNELS_PER_COMMIT,
+                                   max_groups=groups, processed_at=PROCESSED_AT)
+    return report.classified.select("channel_ordinal", F.col("seq.seq").alias("doc_id"), "status")
+
+
 def q_recorded_log(spark, sf):
-    """K9: the tracking table after two runs, in the bucketed layout."""
+    """K9: the tracking table after two runs."""
     root = scratch_path(spark, "recorded-log")
-    _two_runs(spark, sf, root, state_buckets=8)
+    _two_runs(spark, sf, root)
     log = state_store.read_log(spark, f"{root}/state")
     return state_store.tracking_rows_as_text(log).select(
         "channel_id", "message_id", "content_hash", "processed_at", "processing_status", "ai_processed")
@@ -237,7 +260,7 @@ def q_state_union(spark, sf):
     state_store.append_batch(state_store.tracking_rows(ingest(first).accepted(), PROCESSED_AT),
                              f"{root}/state")
     accepted = ingest(second).accepted()
-    state_store.write_snapshot(
+    snapshots.write_snapshot(
         IngestState(accepted.select("channel_id", "message_id"), accepted.select("content_hash")),
         f"{root}/snapshot", saved_at=PROCESSED_AT, version=0)
     return _keys(state_store.load_state(spark, f"{root}/state", snapshot_path=f"{root}/snapshot"))
@@ -419,12 +442,12 @@ def q_csv_roundtrip(spark, sf):
 
 
 def q_snapshot_roundtrip(spark, sf):
-    return _keys(state_store.read_snapshot(spark, _documents_snapshot(spark, sf)))
+    return _keys(snapshots.read_snapshot(spark, _documents_snapshot(spark, sf)))
 
 
 def q_snapshot_documents(spark, sf):
     """What the JSON documents hold, counted on them as they are."""
-    docs = (spark.read.schema(state_store.SNAPSHOT_SCHEMA).json(_documents_snapshot(spark, sf))
+    docs = (spark.read.schema(snapshots.SNAPSHOT_SCHEMA).json(_documents_snapshot(spark, sf))
             .select("saved_at", F.aggregate(F.map_values("processed_message_ids"), F.lit(0).cast("long"),
                                             lambda n, ids: n + F.size(ids)).alias("ids"),
                     F.size("content_hashes").cast("long").alias("hashes")))
@@ -434,7 +457,7 @@ def q_snapshot_documents(spark, sf):
 def _documents_snapshot(spark, sf) -> str:
     acc = ingest(documents_feed(spark, sf)).accepted()
     state = IngestState(acc.select("channel_id", "message_id"), acc.select("content_hash"))
-    return state_store.write_snapshot(state, scratch_path(spark, "snapshot"),
+    return snapshots.write_snapshot(state, scratch_path(spark, "snapshot"),
                                       saved_at=PROCESSED_AT, version=1, chunk_rows=100)
 
 
@@ -461,13 +484,97 @@ def q_stream_ingest(spark, sf):
         q = ingest_stream.start_ingest_stream(
             spark, src, events.schema, state_path=state, output_path=out,
             checkpoint_location=f"{root}/checkpoint", to_messages=event_messages,
-            processed_at=PROCESSED_AT, compact_every=3,
-            state_buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+            processed_at=PROCESSED_AT, compact_every=3)
         q.awaitTermination()
     res = ingest_stream.read_stream_output(spark, out)
     return res.select(F.col("seq").alias("event_id"), "status")
 
 
+def _arrivals(events, by):
+    """The events in STREAM_BATCHES arrivals of equal spans of ``by``."""
+    span = events.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).first()
+    step = (span["hi"] - span["lo"]) / STREAM_BATCHES + 1
+    return [events.where(F.floor((by - span["lo"]) / step) == i) for i in range(STREAM_BATCHES)]
+
+
+def _event_micros():
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+
+
+def q_event_order_ingest(spark, sf):
+    """The events arrive out of order, each up to LATENESS_SECONDS after its
+    date; the reorder buffer puts them in the order of their dates."""
+    late = F.pmod(F.xxhash64("event_id"), F.lit(LATENESS_SECONDS * 1_000_000))
+    root = scratch_path(spark, "event-order")
+    buffer = reorder.ReorderBuffer(spark, f"{root}/buffer", LATENESS_SECONDS)
+    parts = _arrivals(_t(spark, sf, "events"), _event_micros() + late)
+    parts.append(parts[0].limit(0))                # the feed ends
+    for i, part in enumerate(parts):
+        ingest_stream.ingest_batch(
+            part, i, state_path=f"{root}/state", output_path=f"{root}/out", processed_at=PROCESSED_AT,
+            to_messages=ingest_stream.in_event_order(event_messages, buffer, i, i == len(parts) - 1))
+    res = ingest_stream.read_stream_output(spark, f"{root}/out")
+    return res.select(F.col("seq.seq").alias("event_id"), "status")
+
+
+def _running_parts(spark, sf):
+    root = scratch_path(spark, "running-stats")
+    parts = _arrivals(_t(spark, sf, "events"), _event_micros())
+    for i in (0, 1, 1, 2, 3):                      # the second arrival is run again
+        ingest_stream.ingest_batch(parts[i], i, state_path=f"{root}/state", output_path=f"{root}/out",
+                                   to_messages=event_messages, processed_at=PROCESSED_AT, stats_path=f"{root}/stats")
+    return running_stats.read_parts(spark, f"{root}/stats")
+
+
+def q_running_statistics(spark, sf):
+    """A1 and A3 from the partial aggregates of four arrivals."""
+    parts = materialize(_running_parts(spark, sf), "running-parts")
+    none = F.lit(None).cast("long")
+    a1 = running_stats.running_channel_stats(parts).select(
+        "channel_id", "total_messages", "new_messages", "duplicates", "duplicate_rate_text", none.alias("channels"))
+    a3 = running_stats.running_tracker_statistics(parts).select(
+        F.lit("all").alias("channel_id"), F.col("total_in_db").alias("total_messages"),
+        F.col("total_messages_tracked").alias("new_messages"), F.col("content_hashes").alias("duplicates"),
+        F.col("version").alias("duplicate_rate_text"), F.col("channels_tracked").alias("channels"))
+    return a1.unionByName(a3)
+
+
+def q_running_daily(spark, sf):
+    """D8 from the partial aggregates of four arrivals."""
+    return running_stats.running_daily(_running_parts(spark, sf))
+
+
+def _run_stream(spark, df, root):
+    query = (df.writeStream.format("parquet").option("path", f"{root}/out").outputMode("append")
+             .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+def _event_stream(spark, sf, root):
+    """The events as files that arrive, read as a stream (as often as asked)."""
+    events = _t(spark, sf, "events")
+    events.write.parquet(f"{root}/in")
+    return lambda: event_messages(spark.readStream.schema(events.schema).parquet(f"{root}/in"))
+
+
+def q_stream_first_ids(spark, sf):
+    """D2 on a stream, ID layer: the keys that were let through, each once."""
+    root = scratch_path(spark, "stream-first")
+    read = _event_stream(spark, sf, root)
+    with keyed.rocksdb(spark):
+        first = keyed.first_arrivals(read(), "3650 days").select("channel_id", "message_id")
+        return _run_stream(spark, first, root)
+
+
+def q_stream_reposts(spark, sf):
+    """D3 on a stream: the events that repeat a text of their channel."""
+    root = scratch_path(spark, "stream-reposts")
+    read = _event_stream(spark, sf, root)
+    out = keyed.stream_reposts(read(), read(), REPOST_SECONDS, "0 seconds")
+    return _run_stream(spark, out.select(F.col("seq").alias("event_id"), "channel_id"), root)
+
+
 def q_stream_bursts(spark, sf):
     """D5 on a stream: the events as a feed that ends, per-channel sessions of
     messages at most BURST_GAP_SECONDS apart."""
@@ -498,6 +605,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_members": q_content_members,
     "classify_against_state": q_classify_against_state,
     "filter_against_state": q_filter_against_state,
+    "classify_against_recorded": q_classify_against_recorded,
     "check_counters": q_check_counters,
     "ingest_status": q_ingest_status,
     "ingest_documents": q_ingest_documents,
@@ -510,6 +618,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_conversations": q_ingest_conversations,
     "dry_run_report": q_dry_run_report,
     "continued_runs": q_continued_runs,
+    "resumed_run": q_resumed_run,
     "recorded_log": q_recorded_log,
     "state_metadata": q_state_metadata,
     "state_union": q_state_union,
@@ -544,4 +653,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_documents": q_snapshot_documents,
     "stream_ingest": q_stream_ingest,
     "stream_bursts": q_stream_bursts,
+    "event_order_ingest": q_event_order_ingest,
+    "running_statistics": q_running_statistics,
+    "running_daily": q_running_daily,
+    "stream_first_ids": q_stream_first_ids,
+    "stream_reposts": q_stream_reposts,
 }

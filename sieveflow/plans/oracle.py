@@ -508,4 +508,37 @@ from kept""",
     "state_metadata": """select 'tracker_version' as key, '2.0.0' as value
 union all select 'last_batch_id', cast(count(*) - 1 as varchar) from (
   select distinct ts < timestamp '2024-01-16 00:00:00' from events)""",
+
+    "classify_against_recorded": f"""with {D}, {LABELLED}
+select seq as doc_id,
+       case when exists (select 1 from st where st.channel_id = d.channel_id and st.message_id = d.message_id)
+              then 'dup_id'
+            when exists (select 1 from st where st.content_hash = d.content_hash) then 'dup_content'
+            else 'new' end as status
+from d""",
+
+    "event_order_ingest": f"""with {E},
+x as (select e.* replace (row_number() over (order by date, seq) as seq), seq as event_id from e),
+{fold('x')}
+select x.event_id, f.status from x join ({_folded('x').replace('seq as event_id', 'seq')}) f on f.seq = x.seq""",
+
+    "running_statistics": f"""with {E}, {E_FOLD},
+g as ({_stats_select('es')})
+select channel_id, total_messages, new_messages, duplicates, duplicate_rate_text, cast(null as bigint) as channels
+from ({_with_rates('g')})
+union all
+select 'all', count(*), count(distinct [channel_id, message_id]), count(distinct content_hash), '2.0.0',
+       count(distinct channel_id)
+from kept""",
+
+    "stream_first_ids": f"""with {E} select distinct channel_id, message_id from e""",
+
+    "stream_reposts": f"""with {E},
+l as (select e.*, lag(date) over (partition by channel_id, content_hash
+                                  order by date, seq) as prev_date from e)
+select seq as event_id, channel_id from l where {_gap('date', 'prev_date')} <= {C.REPOST_SECONDS}""",
 }
+
+# the same answers by another way
+ORACLE_SQL["resumed_run"] = ORACLE_SQL["ingest_by_channel"]
+ORACLE_SQL["running_daily"] = ORACLE_SQL["cumulative_daily"]

@@ -14,7 +14,9 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
@@ -78,11 +80,38 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there."""
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none when there is no such folder."""
+    p, fs = _hadoop_path(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 when there is no such folder."""
+    p, fs = _hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.mkdirs(p)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Deletes all intermediate tables of this application. Results read from
     them lazily: write those first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, _scratch_root(spark))
 
 
 def materialize(df, name: str, path: str | None = None):
@@ -93,3 +122,13 @@ def materialize(df, name: str, path: str | None = None):
     target = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path``, or an empty one when there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

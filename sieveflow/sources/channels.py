@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ordered import ordered_scan
 from ..session import materialize
 
 CHANNEL_LIST_SCHEMA = T.StructType([
@@ -27,12 +28,13 @@ def channel_list(spark: SparkSession, channels: str | None) -> DataFrame:
 
 
 def channels_of(messages: DataFrame) -> DataFrame:
-    """The channel list of a whole feed: every channel that occurs, in
-    code-point order. Written, so that Spark knows its size."""
-    names = messages.select("channel_id").distinct().agg(
-        F.array_sort(F.collect_list("channel_id")).alias("names"))
-    return materialize(names.select(
-        F.posexplode("names").alias("channel_ordinal", "channel")), "channels")
+    """The channel list of a whole feed: every channel that occurs, numbered
+    in code-point order. The distinct channels are cut into contiguous ranges
+    and ranked within them (``ordered_scan``), so no task gets them all.
+    Written, so that Spark knows its size."""
+    names = messages.select(F.col("channel_id").alias("channel")).distinct().withColumn("_all", F.lit(0))
+    ranked = ordered_scan(names, ["_all"], ["channel"], rank="_rank")
+    return materialize(ranked.select((F.col("_rank") - 1).cast("int").alias("channel_ordinal"), "channel"), "channels")
 
 
 def in_channel_order(messages: DataFrame, channels: DataFrame,

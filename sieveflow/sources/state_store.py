@@ -1,42 +1,38 @@
-"""Durable decision state on plain Parquet / JSON files.
+"""Durable decision state on plain Parquet files.
 
 Layout below a state folder (a shared path on the cluster):
 
-``tracking/segment=S/``   tracking rows (M3) of one write (K7, K8, U2).
-``commits/no=K/``         one row for each finished write: which batch (or, after
-                          a compaction, which batches) a segment holds. Rows count
-                          only once their commit is there, so readers never see
-                          half a batch, and the last commit of a batch wins (S1).
+``tracking/day=D/``       tracking rows (M3) by the day they were processed
+                          (K7, K8, U2), each file sorted by ID key.
+``hashes/day=D/``         their content hashes once more, sorted by hash.
+``batches/batch_id=N/``   one row for each batch that is done.
+``begun/batch_id=N/``     a mark while batch N is written. Its rows do not count
+                          until the mark is gone, so readers never see half a batch.
 ``metadata/``             (key, value, updated_at) rows, latest per key (K9, K10).
-``snapshot/version=N/``   JSON state documents (K11, D15), read back by K3.
 
 The tracking log is append-only: the hash memory therefore keeps the hashes of
-replaced rows (Q11), and "INSERT OR REPLACE" is a read view (W1).
-:class:`FolderState` is this layout. :class:`BucketedState` keeps the rows, and
-the hashes a second time, in tables bucketed by the key that lookups join on,
-so that the history is not shuffled however large a batch is. A state has one
-writer at a time. What the driver reads is the commits since the last
-compaction: one row per batch.
+replaced rows (Q11), and "INSERT OR REPLACE" is a read view (W1). Both tables
+are ordinary partitioned Parquet: a batch appends files, a replay or a retention
+rewrites the days it touches by Spark's dynamic partition overwrite, and whole
+days that expire are deleted folders. Sorted files with small pages and Bloom
+filters let a lookup skip what its keys cannot hit (``operators/key_ranges``).
+A state has one writer at a time, and upkeep (retention, compaction, replay)
+replaces files: a query planned before must be planned anew after it.
 """
 
 from __future__ import annotations
 
-import hashlib
-import uuid
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import DEFAULT_STATUS, TRACKER_VERSION, iso_datetime
 from ..operators.ingest import HASH_KEY, ID_KEY, IngestState
-from ..session import materialize
+from ..session import folder_bytes, folders, make_folder, materialize, read_or_empty, remove
+from .snapshots import read_latest_snapshot
 
 # ---------------------------------------------------------------------------
-# Columns of the tracking and metadata tables (mark_* are ours) and
-# of the JSON state document.
+# Columns of the tracking and metadata tables (mark_* are ours).
 # ---------------------------------------------------------------------------
 TRACKING_SCHEMA = T.StructType([
     T.StructField("message_id", T.StringType(), False),
@@ -52,17 +48,13 @@ TRACKING_SCHEMA = T.StructType([
     T.StructField("mark_seq", T.LongType()),
 ])
 LOG_SCHEMA = T.StructType(TRACKING_SCHEMA.fields + [T.StructField("batch_id", T.LongType())])
-_STORED_SCHEMA = T.StructType(LOG_SCHEMA.fields + [T.StructField("segment", T.StringType())])
-
-COMMIT_SCHEMA = T.StructType([
-    T.StructField("kind", T.StringType()),            # 'batch' or 'base'
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("segment", T.StringType()),
-    T.StructField("upto", T.LongType()),              # base: commits it stands for
-    T.StructField("generation", T.StringType()),
-    T.StructField("source", T.StringType()),          # stream that wrote the batch
+_DAY = T.StructField("day", T.DateType())
+_STORED_SCHEMA = T.StructType([*LOG_SCHEMA.fields, _DAY])
+_HASHES_SCHEMA = T.StructType([*[LOG_SCHEMA[c] for c in ("content_hash", "processed_at", "batch_id")], _DAY])
+BATCH_SCHEMA = T.StructType([
+    T.StructField("source", T.StringType()),          # stream or run that wrote the batch
     T.StructField("source_batch", T.LongType()),
-    T.StructField("no", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
 ])
 
 METADATA_SCHEMA = T.StructType([
@@ -72,13 +64,6 @@ METADATA_SCHEMA = T.StructType([
     T.StructField("written_at", T.TimestampType()),
 ])
 
-SNAPSHOT_SCHEMA = T.StructType([
-    T.StructField("processed_message_ids",
-                  T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
-    T.StructField("content_hashes", T.ArrayType(T.StringType())),
-    T.StructField("last_message_ids", T.MapType(T.StringType(), T.StringType())),
-    T.StructField("saved_at", T.StringType()),
-])
 # ---------------------------------------------------------------------------
 
 
@@ -132,230 +117,155 @@ def tracking_rows_as_text(rows: DataFrame) -> DataFrame:
 
 # -- the log ------------------------------------------------------------------
 
-@dataclass
-class Commits:
-    """The commits of a state: ``base`` (a compaction) and, for each later
-    batch, its last commit."""
-    rows: list
-    base: object | None
-    batches: dict
-
-    @staticmethod
-    def read(spark: SparkSession, root: str) -> "Commits":
-        rows = sorted(_read_or_empty(spark, f"{root}/commits", COMMIT_SCHEMA).collect(),
-                      key=lambda r: r["no"])
-        bases = [r for r in rows if r["kind"] == "base"]
-        base = bases[-1] if bases else None
-        after = base["upto"] if base else -1
-        return Commits(rows, base, {r["batch_id"]: r for r in rows
-                                    if r["kind"] == "batch" and r["no"] > after})
-
-    @property
-    def last_no(self) -> int:
-        return self.rows[-1]["no"] if self.rows else -1
-
-    @property
-    def last_batch(self) -> int:
-        return max([r["batch_id"] for r in self.rows], default=-1)
-
-    def has(self, batch_id: int) -> bool:
-        return any(r["batch_id"] == batch_id for r in self.rows if r["kind"] == "batch")
-
-    def segments(self) -> list[str]:
-        return ([self.base["segment"]] if self.base else []) + [
-            r["segment"] for r in self.batches.values()]
-
-    def live(self, stored: DataFrame) -> DataFrame:
-        """The committed rows of ``stored``, each batch as its last commit has it."""
-        segments = self.segments()
-        rows = stored.where(F.col("segment").isin(segments) if segments else F.lit(False))
-        if self.base is not None and (again := [b for b in self.batches if b <= self.base["batch_id"]]):
-            rows = rows.where((F.col("segment") != self.base["segment"])
-                              | ~F.col("batch_id").isin(again))
-        return rows
-
-
-def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+# small pages, so that a page's key range is narrow; Bloom filters for single keys
+_SORTED = {"parquet.page.row.count.limit": "1024", "parquet.bloom.filter.adaptive.enabled": "true",
+           "parquet.bloom.filter.enabled#message_id": "true", "parquet.bloom.filter.enabled#content_hash": "true"}
+
+
+#: bytes of the log beyond which a lookup first works out key ranges (three
+#: small jobs); less is read whole in the time they take
+RANGES_ABOVE = 64 << 20
 
 
 class FolderState:
-    """The state in plain folders, a segment for each write."""
+    """The recorded state in a folder."""
 
-    FIRST = "g0"
+    #: (folder, stored columns, sort key)
+    TABLES = (("tracking", _STORED_SCHEMA, ID_KEY), ("hashes", _HASHES_SCHEMA, HASH_KEY))
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    # where the rows are
-
-    def _write(self, rows: DataFrame, segment: str, generation: str) -> None:
-        rows.write.mode("errorifexists").parquet(f"{self.root}/tracking/segment={segment}")
-
-    def _stored(self, spark: SparkSession, generation: str) -> DataFrame:
-        return _read_or_empty(spark, f"{self.root}/tracking", _STORED_SCHEMA)
-
-    def _stored_hashes(self, spark: SparkSession, generation: str) -> DataFrame:
-        return self._stored(spark, generation)
+    # batches
 
-    def _files(self, generation: str) -> DataFrame:
-        """The stored rows as plain files, to be written anew."""
-        return self._stored(self.spark, generation)
+    def batches(self, spark: SparkSession | None = None) -> DataFrame:
+        """(source, source_batch, batch_id), a row for each batch that is done."""
+        rows = read_or_empty(spark or self.spark, f"{self.root}/batches", BATCH_SCHEMA)
+        cut = self._begun(spark or self.spark)
+        return rows.where(~F.col("batch_id").isin(cut)) if cut else rows
 
-    # commits
-
-    def _generation(self, commits: Commits) -> str:
-        return commits.base["generation"] if commits.base else self.FIRST
-
-    def _commit(self, no: int, kind: str, batch_id: int, segment: str, generation: str, upto=None,
-                source=None, source_batch=None) -> None:
-        row = (kind, int(batch_id), segment, upto, generation, source, source_batch)
-        schema = T.StructType(COMMIT_SCHEMA.fields[:-1])
-        (self.spark.createDataFrame([row], schema).coalesce(1)
-         .write.mode("errorifexists").parquet(f"{self.root}/commits/no={no}"))
+    def _begun(self, spark: SparkSession) -> list[int]:
+        """The batch that is being written, or was cut: seldom any."""
+        return [int(f.split("=")[1]) for f in folders(spark, f"{self.root}/begun")]
 
     def next_batch(self, source: str | None = None, source_batch: int | None = None) -> tuple[int, bool]:
         """(batch id, whether it was recorded before). A stream's micro-batch
-        keeps the id it was recorded under; anything else gets the next one."""
-        commits = Commits.read(self.spark, self.root)
-        for r in commits.rows:
-            if source is not None and (r["source"], r["source_batch"]) == (source, source_batch):
-                return r["batch_id"], True
-        return commits.last_batch + 1, False
+        keeps the id it was recorded under; anything else, a batch that was cut
+        before it was done too, gets the next one."""
+        mine = F.col("source").eqNullSafe(source) & F.col("source_batch").eqNullSafe(source_batch)
+        row = self.batches().agg(F.max("batch_id").alias("last"),
+                                 F.max(F.when(mine, F.col("batch_id"))).alias("mine")).first()
+        if source is not None and row["mine"] is not None:
+            return row["mine"], True
+        return (-1 if row["last"] is None else row["last"]) + 1, False
 
     def append(self, rows: DataFrame, batch_id: int | None = None, *, replay: bool = False,
                source: str | None = None, source_batch: int | None = None) -> int:
         """Record a batch of tracking rows; returns its id (the next
         one by default). A batch that is recorded already is replaced only by
         a ``replay``."""
-        commits = Commits.read(self.spark, self.root)
-        batch_id = commits.last_batch + 1 if batch_id is None else int(batch_id)
-        if commits.has(batch_id) and not replay:
+        batch_id = self.next_batch()[0] if batch_id is None else int(batch_id)
+        recorded = not self.batches().where(F.col("batch_id") == batch_id).isEmpty()
+        if recorded and not replay:
             raise ValueError(f"batch {batch_id} is recorded already; replay=True replaces it")
-        segment, generation = _segment(), self._generation(commits)
         batch = F.lit(batch_id).cast("long").alias("batch_id")
-        self._write(rows.select(*TRACKING_SCHEMA.names, batch), segment, generation)
-        self._commit(commits.last_no + 1, "batch", batch_id, segment, generation,
-                     source=source, source_batch=source_batch)
+        # written once, read by both tables, before the batch it may replace goes
+        rows = materialize(rows.select(*TRACKING_SCHEMA.names, batch, F.to_date("processed_at").alias("day")), "record")
+        again = recorded or batch_id in self._begun(self.spark)
+        mark = f"{self.root}/begun/batch_id={batch_id}"
+        make_folder(self.spark, mark)
+        if again:
+            self._rewrite(F.col("batch_id") == batch_id)
+        for name, schema, key in self.TABLES:
+            self._write(rows.select(*schema.names), name, key, "append")
+        (self.spark.createDataFrame([(source, source_batch)], T.StructType(BATCH_SCHEMA.fields[:-1]))
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.root}/batches/batch_id={batch_id}"))
+        remove(self.spark, mark)
         return batch_id
 
+    # the tables
+
+    def _write(self, rows: DataFrame, name: str, key: list[str], mode: str) -> None:
+        if name == "hashes":
+            rows = rows.where("content_hash is not null and content_hash <> ''")
+        (rows.repartitionByRange("day", *key).sortWithinPartitions("day", *key).write.mode(mode)
+         .options(**_SORTED).option("partitionOverwriteMode", "dynamic").partitionBy("day")
+         .parquet(f"{self.root}/{name}"))
+
+    def _rewrite(self, gone: Column, days: list | None = None) -> None:
+        """Rewrites ``days`` (default: those with such rows) without the rows
+        that are ``gone``; all other days keep their files."""
+        for name, schema, key in self.TABLES:
+            stored = read_or_empty(self.spark, f"{self.root}/{name}", schema)
+            # dates: as many as the calendar has, not the data
+            touched = [r["day"] for r in stored.where(gone).select("day").distinct().collect()] if days is None else days
+            if not touched:
+                continue
+            kept = materialize(stored.where(F.col("day").isin(touched) & ~gone), "kept-rows")
+            left = {r["day"] for r in kept.select("day").distinct().collect()}
+            if left:
+                self._write(kept, name, key, "overwrite")
+            for day in set(touched) - left:
+                remove(self.spark, f"{self.root}/{name}/day={day}")
+
     # reading
 
-    def _rows(self, stored, commits: Commits, before_batch: int | None, spark: SparkSession) -> DataFrame:
-        rows = commits.live(stored(spark, self._generation(commits)))
+    def _rows(self, which: int, before_batch: int | None, spark: SparkSession) -> DataFrame:
+        name, schema, _ = self.TABLES[which]
+        rows = read_or_empty(spark, f"{self.root}/{name}", schema)
+        if cut := self._begun(spark):
+            rows = rows.where(~F.col("batch_id").isin(cut))
         return rows if before_batch is None else rows.where(F.col("batch_id") < int(before_batch))
 
     def log(self, before_batch: int | None = None, spark: SparkSession | None = None) -> DataFrame:
         """The tracking log, optionally only batches below ``before_batch``."""
-        spark = spark or self.spark
-        commits = Commits.read(spark, self.root)
-        return self._rows(self._stored, commits, before_batch, spark).select(*LOG_SCHEMA.names)
+        return self._rows(0, before_batch, spark or self.spark).select(*LOG_SCHEMA.names)
 
     def state(self, before_batch: int | None = None, spark: SparkSession | None = None) -> IngestState:
         """The recorded keys, as they are stored (not made distinct)."""
         spark = spark or self.spark
-        commits = Commits.read(spark, self.root)
-        if not commits.rows:
+        size = folder_bytes(spark, f"{self.root}/tracking")
+        if not size:
             return IngestState.empty(spark)
-        return IngestState(self._rows(self._stored, commits, before_batch, spark).select(*ID_KEY),
-                           self._rows(self._stored_hashes, commits, before_batch, spark).select(*HASH_KEY))
+        return IngestState(self._rows(0, before_batch, spark).select(*ID_KEY),
+                           self._rows(1, before_batch, spark).select(*HASH_KEY), sorted_files=size > RANGES_ABOVE)
 
     # upkeep
 
-    def compact(self) -> None:
-        """Rewrites all live rows as one segment of a new generation. Readers
-        switch to it with its commit; :meth:`vacuum` removes what it replaces."""
-        commits = Commits.read(self.spark, self.root)
-        if not commits.rows:
-            return
-        segment = _segment()
-        live = commits.live(self._files(self._generation(commits)))
-        self._write(live.select(*LOG_SCHEMA.names), segment, segment)
-        self._commit(commits.last_no + 1, "base", commits.last_batch, segment, segment,
-                     upto=commits.last_no)
-
     def retain(self, as_of, days: int) -> DataFrame:
         """Drops the rows processed more than ``days`` days before
-        ``as_of``; returns one row ``(kept_rows, removed_rows)``. Only segments
-        that hold such rows are rewritten, one commit each; metadata stays."""
-        commits = Commits.read(self.spark, self.root)
-        generation = self._generation(commits)
+        ``as_of``; returns one row ``(kept_rows, removed_rows)``. Days before
+        the limit are deleted folders, the limit's own day is rewritten if it
+        holds such rows, later days are not touched; metadata stays."""
         keep = _is_kept(as_of, days)
-        live = commits.live(self._files(generation))
-        counts = materialize(live.groupBy("segment").agg(
-            F.count_if(keep).alias("kept"), F.count_if(~keep).alias("removed")), "retention")
-        expired = {r["segment"] for r in counts.where("removed > 0").select("segment").collect()}
-        no = commits.last_no
-        for r in [*([commits.base] if commits.base else []), *commits.batches.values()]:
-            if r["segment"] in expired:
-                segment, no = _segment(), no + 1
-                self._write(live.where(keep & (F.col("segment") == r["segment"]))
-                            .select(*LOG_SCHEMA.names), segment, generation)
-                self._commit(no, r["kind"], r["batch_id"], segment, generation, r["upto"],
-                             r["source"], r["source_batch"])
-        return counts.agg(F.coalesce(F.sum("kept"), F.lit(0)).alias("kept_rows"),
-                          F.coalesce(F.sum("removed"), F.lit(0)).alias("removed_rows"))
-
-    def vacuum(self) -> None:
-        """Deletes segments and commits that no reader needs any more. The last
-        commit of each stream stays, for its replay."""
-        commits = Commits.read(self.spark, self.root)
-        last = {r["source"]: r["no"] for r in commits.rows if r["source"] is not None}
-        live = {r["no"] for r in [*([commits.base] if commits.base else []), *commits.batches.values()]}
-        for r in commits.rows:
-            if r["no"] not in live and r["no"] not in last.values():
-                _delete(self.spark, f"{self.root}/commits/no={r['no']}")
-        self._vacuum_rows(commits)
-
-    def _vacuum_rows(self, commits: Commits) -> None:
-        keep = {f"segment={s}" for s in commits.segments()}
-        for name in _folders(self.spark, f"{self.root}/tracking"):
-            if name not in keep:
-                _delete(self.spark, f"{self.root}/tracking/{name}")
-
-
-def _segment() -> str:
-    return "s" + uuid.uuid4().hex[:16]
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    p, fs = _hadoop_path(spark, path)
-    fs.delete(p, True)
-
-
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    p, fs = _hadoop_path(spark, path)
-    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
-
-
-def open_state(spark: SparkSession, root: str, buckets: int | None = None,
-               updated_at=None) -> FolderState:
-    """The state in ``root``, created when there is none: its layout
-    and the tracker version are recorded in the metadata. ``buckets`` asks for
-    :class:`BucketedState`; an existing state keeps its layout, and asking for
-    another number of buckets is an error."""
-    # a few rows: entries are written when a state is created
-    entries = _read_or_empty(spark, f"{root}/metadata", METADATA_SCHEMA).collect()
-    meta = {r["key"]: r["value"] for r in sorted(entries, key=lambda r: r["written_at"])}
-    if "tracker_version" not in meta:
-        put_metadata(spark, root, {"tracker_version": TRACKER_VERSION,
-                                   **({"state_buckets": str(int(buckets))} if buckets else {})},
-                     updated_at)
-        meta["state_buckets"] = str(int(buckets)) if buckets else None
-    stored = meta.get("state_buckets")
-    if buckets and stored != str(int(buckets)):
-        raise ValueError(f"the state in {root} has {stored or 'no'} buckets, not {buckets}")
-    return BucketedState(spark, root, int(stored)) if stored else FolderState(spark, root)
+        counts = materialize(self.log().agg(F.count_if(keep).alias("kept_rows"), F.count_if(~keep).alias("removed_rows")),
+                             "retention")
+        limit = self.spark.range(1).select(F.to_date(_limit(as_of, days)).alias("day")).first()["day"]
+        for name, _, _ in self.TABLES:
+            for folder in folders(self.spark, f"{self.root}/{name}"):
+                if folder.startswith("day=") and folder < f"day={limit}":
+                    remove(self.spark, f"{self.root}/{name}/{folder}")
+        if not self.log().where((F.col("processed_at") >= F.lit(limit)) & ~keep).isEmpty():
+            self._rewrite(~keep, [limit])
+        return counts
+
+    def compact(self, max_files: int = 8) -> None:
+        """Rewrites the days that have more than ``max_files`` files as few, sorted ones."""
+        for name, schema, key in self.TABLES:
+            path = f"{self.root}/{name}"
+            many = [d[len("day="):] for d in folders(self.spark, path) if d.startswith("day=")
+                    and sum(f.endswith(".parquet") for f in folders(self.spark, f"{path}/{d}")) > max_files]
+            if many:
+                rows = read_or_empty(self.spark, path, schema).where(F.col("day").isin(many))
+                self._write(materialize(rows, "compact"), name, key, "overwrite")
+
+
+def open_state(spark: SparkSession, root: str, updated_at=None) -> FolderState:
+    """The state in ``root``; when there is none it is created and the
+    tracker version recorded in its metadata."""
+    if not folders(spark, f"{root.rstrip('/')}/metadata"):
+        put_metadata(spark, root, {"tracker_version": TRACKER_VERSION}, updated_at)
+    return FolderState(spark, root)
 
 
 def append_batch(rows: DataFrame, state_path: str, batch_id: int | None = None, *,
@@ -419,95 +329,23 @@ def put_metadata(spark: SparkSession, state_path: str, values: dict[str, str],
 
 def read_metadata(spark: SparkSession, state_path: str) -> DataFrame:
     """(key, value, updated_at), the last write of each key, and what the
-    commits tell: ``last_batch_id`` (when a batch is recorded)."""
-    m = _read_or_empty(spark, f"{state_path}/metadata", METADATA_SCHEMA)
-    batch = Commits.read(spark, state_path).last_batch
-    last = spark.createDataFrame([("last_batch_id", str(batch), None)] if batch >= 0 else [],
-                                 T.StructType(METADATA_SCHEMA.fields[:3]))
+    batches tell: ``last_batch_id`` (when a batch is recorded)."""
+    m = read_or_empty(spark, f"{state_path}/metadata", METADATA_SCHEMA)
+    last = (FolderState(spark, state_path).batches().agg(F.max("batch_id").alias("n"))
+            .where("n is not null").select(F.lit("last_batch_id").alias("key"), F.col("n").cast("string").alias("value"),
+                                           F.lit(None).cast("timestamp_ntz").alias("updated_at")))
     return (latest_per_key(m, ["key"], ["written_at"]).drop("written_at")
             .where("key <> 'last_batch_id'").unionByName(last))
 
 
-# -- K11 / K3 / D15 ----------------------------------------------------------------
-
-def snapshot_documents(state: IngestState, saved_at: str, marks: DataFrame | None = None,
-                       chunk_rows: int = 100_000, total_ids: int | None = None,
-                       total_hashes: int | None = None) -> DataFrame:
-    """K11 as DataFrame: JSON state documents (M10), each holding a bounded
-    chunk of the state, so no channel's ID list is gathered in one task.
-
-    IDs are chunked by ``pmod(xxhash64(id), K)`` with K = ids / chunk_rows, so
-    every (channel, chunk) group holds about ``chunk_rows`` IDs or fewer,
-    however large the channel."""
-    # four readers: two counts and two sets of documents
-    ids = materialize(state.distinct_ids(), "snapshot-ids")
-    hashes = materialize(state.distinct_hashes(), "snapshot-hashes")
-    n_ids = total_ids if total_ids is not None else ids.count()
-    n_hashes = total_hashes if total_hashes is not None else hashes.count()
-    k_ids = max(1, -(-n_ids // chunk_rows))
-    k_hashes = max(1, -(-n_hashes // chunk_rows))
-    empty_ids = F.create_map().cast(SNAPSHOT_SCHEMA["processed_message_ids"].dataType)
-    empty_hashes = F.array().cast(T.ArrayType(T.StringType()))
-    empty_marks = F.create_map().cast(SNAPSHOT_SCHEMA["last_message_ids"].dataType)
-    id_docs = (ids.withColumn("_c", F.pmod(F.xxhash64(*ID_KEY), F.lit(k_ids)))
-               .groupBy("channel_id", "_c")
-               .agg(F.array_sort(F.collect_list("message_id")).alias("_ids"))
-               .select(F.create_map("channel_id", "_ids").alias("processed_message_ids"),
-                       empty_hashes.alias("content_hashes"),
-                       empty_marks.alias("last_message_ids")))
-    hash_docs = (hashes.withColumn("_c", F.pmod(F.xxhash64("content_hash"), F.lit(k_hashes)))
-                 .groupBy("_c")
-                 .agg(F.array_sort(F.collect_list("content_hash")).alias("_h"))
-                 .select(empty_ids.alias("processed_message_ids"),
-                         F.col("_h").alias("content_hashes"),
-                         empty_marks.alias("last_message_ids")))
-    docs = id_docs.unionByName(hash_docs)
-    if marks is not None:
-        docs = docs.unionByName(marks.select(
-            empty_ids.alias("processed_message_ids"), empty_hashes.alias("content_hashes"),
-            F.create_map("channel_id", "message_id").alias("last_message_ids")))
-    return docs.withColumn("saved_at", F.lit(saved_at))
-
-
-def write_snapshot(state: IngestState, path: str, saved_at: str, *, version: int | None = None,
-                   marks: DataFrame | None = None, chunk_rows: int = 100_000) -> str:
-    """K11 (and D15 when ``version`` is given): write the state documents as
-    JSON lines. Returns the folder written."""
-    out = path if version is None else f"{path}/version={int(version)}"
-    snapshot_documents(state, saved_at, marks, chunk_rows).write.mode("overwrite").json(out)
-    return out
-
-
-def read_marks(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """D12 from state documents: ``(channel_id, last_message_id)``."""
-    docs = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path)
-    return docs.select(F.explode("last_message_ids").alias("channel_id", "last_message_id"))
-
-
-def read_snapshot(spark: SparkSession, path: str, multi_line: bool = False) -> IngestState:
-    """K3: read state documents (our JSON lines, or the reference's single
-    indented document with ``multi_line=True``) and flatten them."""
-    docs = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", multi_line).json(path)
-    ids = (docs.select(F.explode("processed_message_ids").alias("channel_id", "_ids"))
-           .select("channel_id", F.explode("_ids").alias("message_id")))
-    hashes = docs.select(F.explode("content_hashes").alias("content_hash"))
-    return IngestState(ids, hashes)
-
-
-def read_latest_snapshot(spark: SparkSession, path: str) -> IngestState:
-    """The highest version below ``path``, or the documents right in it;
-    no snapshot: an empty state."""
-    names = _folders(spark, path)
-    versions = [int(n.split("=")[1]) for n in names if n.startswith("version=")]
-    if not names:
-        return IngestState.empty(spark)
-    return read_snapshot(spark, f"{path}/version={max(versions)}" if versions else path)
+# -- D11 -----------------------------------------------------------------------------
 
+def _limit(as_of, days: int) -> Column:
+    return _ts(as_of) - F.make_interval(days=F.lit(int(days)))
 
-# -- D11 -----------------------------------------------------------------------------
 
 def _is_kept(as_of, days: int) -> Column:
-    return F.col("processed_at") >= _ts(as_of) - F.make_interval(days=F.lit(int(days)))
+    return F.col("processed_at") >= _limit(as_of, days)
 
 
 def retention_split(log: DataFrame, as_of, days: int) -> tuple[DataFrame, DataFrame]:
@@ -520,70 +358,3 @@ def retention_split(log: DataFrame, as_of, days: int) -> tuple[DataFrame, DataFr
 def apply_retention(spark: SparkSession, state_path: str, as_of, days: int) -> DataFrame:
     """D11 on a recorded state (see :meth:`FolderState.retain`)."""
     return open_state(spark, state_path).retain(as_of, days)
-
-
-# -- bucketed layout for long-running ingest (S1) ------------------------------------
-
-class BucketedState(FolderState):
-    """The tracking log as two bucketed tables, for streams that run long.
-
-    Rows are stored bucketed by the ID key and, a second time and only their
-    hashes, by ``content_hash``: the state side of a lookup is a bucketed scan
-    with no exchange, so only the batch's keys are shuffled. Each batch appends
-    one file per bucket and table that it has rows for; :meth:`compact` writes
-    a new generation of both tables with one file per bucket. The number of
-    buckets belongs to the data: it is recorded by :func:`open_state`.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        super().__init__(spark, root)
-        self.buckets = int(buckets)
-        self.name = "sf_state_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
-
-    def _table(self, spark: SparkSession, generation: str, which: str) -> str:
-        name = f"{self.name}_{generation}_{which}"
-        key, fields = {"rows": ("channel_id, message_id", _STORED_SCHEMA),
-                       "hashes": ("content_hash", _HASHES_SCHEMA)}[which]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                  f"CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS "
-                  f"LOCATION '{self.root}/tables/{generation}/{which}'")
-        return name
-
-    def _write(self, rows: DataFrame, segment: str, generation: str) -> None:
-        spark = rows.sparkSession
-        rows = rows.select(*LOG_SCHEMA.names, F.lit(segment).alias("segment"))
-        (rows.repartition(self.buckets, *ID_KEY)
-         .write.insertInto(self._table(spark, generation, "rows")))
-        (rows.where("content_hash is not null and content_hash <> ''")
-         .select(*_HASHES_SCHEMA.names).repartition(self.buckets, *HASH_KEY)
-         .write.insertInto(self._table(spark, generation, "hashes")))
-
-    def _read_table(self, spark: SparkSession, generation: str, which: str) -> DataFrame:
-        # writes may come from another session (foreachBatch runs in a clone of
-        # the stream's session): drop any cached file listing first
-        name = self._table(spark, generation, which)
-        spark.catalog.refreshTable(name)
-        return spark.table(name)
-
-    def _stored(self, spark: SparkSession, generation: str) -> DataFrame:
-        return self._read_table(spark, generation, "rows")
-
-    def _stored_hashes(self, spark: SparkSession, generation: str) -> DataFrame:
-        return self._read_table(spark, generation, "hashes")
-
-    def _files(self, generation: str) -> DataFrame:
-        # a scan that knows its buckets would let Spark leave out the shuffle
-        # before the write, and then the buckets of the scan as well
-        return _read_or_empty(self.spark, f"{self.root}/tables/{generation}/rows", _STORED_SCHEMA)
-
-    def _vacuum_rows(self, commits: Commits) -> None:
-        """Whole generations go; rows of a replaced batch go with the next compaction."""
-        for generation in _folders(self.spark, f"{self.root}/tables"):
-            if generation != self._generation(commits):
-                for which in ("rows", "hashes"):
-                    self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{generation}_{which}")
-                _delete(self.spark, f"{self.root}/tables/{generation}")
-
-
-_HASHES_SCHEMA = T.StructType([_STORED_SCHEMA[c] for c in ("content_hash", "batch_id", "segment")])

@@ -4,7 +4,8 @@
 against the state recorded by the *earlier* batches and then writes
 
 * its classified messages to ``output/batch_id=N`` and
-* its accepted messages to the state, in either layout of ``state_store``.
+* its accepted messages to the state and
+* with ``stats_path``, its partial statistics (``operators/running_stats``).
 
 N is the state's batch id. The state remembers which stream and micro-batch it
 recorded as N, so a micro-batch that is run again after a failure gets the same
@@ -14,7 +15,10 @@ streaming checkpoint records which files a batch took; a stopped query resumes
 with the next batch (S2).
 
 Arrival order is (micro-batch, seq): messages of a later micro-batch are later
-than every message of an earlier one, whatever their ``seq``.
+than every message of an earlier one, whatever their ``seq``. With
+``lateness_seconds`` messages wait in a reorder buffer (``reorder``) until the
+watermark has passed them, and the order is that of their dates, across
+micro-batches too; :func:`drain_stream` releases the rest of a feed that has ended.
 
 Built-in ``dropDuplicates`` / ``dropDuplicatesWithinWatermark`` cannot express
 the two-key fold (chaining them gives the two-pass answer), and
@@ -33,8 +37,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import NEW
 from ..operators.ingest import ingest
+from ..operators.running_stats import write_part
 from ..plans.run import record_batch
-from ..sources.state_store import open_state, read_latest_snapshot
+from ..sources.snapshots import read_latest_snapshot
+from ..sources.state_store import open_state
+from .reorder import ReorderBuffer, event_order
 
 CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date", "seq",
                       "content_hash", "status", "is_duplicate", "reason"]
@@ -42,14 +49,14 @@ CLASSIFIED_COLUMNS = ["channel_id", "message_id", "channel_name", "text", "date"
 
 def ingest_batch(batch: DataFrame, source_batch: int, *, state_path: str, output_path: str,
                  to_messages: Callable[[DataFrame], DataFrame], processed_at=None,
-                 state_buckets: int | None = None, source: str = "batches",
-                 snapshot_path: str | None = None, compact_every: int | None = None) -> int:
+                 source: str = "batches", snapshot_path: str | None = None, stats_path: str | None = None,
+                 compact_every: int | None = None) -> int:
     """One micro-batch (also usable from a plain batch job). Returns the
     number of rounds the matching took. ``source`` and ``source_batch`` name
     the micro-batch; the same pair again is a replay. ``compact_every`` batches
-    the state is compacted, so that its number of files stays flat."""
+    the days of the state with many small files are rewritten as few."""
     spark = batch.sparkSession
-    tables = open_state(spark, state_path, state_buckets)
+    tables = open_state(spark, state_path)
     batch_id, again = tables.next_batch(source, int(source_batch))
     state = tables.state(before_batch=batch_id, spark=spark)
     if snapshot_path is not None:
@@ -60,13 +67,15 @@ def ingest_batch(batch: DataFrame, source_batch: int, *, state_path: str, output
      .write.mode("overwrite").parquet(out_dir))
     # the accepted rows come from the written output: the status join is not
     # computed again for the state writes
-    accepted = spark.read.parquet(out_dir).where(F.col("status") == F.lit(NEW))
+    classified = spark.read.parquet(out_dir)
+    accepted = classified.where(F.col("status") == F.lit(NEW))
+    if stats_path is not None:
+        write_part(classified, stats_path, batch_id)
     record_batch(tables, accepted, batch_id, replay=again, source=source,
                  source_batch=int(source_batch), snapshot_path=snapshot_path,
                  processed_at=processed_at if processed_at is not None else F.col("date"))
     if compact_every and (batch_id + 1) % compact_every == 0:
         tables.compact()
-        tables.vacuum()
     return res.rounds
 
 
@@ -80,19 +89,23 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
                         *, state_path: str, output_path: str, checkpoint_location: str,
                         to_messages: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
                         available_now: bool = True, max_files_per_trigger: int | None = None,
-                        processed_at=None, state_buckets: int | None = None,
-                        snapshot_path: str | None = None,
-                        compact_every: int | None = None) -> StreamingQuery:
-    """Start the streaming ingest over files arriving in ``source_path``."""
+                        processed_at=None, snapshot_path: str | None = None,
+                        stats_path: str | None = None, compact_every: int | None = None,
+                        lateness_seconds: float | None = None,
+                        buffer_path: str | None = None) -> StreamingQuery:
+    """Start the streaming ingest over files arriving in ``source_path``.
+    ``lateness_seconds`` and ``buffer_path`` (a folder for the messages that
+    wait) put messages in the order of their dates."""
     reader = spark.readStream.schema(source_schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(source_path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, batch_id, state_path=state_path, output_path=output_path,
-                     to_messages=to_messages, processed_at=processed_at,
-                     state_buckets=state_buckets, snapshot_path=snapshot_path,
+        ordered = to_messages if lateness_seconds is None else in_event_order(
+            to_messages, ReorderBuffer(spark, buffer_path, lateness_seconds), batch_id)
+        ingest_batch(batch, batch_id, state_path=state_path, output_path=output_path, to_messages=ordered,
+                     processed_at=processed_at, snapshot_path=snapshot_path, stats_path=stats_path,
                      compact_every=compact_every, source=_stream_id(spark, checkpoint_location))
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation",
@@ -101,6 +114,26 @@ def start_ingest_stream(spark: SparkSession, source_path: str, source_schema: T.
     return writer.start()
 
 
+def in_event_order(to_messages: Callable[[DataFrame], DataFrame], buffer: ReorderBuffer, batch: int,
+                   end_of_feed: bool = False) -> Callable[[DataFrame], DataFrame]:
+    """``to_messages`` followed by the reorder buffer: what micro-batch
+    ``batch`` releases, with the arrival order of its dates."""
+    return lambda rows: event_order(buffer.release(to_messages(rows), batch, end_of_feed=end_of_feed))
+
+
+def drain_stream(spark: SparkSession, source_schema: T.StructType, *, state_path: str, output_path: str,
+                 checkpoint_location: str, to_messages: Callable[[DataFrame], DataFrame],
+                 lateness_seconds: float, buffer_path: str, **kwargs) -> int:
+    """The end of a feed: ingests what still waits in the reorder buffer, as
+    the micro-batch after the stream's last one."""
+    buffer = ReorderBuffer(spark, buffer_path, lateness_seconds)
+    last = buffer.marks().agg(F.max("batch")).first()[0]
+    batch = 0 if last is None else last + 1
+    return ingest_batch(spark.createDataFrame([], source_schema), batch, state_path=state_path,
+                        output_path=output_path, source=_stream_id(spark, checkpoint_location),
+                        to_messages=in_event_order(to_messages, buffer, batch, end_of_feed=True), **kwargs)
+
+
 def read_stream_output(spark: SparkSession, output_path: str) -> DataFrame:
     return spark.read.parquet(output_path)
 

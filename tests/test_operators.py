@@ -10,7 +10,7 @@ from sieveflow.operators import routing, stats
 from sieveflow.operators.ingest import IngestState, ingest
 from sieveflow.plans.run import process_channels
 from sieveflow.sources import datasets, export
-from sieveflow.sources import state_store as ss
+from sieveflow.sources import snapshots, state_store as ss
 from sieveflow.sources.channels import channel_list
 from tests.conftest import SF_CHECK
 from tests.helpers import msgs
@@ -93,9 +93,9 @@ def test_latest_per_key_last_write_wins(spark, tmp_state):
 def test_snapshot_roundtrip_and_reference_document(spark, tmp_path):
     m = msgs(spark, [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")])
     st = IngestState(m.select("channel_id", "message_id"), m.select("content_hash"))
-    out = ss.write_snapshot(st, str(tmp_path / "snap"), saved_at="2024-01-01T00:00:00",
+    out = snapshots.write_snapshot(st, str(tmp_path / "snap"), saved_at="2024-01-01T00:00:00",
                             version=3, chunk_rows=2)
-    back = ss.read_snapshot(spark, out)
+    back = snapshots.read_snapshot(spark, out)
     assert sorted(tuple(r) for r in back.ids.collect()) == [("a", "1"), ("a", "2"), ("b", "3")]
     assert back.hashes.count() == 3
     # a single indented document as the reference writes it
@@ -103,7 +103,7 @@ def test_snapshot_roundtrip_and_reference_document(spark, tmp_path):
            "last_message_ids": {}, "saved_at": "2024-01-01T00:00:00"}
     p = tmp_path / "state.json"
     p.write_text(json.dumps(doc, indent=2))
-    ref = ss.read_snapshot(spark, str(p), multi_line=True)
+    ref = snapshots.read_snapshot(spark, str(p), multi_line=True)
     assert sorted(tuple(r) for r in ref.ids.collect()) == [("c", "8"), ("c", "9")]
     assert [r[0] for r in ref.hashes.collect()] == ["h1"]
 
@@ -113,7 +113,7 @@ def test_load_state_merges_snapshot(spark, tmp_state, tmp_path):
                     tmp_state, 0)
     snap = IngestState(spark.createDataFrame([("b", "7")], "channel_id string, message_id string"),
                        spark.createDataFrame([("hh",)], "content_hash string"))
-    path = ss.write_snapshot(snap, str(tmp_path / "s"), saved_at="x")
+    path = snapshots.write_snapshot(snap, str(tmp_path / "s"), saved_at="x")
     st = ss.load_state(spark, tmp_state, snapshot_path=path)
     assert st.distinct_ids().count() == 2 and st.distinct_hashes().count() == 2
 
@@ -194,31 +194,13 @@ def test_snapshot_is_merged_and_written(spark, tmp_state, tmp_path):
                            processed_at="2024-01-02", batch_id=1)
     assert {r.message_id: r.status for r in run.classified.collect()} == {
         "1": "dup_id", "2": "dup_content", "3": "new"}
-    latest = ss.read_latest_snapshot(spark, snap)
+    latest = snapshots.read_latest_snapshot(spark, snap)
     assert sorted(r.message_id for r in latest.distinct_ids().collect()) == ["1", "3"]
 
 
-def test_uncommitted_rows_do_not_count(spark, tmp_state):
-    for buckets in (None, 4):
-        root = f"{tmp_state}-{buckets}"
-        tables = ss.open_state(spark, root, buckets)
-        rows = ss.tracking_rows(msgs(spark, [("1", "a", "x")]), processed_at="2024-01-01")
-        tables.append(rows)
-        # a write that stops before its commit
-        late = ss.tracking_rows(msgs(spark, [("2", "a", "y")]), processed_at="2024-01-01")
-        tables._write(late.withColumn("batch_id", F.lit(1).cast("long")), "lost", "g0")
-        assert [r.message_id for r in tables.log().collect()] == ["1"]
-        assert tables.state().distinct_hashes().count() == 1
-
-
-def test_bucket_count_belongs_to_the_state(spark, tmp_state):
+def test_state_goes_on_in_another_run(spark, tmp_state):
     ids = [(str(i), "a", f"t{i}") for i in range(200)]
-    process_channels(msgs(spark, ids), state_path=tmp_state, state_buckets=8, processed_at="2024-01-01")
-    for table in spark.catalog.listTables():
-        if table.name.startswith("sf_state_"):
-            spark.sql(f"DROP TABLE {table.name}")       # a fresh catalogue
-    with pytest.raises(ValueError):
-        ss.open_state(spark, tmp_state, 4)
+    process_channels(msgs(spark, ids), state_path=tmp_state, processed_at="2024-01-01")
     assert ss.load_state(spark, tmp_state).distinct_ids().count() == 200
     again = process_channels(msgs(spark, [(i, c, t + " edited") for i, c, t in ids]),
                              state_path=tmp_state, processed_at="2024-01-02")
@@ -268,47 +250,20 @@ def test_value_and_user_mappings(spark):
     assert u.accepted().count() == 150 and u.rounds == 6
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_retention_rewrites_only_what_expired(spark, tmp_state, buckets):
-    m = msgs(spark, [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")])
-    tables = ss.open_state(spark, tmp_state, buckets)
-    tables.append(ss.tracking_rows(m.where("message_id = '1'"), processed_at="2024-01-01"))
-    tables.append(ss.tracking_rows(m.where("message_id <> '1'"), processed_at="2024-01-20"))
-    meta = {r.key: r.value for r in ss.read_metadata(spark, tmp_state).collect()}
-    assert ("state_buckets" in meta) == (buckets is not None)
-    before = ss.Commits.read(spark, tmp_state).batches
-    counts = ss.apply_retention(spark, tmp_state, "2024-01-25", 10).first()
-    assert (counts.kept_rows, counts.removed_rows) == (2, 1)
-    after = ss.Commits.read(spark, tmp_state).batches
-    assert after[1] == before[1] and after[0] != before[0]
-    assert {r.key: r.value for r in ss.read_metadata(spark, tmp_state).collect()} == {
-        **meta, "last_batch_id": "1"} and meta["tracker_version"] == "2.0.0"
-    st = ss.load_state(spark, tmp_state)
-    assert sorted(r.message_id for r in st.distinct_ids().collect()) == ["2", "3"]
-    # the dropped message is admitted again
-    again = ingest(m, st)
-    assert {r.message_id: r.status for r in again.messages.collect()}["1"] == "new"
-    # also out of a compacted state
-    tables.compact()
-    tables.append(ss.tracking_rows(msgs(spark, [("4", "b", "w")]), processed_at="2024-02-20"))
-    ss.apply_retention(spark, tmp_state, "2024-02-25", 10)
-    assert [r.message_id for r in tables.log().collect()] == ["4"]
-
-
 def test_snapshot_keeps_marks(spark, tmp_path):
     from sieveflow.operators.selection import high_water_marks
     m = msgs(spark, [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "z")])
     st = IngestState(m.select("channel_id", "message_id"), m.select("content_hash"))
     marks = high_water_marks(m).select("channel_id", F.col("last_message_id").alias("message_id"))
-    out = ss.write_snapshot(st, str(tmp_path / "s"), saved_at="x", marks=marks)
-    got = {r.channel_id: r.last_message_id for r in ss.read_marks(spark, out).collect()}
+    out = snapshots.write_snapshot(st, str(tmp_path / "s"), saved_at="x", marks=marks)
+    got = {r.channel_id: r.last_message_id for r in snapshots.read_marks(spark, out).collect()}
     assert got == {"a": "2", "b": "3"}
 
 
-def test_process_channels_with_bucketed_state(spark, tmp_state):
+def test_process_channels_goes_on_from_its_state(spark, tmp_state):
     m = msgs(spark, [("1", "a", "x"), ("2", "a", "x"), ("3", "b", "y")])
     first = process_channels(m, channels="a,b", state_path=tmp_state,
-                             processed_at="2024-01-01", state_buckets=4)
+                             processed_at="2024-01-01")
     assert first.totals.first().new_messages == 2
     m2 = msgs(spark, [("1", "a", "z"), ("9", "b", "y"), ("7", "c", "q")])
     second = process_channels(m2, channels="a,b,c", state_path=tmp_state,

@@ -1,0 +1,248 @@
+"""The recorded state: nothing committed is lost, days are partitions, lookups
+read what their keys can hit; runs that are cut go on."""
+
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveflow.operators.ingest import HASH_KEY, ID_KEY, ingest
+from sieveflow.operators.key_ranges import key_ranges
+from sieveflow.plans import run
+from sieveflow.session import materialize
+from sieveflow.sources import state_store as ss
+from tests.fold import sequential_fold
+from tests.helpers import msgs
+
+
+def rows_of(spark, ids, processed_at, text="t"):
+    return ss.tracking_rows(msgs(spark, [(str(i), "a", f"{text}{i}") for i in ids]), processed_at=processed_at)
+
+
+def ids_in(tables):
+    return sorted(int(r.message_id) for r in tables.log().collect())
+
+
+def files(root):
+    return {str(f.relative_to(root)) for f in root.rglob("*.parquet")}
+
+
+def test_committed_rows_are_not_lost(spark, tmp_path):
+    """A batch id that is taken is refused, whatever upkeep came between."""
+    tables = ss.open_state(spark, str(tmp_path))
+    for n, ids in enumerate([[1], [2], [3]]):
+        assert tables.append(rows_of(spark, ids, "2024-01-01")) == n
+    tables.compact(max_files=1)
+    for taken in (0, 1, 2):
+        with pytest.raises(ValueError):
+            tables.append(rows_of(spark, [9], "2024-01-01"), taken)
+    assert ids_in(tables) == [1, 2, 3]
+    tables.append(rows_of(spark, [4, 5], "2024-01-02"), 1, replay=True)
+    assert ids_in(tables) == [1, 3, 4, 5] and tables.next_batch() == (3, False)
+    assert tables.state().distinct_hashes().count() == 4
+
+
+def test_half_written_batch_is_invisible_and_written_anew(spark, tmp_path, monkeypatch):
+    tables = ss.open_state(spark, str(tmp_path))
+    tables.append(rows_of(spark, [1], "2024-01-01"))
+    whole = ss.FolderState._write
+
+    def cut(self, rows, name, key, mode):
+        whole(self, rows, name, key, mode)
+        if name == "tracking":
+            raise RuntimeError("the driver is gone")
+
+    monkeypatch.setattr(ss.FolderState, "_write", cut)
+    with pytest.raises(RuntimeError):
+        tables.append(rows_of(spark, [2, 3], "2024-01-01"))
+    monkeypatch.undo()
+    assert ids_in(tables) == [1] and tables.state().distinct_ids().count() == 1
+    assert tables.append(rows_of(spark, [3, 4], "2024-01-01")) == 1
+    assert ids_in(tables) == [1, 3, 4] and tables.state().distinct_hashes().count() == 3
+
+
+def test_retention_deletes_days_and_keeps_files(spark, tmp_path):
+    tables = ss.open_state(spark, str(tmp_path))
+    for i, at in enumerate(["2024-01-01", "2024-01-05 08:00:00", "2024-01-05 20:00:00", "2024-01-09", "2024-01-20"]):
+        tables.append(rows_of(spark, [i], at))
+    meta = {r.key: r.value for r in ss.read_metadata(spark, str(tmp_path)).collect()}
+    before = files(tmp_path)
+    counts = ss.apply_retention(spark, str(tmp_path), "2024-01-15 12:00:00", 10).first()
+    assert (counts.kept_rows, counts.removed_rows) == (3, 2)
+    assert ids_in(tables) == [2, 3, 4]
+    after = files(tmp_path)
+    changed = {f for f in before ^ after if f.startswith(("tracking", "hashes"))}
+    assert {f.split("/")[1] for f in changed} == {"day=2024-01-01", "day=2024-01-05"}
+    assert not (tmp_path / "tracking" / "day=2024-01-01").exists()
+    assert {r.key: r.value for r in ss.read_metadata(spark, str(tmp_path)).collect()} == meta
+    # removed messages are admitted again, kept ones are not
+    again = ingest(msgs(spark, [("0", "a", "t0"), ("2", "a", "t2")]), ss.load_state(spark, str(tmp_path)))
+    assert {r.message_id: r.status for r in again.messages.collect()} == {"0": "new", "2": "dup_id"}
+    # a limit on which nothing expires rewrites nothing
+    ss.apply_retention(spark, str(tmp_path), "2024-01-15 12:00:00", 10)
+    assert files(tmp_path) == after
+
+
+def _rows_read(df):
+    """Rows that the scans of the executed plan gave out."""
+    df.collect()
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("Scan parquet"):
+            out.append((node.toString(), node.metrics().apply("numOutputRows").value()))
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif "QueryStage" in name:
+            walk(node.plan())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(plan)
+    return out
+
+
+def test_lookups_read_the_rows_their_keys_can_hit(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ss, "RANGES_ABOVE", 0)
+    n = 40_000
+    history = spark.range(n).select(
+        F.concat(F.lit("c"), (F.col("id") % 4).cast("string")).alias("channel_id"),
+        F.lpad((F.col("id") / 4).cast("long").cast("string"), 6, "0").alias("message_id"),
+        F.lit("c").alias("channel_name"), F.lit(None).cast("timestamp_ntz").alias("date"),
+        F.sha2(F.col("id").cast("string"), 256).alias("content_hash"), F.col("id").alias("seq"))
+    tables = ss.open_state(spark, str(tmp_path / "state"))
+    tables.append(ss.tracking_rows(history.where("id < 30000".replace("id", "seq")), processed_at="2024-01-01"))
+    tables.append(ss.tracking_rows(history.where("seq >= 30000"), processed_at="2024-01-02"))
+    state = tables.state()
+
+    def hits(batch, key):
+        df = state.hits(materialize(batch.select(*key), "keys"), key)
+        read = sum(v for text, v in _rows_read(df) if "/state/" in text)
+        return df.count(), read / n
+
+    # one per cent of the keys: the next messages of two channels, far apart
+    batch = history.where("(channel_id = 'c0' and message_id between '002000' and '002199') or "
+                          "(channel_id = 'c3' and message_id between '009000' and '009199')")
+    found, share = hits(batch.union(batch), ID_KEY)
+    assert found == 400 and share < 0.10, share
+    # hashes lie evenly: a few of them read a few pages each
+    found, share = hits(history.where("seq % 10000 = 17"), HASH_KEY)
+    assert found == 4 and share < 0.15, share
+    found, share = hits(history.limit(1).withColumn("content_hash", F.lit("zz")), HASH_KEY)
+    assert found == 0 and share == 0
+    # every key of a spread batch is found, whatever it reads
+    assert hits(history.where("seq % 100 = 3"), HASH_KEY)[0] == 400
+    assert hits(history.where("seq % 100 = 3"), ID_KEY)[0] == 400
+
+
+def test_key_ranges_hold_all_keys(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["", "a", "ab", "b\x01", "é"]), str(rng.randrange(10 ** rng.randint(1, 9)))) for _ in range(500)]
+    df = materialize(spark.createDataFrame(rows + [(None, "1"), ("a", None)], "channel_id string, message_id string"), "k")
+    for key in (ID_KEY, ["message_id"]):
+        for most in (1, 8, 64):
+            kept = df.where(key_ranges(df, key, most))
+            assert kept.dropna(subset=key).count() == df.dropna(subset=key).count()
+    assert df.where(key_ranges(df.limit(0), ID_KEY)).count() == 0
+
+
+SCHEMA = "seq long, channel_id string, message_id string, content_hash string"
+
+
+def messages_of(spark, rows):
+    return (spark.createDataFrame(rows, SCHEMA).withColumn("channel_name", F.col("channel_id"))
+            .withColumn("text", F.lit("")).withColumn("date", F.lit("2024-01-01").cast("timestamp_ntz")))
+
+
+def test_cut_run_goes_on(spark, tmp_path, monkeypatch):
+    """A run that ends within its third group of channels, started again,
+    equals one whole run; finished groups are not run again."""
+    rng = random.Random(4)
+    rows = [(s, f"c{rng.randrange(7)}", str(rng.randrange(30)), f"h{rng.randrange(60)}") for s in range(300)]
+    df = messages_of(spark, rows)
+    flat = sorted((c, s, m, h) for s, c, m, h in rows)
+    want = sequential_fold([(i, c, m, h) for i, (c, s, m, h) in enumerate(flat)])
+    want = {flat[i][1]: status for i, status in want.items()}
+    args = dict(state_path=str(tmp_path / "state"), output_path=str(tmp_path / "out"), run_id="r1",
+                channels_per_commit=2, processed_at="2024-01-01")
+    calls, whole = [], run.ingest
+
+    def cut(part, *a, **k):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("the driver is gone")
+        return whole(part, *a, **k)
+
+    monkeypatch.setattr(run, "ingest", cut)
+    with pytest.raises(RuntimeError):
+        run.process_in_groups(df, **args)
+    assert ss.open_state(spark, args["state_path"]).log().where("channel_id < 'c4'").count() == \
+        sum(1 for s, c, _, _ in rows if c < "c4" and want[s] == "new")
+    report = run.process_in_groups(df, **args)
+    assert len(calls) == 3 + 2
+    assert {r["seq"]["seq"]: r["status"] for r in report.classified.collect()} == want
+    totals = report.totals.first()
+    assert (totals.channels_processed, totals.total_messages, totals.new_messages) == (
+        7, 300, sum(v == "new" for v in want.values()))
+    log = ss.open_state(spark, args["state_path"]).log()
+    assert log.count() == totals.new_messages == log.select(*ID_KEY).distinct().count()
+    # once more: nothing left to do
+    run.process_in_groups(df, **args)
+    assert len(calls) == 5
+    # another run sees what the first recorded
+    other = run.process_in_groups(df, **{**args, "run_id": "r2"})
+    assert other.totals.first().new_messages == 0
+
+
+def test_channels_of_many_channels(spark):
+    from sieveflow.sources.channels import channels_of
+    n = 100_000
+    df = spark.range(n).select(F.concat(F.lit("c"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("channel_id"))
+    got = channels_of(df.union(df.limit(1000)))
+    assert got.count() == n
+    assert got.where(F.concat(F.lit("c"), F.lpad(F.col("channel_ordinal").cast("string"), 6, "0"))
+                     != F.col("channel")).count() == 0
+    assert channels_of(df.limit(0)).count() == 0
+
+
+def hashed(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_long_chain_in_few_rounds(spark):
+    """100,000 messages, each of which shares a key with the one before."""
+    n = 100_000
+    df = spark.range(1, n + 1).select(
+        F.col("id").alias("seq"), F.lit("c").alias("channel_id"),
+        F.concat(F.lit("i"), F.floor((F.col("id") + 1) / 2).cast("string")).alias("message_id"),
+        F.concat(F.lit("h"), F.floor(F.col("id") / 2).cast("string")).alias("content_hash"))
+    res = ingest(df)
+    assert res.rounds <= 25, res.rounds
+    # kept are the odd ones: each even one shares its id with the one before
+    wrong = res.messages.where((F.col("status") == "new") != (F.col("seq") % 2 == 1)).count()
+    assert wrong == 0 and res.messages.where("status = 'dup_id'").count() == n // 2
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_chains_with_branches_equal_the_fold(spark, seed):
+    """Chains of many lengths, in either direction, with forks and hubs."""
+    rng = random.Random(seed)
+    rows, seq = [], iter(range(1, 10 ** 6))
+    for c in range(12):
+        links = [(f"c{c}", f"i{(k + 1) // 2}", f"{c}h{k // 2}") for k in range(rng.randint(1, 80))]
+        if c % 3 == 1:
+            links.reverse()
+        if c % 3 == 2:
+            at = rng.randrange(len(links))
+            links = links[at:] + links[:at][::-1]
+        rows += [(next(seq), *link) for link in links]
+        for _ in range(rng.randint(0, 6)):                    # forks
+            rows.append((next(seq), f"c{c}", f"i{rng.randrange(40)}", f"{c}h{rng.randrange(40)}"))
+    rows += [(next(seq), "hub", "i1", f"x{k}") for k in range(50)]
+    rng.random() < 0.5 and rng.shuffle(rows)
+    rows = [(i, *r[1:]) for i, r in enumerate(rows, 1)]
+    res = ingest(spark.createDataFrame(rows, SCHEMA))
+    assert {r.seq: r.status for r in res.messages.collect()} == sequential_fold(rows)
+    assert res.rounds <= 40

@@ -70,7 +70,7 @@ def test_stream_ingest_resumes(spark, tmp_path):
     assert res.select("batch_id").distinct().count() == 3
 
 
-def test_bucketed_state_split_invariance_and_replay(spark, tmp_path):
+def test_split_invariance_replay_and_compaction(spark, tmp_path):
     import random
     from pyspark.sql import functions as F
     from sieveflow.sources.state_store import open_state
@@ -91,9 +91,9 @@ def test_bucketed_state_split_invariance_and_replay(spark, tmp_path):
              for i in range(3)]
     for i, part in enumerate(parts):
         ingest_batch(part, i, state_path=state, output_path=out, to_messages=to_messages,
-                     processed_at="2024-01-01", state_buckets=4)
+                     processed_at="2024-01-01")
     ingest_batch(parts[1], 1, state_path=state, output_path=out, to_messages=to_messages,
-                 processed_at="2024-01-01", state_buckets=4)          # replay
+                 processed_at="2024-01-01")          # replay
     got = {r.seq: r.status for r in spark.read.parquet(out).collect()}
     assert got == sequential_fold(rows)
     tables = open_state(spark, state)
@@ -103,7 +103,7 @@ def test_bucketed_state_split_invariance_and_replay(spark, tmp_path):
     assert tables.log().count() == kept and tables.state().distinct_hashes().count() == kept
 
 
-def test_stream_with_bucketed_state_sees_earlier_batches(spark, tmp_path):
+def test_stream_sees_earlier_batches(spark, tmp_path):
     """foreachBatch runs in a cloned session: state written by one micro-batch
     must be visible to the next."""
     schema = T.StructType([T.StructField("seq", T.LongType()),
@@ -124,7 +124,7 @@ def test_stream_with_bucketed_state_sees_earlier_batches(spark, tmp_path):
         ingest_stream.start_ingest_stream(
             spark, src, schema, state_path=state, output_path=out,
             checkpoint_location=str(tmp_path / "ckpt"), to_messages=to_messages,
-            processed_at="2024-01-01", state_buckets=4).awaitTermination()
+            processed_at="2024-01-01").awaitTermination()
     got = {r.seq: r.status for r in ingest_stream.read_stream_output(spark, out).collect()}
     assert got == {1: "new", 2: "dup_id", 3: "dup_content", 4: "new", 5: "dup_id"}
 
@@ -157,15 +157,14 @@ def test_number_of_files_stays_flat(spark, tmp_path):
     from sieveflow.sources.state_store import open_state
     root, most = str(tmp_path / "state"), []
     schema = "seq long, channel_id string, message_id string, text string"
-    for i in range(12):
+    for i in range(9):
         batch = spark.createDataFrame([(i, "c", str(i), f"t{i}")], schema)
         ingest_stream.ingest_batch(batch, i, state_path=root, output_path=str(tmp_path / "out"),
-                                   to_messages=_to_messages, processed_at="2024-01-01",
-                                   state_buckets=2, compact_every=3)
-        most.append(len(list((tmp_path / "state").rglob("*.parquet"))))
-    assert open_state(spark, root).log().count() == 12
-    # commits, metadata and one file per bucket and table; then three small batches
-    assert most[5] == most[8] == most[11] <= 7 and max(most) <= 7 + 2 * 3
+                                   to_messages=_to_messages, processed_at="2024-01-01", compact_every=3)
+        most.append(sum(1 for t in ("tracking", "hashes") for _ in (tmp_path / "state" / t).rglob("*.parquet")))
+    assert open_state(spark, root).log().count() == 9
+    # a day with more than 8 files is rewritten as one
+    assert max(most) <= 2 * 9 and most[8] == 2
 
 
 def _plan(df) -> str:
@@ -176,33 +175,19 @@ def _plan(df) -> str:
 
 
 def test_history_is_not_shuffled(spark, tmp_path):
-    """IDs and hashes: a small batch is broadcast to either layout; a large one
-    meets a bucketed state without an exchange on the state's side."""
+    """IDs and hashes: a small batch is broadcast, the history does not move."""
     from pyspark.sql import functions as F
-    from sieveflow.operators.ingest import HASH_KEY, ID_KEY, keys_in_state
+    from sieveflow.operators.ingest import HASH_KEY, ID_KEY
     from sieveflow.session import materialize
     from sieveflow.sources.state_store import open_state, tracking_rows
     history = _to_messages(spark.range(500).select(
         F.col("id").alias("seq"), F.lit("c").alias("channel_id"),
         F.col("id").cast("string").alias("message_id"), F.col("id").cast("string").alias("text")))
     batch = materialize(history.where("seq % 5 = 0"), "batch")
-    for buckets in (None, 8):
-        tables = open_state(spark, str(tmp_path / f"s{buckets}"), buckets)
-        tables.append(tracking_rows(history, processed_at="2024-01-01"))
-        state = tables.state()
-        sides = [(ID_KEY, state.id_parts()), (HASH_KEY, state.hash_parts())]
-        for key, parts in sides:
-            plan = _plan(keys_in_state(batch, parts, key))
-            # an exchange, if any, is above the join: the distinct hits
-            assert "Exchange hashpartitioning" not in plan.split("BroadcastHashJoin")[1], plan
-        if buckets:
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-            try:
-                for key, parts in sides:
-                    df = keys_in_state(batch, parts, key)
-                    plan = _plan(df)
-                    # one exchange, of the batch's keys
-                    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1, plan
-                    assert df.count() == 100
-            finally:
-                spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    tables = open_state(spark, str(tmp_path / "state"))
+    tables.append(tracking_rows(history, processed_at="2024-01-01"))
+    for key in (ID_KEY, HASH_KEY):
+        hits = tables.state().hits(batch, key)
+        # an exchange, if any, is above the join: the distinct hits
+        assert "Exchange hashpartitioning" not in _plan(hits).split("BroadcastHashJoin")[1]
+        assert hits.count() == 100
