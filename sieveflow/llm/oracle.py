@@ -4,6 +4,8 @@ XXH64, CRC-32, tokenizers, checksums) are tested against brute force."""
 from __future__ import annotations
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT"
+#: a word of over 64 characters counts once for each 64 begun
+_UNITS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]{1,64}')), 0)::BIGINT"
 
 #: cosine links by all pairs of a label; components by closure
 _OP4 = """
@@ -82,7 +84,7 @@ f{b} AS (SELECT i, p[1] AS cost, p[2] AS prev FROM (
                     f"UNION ALL SELECT {b} AS b, m AS i FROM ends WHERE k = {b})")
     every = " UNION ALL ".join(f"SELECT * FROM e{b}" for b in range(1, buckets + 1))
     return f"""
-WITH doc AS (SELECT doc_id, {_WORDS} AS words, coalesce(md5(text), '') AS digest FROM documents),
+WITH doc AS (SELECT doc_id, {_UNITS} AS words, coalesce(md5(text), '') AS digest FROM documents),
 cut AS (SELECT doc_id, words, digest, unnest(generate_series(0, greatest(ceil(words / {max_len}.0)::BIGINT - 1, 0))) AS piece
         FROM doc),
 seq AS (SELECT doc_id, piece, piece * {max_len} AS start, least(words - piece * {max_len}, {max_len}) AS length,

@@ -38,6 +38,18 @@ def test_query_equals_its_sql(spark, name):
     assert key([norm(r[c]) for c in cols] for r in df.collect()) == want
 
 
+def test_packing_sql_counts_long_words_as_the_query(spark):
+    rows = [(1, "x" * 500 + " word", "a"), (2, "中" * 300, "a"), (3, "a b c", "a"), (4, None, "a"), (5, "y" * 64, "b")]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", [r[:2] for r in rows])
+    cur = con.execute(entry.oracle_sql()["op8_packed_batches"])
+    at = [d[0] for d in cur.description]
+    df = pack(docs_of(spark, rows))
+    assert sorted(map(str, (tuple(r[c] for c in at) for r in df.collect()))) == sorted(map(str, cur.fetchall()))
+    assert {r["doc_id"]: r["length"] for r in df.collect()} == {1: 9, 2: 5, 3: 3, 4: 0, 5: 1}
+
+
 @pytest.mark.parametrize("name,columns", [
     ("op1_language_id", {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}),
     ("op2_simhash_groups", {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}),
