@@ -78,8 +78,9 @@ def _cells(groups: DataFrame, pivots: dict[tuple, np.ndarray], reach: float) ->
                 by_key.setdefault(k, []).append(i)
             for key, rows in by_key.items():
                 part = table.take(pa.array(rows))
-                for at in range(0, len(rows), 1024):
-                    some = part.slice(at, 1024)
+                step = _slice_rows(pivots.get(key))
+                for at in range(0, len(rows), step):
+                    some = part.slice(at, step)
                     row, cell, home = _placed(some, pivots.get(key), reach)
                     got = some.take(pa.array(row))
                     yield pa.RecordBatch.from_arrays(
@@ -94,6 +95,11 @@ def _cells(groups: DataFrame, pivots: dict[tuple, np.ndarray], reach: float) ->
     return materialize(groups.select("label", "dim", "gid", "n", "vec").mapInArrow(spread, schema), "rangejoin")
 
 
+def _slice_rows(pivots: np.ndarray | None) -> int:
+    """Rows that are held against all pivots at a time: about 4 million distances."""
+    return 1024 if pivots is None else max(1, min(1024, (4 << 20) // max(1, len(pivots))))
+
+
 def _placed(some: pa.Table, pivots: np.ndarray | None, reach: float):
     n = len(some)
     if pivots is None or len(pivots) < 2:
@@ -103,8 +109,10 @@ def _placed(some: pa.Table, pivots: np.ndarray | None, reach: float):
     own = square.argmin(axis=1)
     least = square[np.arange(n), own][:, None]
     near = np.sqrt(square) <= np.sqrt(least) + 2 * reach + _SLACK
-    between = np.sqrt(np.maximum(2 - 2 * (pivots @ pivots.T), 0))[own]   # own pivot to the others
-    near &= square - least <= 2 * between * (reach + _SLACK) + _SLACK
+    # own pivot to the others: of the pivots that own one of these rows only
+    used, which = np.unique(own, return_inverse=True)
+    between = np.sqrt(np.maximum(2 - 2 * (pivots[used] @ pivots.T), 0))
+    near &= square - least <= 2 * between[which] * (reach + _SLACK) + _SLACK
     near[np.arange(n), own] = True
     row, cell = np.nonzero(near)
     return row, cell.astype(np.int32), cell == own[row]
