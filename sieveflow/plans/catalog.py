@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import hash_prefix
 from ..operators import membership, routing, running_stats, selection, stats, temporal
 from ..operators.ingest import IngestState, ingest
+from ..operators.refold import refold
 from ..sources import channels as ch
 from ..sources import datasets, export, snapshots, state_store
 from ..sources.messages import FIXTURE_INGEST_TIME  # noqa: F401  (used by the oracle SQL)
@@ -383,6 +384,16 @@ def q_retained_rows(spark, sf):
         F.col("mark_seq").alias("event_id"), "channel_id", "message_id")
 
 
+def q_readmitted_messages(spark, sf):
+    """D11 with J5: the events that are kept once those before the retention's
+    limit are gone, refolded from what their removal touches."""
+    e = events_feed(spark, sf).select("channel_id", "message_id", "content_hash", "seq", "date")
+    first = ingest(e.drop("date"))
+    limit = F.lit(AS_OF).cast("timestamp_ntz") - F.make_interval(days=F.lit(RETENTION_DAYS))
+    out = refold(e.drop("date"), first.kept, removed=e.where(F.col("date") < limit).select("seq"))
+    return out.kept.select(F.col("seq").alias("event_id"), "channel_id", "message_id")
+
+
 # -- time operators --------------------------------------------------------------------------
 
 def q_rapid_reposts(spark, sf):
@@ -641,6 +652,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "high_water_mark": q_high_water_mark,
     "after_mark": q_after_mark,
     "retained_rows": q_retained_rows,
+    "readmitted_messages": q_readmitted_messages,
     "rapid_reposts": q_rapid_reposts,
     "burst_ids": q_burst_ids,
     "burst_summary": q_burst_summary,

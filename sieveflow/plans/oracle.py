@@ -531,6 +531,11 @@ select 'all', count(*), count(distinct [channel_id, message_id]), count(distinct
        count(distinct channel_id)
 from kept""",
 
+    "readmitted_messages": f"""with {E},
+x as (select * from e where date >= {_AS_OF_MINUS['retention']}),
+{fold('x')}
+select seq as event_id, channel_id, message_id from kept""",
+
     "stream_first_ids": f"""with {E} select distinct channel_id, message_id from e""",
 
     "stream_reposts": f"""with {E},
