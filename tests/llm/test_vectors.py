@@ -84,6 +84,24 @@ def test_replication_holds_every_partner():
     assert len(row) < 400 * 30     # not everything everywhere
 
 
+def test_many_pivots_take_bounded_memory():
+    """As many pivots as there can be: no table of pivots by pivots."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    pivots = rangejoin._unit(rng.normal(size=(rangejoin.MAX_PIVOTS, 64)))
+    rows = rangejoin._slice_rows(pivots)
+    t = pa.table({"vec": list(rng.normal(size=(rows, 64)))})
+    tracemalloc.start()
+    row, _, home = rangejoin._placed(t, pivots, np.sqrt(2 - 2 * 0.98))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows >= 200 and home.sum() == rows and set(row) == set(range(rows))
+    assert peak < 500e6, peak
+
+
 def test_no_vectors(spark):
     empty = table(spark, rows_of(3)).limit(0)
     assert vector_components(empty).count() == 0
@@ -131,3 +149,27 @@ def test_codes_bound_the_inner_product():
     wide = size * np.linalg.norm(q) * np.sqrt((1 - fit ** 2) / fit ** 2 / 63)
     error = np.abs(guess - x @ q)
     assert (error <= ann.EPSILON * wide).mean() > 0.97 and abs((guess - x @ q).mean()) < 0.1 * error.std()
+
+
+@pytest.mark.parametrize("kind", ["gaussian", "clustered"])
+def test_recall_where_the_codes_prune(kind):
+    """20,000 vectors, 1,000 queries: most pairs are never scored exactly, and
+    nearly all of the nearest are found."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(20_000, 64))
+    if kind == "clustered":
+        x = rng.normal(size=(200, 64))[rng.integers(0, 200, 20_000)] + 0.5 * x
+    ids, k = np.arange(len(x)), 20
+    q = x[::20]
+    centre = x[:4000].mean(axis=0)
+    bits, size, fit = ann.codes(x, centre, ann.rotation(64))
+    pairs = []
+    row, score, found = ann.search_block(ids[::20], q, ids, x, bits, size, fit, centre, k, ann.EPSILON, pairs)
+    full = q @ x.T
+    full[np.arange(len(q)), ids[::20]] = -np.inf
+    want = np.argsort(-full, axis=1)[:, :k]
+    got = {(r, i) for r, i in zip(row.tolist(), found.tolist())}
+    recall = np.mean([(r, i) in got for r in range(len(q)) for i in want[r].tolist()])
+    assert np.bincount(row, minlength=len(q)).tolist() == [k] * len(q)
+    assert np.allclose(score, full[row, found])
+    assert recall >= 0.99 and sum(pairs) < 0.3 * full.size, (recall, sum(pairs) / full.size)
