@@ -94,7 +94,7 @@ def test_partial_aggregation_for_statistics(spark):
     assert "partial_count" in plan
 
 
-GLOBAL_TOTALS = {"run_totals", "tracker_statistics", "check_counters"}
+GLOBAL_TOTALS = {"run_totals", "tracker_statistics", "check_counters", "running_statistics"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - GLOBAL_TOTALS))
