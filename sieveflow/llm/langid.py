@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveflow.llm.columns import free_name
+
 UNKNOWN = "und"
 
 
@@ -267,8 +269,9 @@ def predict_language(docs: DataFrame, model: Model | None, text_col: str = "text
     get equal answers; no rows: an empty result.
     """
     own = [F.col(f"`{c}`") for c in docs.columns if c not in (lang_col, score_col)]
-    return (docs.select(*own, language(text_col, model).alias("_language"))
-            .select(*own, F.col("_language.lang").alias(lang_col), F.col("_language.score").alias(score_col)))
+    found = free_name(docs, "_language")
+    return (docs.select(*own, language(text_col, model).alias(found))
+            .select(*own, F.col(f"{found}.lang").alias(lang_col), F.col(f"{found}.score").alias(score_col)))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sieveflow.llm.columns import free_name
+
 KINDS = ("assign", "access", "hex", "github", "npm", "wif")
 BASE = KINDS[:3]
 
@@ -211,14 +213,15 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", chars_col: str | Non
             yield pa.array([redact(t.as_py(), mark) for t in batch], pa.string())
 
     cols = docs.columns
-    done = docs.withColumn("_redacted_text", clean(F.col(text_col)))
+    name = free_name(docs, "_redacted_text")
+    done = docs.withColumn(name, clean(F.col(text_col)))
     out = []
     for c in cols:
         if c == text_col:
-            out.append(F.col("_redacted_text").alias(c))
+            out.append(F.col(name).alias(c))
         elif c == chars_col:
-            changed = ~F.col("_redacted_text").eqNullSafe(F.col(text_col))
-            out.append(F.when(changed, F.char_length("_redacted_text").cast(docs.schema[c].dataType))
+            changed = ~F.col(name).eqNullSafe(F.col(text_col))
+            out.append(F.when(changed, F.char_length(name).cast(docs.schema[c].dataType))
                        .otherwise(F.col(c)).alias(c))
         else:
             out.append(F.col(f"`{c}`"))

@@ -153,3 +153,17 @@ def test_unlabelled_corpus_keeps_its_documents(spark):
     assert out.columns == docs.columns
     assert Counter((r["doc_id"], r["text"], r["lang"]) for r in out.collect()) == \
         Counter((i, t, None) for i, t, _ in ROWS if t and any(map(str.isalpha, t)))
+
+
+def test_columns_named_like_the_helpers_come_back(spark):
+    from pyspark.sql import functions as F
+
+    from sieveflow.llm.langid import predict_language
+    from sieveflow.llm.secrets import redact_secrets
+
+    docs = docs_of(spark, ROWS[:4]).withColumn("_redacted_text", F.lit("mine")).withColumn("_LANGUAGE", F.lit("mine"))
+    out = redact_secrets(docs)
+    assert out.columns == docs.columns and {r["_redacted_text"] for r in out.collect()} == {"mine"}
+    out = predict_language(docs, None)
+    assert out.columns == [*docs.columns, "lang_pred", "score"]
+    assert {(r["_LANGUAGE"], r["lang_pred"]) for r in out.collect()} == {("mine", "und")}
