@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,20 +32,32 @@ from sieveflow.session import materialize, scratch_path
 STRIPE_BYTES = 32 << 20
 ROW_INDEX = 5_000
 #: about how many bytes of text one written part holds
-PART_BYTES = 64 << 20
-
-
-def token_ids(text: str | Column, tokenizer: str, end_id: int | None) -> Column:
-    """Ids of ``text`` (null: empty) as an array of ints, ``end_id`` appended."""
-
-    @F.arrow_udf("array<int>")
-    def encoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+PART_BYTES = 48 << 20
+#: bytes of text whose ids a worker holds at a time
+SLICE_BYTES = 2 << 20
+#: bytes that a row counts beside its text
+ROW_BYTES = 16
+
+
+def _encoded(tokenizer: str, end_id: int | None):
+    """Rows (doc_id, tie, _text, part) to rows (part, doc_id, tie, n_tokens,
+    ids): a record batch for each slice of texts, so a worker holds the ids of
+    one slice."""
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, True)
         for batch in batches:
-            parts = [_with_end(*enc.encode(s), end_id) for s in slices(batch)]
-            yield pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+            at = 0
+            for texts in slices(batch["_text"], SLICE_BYTES):
+                ids = _with_end(*enc.encode(texts), end_id)
+                rows = batch.slice(at, len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [rows["part"], rows["doc_id"], rows["tie"], pc.list_value_length(ids).cast(pa.int64()), ids],
+                    ["part", "doc_id", "tie", "n_tokens", "ids"])
+                # what the slice took goes back to the system, not to the next batch only
+                pa.default_memory_pool().release_unused()
 
-    return encoded(F.col(text) if isinstance(text, str) else text)
+    return encode
 
 
 def _with_end(ids: np.ndarray, lens: np.ndarray, end_id: int | None) -> pa.Array:
@@ -81,15 +94,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     if parts is None:
-        size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+        size = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + ROW_BYTES)).first()[0] or 0
         parts = max(1, -(-size // PART_BYTES))
     tie = F.xxhash64("_text")
     ordered = (rows.withColumn("_tie", tie)
                .repartitionByRange(parts, F.col("doc_id"), F.col("_tie"))
                .sortWithinPartitions("doc_id", "_tie"))
-    out = (ordered.select(F.spark_partition_id().alias("part"), "doc_id", F.col("_tie").alias("tie"),
-                          token_ids("_text", tokenizer, end_id).alias("ids"))
-           .select("part", "doc_id", "tie", F.size("ids").cast("long").alias("n_tokens"), "ids"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    out = (ordered.select(F.spark_partition_id().alias("part"), "doc_id", F.col("_tie").alias("tie"), "_text")
+           .mapInArrow(_encoded(tokenizer, end_id), f"part int, doc_id {kind}, tie long, n_tokens long, ids array<int>"))
     (out.write.mode("errorifexists")
      .option("compression", "zstd")
      .option("orc.stripe.size", STRIPE_BYTES)

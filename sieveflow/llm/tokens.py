@@ -46,8 +46,11 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 #: characters encoded in one call of the library
 CALL_CHARS = 1 << 15
-#: pieces a worker remembers before it starts anew
+#: pieces a worker remembers before it starts anew; with their ids also about
+#: how many bytes: a piece takes PIECE_BYTES beside its characters and ids
 MEMO_PIECES = 1_000_000
+MEMO_BYTES = 200 << 20
+PIECE_BYTES = 260
 
 _SEPARATOR = "|"
 _STOPS = ".,!?;:"
@@ -122,6 +125,7 @@ class PieceEncoder:
         self.offs = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18 if self.keep_ids else 0, np.int32)
         self.used = 0
+        self.held = 0
 
     def _add(self, pieces: list[str], lens: np.ndarray, ids: np.ndarray) -> None:
         k, n = len(self.memo), len(pieces)
@@ -136,6 +140,8 @@ class PieceEncoder:
             self.flat[self.used:self.used + len(ids)] = ids
             self.used += len(ids)
         self.memo.update(zip(pieces, range(k, k + n)))
+        if self.keep_ids:
+            self.held += n * PIECE_BYTES + sum(map(len, pieces)) + 4 * len(ids)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
@@ -234,7 +240,7 @@ class PieceEncoder:
 
     def pieces_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(memo numbers of all pieces in order, pieces of each text)."""
-        if len(self.memo) > MEMO_PIECES:
+        if len(self.memo) > MEMO_PIECES or self.held > MEMO_BYTES:
             self._clear()
         n = len(texts)
         if self.style is None:
@@ -327,8 +333,9 @@ def _safe_cuts(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
-def slices(texts: pa.Array) -> Iterator[pa.Array]:
-    """``texts`` with nulls as empty texts, in slices of about SLICE_BYTES."""
+def slices(texts: pa.Array, size: int | None = None) -> Iterator[pa.Array]:
+    """``texts`` with nulls as empty texts, in slices of about ``size`` (default:
+    SLICE_BYTES) bytes."""
     texts = pc.fill_null(texts, "")
     if not len(texts):
         return
@@ -336,7 +343,7 @@ def slices(texts: pa.Array) -> Iterator[pa.Array]:
     at = 0
     while at < len(texts):
         before = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        stop = max(at + 1, int(np.searchsorted(ends, before + (size or SLICE_BYTES), "right")))
         yield texts.slice(at, stop - at)
         at = stop
 
