@@ -24,10 +24,11 @@ the state has its ID or a kept message with the same ID came earlier,
 otherwise ``dup_content``. Kept messages are unique per ID, so this is one
 join on the ID key.
 
-Joins carry no hints. One side always is a written table with one row per key
-(state hits, winners, kept keys): Spark broadcasts it when its bytes allow it,
-and otherwise AQE splits the partitions of a hot key on the other side, which
-such a join permits. The recorded history is only ever the streamed side of a
+One side of a join always is a written table with one row per key (state hits,
+winners, kept keys): Spark broadcasts it when its rows are few (``small_side``:
+repeated values make files far smaller than the rows in them), and otherwise
+AQE splits the partitions of a hot key on the other side, which such a join
+permits. The recorded history is only ever the streamed side of a
 semi join with the batch's keys (:func:`keys_in_state`): a small batch is
 broadcast to it, and of a recorded state only the key ranges of the batch are
 read (``key_ranges``).
@@ -48,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import DUP_CONTENT, DUP_ID, NEW, reason_text
-from ..session import materialize, scratch_path
+from ..session import materialize, scratch_path, small_side
 from .chains import kept_on_chains
 from .key_ranges import key_ranges
 
@@ -131,7 +132,8 @@ def keys_in_state(batch_keys: DataFrame, state_parts: list[DataFrame], key: list
     is scanned once without moving. From ``sorted_files`` only the pages are
     read that the batch's key ranges touch. Only the few hits are made distinct."""
     near = key_ranges(batch_keys, key) if sorted_files else F.lit(True)
-    return _union([part.select(*key).where(near).join(batch_keys.select(*key), key, "left_semi")
+    keys = small_side(batch_keys.select(*key))
+    return _union([part.select(*key).where(near).join(keys, key, "left_semi")
                    for part in state_parts]).distinct()
 
 
@@ -190,8 +192,8 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         # state keys this batch touches (batch-sized, one row per key)
         ids_hit = _write(state.hits(pairs, ID_KEY), f"{work}/ids_in_state")
         hashes_hit = _write(state.hits(pairs, HASH_KEY), f"{work}/hashes_in_state")
-        live = _write(live.join(ids_hit, ID_KEY, "left_anti")
-                      .join(hashes_hit, HASH_KEY, "left_anti"), f"{work}/live/round=0")
+        live = _write(live.join(small_side(ids_hit), ID_KEY, "left_anti")
+                      .join(small_side(hashes_hit), HASH_KEY, "left_anti"), f"{work}/live/round=0")
 
     # -- 2./3. rounds of locally first edges -----------------------------------
     kept_rounds: list[str] = []
@@ -206,8 +208,9 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
             winners = _locally_first(live, seq)
         winners = _write(winners, path)
         kept_rounds.append(path)
-        live = _write(live.join(winners.select(*ID_KEY), ID_KEY, "left_anti")
-                      .join(winners.select(*HASH_KEY), HASH_KEY, "left_anti"),
+        n_won = winners.count()
+        live = _write(live.join(small_side(winners.select(*ID_KEY), n_won), ID_KEY, "left_anti")
+                      .join(small_side(winners.select(*HASH_KEY), n_won), HASH_KEY, "left_anti"),
                       f"{work}/live/round={len(kept_rounds)}")
         rounds += 1 + jumps
         before, n_live = n_live, live.count()
@@ -231,7 +234,7 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
         right = right.unionByName(ids_hit.select(
             *ID_KEY, F.lit(None).cast(kept_schema[seq].dataType).alias("_kseq"),
             F.lit(True).alias("_in_state")))
-    j = messages.join(right, ID_KEY, "left")
+    j = messages.join(small_side(right), ID_KEY, "left")
     status = (F.when(F.col("_kseq") == F.col(seq), F.lit(NEW))
               .when(F.coalesce(F.col("_in_state"), F.lit(False)) | (F.col("_kseq") < F.col(seq)),
                     F.lit(DUP_ID))
@@ -252,7 +255,7 @@ def _first_on_chains(live: DataFrame, seq: str, path: str) -> tuple[DataFrame, i
     rounds that took."""
     rows = live.dropna(subset=[*ID_KEY, *HASH_KEY])
     kept, jumps = kept_on_chains(rows.select(_ends(), F.col(seq).alias("s")), path)
-    return rows.join(kept.withColumnRenamed("s", seq), seq, "left_semi").select(*ID_KEY, *HASH_KEY, seq), jumps
+    return rows.join(small_side(kept.withColumnRenamed("s", seq)), seq, "left_semi").select(*ID_KEY, *HASH_KEY, seq), jumps
 
 
 def _locally_first(live: DataFrame, seq: str) -> DataFrame:
@@ -272,10 +275,11 @@ def _single_layer(messages: DataFrame, state: IngestState | None, key: list[str]
     right = _write(messages.groupBy(*key).agg(F.min(seq).alias("_kseq")), f"{work}/first")
     if state is not None:
         hit = state.hits(right, key).withColumn("_in_state", F.lit(True))
+        hit = small_side(_write(hit, f"{work}/in_state"))
         right = _write(right.join(hit, key, "left"), f"{work}/first_and_state")
     else:
         right = right.withColumn("_in_state", F.lit(None).cast("boolean"))
-    j = messages.join(right, key, "left")
+    j = messages.join(small_side(right), key, "left")
     status = (F.when(F.col("_in_state").isNull() & (F.col("_kseq") == F.col(seq)), F.lit(NEW))
               .otherwise(F.lit(dup)))
     out = j.withColumn("status", status).drop("_kseq", "_in_state")
