@@ -1,0 +1,62 @@
+"""Reposts on streams: not all pairs of a text, and the batch answer over arrivals."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveflow.operators.temporal import rapid_reposts
+from sieveflow.streaming import keyed
+
+START = dt.datetime(2024, 1, 1)
+SCHEMA = "seq long, channel_id string, message_id string, content_hash string, date timestamp_ntz"
+
+
+def run(spark, src, root, watermark, within=120, seconds=None):
+    read = lambda: spark.readStream.schema(SCHEMA).parquet(src)
+    out = keyed.stream_reposts(read(), read(), within, watermark).select("seq")
+    q = (out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+         .trigger(availableNow=True).start())
+    done = q.awaitTermination(seconds) if seconds else q.awaitTermination() or True
+    q.stop()
+    assert done, "the join of streams takes too long"
+    return sorted((r.seq for r in spark.read.schema(out.schema).parquet(f"{root}/out").collect()), key=str)
+
+
+def test_reposts_of_one_text(spark, tmp_path):
+    """24,000 messages of one text, twenty of each date: not all pairs."""
+    df = spark.range(24_000).select(
+        F.col("id").alias("seq"), F.lit("c").alias("channel_id"), F.col("id").cast("string").alias("message_id"),
+        F.lit("h").alias("content_hash"),
+        (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_interval(secs=F.floor(F.col("id") / 20) * F.lit(37.000001)))
+        .alias("date"))
+    df.write.parquet(str(tmp_path / "in"))
+    got = run(spark, str(tmp_path / "in"), str(tmp_path), "0 seconds", within=37.0, seconds=90)
+    want = sorted((r.seq for r in rapid_reposts(df, 37.0).where("is_repost").collect()), key=str)
+    assert got == want and len(want) == 1200 * 19
+
+
+@pytest.mark.parametrize("watermark", ["0 seconds", "20 minutes"])
+def test_reposts_over_arrivals(spark, tmp_path, watermark):
+    """Four arrivals, in the order of dates or, where late ones are allowed, not;
+    with a null and a repeated seq."""
+    rng = random.Random(5)
+    rows = [(i, f"c{rng.randrange(2)}", "m", f"h{rng.randrange(6)}",
+             START + dt.timedelta(seconds=rng.randrange(1500), microseconds=rng.randrange(3))) for i in range(240)]
+    rows += [(None, "c0", "m", "h0", rows[0][4]), (7, "c1", "m", "h1", rows[7][4])]
+    rows.sort(key=lambda r: r[4])
+    cuts = [0, 60, 120, 180, len(rows)]
+    parts = [rows[a:b] for a, b in zip(cuts, cuts[1:])]
+    if watermark != "0 seconds":
+        parts[1], parts[2] = parts[2], parts[1]
+        rng.shuffle(parts[3])
+    want = set()
+    for s, c, _, h, t in rows:
+        if any(c == c2 and h == h2 and dt.timedelta(0) <= t - t2 <= dt.timedelta(seconds=120)
+               and (t2 < t or (s is not None and s2 is not None and s2 < s)) for s2, c2, _, h2, t2 in rows):
+            want.add(s)
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        got = run(spark, str(tmp_path / "in"), str(tmp_path), watermark)
+    assert set(got) == want and len(got) >= len(want) and len(want) > 100
