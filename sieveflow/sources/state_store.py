@@ -331,9 +331,9 @@ def read_metadata(spark: SparkSession, state_path: str) -> DataFrame:
     """(key, value, updated_at), the last write of each key, and what the
     batches tell: ``last_batch_id`` (when a batch is recorded)."""
     m = read_or_empty(spark, f"{state_path}/metadata", METADATA_SCHEMA)
-    last = (FolderState(spark, state_path).batches().agg(F.max("batch_id").alias("n"))
-            .where("n is not null").select(F.lit("last_batch_id").alias("key"), F.col("n").cast("string").alias("value"),
-                                           F.lit(None).cast("timestamp_ntz").alias("updated_at")))
+    last = (FolderState(spark, state_path).batches().groupBy(F.lit("last_batch_id").alias("key"))
+            .agg(F.max("batch_id").alias("n")).where("n is not null")
+            .select("key", F.col("n").cast("string").alias("value"), F.lit(None).cast("timestamp_ntz").alias("updated_at")))
     return (latest_per_key(m, ["key"], ["written_at"]).drop("written_at")
             .where("key <> 'last_batch_id'").unionByName(last))
 
