@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; what it returns is written as Parquet in the shared checkpoint folder
 and read back for the next stage, so a lost executor costs one stage at most.
 All but the last return the columns of ``documents``.
+
+The stages that hand whole texts to Python bound the bytes of a batch in the
+session (``bound_batches``), as they are written after they have returned: the
+executors' memory then depends neither on the length of the texts nor on the
+columns that come with them.
 """
 
 from __future__ import annotations
@@ -16,13 +21,14 @@ from sieveflow.llm.mixing import mix_documents
 from sieveflow.llm.packing import pack
 from sieveflow.llm.secrets import redact_secrets
 from sieveflow.llm.simhash import simhash_dedup
-from sieveflow.session import materialize
+from sieveflow.session import bound_batches, materialize
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: texts without a letter (null and empty ones too) go; a
     missing ``lang`` is filled in, or stays null when there was nothing to
     learn from."""
+    bound_batches(spark)
     model = fit(learnable(docs))
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
@@ -37,11 +43,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: one document of each SimHash group stays, the one with the
     smallest id."""
+    bound_batches(spark)
     return simhash_dedup(docs, shingle=4, distance=4)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: secrets are replaced by a mark; every document stays."""
+    bound_batches(spark)
     return redact_secrets(docs)
 
 
