@@ -10,7 +10,8 @@ of the document ids, so readers split files by stripe and a filter on
 Scale. One range shuffle of the rows by document id orders them (a hash of the
 text breaks ties, so many rows under one id or under null still spread);
 encoding runs after it, inside the writing tasks, so ids never cross the
-network before they are in their file. Positions are prefix sums over two
+network before they are in their file. Texts and ids reach the workers in
+batches bounded by bytes (``bounded_batches``). Positions are prefix sums over two
 levels: a window inside each part and sums over the parts, of which there are
 as many as shuffle partitions. Nothing is gathered whole.
 """
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sieveflow.llm.tokens import encoder, slices
-from sieveflow.session import materialize, scratch_path
+from sieveflow.session import bounded_batches, materialize, scratch_path
 
 STRIPE_BYTES = 32 << 20
 ROW_INDEX = 5_000
@@ -103,13 +104,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str = "word_bpe_49k
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = (ordered.select(F.spark_partition_id().alias("part"), "doc_id", F.col("_tie").alias("tie"), "_text")
            .mapInArrow(_encoded(tokenizer, end_id), f"part int, doc_id {kind}, tie long, n_tokens long, ids array<int>"))
-    (out.write.mode("errorifexists")
-     .option("compression", "zstd")
-     .option("orc.stripe.size", STRIPE_BYTES)
-     .option("orc.row.index.stride", ROW_INDEX)
-     .option("orc.bloom.filter.columns", "doc_id")
-     .option("orc.bloom.filter.fpp", 0.01)
-     .orc(path))
+    with bounded_batches(docs.sparkSession):
+        (out.write.mode("errorifexists")
+         .option("compression", "zstd")
+         .option("orc.stripe.size", STRIPE_BYTES)
+         .option("orc.row.index.stride", ROW_INDEX)
+         .option("orc.bloom.filter.columns", "doc_id")
+         .option("orc.bloom.filter.fpp", 0.01)
+         .orc(path))
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -121,8 +123,9 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 def token_positions(files: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every row of a token folder;
     ``start`` counts the ids of all rows before it."""
-    sums = materialize(
-        files.select("part", "doc_id", "tie", "n_tokens", ids_crc32("ids").alias("ids_crc32")), "tokens")
+    with bounded_batches(files.sparkSession):
+        sums = materialize(
+            files.select("part", "doc_id", "tie", "n_tokens", ids_crc32("ids").alias("ids_crc32")), "tokens")
     per_part = sums.groupBy("part").agg(F.sum("n_tokens").alias("_n"))
     # one row for each written part
     before = per_part.select(

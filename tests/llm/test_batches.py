@@ -6,6 +6,7 @@ import pytest
 from llm_helpers import docs_of
 from pyspark.sql import functions as F
 
+from sieveflow.llm import tokenfile
 from sieveflow.session import BATCH_BYTES, bound_batches, bounded_batches
 
 KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -34,6 +35,14 @@ def _sizes():
     return sizes
 
 
+def test_token_files_take_bounded_batches(spark, tmp_path, monkeypatch, default_bound):
+    monkeypatch.setattr(tokenfile, "_encoded", lambda tokenizer, end_id: _sizes())
+    tokenfile.write_token_files(_long_texts(spark), f"{tmp_path}/f", parts=1)
+    got = [r.n_tokens for r in tokenfile.read_token_files(spark, f"{tmp_path}/f").collect()]
+    assert sum(got) > 2.5 * BATCH_BYTES and max(got) < 1.25 * BATCH_BYTES
+    assert spark.conf.get(KEY) == default_bound
+
+
 @pytest.mark.parametrize("stage", ["language_id", "simhash_dedup", "secret_scan"])
 def test_stages_take_bounded_batches(spark, stage, default_bound):
     docs = _long_texts(spark)
