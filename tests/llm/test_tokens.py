@@ -1,4 +1,5 @@
 import random
+import string
 import unicodedata
 
 import numpy as np
@@ -56,6 +57,38 @@ def test_ids_equal_the_library(name):
         assert PieceEncoder(tokenizer_path(name), False).counts(pa.array(texts)).tolist() == lens.tolist()
 
 
+def test_words_are_learned_once_whatever_marks_follow():
+    """Case and marks make no new entries: one for each word and run of marks."""
+    lib, enc = Tokenizer.from_file(tokenizer_path(FILES[1])), PieceEncoder(tokenizer_path(FILES[1]), True)
+    words = ["word", "größe", "čaj"]
+    marks = ["", *string.punctuation, "!!", "...", "'%$", "|<|"]
+    texts = [f"{w}{m}" for x in words for w in (x, x.upper(), x.capitalize()) for m in marks]
+    ids, _ = enc.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in lib.encode(t, add_special_tokens=False).ids]
+    assert set(enc.memo) == {t for t in [*words, "grösse", *marks] if t}
+
+
+def test_every_letter_before_every_mark():
+    lib, enc = Tokenizer.from_file(tokenizer_path(FILES[1])), PieceEncoder(tokenizer_path(FILES[1]), True)
+    text = " ".join(f"{a}{chr(c)}{m}" for c in range(0x41, 0x250) for a in ("", "x") for m in "'|%")
+    ids, _ = enc.encode(pa.array([text]))
+    assert ids.tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("token", ["word", "d!"])
+def test_added_tokens_that_words_hold(tmp_path, token):
+    import json
+
+    spec = json.load(open(tokenizer_path(FILES[1]), encoding="utf-8"))
+    spec["added_tokens"][0] |= {"content": token, "special": False}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(spec), encoding="utf-8")
+    enc, lib = PieceEncoder(str(path), True), Tokenizer.from_file(str(path))
+    texts = ["a word! Word sword, wording", "word!", "WORD!!"]
+    assert enc.encode(pa.array(texts))[0].tolist() == [
+        i for t in texts for i in lib.encode(t, add_special_tokens=False).ids]
+
+
 def test_a_full_memo_starts_anew(monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_PIECES", 5)
     lib, enc = Tokenizer.from_file(tokenizer_path(FILES[0])), PieceEncoder(tokenizer_path(FILES[0]), True)
