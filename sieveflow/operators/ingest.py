@@ -224,9 +224,10 @@ def ingest(messages: DataFrame, state: IngestState | None = None, *,
                                 T.StructField("message_id", T.StringType()),
                                 T.StructField("content_hash", T.StringType()),
                                 T.StructField(seq, messages.schema[seq].dataType)])
-    # exactly the rounds written by this call
+    # exactly the rounds written by this call; when nothing was live, a table that
+    # Spark knows to be empty: with one of unknown size the join below shuffles all texts
     kept = (spark.read.schema(kept_schema).parquet(*kept_rounds) if kept_rounds
-            else spark.createDataFrame([], kept_schema))
+            else pairs.select(*kept_schema.names).limit(0))
 
     # -- 4. statuses: one join on the ID key ------------------------------------
     right = kept.select(*ID_KEY, F.col(seq).alias("_kseq"), F.lit(False).alias("_in_state"))

@@ -29,7 +29,7 @@ from ..sources.messages import (
     conversations_feed, documents_feed, event_messages, events_by_user_feed, events_by_value_feed,
     events_feed,
 )
-from ..session import materialize, scratch_path
+from ..session import FILE_ROWS, materialize, read_or_empty, scratch_path
 from .run import process_channels, process_in_groups
 from ..streaming import ingest_stream, keyed, reorder
 
@@ -502,10 +502,16 @@ def q_stream_ingest(spark, sf):
 
 
 def _arrivals(events, by):
-    """The events in STREAM_BATCHES arrivals of equal spans of ``by``."""
+    """The events in STREAM_BATCHES arrivals of equal spans of ``by``, cut in one
+    pass. Where the table lies in order of time, an arrival comes from few of its
+    splits: their rows go to several files, so that as many tasks read them."""
+    spark = events.sparkSession
     span = events.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).first()
     step = (span["hi"] - span["lo"]) / STREAM_BATCHES + 1
-    return [events.where(F.floor((by - span["lo"]) / step) == i) for i in range(STREAM_BATCHES)]
+    path = scratch_path(spark, "arrivals")
+    (events.withColumn("arrival", F.floor((by - span["lo"]) / step)).where("arrival is not null")
+     .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("arrival").parquet(path))
+    return [read_or_empty(spark, f"{path}/arrival={i}", events.schema) for i in range(STREAM_BATCHES)]
 
 
 def _event_micros():

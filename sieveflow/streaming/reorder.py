@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import folders, read_or_empty, remove
+from ..session import FILE_ROWS, folders, read_or_empty, remove
 
 _MARKS = T.StructType([T.StructField("watermark", T.LongType()), T.StructField("late_rows", T.LongType()),
                        T.StructField("batch", T.LongType())])
@@ -36,6 +36,11 @@ def _micros(date_col: str):
                             F.col(date_col).cast("timestamp_ntz"))
 
 
+def _write(messages: DataFrame, path: str) -> None:
+    """In files of bounded rows: what one task wrote is read by several."""
+    messages.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+
+
 class ReorderBuffer:
     """Messages of a feed between their arrival and their release."""
 
@@ -65,7 +70,7 @@ class ReorderBuffer:
         late_path = f"{self.root}/late/batch={batch}"
         messages.where(passed).write.mode("overwrite").parquet(late_path)
         pool_path = f"{self.root}/pool/batch={batch}"
-        messages.where(~passed).unionByName(held).write.mode("overwrite").parquet(pool_path)
+        _write(messages.where(~passed).unionByName(held), pool_path)
         pool = spark.read.schema(messages.schema).parquet(pool_path)
         top = pool.agg(F.max(micros)).first()[0]
         marks = [m for m in (before["mark"], None if top is None else top - self.lateness) if m is not None]
@@ -73,7 +78,7 @@ class ReorderBuffer:
         if end_of_feed and top is not None:
             mark = top + 1
         free = F.lit(False) if mark is None else micros < F.lit(mark)
-        pool.where(~free).write.mode("overwrite").parquet(f"{self.root}/pending/after={batch}")
+        _write(pool.where(~free), f"{self.root}/pending/after={batch}")
         late = spark.read.schema(messages.schema).parquet(late_path).count()
         (spark.createDataFrame([(mark, late)], T.StructType(_MARKS.fields[:2])).coalesce(1)
          .write.mode("overwrite").parquet(f"{self.root}/marks/batch={batch}"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveflow.operators import running_stats, stats
-from sieveflow.streaming import ingest_stream, keyed
+from sieveflow.operators.ingest import IngestState, ingest
+from sieveflow.plans import catalog
+from sieveflow.streaming import ingest_stream, keyed, reorder
 from sieveflow.streaming.reorder import ReorderBuffer
 from tests.fold import sequential_fold
 
@@ -149,3 +151,43 @@ def test_stream_reposts_equal_batch(spark, tmp_path):
     _, out = run_stream(spark, keyed.stream_reposts(read(), read(), 120, "0 seconds").select("seq"), str(tmp_path))
     want = sorted(r.seq for r in rapid_reposts(df, 120).where("is_repost").collect())
     assert sorted(r.seq for r in out.collect()) == want and len(want) > 10
+
+
+def test_texts_stay_where_they_are_when_nothing_is_live(spark):
+    """Every message repeats a recorded one: its join with the few hits is no shuffle of the texts."""
+    msgs = to_messages(spark.createDataFrame(feed(7), SCHEMA))
+    state = IngestState(msgs.select("channel_id", "message_id"), msgs.select("content_hash"))
+    res = ingest(msgs, state)
+    plan = res.messages._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {r["status"] for r in res.messages.collect()} == {"dup_id"}
+    assert res.kept.count() == 0 and res.kept.columns == ["channel_id", "message_id", "content_hash", "seq"]
+
+
+def test_the_buffer_deals_one_tasks_rows_out_to_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(reorder, "FILE_ROWS", 50)
+    rows = spark.createDataFrame(feed(8), SCHEMA).coalesce(1)
+    got = ReorderBuffer(spark, str(tmp_path), 500).release(rows, 0)
+    waiting = spark.read.parquet(f"{tmp_path}/pending/after=0")
+    assert got.count() + waiting.count() == 240
+    per_file = spark.read.parquet(f"{tmp_path}/pool/batch=0").groupBy(F.input_file_name()).count().collect()
+    assert len(per_file) >= 5 and max(r["count"] for r in per_file) <= 50
+
+
+def test_arrivals_hold_each_row_once(spark, tmp_path, monkeypatch):
+    """A file in order of time, repeated rows, rows without a time: in files of bounded rows."""
+    monkeypatch.setattr(catalog, "FILE_ROWS", 20)
+    rows = [(i, None if i % 50 == 7 else i // 2) for i in range(300)] * 2
+    events = spark.createDataFrame(rows, "event_id long, at long").orderBy("at").coalesce(1)
+    parts = catalog._arrivals(events, F.col("at"))
+    assert len(parts) == catalog.STREAM_BATCHES
+    step = 149 / catalog.STREAM_BATCHES + 1
+    for i, part in enumerate(parts):
+        want = sorted(r for r in rows if r[1] is not None and r[1] // step == i)
+        assert sorted(map(tuple, part.collect())) == want
+        assert part.columns == events.columns and len(part.inputFiles()) >= len(want) // 20
+
+
+def test_an_arrival_without_rows(spark):
+    parts = catalog._arrivals(spark.createDataFrame([(1, 0), (2, 1000)], "event_id long, at long"), F.col("at"))
+    assert [p.count() for p in parts] == [1, 0, 0, 1]
